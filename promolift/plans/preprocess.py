@@ -19,6 +19,19 @@ from ..operators import campaigns as C
 from ..operators import features as FE
 from ..operators import universe as U
 from ..operators import weekly as WK
+from ..session import cut_lineage
+
+
+def materialize(df: DataFrame, how: str) -> DataFrame:
+    """'checkpoint': reliable checkpoint in the shared ``spark.checkpoint.dir`` (cuts
+    lineage, survives executor loss); 'persist': cache and fill; 'none': lazy."""
+    if how == "checkpoint":
+        return cut_lineage(df)
+    if how == "persist":
+        df = df.persist()
+        df.count()
+        return df
+    return df
 
 
 @dataclass
@@ -53,14 +66,15 @@ def weekly_frames(tagged: DataFrame, intensity: str = "fractional") -> tuple[Dat
 def preprocess(orders: DataFrame, items: DataFrame, campaigns: DataFrame, horizon: int = 8,
                campaign_start=None, forecast_date=None, item_normalizers: DataFrame | None = None,
                cluster_normalizers: DataFrame | None = None, targets: DataFrame | None = None,
-               intensity: str = "fractional", delivery_floor=None, persist: bool = True) -> Preprocessed:
+               intensity: str = "fractional", delivery_floor=None, materialize_as: str = "checkpoint") -> Preprocessed:
+    """Two lineage cuts: after the weekly roll-ups (the order scan is done once) and
+    after normalisation (the frames every later step and model reads)."""
+    mat = lambda df: materialize(df, materialize_as)
     tagged, master = tagged_orders(orders, items, campaigns, campaign_start, forecast_date, delivery_floor)
-    iw, cw = weekly_frames(tagged, intensity)
-    if persist:
-        iw = iw.persist()
-        cw = cw.persist()
-    bounds = WK.week_bounds(iw)
-    iw = WK.fill_missing_weeks(iw, "baseItemId", bounds)
+    iw0 = mat(WK.weekly_item_sales(tagged))          # the only pass over the order lines
+    cw = mat(WK.weekly_cluster_sales(iw0, intensity=intensity))
+    iw = WK.add_competition(iw0).drop("n_lines")
+    iw = WK.fill_missing_weeks(iw, "baseItemId", WK.week_bounds(iw))
     cw = WK.fill_missing_weeks(cw, "cluster1To1Id", WK.week_bounds(cw),
                                int_flags=(intensity == "truncate"))
     iw = WK.mark_post_campaign_weeks(iw, "baseItemId")
@@ -68,8 +82,8 @@ def preprocess(orders: DataFrame, items: DataFrame, campaigns: DataFrame, horizo
     iw, inorm = FE.normalize(iw, "baseItemId", item_normalizers)
     cw, cnorm = FE.normalize(cw, "cluster1To1Id", cluster_normalizers)
     iw = U.campaign_items_only(iw, targets)
-    iw = iw.drop("salesQuantityKgL", "is_post_campaign")
-    cw = cw.drop("salesQuantityKgL", "is_post_campaign")
+    iw = mat(iw.drop("salesQuantityKgL", "is_post_campaign"))
+    cw = mat(cw.drop("salesQuantityKgL", "is_post_campaign"))
     iw = FE.add_category_lift_features(iw, master)
     iw = FE.add_time_features(iw)
     cw = FE.add_time_features(cw)
@@ -77,7 +91,4 @@ def preprocess(orders: DataFrame, items: DataFrame, campaigns: DataFrame, horizo
     cw = FE.add_cluster_aliases(FE.add_lag_features(cw, "cluster1To1Id", horizon))
     iw = FE.add_cluster_context(iw, cw)
     cw = FE.add_cluster_metadata(cw, iw)
-    if persist:
-        iw = iw.persist()
-        cw = cw.persist()
     return Preprocessed(iw, cw, master, inorm, cnorm)

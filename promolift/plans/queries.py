@@ -24,69 +24,8 @@ from . import oracle as O
 from . import params as P
 from .preprocess import preprocess, tagged_orders, weekly_frames
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
-
-
-def finalize(df: DataFrame) -> DataFrame:
-    """Uniform output types: integers -> bigint, booleans -> bigint, floating point ->
-    double rounded to 4 places (round(x * 1e4 * (1 + 1e-11)) / 1e4, -0.0 -> 0.0; the
-    same expression as the oracle's, see ``oracle.r``)."""
-    cols = []
-    for f in df.schema.fields:
-        t = f.dataType
-        c = F.col(f"`{f.name}`")
-        if isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double") * F.lit(10000.0) * F.lit(1.00000000001)) / F.lit(10000.0) + F.lit(0.0)
-        elif isinstance(t, (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.BooleanType)):
-            c = c.cast("long")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
-
-
-def _inputs(spark, sf):
-    return FX.load_inputs(spark, sf)
-
-
-def _tagged(spark, sf, forecast_date=None):
-    inp = _inputs(spark, sf)
-    return tagged_orders(inp.orders, inp.items, inp.campaigns, P.CAMPAIGN_START, forecast_date)
-
-
-def _weekly(spark, sf):
-    t, m = _tagged(spark, sf)
-    return weekly_frames(t)
-
-
-def _pre(spark, sf, **kw):
-    inp = _inputs(spark, sf)
-    kw.setdefault("campaign_start", P.CAMPAIGN_START)
-    kw.setdefault("horizon", P.HORIZON)
-    return preprocess(inp.orders, inp.items, inp.campaigns, persist=False, **kw)
-
-
-def _gap_filled_items(spark, sf):
-    iw, _ = _weekly(spark, sf)
-    return WK.fill_missing_weeks(iw, "baseItemId")
-
-
-def _normalized_items(spark, sf):
-    g = WK.mark_post_campaign_weeks(_gap_filled_items(spark, sf), "baseItemId")
-    return FE.normalize(g, "baseItemId")
-
-
-def _filtered_items(spark, sf):
-    n, _ = _normalized_items(spark, sf)
-    return U.campaign_items_only(n)
+from .registry import (QUERIES, SQL, _filtered_items, _gap_filled_items, _inputs,  # noqa: F401
+                       _normalized_items, _pre, _tagged, _weekly, finalize, register)
 
 
 r = O.r
@@ -412,6 +351,9 @@ def lag_features(spark, sf):
                              "sales_rolling_4w_week3", "sales_lag_12w", "sales_lag_52w"))
 
 
+from . import q_features  # noqa: E402,F401  (registers on import)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
