@@ -55,8 +55,12 @@ def _tagged(spark, sf, forecast_date=None):
 
 
 def _weekly(spark, sf):
-    t, m = _tagged(spark, sf)
-    return weekly_frames(t)
+    """A1 materialised once (the only pass over the order lines), then A2 and C1 from it."""
+    from ..session import cut_lineage
+    t, _ = _tagged(spark, sf)
+    iw0 = cut_lineage(WK.weekly_item_sales(t), "item-weekly")
+    cw = WK.weekly_cluster_sales(iw0)
+    return WK.add_competition(iw0).drop("n_lines"), cw
 
 
 def _pre(spark, sf, **kw):
@@ -77,7 +81,9 @@ def _normalized_items(spark, sf):
 
 
 def _filtered_items(spark, sf):
+    """Normalised, campaign-items-only frame, materialised once (as preprocess does)."""
+    from ..session import cut_lineage
     n, _ = _normalized_items(spark, sf)
-    return U.campaign_items_only(n)
+    return cut_lineage(U.campaign_items_only(n), "items-filtered")
 
 
