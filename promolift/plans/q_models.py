@@ -91,3 +91,36 @@ def feature_importance(spark, sf):
     res = forecast_result(spark, sf)
     rows = [(b.level, f, float(v)) for b in (res.item_model, res.cluster_model) for f, v in fi(b.point, b.features)]
     return spark.createDataFrame(rows, "level string, feature string, importance double")
+
+
+# --- backtest (P17-P19, A13, K1) -----------------------------------------------------------
+
+BACKTEST_MAX_CAMPAIGNS = 1   # the driver's max-campaigns option; one campaign per run here
+_BT: dict = {}
+
+
+def backtest_result(spark, sf):
+    from .backtest import run_backtest
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BT:
+        inp = _inputs(spark, sf)
+        _BT[key] = run_backtest(inp.orders, inp.items, inp.campaigns, P.BACKTEST_YEAR, BACKTEST_MAX_CAMPAIGNS)
+    return _BT[key]
+
+
+@register("backtest")
+def backtest(spark, sf):
+    """Per-item actual vs predicted vs baseline over a past campaign."""
+    return finalize(backtest_result(spark, sf))
+
+
+@register("backtest_summary")
+def backtest_summary(spark, sf):
+    """A13."""
+    return finalize(R.backtest_summary(backtest_result(spark, sf)))
+
+
+@register("best_worst")
+def best_worst(spark, sf):
+    """K1: best and worst five items by SMAPE (a top-k report)."""
+    return finalize(R.best_worst(backtest_result(spark, sf)))
