@@ -159,3 +159,22 @@ def train_balance_stats(spark, sf):
                               "salesQuantityKgL_log"))
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return finalize(S.train_balance_stats(u))
+
+
+@register("request_rejections")
+def request_rejections(spark, sf):
+    """F12 [rows]: one forecast request per calendar campaign (its items, forecast date
+    7*(id mod 16) days before the start), checked against the item master; 'today' is
+    the last order date.  Rejected requests with their first failing reason."""
+    inp = _inputs(spark, sf)
+    v = U.valid_orders(inp.orders).where(F.col("salesCampignId").isNotNull())
+    ids = (v.select(F.col("salesCampignId").alias("campaignId"), U.base_item_id(F.col("itemId")).alias("b"))
+           .distinct().groupBy("campaignId").agg(F.concat_ws(",", F.array_sort(F.collect_set("b"))).alias("item_ids")))
+    req = (inp.campaigns.join(ids, "campaignId", "left")
+           .select(F.col("campaignId").cast("string").alias("request_id"),
+                   F.coalesce("item_ids", F.lit("")).alias("item_ids"),
+                   F.date_sub("campaignStart", (F.col("campaignId") % 16 * 7).cast("int")).cast("string")
+                   .alias("forecast_date"),
+                   F.col("campaignStart").cast("string").alias("campaign_start")))
+    today = inp.orders.agg(F.max("orderDate")).first()[0]
+    return finalize(U.request_rejections(req, inp.items, today=today))
