@@ -135,6 +135,91 @@ def single_model_frame(df: DataFrame, level: str, targets: DataFrame | None = No
             .withColumn("weight", sample_weight(level)))
 
 
+def pooled_training_frame(df: DataFrame, level: str, targets: DataFrame | None = None,
+                          ratios=(TRAIN_RATIO, VAL_RATIO)) -> DataFrame:
+    """P2 frame + W15 + W12 in one statistics job.
+
+    Every row learns once whether its id ever had a week-N campaign (an aggregate
+    joined back).  One ``groupBy(week)`` then yields, per week and per model week N,
+    the campaign-row count and the eligible-baseline-row count; from those (one small
+    row per week, collected) the driver finds each N's recency cutoff and the
+    60/20/20 boundaries of the stacked frame.  The frame is three filtered copies of
+    the data; only the cutoff week and the boundary weeks need a row number inside
+    the week.  Result columns: the P2 features, ``weight``, ``model_week`` and
+    ``split``."""
+    idc = id_col(level)
+    df = fill_feature_nulls(df, level)
+    has = df.groupBy(idc).agg(*[F.max(_flag_on(level, f"campaign_week_{n}").cast("int")).alias(f"_has{n}")
+                                for n in (1, 2, 3)])
+    if targets is not None and level == "item":
+        t = targets.select(F.col(targets.columns[0]).cast("string").alias(idc)).distinct() \
+            .withColumn("_tg", F.lit(1))
+        has = has.join(t, idc, "left")
+        for n in (1, 2, 3):
+            has = has.withColumn(f"_has{n}", F.greatest(F.col(f"_has{n}"), F.coalesce(F.col("_tg"), F.lit(0))))
+        has = has.drop("_tg")
+    # one materialised copy: the three samples and the split below all read it
+    from ..session import cut_lineage
+    d = cut_lineage(df.join(has, idc, "left"), f"{level}-train-base")
+    camp = {n: (F.col(f"_has{n}") == 1) & _flag_on(level, f"campaign_week_{n}") for n in (1, 2, 3)}
+    base = {n: (F.col(f"_has{n}") == 1) & (F.col(f"campaign_week_{n}") == 0) & _flag_on(level, "campaign_week_0")
+            for n in (1, 2, 3)}
+    stats = d.groupBy("week_start").agg(
+        *[F.sum(camp[n].cast("int")).alias(f"c{n}") for n in (1, 2, 3)],
+        *[F.sum(base[n].cast("int")).alias(f"b{n}") for n in (1, 2, 3)]).collect()
+    stats = sorted(stats, key=lambda r: r["week_start"])
+    week_rows = {r["week_start"]: 0 for r in stats}
+    parts = []
+    for n in (1, 2, 3):
+        k = BASELINE_MULTIPLE * sum(r[f"c{n}"] for r in stats)
+        acc, cutoff, rem = 0, None, 0
+        for r in reversed(stats):
+            b = r[f"b{n}"]
+            if cutoff is None and acc + b >= k:
+                cutoff, rem = r["week_start"], k - acc
+                week_rows[r["week_start"]] += rem
+            elif cutoff is None:
+                week_rows[r["week_start"]] += b
+            acc += b
+            week_rows[r["week_start"]] += r[f"c{n}"]
+        bsel = d.where(base[n])
+        if cutoff is not None:
+            w = Window.partitionBy("week_start").orderBy(F.col(idc))
+            edge = (bsel.where(F.col("week_start") == F.lit(cutoff))
+                    .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= rem).drop("_rn"))
+            bsel = bsel.where(F.col("week_start") > F.lit(cutoff)).unionByName(edge)
+        s = d.where(camp[n]).unionByName(bsel).withColumn("model_week", F.lit(n))
+        s = s.withColumn("campaign_week_number",
+                         F.when(_flag_on(level, f"campaign_week_{n}"), F.lit(n)).otherwise(F.lit(0)))
+        for src, dst in zip(week_lag_features(level, n), week_lag_features(level, 1)):
+            if src != dst:
+                s = s.withColumn(dst, F.col(src))
+        parts.append(s)
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("_has1", "_has2", "_has3")
+    lag, roll = week_lag_features(level, 1)[:2]
+    out = (out.withColumn("cwn_x_lag", F.col("campaign_week_number") * F.col(lag))
+           .withColumn("cwn_x_rolling", F.col("campaign_week_number") * F.col(roll))
+           .withColumn("weight", sample_weight(level)))
+    # W12 on the stacked frame from the known per-week row counts
+    n_all = sum(week_rows.values())
+    train_end, val_end = int(n_all * ratios[0]), int(n_all * (ratios[0] + ratios[1]))
+    offsets, acc = [], 0
+    for wk in sorted(week_rows):
+        offsets.append((wk, acc, acc + week_rows[wk]))
+        acc += week_rows[wk]
+    whole = {wk: ("train" if hi <= train_end else "val" if lo >= train_end and hi <= val_end
+                  else "test" if lo >= val_end else None) for wk, lo, hi in offsets}
+    simple = F.create_map(*[x for wk, lab in whole.items() if lab for x in (F.lit(wk), F.lit(lab))])
+    off_map = F.create_map(*[x for wk, lo, _ in offsets if whole[wk] is None for x in (F.lit(wk), F.lit(lo))])
+    out = out.withColumn("split", simple[F.col("week_start")])
+    known = out.where(F.col("split").isNotNull())
+    edge = out.where(F.col("split").isNull())
+    w = Window.partitionBy("week_start").orderBy(idc, "campaign_week_number", "model_week")
+    pos = off_map[F.col("week_start")] + F.row_number().over(w) - 1
+    edge = edge.withColumn("split", F.when(pos < train_end, "train").when(pos < val_end, "val").otherwise("test"))
+    return known.unionByName(edge)
+
+
 def temporal_split(df: DataFrame, id_c: str, ratios=(TRAIN_RATIO, VAL_RATIO),
                    tiebreak: list[str] | None = None) -> DataFrame:
     """Rows ordered by week (ties by id) get 'train' for the first int(n*0.6),

@@ -40,9 +40,8 @@ def train_level(df: DataFrame, level: str, targets: DataFrame | None = None,
                 params: dict | None = None, materialize_as: str = "checkpoint") -> M.ModelBundle:
     """Pooled training frame, temporal split, GBT point model, quantile forest."""
     idc = TR.id_col(level)
-    frame = TR.single_model_frame(df, level, targets if level == "item" else None)
-    frame = TR.temporal_split(frame, idc, tiebreak=[idc, "campaign_week_number"])
-    frame = materialize(frame, materialize_as)
+    frame = materialize(TR.pooled_training_frame(df, level, targets if level == "item" else None),
+                        materialize_as)
     feats = TR.feature_list(level)
     point = M.fit_point_model(frame, feats, level, params)
     forest, leaves = M.fit_quantile_forest(frame, feats)
