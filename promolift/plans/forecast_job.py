@@ -7,6 +7,7 @@ every target with the campaign on and off -> summary with verdicts.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -43,8 +44,11 @@ def train_level(df: DataFrame, level: str, targets: DataFrame | None = None,
     frame = materialize(TR.pooled_training_frame(df, level, targets if level == "item" else None),
                         materialize_as)
     feats = TR.feature_list(level)
-    point = M.fit_point_model(frame, feats, level, params)
-    forest, leaves = M.fit_quantile_forest(frame, feats)
+    # the point model and the forest are independent fits: submit them together
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fp = pool.submit(M.fit_point_model, frame, feats, level, params)
+        ff = pool.submit(M.fit_quantile_forest, frame, feats)
+        point, (forest, leaves) = fp.result(), ff.result()
     leaves = materialize(leaves, materialize_as)
     metrics = M.evaluate(point, frame)
     return M.ModelBundle(level, feats, point, forest, leaves, metrics)
@@ -81,8 +85,10 @@ def run_forecast(orders: DataFrame, items: DataFrame, campaigns: DataFrame, targ
                      forecast_date=forecast_date, targets=targets, materialize_as=materialize_as)
     iw = materialize(pre.item_weekly, materialize_as)
     cw = materialize(pre.cluster_weekly, materialize_as)
-    item_model = train_level(iw, "item", targets, materialize_as=materialize_as)
-    cluster_model = train_level(cw, "cluster", materialize_as=materialize_as)
+    with ThreadPoolExecutor(max_workers=2) as pool:   # the two levels train concurrently
+        fi = pool.submit(train_level, iw, "item", targets, None, materialize_as)
+        fc = pool.submit(train_level, cw, "cluster", None, None, materialize_as)
+        item_model, cluster_model = fi.result(), fc.result()
     plan, sizes = plan_tables(pre.items, targets)
     t_clusters = pre.items.join(targets.select(F.col(targets.columns[0]).alias("baseItemId")),
                                 "baseItemId", "left_semi").select("cluster1To1Id").distinct()

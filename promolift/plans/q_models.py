@@ -124,3 +124,33 @@ def backtest_summary(spark, sf):
 def best_worst(spark, sf):
     """K1: best and worst five items by SMAPE (a top-k report)."""
     return finalize(R.best_worst(backtest_result(spark, sf)))
+
+
+# --- walk-forward validation and search (P13, P14, S8) ------------------------------------
+
+TUNING_TRIALS = 2   # search budget of the registered run (the search itself is unbounded)
+
+
+def _cluster_frame(spark, sf):
+    from .registry import _pre
+    from .preprocess import materialize
+    return materialize(_pre(spark, sf).cluster_weekly, "checkpoint")
+
+
+@register("walk_forward_scores")
+def walk_forward_scores(spark, sf):
+    """P13 with the default cluster-model settings: one row per (model week, fold)."""
+    from .tune import walk_forward_cv
+    rows = walk_forward_cv(_cluster_frame(spark, sf), "cluster")
+    return spark.createDataFrame(rows, "model_week long, fold long, n_train long, n_val long, smape double")
+
+
+@register("tuning_result")
+def tuning_result(spark, sf):
+    """P14 + S8: seeded random search, best record written as JSON and read back."""
+    from ..sources.io import scratch_path
+    from .tune import random_search, save_best
+    trials = random_search(spark, _cluster_frame(spark, sf), "cluster", TUNING_TRIALS)
+    path = scratch_path(spark, "best-params")
+    save_best(trials, path)
+    return spark.read.json(path)
