@@ -178,3 +178,119 @@ def request_rejections(spark, sf):
                    F.col("campaignStart").cast("string").alias("campaign_start")))
     today = inp.orders.agg(F.max("orderDate")).first()[0]
     return finalize(U.request_rejections(req, inp.items, today=today))
+
+
+# --- first generation: C5, C6, W6, W7, A8; second generation: A10 ------------------------
+
+G1_SQL = f"""
+lw AS (SELECT *, {O.wk('orderDate', 0)} AS ow FROM valid),
+sums AS (SELECT itemId, ow, sum(salesQuantity) AS q FROM lw GROUP BY 1, 2),
+span AS (SELECT itemId, min(ow) AS a, max(ow) AS b FROM sums GROUP BY 1),
+grid AS (SELECT itemId, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS ow FROM span),
+cnt AS (SELECT itemId, ow, salesCampignId, count(*) AS n FROM lw WHERE salesCampignId IS NOT NULL AND salesCampignId <> 0 GROUP BY 1, 2, 3),
+md AS (SELECT itemId, ow, salesCampignId FROM cnt QUALIFY row_number() OVER (PARTITION BY itemId, ow ORDER BY n DESC, salesCampignId) = 1),
+lwo AS (
+  SELECT g.ow AS orderDate, g.itemId, coalesce(s.q, 0.0) AS salesQuantity, CAST(coalesce(m.salesCampignId, 0) AS BIGINT) AS salesCampignId
+  FROM grid g LEFT JOIN sums s ON g.itemId = s.itemId AND g.ow = s.ow LEFT JOIN md m ON g.itemId = m.itemId AND g.ow = m.ow),
+licc AS (
+  SELECT DISTINCT w.itemId, c.campaignId, c.campaignStart AS s, c.campaignEnd AS e
+  FROM lwo w JOIN cal c ON w.salesCampignId = c.campaignId WHERE w.salesCampignId <> 0),
+litems AS (
+  SELECT itemId, CASE WHEN cluster1To1Id IS NULL OR trim(cluster1To1Id) = '' THEN itemId ELSE cluster1To1Id END AS cluster1To1Id,
+         coalesce(CASE WHEN wprep <> 0 THEN wprep END, CASE WHEN wnet <> 0 THEN wnet END, wgross) AS weight
+  FROM dim QUALIFY row_number() OVER (PARTITION BY itemId ORDER BY itemSkey DESC) = 1),
+lp0 AS (
+  SELECT w.orderDate, w.itemId, i.cluster1To1Id, w.salesCampignId, w.salesQuantity * i.weight AS salesQuantityKgL,
+         CAST(coalesce(w.orderDate >= c.s AND w.orderDate <= c.e, false) AS INTEGER) AS is_campaign_week
+  FROM lwo w LEFT JOIN litems i ON w.itemId = i.itemId
+  LEFT JOIN licc c ON w.itemId = c.itemId AND w.salesCampignId = c.campaignId),
+lp AS (
+  SELECT *, coalesce(lag(salesQuantityKgL) OVER (PARTITION BY cluster1To1Id ORDER BY orderDate, itemId), 0.0) AS cluster_sales_lag_1,
+         avg(salesQuantityKgL) OVER (PARTITION BY cluster1To1Id ORDER BY orderDate, itemId ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS cluster_sales_rolling4w,
+         sum(CASE WHEN is_campaign_week <> 1 THEN 1 ELSE 0 END) OVER (PARTITION BY cluster1To1Id ORDER BY orderDate, itemId ROWS UNBOUNDED PRECEDING) AS weeks_since_campaign,
+         sum(is_campaign_week) OVER (PARTITION BY cluster1To1Id ORDER BY orderDate, itemId ROWS UNBOUNDED PRECEDING) AS campaigns_ytd
+  FROM lp0)
+"""
+
+
+def _g1(spark, sf, as_of=None):
+    from ..operators.legacy import legacy_processed
+    from ..session import cut_lineage
+    inp = _inputs(spark, sf)
+    return cut_lineage(legacy_processed(U.valid_orders(inp.orders), inp.items, inp.campaigns, as_of), "g1")
+
+
+@register("legacy_cluster_lags", _wb(G1_SQL, f"""
+SELECT orderDate, itemId, cluster1To1Id, {r('salesQuantityKgL')} AS salesQuantityKgL,
+       {r('cluster_sales_lag_1')} AS cluster_sales_lag_1, {r('cluster_sales_rolling4w')} AS cluster_sales_rolling4w
+FROM lp
+"""))
+def legacy_cluster_lags(spark, sf):
+    """Row-based cluster lag / rolling mean of the first generation."""
+    return finalize(_g1(spark, sf).select("orderDate", "itemId", "cluster1To1Id", "salesQuantityKgL",
+                                          "cluster_sales_lag_1", "cluster_sales_rolling4w"))
+
+
+@register("legacy_campaign_counters", _wb(G1_SQL, """
+SELECT orderDate, itemId, cluster1To1Id, CAST(is_campaign_week AS BIGINT) AS is_campaign_week,
+       CAST(weeks_since_campaign AS BIGINT) AS weeks_since_campaign, CAST(campaigns_ytd AS BIGINT) AS campaigns_ytd
+FROM lp
+"""))
+def legacy_campaign_counters(spark, sf):
+    """Running counters over the cluster's rows."""
+    return finalize(_g1(spark, sf).select("orderDate", "itemId", "cluster1To1Id", "is_campaign_week",
+                                          "weeks_since_campaign", "campaigns_ytd"))
+
+
+@register("legacy_cluster_frame", _wb(G1_SQL, f"""
+SELECT orderDate, cluster1To1Id, {r('sum(salesQuantityKgL)')} AS cluster_sales_kg,
+       CAST(max(is_campaign_week) AS BIGINT) AS is_campaign_week, {r('avg(cluster_sales_lag_1)')} AS cluster_sales_lag_1,
+       {r('avg(cluster_sales_rolling4w)')} AS cluster_sales_rolling4w, {r('avg(weeks_since_campaign)')} AS weeks_since_campaign,
+       CAST(max(campaigns_ytd) AS BIGINT) AS campaigns_ytd, CAST(month(orderDate) AS BIGINT) AS month,
+       CAST(weekofyear(orderDate) AS BIGINT) AS week, CAST(year(orderDate) AS BIGINT) AS year
+FROM lp GROUP BY orderDate, cluster1To1Id
+"""))
+def legacy_cluster_frame(spark, sf):
+    """A8."""
+    from ..operators.legacy import legacy_cluster_frame as lcf
+    return finalize(lcf(_g1(spark, sf)))
+
+
+@register("multi_level_weekly", _wb(G1_SQL + """,
+ml AS (
+  SELECT 'item' AS level, itemId AS key, orderDate, sum(salesQuantityKgL) AS s, max(is_campaign_week) AS f,
+         min(weeks_since_campaign) AS wsc, max(campaigns_ytd) AS ytd FROM lp GROUP BY orderDate, cluster1To1Id, itemId
+  UNION ALL
+  SELECT 'cluster', cluster1To1Id, orderDate, sum(salesQuantityKgL), max(is_campaign_week), min(weeks_since_campaign),
+         max(campaigns_ytd) FROM lp GROUP BY orderDate, cluster1To1Id
+  UNION ALL
+  SELECT 'global', 'all', orderDate, sum(salesQuantityKgL), max(is_campaign_week), min(weeks_since_campaign),
+         max(campaigns_ytd) FROM lp GROUP BY orderDate)
+""", f"""
+SELECT level, key, orderDate, {r('s')} AS salesQuantityKgL, CAST(f AS BIGINT) AS is_campaign_week,
+       CAST(wsc AS BIGINT) AS weeks_since_campaign, CAST(ytd AS BIGINT) AS campaigns_ytd,
+       {r('coalesce(lag(s, 1) OVER (PARTITION BY level, key ORDER BY orderDate), 0.0)')} AS sales_lag_1,
+       {r('lag(s, 2) OVER (PARTITION BY level, key ORDER BY orderDate)')} AS sales_lag_2,
+       {r('coalesce(avg(s) OVER (PARTITION BY level, key ORDER BY orderDate ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), 0.0)')} AS sales_rolling4w
+FROM ml
+"""))
+def multi_level_weekly(spark, sf):
+    """A10 + W11: item, cluster and global weekly frames of the second generation."""
+    from ..operators.legacy import multi_level_weekly as mlw
+    return finalize(mlw(_g1(spark, sf)))
+
+
+FEATURE_SNAPSHOT_WEEK = "2000-06-05"   # fixed: a Monday inside the history
+
+
+@register("feature_snapshot", _wb(G1_SQL.replace("FROM valid)", f"FROM valid WHERE orderDate <= DATE '{FEATURE_SNAPSHOT_WEEK}')", 1), f"""
+SELECT orderDate, itemId, cluster1To1Id, {r('salesQuantityKgL')} AS salesQuantityKgL,
+       {r('cluster_sales_lag_1')} AS cluster_sales_lag_1, {r('cluster_sales_rolling4w')} AS cluster_sales_rolling4w,
+       CAST(weeks_since_campaign AS BIGINT) AS weeks_since_campaign, CAST(campaigns_ytd AS BIGINT) AS campaigns_ytd
+FROM lp WHERE orderDate = DATE '{FEATURE_SNAPSHOT_WEEK}'
+"""))
+def feature_snapshot(spark, sf):
+    """First-generation features recomputed on orders up to a week; that week's rows."""
+    g = _g1(spark, sf, as_of=FEATURE_SNAPSHOT_WEEK).where(F.col("orderDate") == F.lit(FEATURE_SNAPSHOT_WEEK).cast("date"))
+    return finalize(g.select("orderDate", "itemId", "cluster1To1Id", "salesQuantityKgL", "cluster_sales_lag_1",
+                             "cluster_sales_rolling4w", "weeks_since_campaign", "campaigns_ytd"))
