@@ -19,19 +19,19 @@ MIN_CLUSTER_CAMPAIGN_WEEKS = 10
 
 def item_share_frame(weekly: DataFrame, value: str = "salesQuantityKgL") -> DataFrame:
     """Share of the (cluster, week) total (floor 1e-6, negatives clipped to 0),
-    whether another item of the cluster is on campaign that week, and the previous
-    week's sales and share per item."""
+    whether the cluster has a campaign that week while this item has none, and the
+    previous week's sales and share per item (0 when none)."""
     w = weekly.withColumn("_v", F.greatest(F.col(value), F.lit(0.0))) \
               .withColumn("_on", on_campaign().cast("int"))
     tot = w.groupBy("cluster1To1Id", "week_start").agg(F.sum("_v").alias("_tot"), F.sum("_on").alias("_n_on"))
     j = w.join(tot, ["cluster1To1Id", "week_start"])
     share = F.col("_v") / F.greatest(F.col("_tot"), F.lit(SHARE_FLOOR))
-    other = ((F.col("_n_on") - F.col("_on")) > 0).cast("int")
+    other = ((F.col("_n_on") > 0) & (F.col("_on") == 0)).cast("int")
     iw = Window.partitionBy("baseItemId").orderBy("week_start")
     out = j.select("baseItemId", "cluster1To1Id", "week_start", F.col("_v").alias("item_sales"),
                    share.alias("item_share"), other.alias("other_campaign_in_cluster"))
-    return (out.withColumn("item_sales_lag_1", F.lag("item_sales", 1).over(iw))
-            .withColumn("item_share_lag_1", F.lag("item_share", 1).over(iw)))
+    return (out.withColumn("item_sales_lag_1", F.coalesce(F.lag("item_sales", 1).over(iw), F.lit(0.0)))
+            .withColumn("item_share_lag_1", F.coalesce(F.lag("item_share", 1).over(iw), F.lit(0.0))))
 
 
 def renormalize_shares(pred: DataFrame, share_col: str = "pred_share") -> DataFrame:

@@ -28,11 +28,11 @@ w8a AS (SELECT baseItemId, cluster1To1Id, week_start, greatest(salesQuantityKgL,
 w8t AS (SELECT cluster1To1Id, week_start, sum(v) AS tot, sum(onc) AS n_on FROM w8a GROUP BY 1, 2),
 w8 AS (
   SELECT a.baseItemId, a.cluster1To1Id, a.week_start, a.v AS item_sales, a.v / greatest(t.tot, 1e-6) AS item_share,
-         CAST(t.n_on - a.onc > 0 AS INTEGER) AS other_campaign_in_cluster
+         CAST(t.n_on > 0 AND a.onc = 0 AS INTEGER) AS other_campaign_in_cluster
   FROM w8a a JOIN w8t t ON a.cluster1To1Id = t.cluster1To1Id AND a.week_start = t.week_start),
 w8l AS (
-  SELECT *, lag(item_sales, 1) OVER (PARTITION BY baseItemId ORDER BY week_start) AS item_sales_lag_1,
-         lag(item_share, 1) OVER (PARTITION BY baseItemId ORDER BY week_start) AS item_share_lag_1 FROM w8)
+  SELECT *, coalesce(lag(item_sales, 1) OVER (PARTITION BY baseItemId ORDER BY week_start), 0.0) AS item_sales_lag_1,
+         coalesce(lag(item_share, 1) OVER (PARTITION BY baseItemId ORDER BY week_start), 0.0) AS item_share_lag_1 FROM w8)
 """
 
 

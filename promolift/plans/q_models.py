@@ -154,3 +154,44 @@ def tuning_result(spark, sf):
     path = scratch_path(spark, "best-params")
     save_best(trials, path)
     return spark.read.json(path)
+
+
+# --- first-generation scenario forecast (P6, P7, J12, W16, A11) -------------------------
+
+_SC: dict = {}
+
+
+def scenario_result(spark, sf):
+    from .scenario_job import run_scenarios
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SC:
+        inp = _inputs(spark, sf)
+        _SC[key] = run_scenarios(inp.orders, inp.items, inp.campaigns, campaign_items(inp.orders, FORECAST_CAMPAIGN),
+                                 P.CAMPAIGN_START, P.CAMPAIGN_END, P.FORECAST_DATE)
+    return _SC[key]
+
+
+@register("cluster_horizon_forecast")
+def cluster_horizon_forecast(spark, sf):
+    """Per-horizon cluster models, held-out MAE and SMAPE after the cutoff."""
+    rows = [(int(h), float(m or 0.0), float(s or 0.0), int(n or 0)) for h, m, s, n in scenario_result(spark, sf)[0]]
+    return spark.createDataFrame(rows, "horizon long, mae double, smape double, n_test long")
+
+
+@register("topdown_combine")
+def topdown_combine(spark, sf):
+    """Predicted item share x predicted cluster total per item, horizon, scenario."""
+    return finalize(scenario_result(spark, sf)[1].select("itemId", "cluster1To1Id", "scenario", "horizon",
+                                                         "pred_share", "pred_cluster", "predicted_quantity_kg"))
+
+
+@register("scenario_forecast")
+def scenario_forecast(spark, sf):
+    """P7 + W16: renormalised share forecasts per scenario, feature and target week."""
+    return finalize(scenario_result(spark, sf)[1])
+
+
+@register("scenario_comparison")
+def scenario_comparison_q(spark, sf):
+    """Focus items' forecasts with and without the campaign, absolute and % lift."""
+    return finalize(scenario_result(spark, sf)[2])
