@@ -195,3 +195,14 @@ def scenario_forecast(spark, sf):
 def scenario_comparison_q(spark, sf):
     """Focus items' forecasts with and without the campaign, absolute and % lift."""
     return finalize(scenario_result(spark, sf)[2])
+
+
+@register("recursive_forecast")
+def recursive_forecast(spark, sf):
+    """Three unrolled steps for all targets (items of the forecast campaign and
+    their clusters), campaign and no-campaign predictions, floored at 0."""
+    from .recursive_job import run_recursive
+    inp = _inputs(spark, sf)
+    out = run_recursive(inp.orders, inp.items, inp.campaigns, campaign_items(inp.orders, FORECAST_CAMPAIGN),
+                        P.CAMPAIGN_START, P.CAMPAIGN_END, P.FORECAST_DATE)
+    return finalize(out)
