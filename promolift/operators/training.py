@@ -209,13 +209,16 @@ def pooled_training_frame(df: DataFrame, level: str, targets: DataFrame | None =
         acc += week_rows[wk]
     whole = {wk: ("train" if hi <= train_end else "val" if lo >= train_end and hi <= val_end
                   else "test" if lo >= val_end else None) for wk, lo, hi in offsets}
-    simple = F.create_map(*[x for wk, lab in whole.items() if lab for x in (F.lit(wk), F.lit(lab))])
-    off_map = F.create_map(*[x for wk, lo, _ in offsets if whole[wk] is None for x in (F.lit(wk), F.lit(lo))])
-    out = out.withColumn("split", simple[F.col("week_start")])
+    labelled = [x for wk, lab in whole.items() if lab for x in (F.lit(wk), F.lit(lab))]
+    boundary = [x for wk, lo, _ in offsets if whole[wk] is None for x in (F.lit(wk), F.lit(lo))]
+    simple = F.create_map(*labelled)[F.col("week_start")] if labelled else F.lit(None).cast("string")
+    out = out.withColumn("split", simple)
+    if not boundary:
+        return out
     known = out.where(F.col("split").isNotNull())
     edge = out.where(F.col("split").isNull())
     w = Window.partitionBy("week_start").orderBy(idc, "campaign_week_number", "model_week")
-    pos = off_map[F.col("week_start")] + F.row_number().over(w) - 1
+    pos = F.create_map(*boundary)[F.col("week_start")] + F.row_number().over(w) - 1
     edge = edge.withColumn("split", F.when(pos < train_end, "train").when(pos < val_end, "val").otherwise("test"))
     return known.unionByName(edge)
 

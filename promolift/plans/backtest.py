@@ -26,6 +26,10 @@ BACKTEST_HORIZON_WEEKS = 4   # fixed: forecast date = campaign start - 4 weeks
 
 log = logging.getLogger(__name__)
 
+RESULT_SCHEMA = ("campaign_id long, item_id string, cluster_id string, campaign_start date, campaign_end date, "
+                 + ", ".join(f"{lvl}_{x} double" for lvl in ("item", "cluster")
+                             for x in ("actual", "predicted", "baseline", "smape", "lift_actual", "lift_predicted")))
+
 
 def backtest_campaigns(campaigns: DataFrame, year: int) -> DataFrame:
     """Campaigns whose start and end fall in ``year``."""
@@ -83,4 +87,6 @@ def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year
             out = rows if out is None else out.unionByName(rows)
         except Exception as e:  # noqa: BLE001  (the modelled driver logs and skips)
             log.error("backtest of campaign %s failed: %s", cid, e)
+    if out is None:   # no campaign validated: an empty result with the result columns
+        out = orders.sparkSession.createDataFrame([], RESULT_SCHEMA)
     return out
