@@ -296,12 +296,12 @@ def campaign_history_counts(spark, sf):
     t, _ = _tagged(spark, sf)
     iw = WK.weekly_item_sales(t)
     on = U.on_campaign()
-    g = iw.where(on).agg(F.countDistinct("week_start").alias("global_campaign_weeks"))
+    g = iw.where(on).agg(F.countDistinct("week_start")).first()[0]   # one scalar
     per = iw.groupBy("cluster1To1Id").agg(
         F.countDistinct(F.when(on, F.col("baseItemId"))).alias("items_with_campaign"),
         F.sum(on.cast("int")).alias("item_campaign_weeks"),
         F.countDistinct(F.when(on, F.col("week_start"))).alias("cluster_campaign_weeks"))
-    return finalize(per.join(F.broadcast(g), how="cross"))
+    return finalize(per.withColumn("global_campaign_weeks", F.lit(g).cast("long")))
 
 
 # --- I/O round trips (S2, S4, S6, S9, S10, S11) -----------------------------------------
