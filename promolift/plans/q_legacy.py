@@ -294,3 +294,34 @@ def feature_snapshot(spark, sf):
     g = _g1(spark, sf, as_of=FEATURE_SNAPSHOT_WEEK).where(F.col("orderDate") == F.lit(FEATURE_SNAPSHOT_WEEK).cast("date"))
     return finalize(g.select("orderDate", "itemId", "cluster1To1Id", "salesQuantityKgL", "cluster_sales_lag_1",
                              "cluster_sales_rolling4w", "weeks_since_campaign", "campaigns_ytd"))
+
+
+_SQL["request_rejections"] = _wb("""
+rq AS (
+  SELECT CAST(c.campaignId AS VARCHAR) AS request_id, coalesce(i.ids, '') AS item_ids,
+         CAST(c.campaignStart - CAST((c.campaignId % 16) * 7 AS INTEGER) AS DATE) AS fd, c.campaignStart AS cs
+  FROM cal c LEFT JOIN (
+    SELECT salesCampignId, string_agg(DISTINCT regexp_replace(itemId, '^[MSK]', ''), ',') AS ids
+    FROM valid WHERE salesCampignId IS NOT NULL GROUP BY salesCampignId) i ON c.campaignId = i.salesCampignId),
+dr AS (
+  SELECT request_id,
+         CASE WHEN item_ids IS NULL OR trim(item_ids) = '' THEN 'no item ids'
+              WHEN fd IS NULL THEN 'bad forecast date'
+              WHEN cs IS NULL THEN 'bad campaign start'
+              WHEN fd > (SELECT max(orderDate) FROM fact) THEN 'forecast date in the future'
+              WHEN fd >= cs THEN 'forecast date not before campaign start'
+              WHEN floor(date_diff('day', fd, cs) / 7) > 12 THEN 'horizon too long'
+              WHEN floor(date_diff('day', fd, cs) / 7) < 0 THEN 'horizon too short' END AS reason
+  FROM rq),
+rid AS (SELECT request_id, trim(unnest(string_split(item_ids, ','))) AS item_id FROM rq),
+rbad AS (SELECT DISTINCT request_id, 'bad item id' AS reason FROM rid
+         WHERE item_id = '' OR NOT regexp_matches(item_id, '^[0-9A-Za-z-]+$')),
+runk AS (SELECT DISTINCT request_id, 'unknown item id' AS reason FROM rid
+         WHERE regexp_matches(item_id, '^[0-9A-Za-z-]+$') AND item_id NOT IN (SELECT baseItemId FROM dimb))
+""", """
+SELECT request_id, min(reason) AS reason FROM (
+  SELECT request_id, reason FROM dr WHERE reason IS NOT NULL
+  UNION ALL SELECT request_id, reason FROM rbad
+  UNION ALL SELECT request_id, reason FROM runk)
+GROUP BY request_id
+""")
