@@ -35,17 +35,24 @@ def compute_normalizers(df: DataFrame, id_col: str) -> DataFrame:
                       .alias("normalizer"))
 
 
-def normalize(df: DataFrame, id_col: str, normalizers: DataFrame | None = None):
+def normalize(df: DataFrame, id_col: str, normalizers: DataFrame | None = None, materialize_fn=None):
     """``salesQuantityKgL_log = log1p(kgL / normalizer)``.
 
     Ids without a positive normalizer use the exact global median of kg/L over all
-    rows (computed without a single-task buffer).  Returns (frame, normalizers)."""
+    rows (computed without a single-task buffer).  With ``materialize_fn`` the frame
+    with its normalizer attached is materialised first, so the medians are computed
+    once and the fallback check is a scan.  Returns (frame, normalizers)."""
     norms = normalizers if normalizers is not None else compute_normalizers(df, id_col)
     j = df.join(norms.select(id_col, F.col("normalizer").alias("_norm")), id_col, "left")
+    if materialize_fn is not None:
+        j = materialize_fn(j)
+        if normalizers is None:
+            norms = (j.where(F.col("_norm").isNotNull()).groupBy(id_col)
+                     .agg(F.first("_norm").alias("normalizer")))
     good = F.col("_norm").isNotNull() & (F.col("_norm") > 0)
     needs = j.where(~good).limit(1).count() > 0
     if needs:
-        fallback = exact_median(df, "salesQuantityKgL")
+        fallback = exact_median(j, "salesQuantityKgL")
         norm = F.when(good, F.col("_norm")).otherwise(F.lit(fallback).cast("double"))
     else:
         norm = F.col("_norm")

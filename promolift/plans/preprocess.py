@@ -67,8 +67,9 @@ def preprocess(orders: DataFrame, items: DataFrame, campaigns: DataFrame, horizo
                campaign_start=None, forecast_date=None, item_normalizers: DataFrame | None = None,
                cluster_normalizers: DataFrame | None = None, targets: DataFrame | None = None,
                intensity: str = "fractional", delivery_floor=None, materialize_as: str = "checkpoint") -> Preprocessed:
-    """Two lineage cuts: after the weekly roll-ups (the order scan is done once) and
-    after normalisation (the frames every later step and model reads)."""
+    """Lineage cuts: after the weekly roll-ups (the order scan is done once), after
+    the normalizers are attached (medians computed once), and after the
+    campaign-items filter (the item frame every later step and model reads)."""
     mat = lambda df: materialize(df, materialize_as)
     tagged, master = tagged_orders(orders, items, campaigns, campaign_start, forecast_date, delivery_floor)
     iw0 = mat(WK.weekly_item_sales(tagged))          # the only pass over the order lines
@@ -79,11 +80,11 @@ def preprocess(orders: DataFrame, items: DataFrame, campaigns: DataFrame, horizo
                                int_flags=(intensity == "truncate"))
     iw = WK.mark_post_campaign_weeks(iw, "baseItemId")
     cw = WK.mark_post_campaign_weeks(cw, "cluster1To1Id")
-    iw, inorm = FE.normalize(iw, "baseItemId", item_normalizers)
-    cw, cnorm = FE.normalize(cw, "cluster1To1Id", cluster_normalizers)
+    iw, inorm = FE.normalize(iw, "baseItemId", item_normalizers, materialize_fn=mat)
+    cw, cnorm = FE.normalize(cw, "cluster1To1Id", cluster_normalizers, materialize_fn=mat)
     iw = U.campaign_items_only(iw, targets)
     iw = mat(iw.drop("salesQuantityKgL", "is_post_campaign"))
-    cw = mat(cw.drop("salesQuantityKgL", "is_post_campaign"))
+    cw = cw.drop("salesQuantityKgL", "is_post_campaign")   # already materialised with its normalizer
     iw = FE.add_category_lift_features(iw, master)
     iw = FE.add_time_features(iw)
     cw = FE.add_time_features(cw)
