@@ -49,7 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
-    # Unset: this only happens in local runs and tests.
+    if not sc.master.startswith("local"):
+        # a machine-local folder would not survive executor loss on a cluster
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    # Unset in a local session (tests, local runs): a scratch folder is fine there.
     local = tempfile.mkdtemp(prefix="promolift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
