@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from ..operators import report as R
 from ..operators import universe as U
 from ..operators import weekly as WK
 from .forecast_job import campaign_items, run_forecast
-from .preprocess import tagged_orders
+from .preprocess import materialize, tagged_orders
 
 BACKTEST_HORIZON_WEEKS = 4   # fixed: forecast date = campaign start - 4 weeks
 
@@ -47,15 +48,14 @@ def _actuals(orders, items, campaigns, start, end, level):
 
 
 def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year: int,
-                 max_campaigns: int | None = None) -> DataFrame:
+                 max_campaigns: int | None = None, parallelism: int = 2) -> DataFrame:
     sel = backtest_campaigns(campaigns, year).orderBy("campaignStart", "campaignId").collect()
     if max_campaigns:
         sel = sel[:max_campaigns]
     harmonized = (items.drop("cluster1To1Id").withColumn("baseItemId", U.base_item_id(F.col("itemId")))
                   .join(U.harmonized_clusters(items), "baseItemId"))
     valid = U.valid_orders(orders)
-    out = None
-    for c in sel:
+    def one(c):
         cid, start, end = c["campaignId"], c["campaignStart"], c["campaignEnd"]
         fd = start - _dt.timedelta(weeks=BACKTEST_HORIZON_WEEKS)
         try:
@@ -82,11 +82,17 @@ def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year
                                                                      "lift_actual", "lift_predicted")],
                             "cluster_actual", "cluster_predicted", "cluster_baseline", "cluster_smape",
                             "cluster_lift_actual", "cluster_lift_predicted"))
-            from .preprocess import materialize
-            rows = materialize(rows, "checkpoint")
-            out = rows if out is None else out.unionByName(rows)
+            return materialize(rows, "checkpoint")
         except Exception as e:  # noqa: BLE001  (the modelled driver logs and skips)
             log.error("backtest of campaign %s failed: %s", cid, e)
+            return None
+
+    # campaigns are independent forecast jobs: run a few at a time
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = [p for p in pool.map(one, sel) if p is not None]
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
     if out is None:   # no campaign validated: an empty result with the result columns
         out = orders.sparkSession.createDataFrame([], RESULT_SCHEMA)
     return out
