@@ -7,7 +7,6 @@ item ids) is turned into a DataFrame first.
 
 from __future__ import annotations
 
-from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import scenario as S
 from ..operators import training as TR
 from ..operators import universe as U
-from ..sources import fixtures as FX
 from . import oracle as O
 from . import params as P
 from .forecast_job import campaign_items

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Window
+
 from pyspark.sql import functions as F
 
 from ..functions import metrics as MT
-from ..functions.dates import as_date, last_complete_week, lit_date, time_features
+from ..functions.dates import as_date, last_complete_week
 from ..functions.mathx import logit, sigmoid
 from ..operators import campaigns as C
 from ..operators import features as FE

@@ -14,7 +14,7 @@ from ..operators import universe as U
 from ..operators import weekly as WK
 from ..sources import fixtures as FX
 from . import params as P
-from .preprocess import preprocess, tagged_orders, weekly_frames
+from .preprocess import preprocess, tagged_orders
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
