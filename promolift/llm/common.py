@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import re
+import os
+import tempfile
 import uuid
+import zipfile
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -21,6 +25,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python, once per session (``addPyFile``; Spark
+    copies the archive to wherever a task runs)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_llm_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(), "promolift_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._llm_shipped = True
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet into the shared checkpoint folder and read it back:
     the result survives a lost executor, and later steps don't compute it again."""
@@ -81,8 +103,20 @@ def slices(column, most_chars: int = 4_000_000):
         yield start, out
 
 
-def plain_name(taken, base: str) -> str:
-    """A column name that isn't taken."""
-    while base in taken:
-        base += "_"
-    return re.sub(r"[^A-Za-z0-9_]", "_", base)
+def map_texts(df: DataFrame, text: str, passed: tuple[str, ...], fields: list[T.StructField], of) -> DataFrame:
+    """``passed`` columns and ``fields``, the latter from ``of(texts)``: a function from a
+    list of texts to one Arrow array for each field.  One narrow pass; a task holds a few
+    million characters at a time."""
+    ship(df.sparkSession)
+    names = [f"p{k}" for k in range(len(passed))]
+    schema = T.StructType([*[T.StructField(n, df.schema[c].dataType) for n, c in zip(names, passed)], *fields])
+    heads = [f.name for f in schema.fields]
+
+    def run(batches):
+        for batch in batches:
+            for start, texts in slices(batch.column(len(names))):
+                own = [batch.column(k).slice(start, len(texts)) for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*own, *of(texts)], names=heads)
+
+    out = df.select(*[df[f"`{c}`"].alias(n) for n, c in zip(names, passed)], df[f"`{text}`"].alias("t")).mapInArrow(run, schema)
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, passed)], *[f.name for f in fields])

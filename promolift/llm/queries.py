@@ -5,9 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+import public_tokenizers
+
+from . import pieces, quality
 from .common import read
 
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 OP3_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
@@ -16,7 +30,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op3_quality_rules": op3_quality_rules}
+    return {
+        "op1_sentencepiece": op1_sentencepiece,
+        "op3_quality_rules": op3_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
