@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import pieces, quality
+from . import pieces, quality, secrets
 from .common import read
 
 
@@ -29,10 +29,24 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents")).select(*OP3_COLUMNS)
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "literal")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(written(base).cast("binary"), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
 def queries() -> dict:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op3_quality_rules": op3_quality_rules,
+        "op6_secret_scan": op6_secret_scan,
     }
 
 
