@@ -47,6 +47,7 @@ RULES = (
     Rule("shouting", "capital_pairs", None, 1.0),
     Rule("stop words", "stop_words", 0.02, None),
     Rule("repeated lines", "dup_lines", None, 0.5),
+    Rule("doubled words", "doubled_words", None, 0.3),
     Rule("closing marks", "marked_words", None, 0.3),
 )
 
@@ -98,6 +99,7 @@ def measures(text: Column) -> dict[str, Column]:
         "n_repeat_words": n_repeated(words),
         "n_lines": F.size(F.split(text, "\n", -1)),
         "n_stop_words": F.size(F.filter(words, lambda w: F.lower(F.btrim(w, F.lit(PUNCTUATION))).isin(STOP_WORDS))),
+        "n_doubled_words": F.size(F.filter(words, lambda w, i: (i > 0) & (w == F.get(words, i - 1)))),
         "n_capital_pairs": F.regexp_count(text, F.lit(r"\p{Lu}{2}")),
         "n_marked_words": F.regexp_count(text, F.lit(r"(?:!!|\?\?|\|)(?![^\x20\x09-\x0D])")),
     }
@@ -111,6 +113,7 @@ def ratios() -> dict[str, Column]:
         "symbols_per_word": per_word("n_symbols"),
         "capital_pairs": per_word("n_capital_pairs"),
         "stop_words": per_word("n_stop_words"),
+        "doubled_words": per_word("n_doubled_words"),
         "dup_lines": F.when(F.col("n_lines") > 0, F.col("n_dup_lines") / F.col("n_lines")),
         "marked_words": per_word("n_marked_words"),
     }
