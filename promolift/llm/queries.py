@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import pieces, quality, secrets
+from . import mixing, pieces, quality, secrets
 from .common import read
 
 
@@ -22,6 +22,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"), passed=("doc_id",))
+    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 OP3_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
@@ -45,6 +50,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_mix_sources": op2_mix_sources,
         "op3_quality_rules": op3_quality_rules,
         "op6_secret_scan": op6_secret_scan,
     }
