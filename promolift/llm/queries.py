@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import mixing, pieces, quality, secrets
+from . import mixing, neardup, pieces, quality, secrets
 from .common import read
 
 
@@ -34,6 +34,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents")).select(*OP3_COLUMNS)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(read(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -52,6 +56,7 @@ def queries() -> dict:
         "op1_sentencepiece": op1_sentencepiece,
         "op2_mix_sources": op2_mix_sources,
         "op3_quality_rules": op3_quality_rules,
+        "op4_near_duplicates": op4_near_duplicates,
         "op6_secret_scan": op6_secret_scan,
     }
 
