@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import mixing, neardup, pieces, quality, secrets
+from . import licenses, mixing, neardup, pieces, quality, secrets
 from .common import read
 
 
@@ -51,6 +51,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(read(spark, sf_dir, "documents"))
+    joined = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
 def queries() -> dict:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -58,6 +64,7 @@ def queries() -> dict:
         "op3_quality_rules": op3_quality_rules,
         "op4_near_duplicates": op4_near_duplicates,
         "op6_secret_scan": op6_secret_scan,
+        "op8_license_scan": op8_license_scan,
     }
 
 
