@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import licenses, mixing, neardup, pieces, quality, secrets
+from . import licenses, mixing, neardup, neighbours, pieces, quality, secrets
 from .common import read
 
 
@@ -57,6 +57,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
 
 
+def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -65,6 +69,7 @@ def queries() -> dict:
         "op4_near_duplicates": op4_near_duplicates,
         "op6_secret_scan": op6_secret_scan,
         "op8_license_scan": op8_license_scan,
+        "op10_nearest_vectors": op10_nearest_vectors,
     }
 
 
