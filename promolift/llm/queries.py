@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import licenses, mixing, neardup, neighbours, pieces, quality, secrets
-from .common import read
+from . import licenses, mixing, neardup, neighbours, pieces, quality, secrets, toxicity
+from .common import crc_mod, read
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,12 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, held_out = read(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) == 0
+    net = toxicity.fit(documents, read(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(documents, net).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -69,6 +75,7 @@ def queries() -> dict:
         "op4_near_duplicates": op4_near_duplicates,
         "op6_secret_scan": op6_secret_scan,
         "op8_license_scan": op8_license_scan,
+        "op9_toxicity": op9_toxicity,
         "op10_nearest_vectors": op10_nearest_vectors,
     }
 
