@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import licenses, mixing, neardup, neighbours, pieces, quality, secrets, toxicity
+from . import language_model, licenses, mixing, neardup, neighbours, pieces, quality, secrets, toxicity
 from .common import crc_mod, read
 
 
@@ -38,6 +38,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(read(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod(F.col("doc_id"), 5) == 1
+    found = language_model.scores(read(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -73,6 +79,7 @@ def queries() -> dict:
         "op2_mix_sources": op2_mix_sources,
         "op3_quality_rules": op3_quality_rules,
         "op4_near_duplicates": op4_near_duplicates,
+        "op5_language_model": op5_language_model,
         "op6_secret_scan": op6_secret_scan,
         "op8_license_scan": op8_license_scan,
         "op9_toxicity": op9_toxicity,
