@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import language_model, licenses, mixing, neardup, neighbours, pieces, quality, secrets, toxicity
+from . import extraction, language_model, licenses, mixing, neardup, neighbours, pieces, quality, secrets, toxicity
 from .common import crc_mod, read
 
 
@@ -57,6 +57,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    found = extraction.main_text(pages, extraction.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(read(spark, sf_dir, "documents"))
     joined = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
@@ -81,6 +87,7 @@ def queries() -> dict:
         "op4_near_duplicates": op4_near_duplicates,
         "op5_language_model": op5_language_model,
         "op6_secret_scan": op6_secret_scan,
+        "op7_html_text": op7_html_text,
         "op8_license_scan": op8_license_scan,
         "op9_toxicity": op9_toxicity,
         "op10_nearest_vectors": op10_nearest_vectors,
