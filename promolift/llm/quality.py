@@ -86,10 +86,9 @@ def n_repeated(words: Column, width: int = WINDOW) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """Counts of a text; ``__words`` stands for the column of its words."""
+def measures(text: Column, words: Column) -> dict[str, Column]:
+    """Counts of a text, given the column of its words."""
     text = F.coalesce(text, F.lit(""))
-    words = F.col("__words")
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
     return {
         "n_words": F.size(words),
@@ -105,38 +104,48 @@ def measures(text: Column) -> dict[str, Column]:
     }
 
 
-def ratios() -> dict[str, Column]:
-    """Ratios over the measured columns; null (no verdict) where the denominator is 0."""
-    per_word = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words"))
+def ratios(of) -> dict[str, Column]:
+    """Ratios of measures (``of`` gives a measure by name); null, and so no verdict, where
+    the denominator is 0."""
+    per_word = lambda c: F.when(of("n_words") > 0, of(c) / of("n_words"))
     return {
         "chars_per_word": per_word("word_chars"),
         "symbols_per_word": per_word("n_symbols"),
         "capital_pairs": per_word("n_capital_pairs"),
         "stop_words": per_word("n_stop_words"),
         "doubled_words": per_word("n_doubled_words"),
-        "dup_lines": F.when(F.col("n_lines") > 0, F.col("n_dup_lines") / F.col("n_lines")),
+        "dup_lines": F.when(of("n_lines") > 0, of("n_dup_lines") / of("n_lines")),
         "marked_words": per_word("n_marked_words"),
     }
 
 
-def verdict(rules=RULES) -> Column:
+def verdict(rules=RULES, of=F.col) -> Column:
     """True where no rule of the table is broken."""
-    of, ok = ratios(), F.lit(True)
+    ratio, ok = ratios(of), F.lit(True)
     for r in rules:
         if r.low is not None:
-            ok = ok & F.coalesce(of[r.ratio] >= r.low, F.lit(True))
+            ok = ok & F.coalesce(ratio[r.ratio] >= r.low, F.lit(True))
         if r.high is not None:
-            ok = ok & F.coalesce(of[r.ratio] <= r.high, F.lit(True))
+            ok = ok & F.coalesce(ratio[r.ratio] <= r.high, F.lit(True))
     return ok
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+def base_failed(of=F.col) -> Column:
+    return (of("n_words") < 20) | (100 * of("n_repeat_words") > 30 * of("n_words"))
+
+
+def passes(text: Column, rules=RULES) -> Column:
+    """The verdict as one expression over the text.  Words and measures are bound inside it,
+    so that a filter pushed to the scan computes them once per row."""
+    text = F.coalesce(text, F.lit(""))
+    counted = lambda w: F.struct(*[c.cast("long").alias(n) for n, c in measures(text, w).items()])
+    judged = lambda m: ~base_failed(lambda n: m[n]) & verdict(rules, lambda n: m[n])
+    return let(words_of(text), lambda w: let(counted(w), judged))
 
 
 def judge(df: DataFrame, text: str = "text", passed: tuple[str, ...] = ("doc_id",), rules=RULES) -> DataFrame:
     """``passed`` columns, the measures, base_failed and kept, for every row."""
-    found = measures(F.col(text))
+    found = measures(F.col(text), F.col("__words"))
     first = df.select(*[F.col(c) for c in dict.fromkeys((*passed, text))], words_of(F.coalesce(F.col(text), F.lit(""))).alias("__words"))
     out = first.select(*[F.col(c) for c in passed], *[c.cast("long").alias(n) for n, c in found.items()])
     return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
@@ -144,6 +153,4 @@ def judge(df: DataFrame, text: str = "text", passed: tuple[str, ...] = ("doc_id"
 
 def filter_documents(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The rows of ``df`` that pass, with their own columns and no others."""
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
-    judged = judge(df.select(row, F.col(text).alias("__text")), "__text", ("__row",), rules)
-    return judged.where("kept").select("__row.*")
+    return df.where(passes(F.col(f"`{text}`"), rules))
