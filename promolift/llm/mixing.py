@@ -71,8 +71,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take, so that the words taken come as near to
-    ``budget`` as the fit gets from below; exact wherever the last step can reach it.
+    """How many documents of each length to take, so that the words taken come near to
+    ``budget``; exact wherever the last step can reach it.
 
     Each length first gives the floor of its share.  Then whole documents, the longest
     first, fill the rest down to ``REACH`` words; the dynamic programme does the rest.
@@ -96,34 +96,39 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 
 
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded subset sum: counts per length with the largest sum up to ``budget``.
+    """Bounded subset sum: counts per length whose sum comes nearest to ``budget`` (of two
+    as near, the smaller).
 
-    Sums are bits of one integer; a length's count is split in powers of two.  For every
-    sum the first part that reaches it is noted, which is enough to walk back.
+    Sums up to a document beyond the budget are bits of one integer; a length's count is
+    split in powers of two.  For every sum the first part that reaches it is noted, which
+    is enough to walk back.
     """
-    budget = min(int(budget), int((lengths * counts).sum()))
     taken = np.zeros(len(lengths), np.int64)
-    if budget <= 0:
+    usable = (lengths > 0) & (counts > 0)
+    if budget <= 0 or not usable.any():
         return taken
-    mask, reached = (1 << (budget + 1)) - 1, 1
-    by, via = np.full(budget + 1, -1, np.int32), []
-    for i in np.argsort(lengths, kind="stable").tolist():
-        size, n, part = int(lengths[i]), int(counts[i]), 1
-        if size <= 0:
-            continue
-        n = min(n, budget // size)
+    most = int(min(budget + lengths[usable].max(), (lengths * counts).sum()))
+    mask, reached = (1 << (most + 1)) - 1, 1
+    by, via = np.full(most + 1, -1, np.int32), []
+    for i in np.flatnonzero(usable)[np.argsort(lengths[usable], kind="stable")].tolist():
+        size, part = int(lengths[i]), 1
+        n = min(int(counts[i]), most // size)
         while n > 0 and not reached >> budget & 1:
             k = min(part, n)
             new = (reached << (size * k)) & mask & ~reached
             if new:
-                raw = np.frombuffer(new.to_bytes(budget // 8 + 1, "little"), np.uint8)
-                by[np.flatnonzero(np.unpackbits(raw, bitorder="little")[: budget + 1])] = len(via)
+                raw = np.frombuffer(new.to_bytes(most // 8 + 1, "little"), np.uint8)
+                by[np.flatnonzero(np.unpackbits(raw, bitorder="little")[: most + 1])] = len(via)
                 reached |= new
             via.append((i, k))
             n, part = n - k, part * 2
         if reached >> budget & 1:
             break
-    at = reached.bit_length() - 1
+    at = (reached & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    above = reached >> (budget + 1)
+    if above:
+        over = budget + (above & -above).bit_length()
+        at = over if over - budget < budget - at else at
     while at > 0:
         i, k = via[by[at]]
         taken[i] += k

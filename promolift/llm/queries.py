@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import extraction, language_model, licenses, mixing, neardup, neighbours, pieces, quality, secrets, toxicity
+from . import extraction, language_model, licenses, mixing, neardup, neighbours, pieces, quality, secrets, sql, toxicity
 from .common import crc_mod, read
 
 
@@ -95,4 +95,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
