@@ -179,13 +179,13 @@ def coded(df: DataFrame, corpus, text: str, passed: tuple[str, ...]) -> DataFram
         ids = np.where(of_own, own, OWN + words.kind).astype(np.int16)[at]
         ends = np.concatenate([[0], np.cumsum(n)])
         doc = np.repeat(np.arange(len(texts)), n)
-        add = lambda w: np.bincount(doc, weights=w, minlength=len(texts))
+        add = lambda w: np.bincount(doc, weights=w, minlength=len(texts)).astype(float)
         far = ~told[at]
         rare = words.hash[at[far]]
         rare_ends = np.concatenate([[0], np.cumsum(np.bincount(doc[far], minlength=len(texts)))])
         lists_of = lambda e, v, kind: pa.ListArray.from_arrays(pa.array(e, pa.int32()), pa.array(v, kind))
         return (
-            pa.array(n), pa.array(add(told[at].astype(float)).astype(np.int64)),
+            pa.array(n), pa.array(add(told[at]).astype(np.int64)),
             pa.array(add((log * of_own)[at])), pa.array(add((log * (told & ~of_own))[at])),
             lists_of(ends, ids, pa.int16()), lists_of(rare_ends, rare, pa.int64()),
         )
