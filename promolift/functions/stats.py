@@ -2,11 +2,11 @@
 
 ``F.median`` over a whole table merges every distinct value into one task.  For
 per-key medians (an item has at most one row per week) that buffer is bounded and
-``F.median`` is used directly.  For a *global* median, ``exact_quantile`` instead
-narrows the rank with approximate-quantile boundaries (distributed sketch), counts
-rows per bucket (distributed), and only collects the few distinct values of the one
-bucket that holds the wanted rank.  The result is exact (linear interpolation
-between the two middle ranks, as ``median`` does).
+``F.median`` is used directly.  For a *global* median, ``exact_median`` narrows a window
+of values: boundaries from a distributed quantile sketch cut it in buckets, a distributed
+count finds the bucket that holds the wanted rank, and that bucket becomes the window,
+until it holds one distinct value.  Only boundaries and one count, minimum and maximum
+per bucket reach the driver, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -14,56 +14,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_BOUNDARIES = 256
-_COLLECT_LIMIT = 200_000
+#: Boundaries per pass, and the sketch's accuracy (larger: tighter buckets).
+BOUNDARIES, ACCURACY = 256, 10_000
 
 
-def _kth(vals: DataFrame, k: int, n: int) -> float:
-    """k-th smallest (0-based) of the non-null double column ``v`` of ``vals``."""
-    lo, hi = None, None          # current value window: lo < v <= hi (None = open)
-    cur = vals
-    offset = 0                   # rows below the window
-    for _ in range(8):
-        distinct = cur.select("v").distinct().limit(_COLLECT_LIMIT + 1).count()
-        if distinct <= _COLLECT_LIMIT:
-            rows = cur.groupBy("v").count().orderBy("v").collect()
-            acc = offset
-            for r in rows:
-                acc += r["count"]
-                if acc > k:
-                    return float(r["v"])
-            return float(rows[-1]["v"])
-        probs = [i / _BOUNDARIES for i in range(1, _BOUNDARIES)]
-        bounds = cur.agg(F.percentile_approx("v", probs, 10_000).alias("b")).first()["b"]
-        bounds = sorted(set(float(b) for b in bounds))
-        arr = F.array(*[F.lit(b) for b in bounds])
-        bucket = F.size(F.filter(arr, lambda x: x < F.col("v")))
-        counts = {r["bk"]: r["c"] for r in cur.groupBy(bucket.alias("bk")).agg(F.count("*").alias("c")).collect()}
-        acc = offset
-        chosen = None
-        for bk in sorted(counts):
-            if acc + counts[bk] > k:
-                chosen = bk
-                break
-            acc += counts[bk]
-        offset = acc
-        lo = bounds[chosen - 1] if chosen > 0 else None
-        hi = bounds[chosen] if chosen < len(bounds) else None
-        cond = F.lit(True)
+def _kth(vals: DataFrame, k: int, boundaries: int, accuracy: int) -> tuple[float, int]:
+    """The k-th smallest (0-based) of the non-null double column ``v``, and how many rows
+    are at most that value."""
+    lo, hi, below = None, None, 0   # the window lo < v <= hi (None: open), rows below it
+    probs = [i / boundaries for i in range(1, boundaries)]
+    while True:
+        inside = F.lit(True)
         if lo is not None:
-            cond = cond & (F.col("v") > F.lit(lo))
+            inside = inside & (F.col("v") > F.lit(lo))
         if hi is not None:
-            cond = cond & (F.col("v") <= F.lit(hi))
-        cur = vals.where(cond)
-    raise RuntimeError("exact_quantile did not converge")
+            inside = inside & (F.col("v") <= F.lit(hi))
+        cur = vals.where(inside)
+        bounds = cur.agg(F.percentile_approx("v", probs, accuracy).alias("b"), F.min("v").alias("lo")).first()
+        # the smallest value is a boundary too, so that every pass cuts a window of two
+        cuts = sorted({float(b) for b in (*bounds["b"], bounds["lo"])})
+        bucket = F.size(F.filter(F.array(*[F.lit(b) for b in cuts]), lambda x: x < F.col("v")))
+        rows = cur.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        for r in sorted(rows.collect(), key=lambda r: r["b"]):
+            if below + r["n"] > k:
+                break
+            below += r["n"]
+        if r["lo"] == r["hi"]:
+            return float(r["lo"]), below + r["n"]
+        # the window is never wider than before
+        lo = cuts[r["b"] - 1] if r["b"] > 0 else lo
+        hi = cuts[r["b"]] if r["b"] < len(cuts) else hi
 
 
-def exact_median(df: DataFrame, col: str) -> float | None:
-    """Exact median of ``df[col]`` (nulls ignored); None for no rows."""
+def exact_median(df: DataFrame, col: str, boundaries: int = BOUNDARIES, accuracy: int = ACCURACY) -> float | None:
+    """Exact median of ``df[col]`` (nulls ignored; the mean of the two middle values of an
+    even number); None for no rows.  ``df`` is read several times: pass a written table."""
     vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     n = vals.count()
     if n == 0:
         return None
-    a = _kth(vals, (n - 1) // 2, n)
-    b = a if n % 2 == 1 else _kth(vals, n // 2, n)
-    return (a + b) / 2.0
+    low, up_to = _kth(vals, (n - 1) // 2, boundaries, accuracy)
+    if n // 2 < up_to:
+        return low
+    high = vals.where(F.col("v") > F.lit(low)).agg(F.min("v")).first()[0]
+    return (low + float(high)) / 2.0

@@ -122,8 +122,9 @@ def lag_date_features(df: DataFrame, idc: str, lag_weeks: int, value: str = "sal
 
 
 def last_year_sales(weekly: DataFrame, idc: str, campaign_start, value: str = "salesQuantityKgL") -> DataFrame:
-    """Sales in the same three weeks one calendar year back (Monday aligned),
-    pivoted to week 1..3; ids without rows in that window get nulls."""
+    """Sales in the same three weeks one calendar year back (Monday aligned), as
+    week 1..3, for every id: 0 for a missing week of an id with rows in that window,
+    nulls for an id without."""
     start = as_date(campaign_start)
     try:
         ly = start.replace(year=start.year - 1)
@@ -133,5 +134,6 @@ def last_year_sales(weekly: DataFrame, idc: str, campaign_start, value: str = "s
     rows = weekly.where((F.col("week_start") >= F.lit(ly)) &
                         (F.col("week_start") < F.lit(ly + _dt.timedelta(days=21))))
     wn = (F.floor(F.datediff("week_start", F.lit(ly)) / 7) + 1).cast("int")
-    p = rows.withColumn("_wn", wn).groupBy(idc).pivot("_wn", [1, 2, 3]).agg(F.sum(value))
-    return p.select(idc, *[F.col(str(k)).alias(f"last_year_w{k}") for k in (1, 2, 3)])
+    p = rows.groupBy(idc).agg(*[F.sum(F.when(wn == k, F.col(value)).otherwise(0.0)).alias(f"last_year_w{k}")
+                                for k in (1, 2, 3)])
+    return weekly.select(idc).distinct().join(p, idc, "left")

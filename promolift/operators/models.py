@@ -3,11 +3,9 @@
 Point model: ``GBTRegressor`` with sample weights and a validation indicator (the
 validation rows drive early stopping via ``validationTol``).  Intervals: a quantile
 regression forest (Meinshausen 2006) -- a ``RandomForestRegressor`` whose leaf
-indices (``leafCol``) of training and scoring rows are joined on (tree, leaf); each
-training row weighs 1/leaf-size per shared leaf, and the weighted quantiles of the
-training targets give q10/q50/q90 (non-crossing by construction).  The join is an
-equi-join on (tree, leaf) and each scoring row's candidate set is bounded by the
-leaf sizes, so nothing is gathered in one task.
+indices (``leafCol``) of training rows are summed up to one weighted histogram of
+targets per (tree, leaf).  A scoring row meets one such row per tree, so the join grows
+with the scoring rows alone; quantiles read off the summed histograms never cross.
 """
 
 from __future__ import annotations
@@ -18,18 +16,23 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import mae, rmse, smape
+from ..functions.metrics import mae, mape, rmse, smape
 
 QUANTILES = (0.1, 0.5, 0.9)   # fixed: interval quantiles
+QUANTILE_BINS = 256           # bins of the targets' range, for interval quantiles
 
 # Fixed mapping of the boosted-tree settings (leaf counts -> depth, rounds -> iterations).
+# Rounds are the most there may be: with validation rows, boosting stops at the first round
+# that lowers the validation error by less than a thousandth.  Without any, nothing tells
+# where to stop, and ``ROUNDS_UNCHECKED`` rounds are made.
+ROUNDS_UNCHECKED = 40
 POINT_PARAMS = {
-    "item": dict(maxDepth=5, stepSize=0.1, maxIter=40, subsamplingRate=0.8, featureSubsetStrategy="0.8",
+    "item": dict(maxDepth=5, stepSize=0.1, maxIter=500, validationTol=0.001, subsamplingRate=0.8, featureSubsetStrategy="0.8",
                  minInstancesPerNode=20),
-    "cluster": dict(maxDepth=5, stepSize=0.1, maxIter=40, subsamplingRate=0.7, featureSubsetStrategy="0.7",
+    "cluster": dict(maxDepth=5, stepSize=0.1, maxIter=400, validationTol=0.001, subsamplingRate=0.7, featureSubsetStrategy="0.7",
                     minInstancesPerNode=40),
 }
 FOREST_PARAMS = dict(numTrees=20, maxDepth=6, minInstancesPerNode=10, subsamplingRate=0.8,
@@ -42,7 +45,7 @@ class ModelBundle:
     features: list[str]
     point: PipelineModel
     forest: PipelineModel
-    forest_leaves: DataFrame          # (tree, leaf, y, w) of the training rows
+    forest_leaves: DataFrame          # (tree, leaf, shares, lo, width): a histogram per leaf
     metrics: dict = field(default_factory=dict)
 
 
@@ -62,35 +65,60 @@ def fit_point_model(frame: DataFrame, features: list[str], level: str, params: d
                        lossType="squared", **p)
     if has_val:
         gbt = gbt.setValidationIndicatorCol("is_val")
+    else:
+        gbt = gbt.setMaxIter(min(gbt.getMaxIter(), ROUNDS_UNCHECKED))
     return Pipeline(stages=[_assembler(features), gbt]).fit(data)
 
 
 def fit_quantile_forest(frame: DataFrame, features: list[str], label: str = "salesQuantityKgL_log",
                         seed: int = 42) -> tuple[PipelineModel, DataFrame]:
-    """Random forest + the (tree, leaf) -> (y, 1/leaf size) table of its training rows."""
+    """Weighted random forest + one histogram of training targets per (tree, leaf).
+
+    Targets fall in ``QUANTILE_BINS`` equal bins between their smallest and largest value;
+    ``shares`` are the leaf's weight shares per bin and ``lo`` / ``width`` place the bins.
+    The table has at most trees x leaves rows, however many rows were trained on."""
     data = frame.where(F.col("split").isin("train", "val"))
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, leafCol="leaves", seed=seed,
-                               bootstrap=False, **FOREST_PARAMS)
+                               weightCol="weight", bootstrap=False, **FOREST_PARAMS)
     model = Pipeline(stages=[_assembler(features), rf]).fit(data)
-    leaves = (model.transform(data)
-              .select(F.col(label).alias("y"), F.posexplode(vector_to_array("leaves")).alias("tree", "leaf")))
-    sizes = leaves.groupBy("tree", "leaf").agg((F.lit(1.0) / F.count("*")).alias("w"))
-    return model, leaves.join(sizes, ["tree", "leaf"])
+    ends = data.agg(F.min(label).alias("lo"), F.max(label).alias("hi")).first()
+    lo = float(ends["lo"] or 0.0)
+    width = max((float(ends["hi"] or 0.0) - lo) / QUANTILE_BINS, 1e-12)
+    return model, leaf_histograms(model, data, label, lo, width)
+
+
+def leaf_histograms(model: PipelineModel, data: DataFrame, label: str, lo: float, width: float) -> DataFrame:
+    bin_of = F.least(F.floor((F.col(label) - lo) / width), F.lit(QUANTILE_BINS - 1)).cast("int")
+    rows = model.transform(data).select(bin_of.alias("bin"), F.col("weight").cast("double").alias("w"),
+                                        F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"))
+    bins = rows.groupBy("tree", "leaf", "bin").agg(F.sum("w").alias("w"))
+    leaves = bins.groupBy("tree", "leaf").agg(F.map_from_entries(F.collect_list(F.struct("bin", "w"))).alias("_m"),
+                                              F.sum("w").alias("_t"))
+    share = F.transform(F.sequence(F.lit(0), F.lit(QUANTILE_BINS - 1)),
+                        lambda k: F.coalesce(F.try_element_at("_m", k), F.lit(0.0)) / F.col("_t"))
+    return leaves.select("tree", "leaf", share.alias("shares"), F.lit(lo).alias("lo"), F.lit(width).alias("width"))
 
 
 def forest_quantiles(forest: PipelineModel, leaves: DataFrame, scoring: DataFrame, key: str,
                      quantiles=QUANTILES) -> DataFrame:
-    """Weighted quantiles of the training targets sharing leaves with each scoring row.
+    """Weighted quantiles of the training targets that share leaves with each scoring row:
+    the trees' histograms are added (one row per tree and scoring row), and a quantile is
+    read off the running sum, at its bin's middle (an error of half a bin at most).
     ``key`` identifies scoring rows; returns key + q10/q50/q90 (log scale)."""
-    n_trees = FOREST_PARAMS["numTrees"]
     s = (forest.transform(scoring.select(key, *forest.stages[0].getInputCols()))
          .select(key, F.posexplode(vector_to_array("leaves")).alias("tree", "leaf")))
-    j = s.join(leaves, ["tree", "leaf"]).groupBy(key, "y").agg((F.sum("w") / n_trees).alias("w"))
-    cw = Window.partitionBy(key).orderBy("y").rowsBetween(Window.unboundedPreceding, 0)
-    j = j.withColumn("cum", F.sum("w").over(cw))
-    aggs = [F.min(F.when(F.col("cum") >= F.lit(q - 1e-12), F.col("y"))).alias(f"q{int(round(q * 100))}")
-            for q in quantiles]
-    return j.groupBy(key).agg(*aggs)
+    j = s.join(leaves, ["tree", "leaf"])
+    # F.sum per bin keeps the aggregate partial: no list of histograms is gathered
+    total = j.groupBy(key).agg(F.first("lo").alias("lo"), F.first("width").alias("width"),
+                               F.array(*[F.sum(F.get("shares", F.lit(k))) for k in range(QUANTILE_BINS)]).alias("h"))
+    mass = F.aggregate("h", F.lit(0.0), lambda a, x: a + x)
+    zero = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("cum"))
+    running = F.aggregate("h", zero, lambda a, x: F.struct((a["sum"] + x).alias("sum"),
+                                                           F.concat(a["cum"], F.array(a["sum"] + x)).alias("cum")))
+    total = total.withColumn("_mass", mass).withColumn("_cum", running["cum"])
+    cols = [(F.col("lo") + F.col("width") * (F.size(F.filter("_cum", lambda c, q=q: c < F.col("_mass") * (q - 1e-12))) + 0.5))
+            .alias(f"q{int(round(q * 100))}") for q in quantiles]
+    return total.select(key, *cols)
 
 
 def feature_importance(model: PipelineModel, features: list[str], top: int = 10):
@@ -101,9 +129,10 @@ def feature_importance(model: PipelineModel, features: list[str], top: int = 10)
 
 
 def evaluate(model: PipelineModel, frame: DataFrame, label: str = "salesQuantityKgL_log") -> dict:
-    """SMAPE on the expm1 scale, MAE and RMSE on the log scale, test rows."""
+    """SMAPE and MAPE on the expm1 scale, MAE and RMSE on the log scale, test rows."""
     pred = model.transform(frame.where(F.col("split") == "test"))
     a, p = F.col(label), F.col("prediction")
-    r = pred.agg(smape(F.expm1(a), F.expm1(p)).alias("smape"), mae(a, p).alias("mae"),
+    r = pred.agg(smape(F.expm1(a), F.expm1(p)).alias("smape"), mape(F.expm1(a), F.expm1(p)).alias("mape"),
+                 mae(a, p).alias("mae"),
                  rmse(a, p).alias("rmse"), F.count("*").alias("n")).first()
     return r.asDict() if r is not None else {}

@@ -66,20 +66,35 @@ def forecast_totals(summary: DataFrame) -> DataFrame:
             .withColumn("total_effect_pct", pct(F.col("total_effect"), F.col("total_baseline"))))
 
 
-def compare_with_actuals(pred: DataFrame, base: DataFrame, actual: DataFrame, key: str) -> DataFrame:
+def compare_with_actuals(pred: DataFrame, base: DataFrame, actual: DataFrame, key: str,
+                         needs_prediction: bool = False) -> DataFrame:
     """P18 core: totals over the campaign weeks, SMAPE of actual vs predicted, lifts
-    against the baseline; ids without actuals are skipped (inner join)."""
+    against the baseline; ids without actuals are skipped (inner join).  With
+    ``needs_prediction`` (clusters) SMAPE is null where the prediction isn't positive."""
     p = pred.groupBy(key).agg(F.sum("prediction_kgl").alias("predicted"))
     b = base.groupBy(key).agg(F.sum("baseline_kgl").alias("baseline"))
     a = actual.groupBy(key).agg(F.sum("actual_kgl").alias("actual"))
     j = a.join(p, key, "left").join(b, key, "left").fillna(0.0, subset=["predicted", "baseline"])
     den = (F.abs(F.col("actual")) + F.abs(F.col("predicted"))) / 2
     sm = F.when(den == 0, F.lit(0.0)).otherwise(F.abs(F.col("actual") - F.col("predicted")) / den) * 100
+    if needs_prediction:
+        sm = F.when(F.col("predicted") > 0, sm)
     lift = lambda x: F.when(F.col("baseline") > 0, (x / F.col("baseline") - 1) * 100).otherwise(F.lit(0.0))  # noqa
     return (j.withColumn("smape", sm).withColumn("lift_actual", lift(F.col("actual")))
             .withColumn("lift_predicted", lift(F.col("predicted"))))
 
 
+def yoy_effect(campaign: DataFrame, last_year: DataFrame, key: str) -> DataFrame:
+    """Campaign total against the same three weeks a year before (A14), in percent; 0
+    where last year sold nothing, null where it has no rows.  ``campaign``: key and
+    campaign_total."""
+    ly = F.col("last_year_w1") + F.col("last_year_w2") + F.col("last_year_w3")
+    j = campaign.join(last_year.select(key, ly.alias("last_year_total")), key, "left")
+    change = (F.col("campaign_total") - F.col("last_year_total")) / F.col("last_year_total") * 100
+    return j.select(key, "campaign_total", "last_year_total",
+                    F.when(F.col("last_year_total") > 0, change).when(F.col("last_year_total").isNotNull(), 0.0).alias("yoy_pct"))
+
+
 def backtest_summary(results: DataFrame) -> DataFrame:
     """Mean / median SMAPE and mean lift error, item and cluster level."""
     return results.agg(
@@ -110,6 +125,3 @@ def scenario_comparison(no: DataFrame, yes: DataFrame, key: str = "itemId") -> D
     return (p.withColumn("abs_lift", F.col("campaign") - F.col("no_campaign"))
             .withColumn("pct_lift", (F.col("campaign") - F.col("no_campaign")) / base * 100))
 
-
-def item_smape(actual: Column, predicted: Column) -> Column:
-    return smape(actual, predicted)

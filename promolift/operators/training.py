@@ -233,19 +233,25 @@ def temporal_split(df: DataFrame, id_c: str, ratios=(TRAIN_RATIO, VAL_RATIO),
                     df.groupBy("week_start").agg(F.count("*").alias("c")).collect())
     n = sum(c for _, c in counts)
     train_end, val_end = int(n * ratios[0]), int(n * (ratios[0] + ratios[1]))
-    offsets, acc = [], 0
+    whole, boundary, acc = [], [], 0
     for wk, c in counts:
-        offsets.append((wk, acc))
+        label = ("train" if acc + c <= train_end else "val" if acc >= train_end and acc + c <= val_end
+                 else "test" if acc >= val_end else None)
+        if label:
+            whole += [F.lit(wk), F.lit(label)]
+        else:
+            boundary += [F.lit(wk), F.lit(acc)]
         acc += c
-    if not offsets:
+    if not counts:
         return df.withColumn("split", F.lit("train"))
-    off_map = F.create_map(*[x for wk, o in offsets for x in (F.lit(wk), F.lit(o))])
+    out = df.withColumn("split", F.create_map(*whole)[F.col("week_start")] if whole else F.lit(None).cast("string"))
+    if not boundary:
+        return out
     w = Window.partitionBy("week_start").orderBy(*tiebreak)
-    pos = off_map[F.col("week_start")] + F.row_number().over(w) - 1
-    return (df.withColumn("_pos", pos)
-            .withColumn("split", F.when(F.col("_pos") < train_end, "train")
-                        .when(F.col("_pos") < val_end, "val").otherwise("test"))
-            .drop("_pos"))
+    pos = F.create_map(*boundary)[F.col("week_start")] + F.row_number().over(w) - 1
+    edge = out.where(F.col("split").isNull()).withColumn(
+        "split", F.when(pos < train_end, "train").when(pos < val_end, "val").otherwise("test"))
+    return out.where(F.col("split").isNotNull()).unionByName(edge)
 
 
 def cutoff_split(df: DataFrame, cutoff, date_col: str = "week_start") -> DataFrame:
@@ -254,32 +260,32 @@ def cutoff_split(df: DataFrame, cutoff, date_col: str = "week_start") -> DataFra
     return df.withColumn("split", F.when(F.col(date_col) < lit_date(cutoff), "train").otherwise("test"))
 
 
+def fold_cutoffs(weeks: list, n_folds: int = 3) -> list[tuple]:
+    """(fold, last training week, last validation week) from the sorted distinct weeks,
+    cut into n + 1 equal segments."""
+    n = len(weeks)
+    size = n // (n_folds + 1)
+    return [(k, weeks[min((k + 1) * size, n - 1)], weeks[min((k + 2) * size, n - 1)]) for k in range(n_folds if n else 0)]
+
+
 def walk_forward_folds(df: DataFrame, n_folds: int = 3) -> DataFrame:
-    """Distinct weeks cut into n+1 equal segments; fold k trains on weeks up to
-    cut k and validates on (cut k, cut k+1].  Returns (week_start, fold, role) rows
-    joined back to the data."""
-    weeks = df.select("week_start").distinct()
-    n_weeks = weeks.count()
-    seg = n_weeks // (n_folds + 1)
-    w = Window.orderBy("week_start")   # over distinct weeks only: one row per week
-    ranked = weeks.withColumn("_wr", F.row_number().over(w) - 1)
-    folds = []
-    for k in range(n_folds):
-        cut, nxt = seg * (k + 1), seg * (k + 2)
-        folds.append(ranked.select("week_start", F.lit(k).alias("fold"),
-                                   F.when(F.col("_wr") < cut, "train")
-                                   .when(F.col("_wr") < nxt, "val").alias("role"))
-                     .where(F.col("role").isNotNull()))
-    allf = folds[0]
-    for f in folds[1:]:
-        allf = allf.unionByName(f)
-    return df.join(F.broadcast(allf), "week_start")
+    """Fold k trains on weeks up to and including cut k and validates on
+    (cut k, cut k+1].  The data with ``fold`` and ``role``, a row for each fold."""
+    weeks = [r[0] for r in df.select("week_start").distinct().orderBy("week_start").collect()]
+    folds = F.array(*[F.struct(F.lit(k).alias("fold"), F.lit(a).alias("_a"), F.lit(b).alias("_b"))
+                      for k, a, b in fold_cutoffs(weeks, n_folds)])
+    if not weeks:
+        return df.withColumn("fold", F.lit(0)).withColumn("role", F.lit("train"))
+    out = df.withColumn("_f", F.explode(folds)).where(F.col("week_start") <= F.col("_f._b"))
+    role = F.when(F.col("week_start") <= F.col("_f._a"), "train").otherwise("val")
+    return out.select(*df.columns, F.col("_f.fold").alias("fold"), role.alias("role"))
 
 
 def hash_split(df: DataFrame, keys: list[str], seed: int = 42, ratios=(TRAIN_RATIO, VAL_RATIO)) -> DataFrame:
-    """Stable random 60/20/20 split from a hash of the keys (not randomSplit)."""
-    b = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(100))
-    t, v = int(ratios[0] * 100), int((ratios[0] + ratios[1]) * 100)
+    """Stable random 60/20/20 split from an md5 of seed and keys (not randomSplit)."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]).cast("binary"))
+    b = F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % 100
+    t, v = round(ratios[0] * 100), round((ratios[0] + ratios[1]) * 100)
     return df.withColumn("split", F.when(b < t, "train").when(b < v, "val").otherwise("test"))
 
 

@@ -80,26 +80,144 @@ def baseline_52w(spark, sf):
     return finalize(j.select("baseItemId", "week_start", "salesQuantityKgL_log_lag_52w"))
 
 
-def _ly_start():
-    import datetime as dt
-    s = as_date(P.CAMPAIGN_START)
-    ly = s.replace(year=s.year - 1)
-    return ly - dt.timedelta(days=ly.weekday())
-
-
-@register("last_year_sales", O.with_base(f"""
-SELECT baseItemId,
-  {r(f"sum(CASE WHEN date_diff('day', DATE '{_ly_start()}', week_start) // 7 = 0 THEN salesQuantityKgL END)")} AS last_year_w1,
-  {r(f"sum(CASE WHEN date_diff('day', DATE '{_ly_start()}', week_start) // 7 = 1 THEN salesQuantityKgL END)")} AS last_year_w2,
-  {r(f"sum(CASE WHEN date_diff('day', DATE '{_ly_start()}', week_start) // 7 = 2 THEN salesQuantityKgL END)")} AS last_year_w3
-FROM iw0 WHERE week_start >= DATE '{_ly_start()}' AND week_start < DATE '{_ly_start()}' + 21
-GROUP BY baseItemId
+#: Campaign 69 starts on 2001-07-10; a year back, aligned to Monday: 2000-07-10.
+_LY = "DATE '2000-07-10'"
+
+
+def _ly_sql(key: str, source: str) -> str:
+    weeks = ", ".join(
+        f"sum(CASE WHEN date_diff('day', {_LY}, week_start) // 7 = {k - 1} THEN salesQuantityKgL ELSE 0 END) AS last_year_w{k}" for k in (1, 2, 3))
+    return f"""ly_{key} AS (SELECT {key}, {weeks} FROM {source}
+  WHERE week_start >= {_LY} AND week_start < {_LY} + 21 GROUP BY {key})"""
+
+
+@register("last_year_sales", _wb(_ly_sql("baseItemId", "iw0"), f"""
+SELECT i.baseItemId, {r('last_year_w1')} AS last_year_w1, {r('last_year_w2')} AS last_year_w2, {r('last_year_w3')} AS last_year_w3
+FROM (SELECT DISTINCT baseItemId FROM iw0) i LEFT JOIN ly_baseItemId l ON i.baseItemId = l.baseItemId
 """))
 def last_year_sales(spark, sf):
+    """A14, item half."""
     t, _ = _tagged(spark, sf)
     return finalize(FC.last_year_sales(WK.weekly_item_sales(t), "baseItemId", P.CAMPAIGN_START))
 
 
+@register("cluster_last_year_sales", _wb(_ly_sql("cluster1To1Id", "cw1"), f"""
+SELECT i.cluster1To1Id, {r('last_year_w1')} AS last_year_w1, {r('last_year_w2')} AS last_year_w2, {r('last_year_w3')} AS last_year_w3
+FROM (SELECT DISTINCT cluster1To1Id FROM cw1) i LEFT JOIN ly_cluster1To1Id l ON i.cluster1To1Id = l.cluster1To1Id
+"""))
+def cluster_last_year_sales(spark, sf):
+    """A14, cluster half."""
+    return finalize(FC.last_year_sales(_weekly(spark, sf)[1], "cluster1To1Id", P.CAMPAIGN_START))
+
+
+# --- R3, P18, A13, K1 on plain numbers -------------------------------------------------
+# The campaign's actual weeks (from 2001-07-10 on) stand for the prediction in R3; in P18
+# last year's weeks are the prediction and the seasonal median of P4 the baseline.
+
+_ACT = """act_{k} AS (SELECT {k}, sum(salesQuantityKgL) AS actual FROM {src}
+  WHERE week_start >= DATE '2001-07-10' AND week_start < DATE '2001-07-31' GROUP BY {k})"""
+
+
+def _actual(weekly, key):
+    from ..functions.dates import lit_date
+    w = weekly.where((F.col("week_start") >= lit_date(P.CAMPAIGN_START)) & (F.col("week_start") <= lit_date(P.CAMPAIGN_END)))
+    return w.groupBy(key).agg(F.sum("salesQuantityKgL").alias("actual_kgl"))
+
+
+def _yoy_sql(key: str, source: str) -> str:
+    return _wb(_ly_sql(key, source) + ", " + _ACT.format(k=key, src=source), f"""
+SELECT a.{key}, {r('a.actual')} AS campaign_total, {r('last_year_w1 + last_year_w2 + last_year_w3')} AS last_year_total,
+  {r(f"CASE WHEN l.{key} IS NULL THEN NULL WHEN last_year_w1 + last_year_w2 + last_year_w3 > 0 THEN (a.actual - (last_year_w1 + last_year_w2 + last_year_w3)) / (last_year_w1 + last_year_w2 + last_year_w3) * 100 ELSE 0 END")} AS yoy_pct
+FROM act_{key} a LEFT JOIN ly_{key} l ON a.{key} = l.{key}
+""")
+
+
+@register("yoy_effect", _yoy_sql("baseItemId", "iw0"))
+def yoy_effect(spark, sf):
+    """R3, item level."""
+    iw, _ = _weekly(spark, sf)
+    total = _actual(iw, "baseItemId").withColumnRenamed("actual_kgl", "campaign_total")
+    return finalize(R.yoy_effect(total, FC.last_year_sales(iw, "baseItemId", P.CAMPAIGN_START), "baseItemId"))
+
+
+@register("cluster_yoy_effect", _yoy_sql("cluster1To1Id", "cw1"))
+def cluster_yoy_effect(spark, sf):
+    """R3, cluster level."""
+    _, cw = _weekly(spark, sf)
+    total = _actual(cw, "cluster1To1Id").withColumnRenamed("actual_kgl", "campaign_total")
+    return finalize(R.yoy_effect(total, FC.last_year_sales(cw, "cluster1To1Id", P.CAMPAIGN_START), "cluster1To1Id"))
+
+
+_COMPARE = f"""
+{_ly_sql("baseItemId", "iw0")}, {_ACT.format(k="baseItemId", src="iw0")},
+sb AS (
+  SELECT f.baseItemId, (exp(f.salesQuantityKgL_log) - 1) * coalesce(n.normalizer, 1000.0) AS kgl,
+         weekofyear(f.week_start) BETWEEN 26 AND 30 AS near
+  FROM ifilt f LEFT JOIN inorm n ON f.baseItemId = n.baseItemId WHERE f.week_start <= DATE '2001-06-05'),
+sbase AS (
+  SELECT baseItemId, CASE WHEN bool_or(near) THEN median(CASE WHEN near THEN kgl END) ELSE median(kgl) END AS med,
+         CASE WHEN bool_or(near) THEN avg(CASE WHEN near THEN kgl END) ELSE avg(kgl) END AS av
+  FROM sb GROUP BY baseItemId),
+cmp AS (
+  SELECT a.baseItemId, a.actual, coalesce(l.last_year_w1 + l.last_year_w2 + l.last_year_w3, 0) AS predicted,
+         coalesce(3 * CASE WHEN s.med > 0 AND s.med < 1e6 THEN s.med WHEN s.av > 0 AND s.av < 1e6 THEN s.av
+                           WHEN s.baseItemId IS NOT NULL THEN 1000.0 END, 0) AS baseline
+  FROM act_baseItemId a LEFT JOIN ly_baseItemId l ON a.baseItemId = l.baseItemId LEFT JOIN sbase s ON a.baseItemId = s.baseItemId),
+scored AS (
+  SELECT *, CASE WHEN abs(actual) + abs(predicted) = 0 THEN 0.0 ELSE abs(actual - predicted) / ((abs(actual) + abs(predicted)) / 2) END * 100 AS smape,
+         CASE WHEN baseline > 0 THEN (actual / baseline - 1) * 100 ELSE 0.0 END AS lift_actual,
+         CASE WHEN baseline > 0 THEN (predicted / baseline - 1) * 100 ELSE 0.0 END AS lift_predicted
+  FROM cmp)
+"""
+
+
+def _compared(spark, sf):
+    n, norms = _normalized_items(spark, sf)
+    iw, _ = _weekly(spark, sf)
+    base = FC.seasonal_baseline(U.campaign_items_only(n), "item", P.FORECAST_DATE, P.CAMPAIGN_START, norms)
+    ly = FC.last_year_sales(iw, "baseItemId", P.CAMPAIGN_START)
+    pred = ly.select("baseItemId", F.explode(F.array(*[F.coalesce(f"last_year_w{k}", F.lit(0.0)) for k in (1, 2, 3)]))
+                     .alias("prediction_kgl"))
+    return R.compare_with_actuals(pred, base, _actual(iw, "baseItemId"), "baseItemId")
+
+
+@register("backtest_compare", _wb(_COMPARE, f"""
+SELECT baseItemId, {', '.join(f"{r(c)} AS {c}" for c in ('actual', 'predicted', 'baseline', 'smape', 'lift_actual', 'lift_predicted'))} FROM scored
+"""))
+def backtest_compare(spark, sf):
+    """P18 on last year's sales as the prediction and the seasonal median as baseline."""
+    return finalize(_compared(spark, sf).select("baseItemId", "actual", "predicted", "baseline", "smape", "lift_actual", "lift_predicted"))
+
+
+def _as_results(c):
+    """P18 rows under the names of a backtest's item half."""
+    names = {x: f"item_{x}" for x in ("smape", "lift_actual", "lift_predicted")}
+    c = c.select(F.lit(69).cast("long").alias("campaign_id"), F.col("baseItemId").alias("item_id"),
+                 *[F.col(a).alias(b) for a, b in names.items()])
+    return c.withColumns({f"cluster_{x}": F.lit(None).cast("double") for x in names})
+
+
+@register("backtest_compare_summary", _wb(_COMPARE, f"""
+SELECT {r('avg(smape)')} AS item_mean_smape, {r('median(smape)')} AS item_median_smape,
+       {r('avg(lift_predicted - lift_actual)')} AS item_mean_lift_error, count(*) AS n_items FROM scored
+"""))
+def backtest_compare_summary(spark, sf):
+    """A13 over the rows of ``backtest_compare``."""
+    s = R.backtest_summary(_as_results(_compared(spark, sf)))
+    return finalize(s.select("item_mean_smape", "item_median_smape", "item_mean_lift_error", "n_items"))
+
+
+@register("backtest_compare_best_worst", _wb(_COMPARE, f"""
+SELECT item_id, item_smape, rank_kind FROM (
+  SELECT baseItemId AS item_id, {r('smape')} AS item_smape, 'best' AS rank_kind FROM scored QUALIFY row_number() OVER (ORDER BY smape, baseItemId) <= 5
+  UNION ALL
+  SELECT baseItemId, {r('smape')}, 'worst' FROM scored QUALIFY row_number() OVER (ORDER BY smape DESC, baseItemId) <= 5)
+"""))
+def backtest_compare_best_worst(spark, sf):
+    """K1 over the rows of ``backtest_compare`` (a top-k report)."""
+    return finalize(R.best_worst(_as_results(_compared(spark, sf))).select("item_id", "item_smape", "rank_kind"))
+
+
 @register("horizon_targets", O.with_base(f"""
 SELECT baseItemId, week_start, {r('target')} AS target FROM (
   SELECT baseItemId, week_start, lead(salesQuantityKgL_log, {P.HORIZON}) OVER (PARTITION BY baseItemId ORDER BY week_start) AS target
@@ -164,7 +282,7 @@ wk AS (SELECT week_start, row_number() OVER (ORDER BY week_start) - 1 AS wr, cou
        FROM (SELECT DISTINCT week_start FROM ifilt)),
 folds AS (
   SELECT week_start, f AS fold,
-         CASE WHEN wr < (nw // 4) * (f + 1) THEN 'train' WHEN wr < (nw // 4) * (f + 2) THEN 'val' END AS role
+         CASE WHEN wr <= least((nw // 4) * (f + 1), nw - 1) THEN 'train' WHEN wr <= least((nw // 4) * (f + 2), nw - 1) THEN 'val' END AS role
   FROM wk, (VALUES (0), (1), (2)) t(f))
 """, """
 SELECT CAST(fold AS BIGINT) AS fold, role, count(*) AS n_weeks, min(week_start) AS first_week, max(week_start) AS last_week
@@ -172,9 +290,14 @@ FROM folds WHERE role IS NOT NULL GROUP BY fold, role
 """)
 
 
-@register("hash_split")
+@register("hash_split", O.with_base("""
+SELECT split, count(*) AS n_rows FROM (
+  SELECT CASE WHEN b < 60 THEN 'train' WHEN b < 80 THEN 'val' ELSE 'test' END AS split FROM (
+    SELECT CAST('0x' || substr(md5('42|' || baseItemId || '|' || CAST(week_start AS VARCHAR)), 1, 7) AS BIGINT) % 100 AS b FROM ifilt))
+GROUP BY split
+"""))
 def hash_split(spark, sf):
-    """P11 [rows]: stable hash split of the item-weeks."""
+    """Stable hash split of the item-weeks."""
     s = TR.hash_split(_filtered_items(spark, sf), ["baseItemId", "week_start"])
     return finalize(s.groupBy("split").agg(F.count("*").alias("n_rows")))
 

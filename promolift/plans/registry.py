@@ -76,8 +76,9 @@ def _gap_filled_items(spark, sf):
 
 
 def _normalized_items(spark, sf):
+    from ..session import cut_lineage
     g = WK.mark_post_campaign_weeks(_gap_filled_items(spark, sf), "baseItemId")
-    return FE.normalize(g, "baseItemId")
+    return FE.normalize(g, "baseItemId", materialize_fn=lambda d: cut_lineage(d, "items-normalizer"))
 
 
 def _filtered_items(spark, sf):

@@ -94,16 +94,20 @@ def run_scenarios(orders: DataFrame, items: DataFrame, campaigns: DataFrame, foc
     wc = Window.partitionBy("cluster1To1Id").orderBy("orderDate")
     wi = Window.partitionBy("itemId").orderBy("orderDate")
 
+    def known_at(h):
+        """Rows whose target, h weeks later, was known before the cutoff."""
+        return F.date_add("orderDate", 7 * h) < lit_date(cutoff)
+
     def one(h):
         ct = cl.withColumn("target", F.lead("cluster_sales_kg", h).over(wc)).where(F.col("target").isNotNull())
         ct = ct.withColumn("label", F.log1p(F.greatest(F.col("target"), F.lit(1e-3))))
-        cm = _fit(ct.where(F.col("orderDate") < lit_date(cutoff)), CLUSTER_FEATURES, "label")
-        test = cm.transform(ct.where(F.col("orderDate") >= lit_date(cutoff)))
+        cm = _fit(ct.where(known_at(h)), CLUSTER_FEATURES, "label")
+        test = cm.transform(ct.where(~known_at(h)))
         pred = F.greatest(F.expm1(clip(F.col("prediction"), -10, 20)), F.lit(0.0))
         met = test.agg(mae(F.col("target"), pred).alias("mae"), smape_legacy(F.col("target"), pred).alias("smape"),
                        F.count("*").alias("n_test")).first()
         itf = it.withColumn("target", F.lead("item_share_of_cluster", h).over(wi)).where(F.col("target").isNotNull())
-        im = _fit(itf.where(F.col("orderDate") < lit_date(cutoff)).withColumn("label", logit(F.col("target"))),
+        im = _fit(itf.where(known_at(h)).withColumn("label", logit(F.col("target"))),
                   ITEM_FEATURES, "label")
         as_of = monday(campaign_start) - _dt.timedelta(weeks=h)
         csnap = cm.transform(cl.where(F.col("orderDate") == F.lit(as_of))).select(

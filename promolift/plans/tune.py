@@ -54,10 +54,7 @@ def walk_forward_cv(df: DataFrame, level: str, params: dict | None = None, n_fol
         on = TR._flag_on(level, f"campaign_week_{n}")
         d = df.join(df.where(on).select(idc).distinct(), idc, "left_semi")
         weeks = [r[0] for r in d.select("week_start").distinct().orderBy("week_start").collect()]
-        nw = len(weeks)
-        size = nw // (n_folds + 1)
-        for k in range(n_folds if nw else 0):
-            tasks.append((n, k, d, weeks[min((k + 1) * size, nw - 1)], weeks[min((k + 2) * size, nw - 1)]))
+        tasks += [(n, k, d, a, b) for k, a, b in TR.fold_cutoffs(weeks, n_folds)]
 
     def run(task):
         n, k, d, tc, vc = task
