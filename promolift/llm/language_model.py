@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_words, keep, map_texts, ship
+from .common import ascii_words, keep, map_texts, ship, slices
 
 #: Frequent words of the network (the end token among them), words of a band, rare classes.
 OWN, BAND, RARE = 1024, 32, 32
@@ -83,24 +83,16 @@ def counts_of(df: DataFrame, text: str) -> DataFrame:
     def run(batches):
         words, n = Words(), np.zeros(0, np.int64)
         for batch in batches:
-            for t in batch.column(0):
-                found = ascii_words(t.as_py())
-                if found:
-                    at = words.number(found)
-                    if len(n) < len(words.hash):
-                        n = np.concatenate([n, np.zeros(max(len(words.hash) - len(n), len(n)), np.int64)])
-                    u, k = np.unique(at, return_counts=True) if len(at) < 200 else (None, np.bincount(at, minlength=len(n)))
-                    if u is None:
-                        n += k
-                    else:
-                        n[u] += k
+            for _, texts in slices(batch.column(0)):
+                at = words.number([w for t in texts for w in ascii_words(t)])
+                n = np.bincount(at, minlength=len(words.hash)) + np.pad(n, (0, len(words.hash) - len(n)))
                 if len(words.hash) > MOST_WORDS:
                     yield out(words, n)
                     words, n = Words(), np.zeros(0, np.int64)
         yield out(words, n)
 
     def out(words, n):
-        return pa.RecordBatch.from_arrays([pa.array(words.hash), pa.array(words.kind.astype(np.int32)), pa.array(n[:len(words.hash)])], names=["h", "kind", "c"])
+        return pa.RecordBatch.from_arrays([pa.array(words.hash), pa.array(words.kind.astype(np.int32)), pa.array(n.astype(np.int64))], names=["h", "kind", "c"])
 
     parts = df.select(F.col(text).alias("t")).mapInArrow(run, "h long, kind int, c long")
     return parts.groupBy("h").agg(F.min("kind").alias("kind"), F.sum("c").alias("c"))
