@@ -116,8 +116,12 @@ def forest_quantiles(forest: PipelineModel, leaves: DataFrame, scoring: DataFram
     running = F.aggregate("h", zero, lambda a, x: F.struct((a["sum"] + x).alias("sum"),
                                                            F.concat(a["cum"], F.array(a["sum"] + x)).alias("cum")))
     total = total.withColumn("_mass", mass).withColumn("_cum", running["cum"])
-    cols = [(F.col("lo") + F.col("width") * (F.size(F.filter("_cum", lambda c, q=q: c < F.col("_mass") * (q - 1e-12))) + 0.5))
-            .alias(f"q{int(round(q * 100))}") for q in quantiles]
+
+    def quantile(q):
+        under = F.size(F.filter("_cum", lambda c: c < F.col("_mass") * (q - 1e-12)))
+        return (F.col("lo") + F.col("width") * (under + 0.5)).alias(f"q{int(round(q * 100))}")
+
+    cols = [quantile(q) for q in quantiles]
     return total.select(key, *cols)
 
 

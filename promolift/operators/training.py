@@ -135,6 +135,14 @@ def single_model_frame(df: DataFrame, level: str, targets: DataFrame | None = No
             .withColumn("weight", sample_weight(level)))
 
 
+def week_training_frame(df: DataFrame, level: str, week: int, targets: DataFrame | None = None,
+                        ratios=(TRAIN_RATIO, VAL_RATIO)) -> DataFrame:
+    """P1 frame of model week N: its balanced sample (W15) with sample weights and the
+    positional split by week (W12).  ``df`` has its feature nulls filled."""
+    s = balanced_sample(df, level, week, targets)
+    return temporal_split(s.withColumn("weight", sample_weight(level, single=False, week=week)), id_col(level), ratios)
+
+
 def pooled_training_frame(df: DataFrame, level: str, targets: DataFrame | None = None,
                           ratios=(TRAIN_RATIO, VAL_RATIO)) -> DataFrame:
     """P2 frame + W15 + W12 in one statistics job.

@@ -1,8 +1,8 @@
 """Forecast job (the current generation's main flow) and its pieces.
 
-preprocess (as of the forecast date, targets kept) -> one pooled item model and one
-pooled cluster model (P2: GBT point + quantile forest) -> score the latest state of
-every target with the campaign on and off -> summary with verdicts.
+preprocess (as of the forecast date, targets kept) -> per level one model for each campaign
+week (P1: GBT point + quantile forest), or one pooled model per level as an option (P2) ->
+score the latest state of every target with the campaign on and off -> summary with verdicts.
 """
 
 from __future__ import annotations
@@ -21,11 +21,18 @@ from ..operators import universe as U
 from .preprocess import Preprocessed, materialize, preprocess
 
 
+@dataclass
+class WeekModels:
+    """A model for each campaign week of a level."""
+    level: str
+    weeks: dict[int, M.ModelBundle]
+
+
 @dataclass
 class ForecastResult:
     pre: Preprocessed
-    item_model: M.ModelBundle
-    cluster_model: M.ModelBundle
+    item_model: M.ModelBundle | WeekModels
+    cluster_model: M.ModelBundle | WeekModels
     item_predictions: DataFrame
     cluster_predictions: DataFrame
     summary: DataFrame
@@ -37,26 +44,42 @@ def campaign_items(orders: DataFrame, campaign_id: int) -> DataFrame:
             .select(U.base_item_id(F.col("itemId")).alias("baseItemId")).distinct())
 
 
-def train_level(df: DataFrame, level: str, targets: DataFrame | None = None,
-                params: dict | None = None, materialize_as: str = "checkpoint") -> M.ModelBundle:
-    """Pooled training frame, temporal split, GBT point model, quantile forest."""
-    idc = TR.id_col(level)
-    frame = materialize(TR.pooled_training_frame(df, level, targets if level == "item" else None),
-                        materialize_as)
-    feats = TR.feature_list(level)
+def _fit(frame: DataFrame, feats: list[str], level: str, params: dict | None, materialize_as: str) -> M.ModelBundle:
     # the point model and the forest are independent fits: submit them together
     with ThreadPoolExecutor(max_workers=2) as pool:
         fp = pool.submit(M.fit_point_model, frame, feats, level, params)
         ff = pool.submit(M.fit_quantile_forest, frame, feats)
         point, (forest, leaves) = fp.result(), ff.result()
-    leaves = materialize(leaves, materialize_as)
-    metrics = M.evaluate(point, frame)
-    return M.ModelBundle(level, feats, point, forest, leaves, metrics)
+    return M.ModelBundle(level, feats, point, forest, materialize(leaves, materialize_as), M.evaluate(point, frame))
+
+
+def train_level(df: DataFrame, level: str, targets: DataFrame | None = None,
+                params: dict | None = None, materialize_as: str = "checkpoint") -> M.ModelBundle:
+    """Pooled training frame, temporal split, GBT point model, quantile forest."""
+    frame = materialize(TR.pooled_training_frame(df, level, targets if level == "item" else None), materialize_as)
+    return _fit(frame, TR.feature_list(level), level, params, materialize_as)
+
+
+def train_weeks(df: DataFrame, level: str, targets: DataFrame | None = None,
+                params: dict | None = None, materialize_as: str = "checkpoint") -> WeekModels:
+    """For each campaign week its balanced frame, split, point model and forest; the
+    weeks are independent and train concurrently on one written copy of the features."""
+    base = materialize(TR.fill_feature_nulls(df, level), materialize_as)
+
+    def one(n):
+        frame = materialize(TR.week_training_frame(base, level, n, targets if level == "item" else None), materialize_as)
+        return _fit(frame, TR.feature_list(level, single=False, week=n), level, params, materialize_as)
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        return WeekModels(level, dict(zip((1, 2, 3), pool.map(one, (1, 2, 3)))))
 
 
-def score(bundle: M.ModelBundle, scoring: DataFrame, normalizers: DataFrame) -> DataFrame:
+def score(bundle: M.ModelBundle | WeekModels, scoring: DataFrame, normalizers: DataFrame) -> DataFrame:
     """P3 scoring + M1 denormalisation: (id, campaign_week, campaign_on, prediction_kgl,
-    q10_kgl, q50_kgl, q90_kgl)."""
+    q10_kgl, q50_kgl, q90_kgl); with P1 each week's rows by that week's model."""
+    if isinstance(bundle, WeekModels):
+        parts = [score(b, scoring.where(F.col("campaign_week") == n), normalizers) for n, b in bundle.weeks.items()]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
     idc = TR.id_col(bundle.level)
     pred = bundle.point.transform(scoring).select("score_key", idc, "campaign_week", "campaign_on", "prediction")
     q = M.forest_quantiles(bundle.forest, bundle.forest_leaves, scoring, "score_key")
@@ -80,14 +103,15 @@ def plan_tables(master: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataF
 
 def run_forecast(orders: DataFrame, items: DataFrame, campaigns: DataFrame, targets: DataFrame,
                  campaign_start, forecast_date, horizon: int, use_plan: bool = True,
-                 materialize_as: str = "checkpoint") -> ForecastResult:
+                 materialize_as: str = "checkpoint", single_model: bool = False) -> ForecastResult:
+    train = train_level if single_model else train_weeks
     pre = preprocess(orders, items, campaigns, horizon=horizon, campaign_start=campaign_start,
                      forecast_date=forecast_date, targets=targets, materialize_as=materialize_as)
     iw = materialize(pre.item_weekly, materialize_as)
     cw = materialize(pre.cluster_weekly, materialize_as)
     with ThreadPoolExecutor(max_workers=2) as pool:   # the two levels train concurrently
-        fi = pool.submit(train_level, iw, "item", targets, None, materialize_as)
-        fc = pool.submit(train_level, cw, "cluster", None, None, materialize_as)
+        fi = pool.submit(train, iw, "item", targets, None, materialize_as)
+        fc = pool.submit(train, cw, "cluster", None, None, materialize_as)
         item_model, cluster_model = fi.result(), fc.result()
     plan, sizes = plan_tables(pre.items, targets)
     t_clusters = pre.items.join(targets.select(F.col(targets.columns[0]).alias("baseItemId")),

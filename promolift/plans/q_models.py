@@ -72,25 +72,42 @@ def order_recommendation(spark, sf):
                              kgl_to_units(F.col("prediction_kgl"), f, "ceil").alias("units_ceil")))
 
 
+def _bundles(model):
+    """(campaign week, bundle) of a level's models; week 0 for a pooled one."""
+    return sorted(model.weeks.items()) if hasattr(model, "weeks") else [(0, model)]
+
+
 @register("train_forecast")
 def train_forecast(spark, sf):
-    """Held-out metrics of the item and cluster point models."""
+    """Held-out metrics of the point models, per level and campaign week."""
     res = forecast_result(spark, sf)
-    rows = []
-    for b in (res.item_model, res.cluster_model):
-        m = b.metrics
-        rows.append((b.level, float(m.get("smape") or 0.0), float(m.get("mae") or 0.0),
-                     float(m.get("rmse") or 0.0), int(m.get("n") or 0)))
-    return spark.createDataFrame(rows, "level string, smape double, mae double, rmse double, n_test long")
+    names = ("smape", "mape", "mae", "rmse")
+    rows = [(b.level, n, *[float(b.metrics.get(m) or 0.0) for m in names], int(b.metrics.get("n") or 0))
+            for model in (res.item_model, res.cluster_model) for n, b in _bundles(model)]
+    return spark.createDataFrame(rows, "level string, campaign_week long, " + ", ".join(f"{m} double" for m in names) + ", n_test long")
 
 
 @register("feature_importance")
 def feature_importance(spark, sf):
-    """K6: top-10 features by importance per level (a top-k report)."""
+    """K6: top-10 features by importance per level and campaign week (a top-k report)."""
     from ..operators.models import feature_importance as fi
     res = forecast_result(spark, sf)
-    rows = [(b.level, f, float(v)) for b in (res.item_model, res.cluster_model) for f, v in fi(b.point, b.features)]
-    return spark.createDataFrame(rows, "level string, feature string, importance double")
+    rows = [(b.level, n, f, float(v)) for model in (res.item_model, res.cluster_model)
+            for n, b in _bundles(model) for f, v in fi(b.point, b.features)]
+    return spark.createDataFrame(rows, "level string, campaign_week long, feature string, importance double")
+
+
+@register("single_model_forecast")
+def single_model_forecast(spark, sf):
+    """One pooled model per level, the option beside the week models."""
+    inp = _inputs(spark, sf)
+    res = run_forecast(inp.orders, inp.items, inp.campaigns, campaign_items(inp.orders, FORECAST_CAMPAIGN),
+                       P.CAMPAIGN_START, P.FORECAST_DATE, P.HORIZON, single_model=True)
+    i = res.item_predictions.select(F.lit("item").alias("level"), F.col("baseItemId").alias("id"), "campaign_week",
+                                    "campaign_on", "prediction_kgl")
+    c = res.cluster_predictions.select(F.lit("cluster").alias("level"), F.col("cluster1To1Id").alias("id"),
+                                       "campaign_week", "campaign_on", "prediction_kgl")
+    return finalize(i.unionByName(c))
 
 
 # --- backtest (P17-P19, A13, K1) -----------------------------------------------------------
