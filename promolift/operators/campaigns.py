@@ -27,8 +27,8 @@ def tag_campaigns(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
 
     Adds ``campaignId``, ``late_delivery`` and ``campaign_week_0..3``; the delivery
     date is replaced by the adjusted one."""
-    cal = F.broadcast(clean_calendar(campaigns).select(
-        F.col("campaignId"), F.col("campaignStart").alias("_cs"), F.col("campaignEnd").alias("_ce")))
+    cal = clean_calendar(campaigns).select(
+        F.col("campaignId"), F.col("campaignStart").alias("_cs"), F.col("campaignEnd").alias("_ce"))
     j = orders.join(cal, orders["salesCampignId"] == cal["campaignId"], "left")
     late = ((F.col("orderDate") >= F.col("_cs")) & (F.col("orderDate") <= F.col("_ce"))
             & (F.col("deliveryDate") > F.col("_ce")))
@@ -58,7 +58,7 @@ def item_campaign_calendar(orders: DataFrame, campaigns: DataFrame) -> DataFrame
     null/0 ids and ids missing from the calendar are dropped."""
     pairs = (orders.where(F.col("salesCampignId").isNotNull() & (F.col("salesCampignId") != 0))
              .select("itemId", F.col("salesCampignId").alias("campaignId")).distinct())
-    cal = F.broadcast(clean_calendar(campaigns))
+    cal = clean_calendar(campaigns)
     return pairs.join(cal, "campaignId", "inner").select(
         "itemId", "campaignId", F.col("campaignStart").alias("campaignStartDate"),
         F.col("campaignEnd").alias("campaignEndDate"))

@@ -31,6 +31,15 @@ def orders_kgl(orders: DataFrame, master: DataFrame) -> DataFrame:
             .withColumn("salesQuantityKgL", to_kgl(F.col("salesQuantity"), F.col("itemUnitConversion"))))
 
 
+def require_mapped(orders: DataFrame, master: DataFrame, shown: int = 5) -> None:
+    """Fail when order lines name items that the master lacks; they would vanish in
+    the join.  The distinct ids (combined before the shuffle) meet the master, not the lines."""
+    ids = orders.select(base_item_id(F.col("itemId")).alias("baseItemId")).where(F.col("baseItemId").isNotNull()).distinct()
+    lost = [r[0] for r in ids.join(master.select("baseItemId"), "baseItemId", "left_anti").limit(shown).collect()]
+    if lost:
+        raise ValueError(f"order lines of items without a master row, among them: {sorted(lost)}")
+
+
 def with_week(orders: DataFrame, anchor_weekday: int = 0, date_col: str = "deliveryDate") -> DataFrame:
     """Week start aligned to the campaign weekday (Monday = 0 by default)."""
     return orders.withColumn("week_start", week_start(F.col(date_col), anchor_weekday))

@@ -2,8 +2,8 @@
 
 The calendar selection is one small collect (campaigns of a year).  Each campaign is
 then a forecast job at ``start - 4 weeks`` on leakage-guarded inputs; the actuals
-come from the full history.  Per-campaign failures are recorded and skipped, as the
-modelled driver does.
+come from the full history.  A campaign that can't be validated is skipped, as the modelled
+driver does, and returned with its reason; when none can, the job fails.
 """
 
 from __future__ import annotations
@@ -47,8 +47,14 @@ def _actuals(orders, items, campaigns, start, end, level):
     return iw.where((F.col("week_start") >= lit_date(start)) & (F.col("week_start") < lit_date(end)))
 
 
+FAILURE_SCHEMA = "campaign_id long, reason string"
+
+
 def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year: int,
-                 max_campaigns: int | None = None, parallelism: int = 2) -> DataFrame:
+                 max_campaigns: int | None = None, parallelism: int = 3,
+                 single_model: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(results, failures) of all campaigns of ``year`` (of the first ``max_campaigns``, if
+    given), each with its own week models, or pooled ones as an option."""
     sel = backtest_campaigns(campaigns, year).orderBy("campaignStart", "campaignId").collect()
     if max_campaigns:
         sel = sel[:max_campaigns]
@@ -61,7 +67,8 @@ def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year
         try:
             targets = campaign_items(orders, cid)
             i2, o2, c2 = U.leakage_guard(valid, harmonized, campaigns, start)
-            res = run_forecast(o2, i2, c2, targets, start, fd, BACKTEST_HORIZON_WEEKS, use_plan=False)
+            res = run_forecast(o2, i2, c2, targets, start, fd, BACKTEST_HORIZON_WEEKS, use_plan=False,
+                               single_model=single_model)
             ib = FC.seasonal_baseline(res.pre.item_weekly, "item", fd, start, res.pre.item_normalizers, targets)
             cb = FC.seasonal_baseline(res.pre.cluster_weekly, "cluster", fd, start, res.pre.cluster_normalizers)
             ia = _actuals(valid, items, campaigns, start, end, "item").join(targets, "baseItemId", "left_semi") \
@@ -69,7 +76,8 @@ def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year
             ca = _actuals(valid, items, campaigns, start, end, "cluster") \
                 .select("cluster1To1Id", F.col("salesQuantityKgL").alias("actual_kgl"))
             ic = R.compare_with_actuals(res.item_predictions.where("campaign_on"), ib, ia, "baseItemId")
-            cc = R.compare_with_actuals(res.cluster_predictions.where("campaign_on"), cb, ca, "cluster1To1Id")
+            cc = R.compare_with_actuals(res.cluster_predictions.where("campaign_on"), cb, ca, "cluster1To1Id",
+                                        needs_prediction=True)
             m = res.pre.items.select("baseItemId", "cluster1To1Id")
             rows = (ic.join(m, "baseItemId", "left")
                     .join(cc.select("cluster1To1Id", *[F.col(x).alias(f"cluster_{x}") for x in
@@ -82,17 +90,20 @@ def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year
                                                                      "lift_actual", "lift_predicted")],
                             "cluster_actual", "cluster_predicted", "cluster_baseline", "cluster_smape",
                             "cluster_lift_actual", "cluster_lift_predicted"))
-            return materialize(rows, "checkpoint")
+            return materialize(rows, "checkpoint"), None
         except Exception as e:  # noqa: BLE001  (the modelled driver logs and skips)
             log.error("backtest of campaign %s failed: %s", cid, e)
-            return None
+            return None, (cid, f"{type(e).__name__}: {e}"[:500])
 
     # campaigns are independent forecast jobs: run a few at a time
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = [p for p in pool.map(one, sel) if p is not None]
+        done = list(pool.map(one, sel))
+    parts, failed = [p for p, _ in done if p is not None], [f for _, f in done if f is not None]
+    if sel and not parts:
+        raise RuntimeError(f"no campaign of {year} could be validated: {failed}")
     out = None
     for p in parts:
         out = p if out is None else out.unionByName(p)
-    if out is None:   # no campaign validated: an empty result with the result columns
+    if out is None:   # no campaign in that year: an empty result with the result columns
         out = orders.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    return out
+    return out, orders.sparkSession.createDataFrame(failed, FAILURE_SCHEMA)

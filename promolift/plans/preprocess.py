@@ -72,6 +72,7 @@ def preprocess(orders: DataFrame, items: DataFrame, campaigns: DataFrame, horizo
     campaign-items filter (the item frame every later step and model reads)."""
     mat = lambda df: materialize(df, materialize_as)
     tagged, master = tagged_orders(orders, items, campaigns, campaign_start, forecast_date, delivery_floor)
+    WK.require_mapped(U.valid_orders(orders, delivery_floor), master)
     iw0 = mat(WK.weekly_item_sales(tagged))          # the only pass over the order lines
     cw = mat(WK.weekly_cluster_sales(iw0, intensity=intensity))
     iw = WK.add_competition(iw0).drop("n_lines")

@@ -112,7 +112,6 @@ def single_model_forecast(spark, sf):
 
 # --- backtest (P17-P19, A13, K1) -----------------------------------------------------------
 
-BACKTEST_MAX_CAMPAIGNS = 1   # the driver's max-campaigns option; one campaign per run here
 _BT: dict = {}
 
 
@@ -121,26 +120,32 @@ def backtest_result(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _BT:
         inp = _inputs(spark, sf)
-        _BT[key] = run_backtest(inp.orders, inp.items, inp.campaigns, P.BACKTEST_YEAR, BACKTEST_MAX_CAMPAIGNS)
+        _BT[key] = run_backtest(inp.orders, inp.items, inp.campaigns, P.BACKTEST_YEAR)
     return _BT[key]
 
 
 @register("backtest")
 def backtest(spark, sf):
-    """Per-item actual vs predicted vs baseline over a past campaign."""
-    return finalize(backtest_result(spark, sf))
+    """Per-item actual vs predicted vs baseline over all campaigns of a past year."""
+    return finalize(backtest_result(spark, sf)[0])
+
+
+@register("backtest_failures")
+def backtest_failures(spark, sf):
+    """Campaigns that couldn't be validated, with the reason."""
+    return finalize(backtest_result(spark, sf)[1])
 
 
 @register("backtest_summary")
 def backtest_summary(spark, sf):
     """A13."""
-    return finalize(R.backtest_summary(backtest_result(spark, sf)))
+    return finalize(R.backtest_summary(backtest_result(spark, sf)[0]))
 
 
 @register("best_worst")
 def best_worst(spark, sf):
     """K1: best and worst five items by SMAPE (a top-k report)."""
-    return finalize(R.best_worst(backtest_result(spark, sf)))
+    return finalize(R.best_worst(backtest_result(spark, sf)[0]))
 
 
 # --- walk-forward validation and search (P13, P14, S8) ------------------------------------

@@ -7,7 +7,7 @@ scored with their campaign flag forced off and on (C7; the flag is set on the
 snapshot rows), shares are renormalised where they sum above 1 in a (cluster, week,
 scenario) (W16), multiplied by the predicted cluster total (J12) and compared per
 item and horizon (A11).  The per-horizon fits are independent and run concurrently.
-Ids enter the trees as ordinal codes (``StringIndexer``): Spark trees bound a
+Ids enter the trees as ordinal codes from a hash: Spark trees bound a
 categorical feature's arity by ``maxBins``, which item ids would exceed at scale.
 """
 
@@ -17,7 +17,7 @@ import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +31,7 @@ from ..operators.universe import base_item_id, valid_orders
 from .preprocess import materialize
 
 SHARE_FLOOR = 1e-6
+ID_CODES = 4096   # ordinal codes that ids are hashed to
 G1_GBT = dict(maxIter=30, maxDepth=6, stepSize=0.05, minInstancesPerNode=20, seed=42)
 
 CLUSTER_FEATURES = ["is_campaign_week", "cluster_sales_lag_1", "cluster_sales_rolling4w", "weeks_since_campaign",
@@ -70,13 +71,10 @@ def _fit(frame: DataFrame, feats: list[str], label: str):
     return Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"), gbt]).fit(frame)
 
 
-def _indexed(df: DataFrame, idx_models) -> DataFrame:
-    """Apply the indexers and drop their nominal metadata (ordinal codes, see above)."""
-    for m in idx_models:
-        df = m.transform(df)
-        out = m.getOutputCol()
-        df = df.withColumn(out, F.col(out) * F.lit(1.0))
-    return df
+def _code(name: str):
+    """An id as a number for the trees: an ordinal from its hash, the same in training and
+    scoring, without a table of all ids anywhere."""
+    return F.pmod(F.xxhash64(name), F.lit(ID_CODES)).cast("double")
 
 
 def run_scenarios(orders: DataFrame, items: DataFrame, campaigns: DataFrame, focus: DataFrame,
@@ -86,9 +84,8 @@ def run_scenarios(orders: DataFrame, items: DataFrame, campaigns: DataFrame, foc
     g1 = materialize(legacy_processed(valid_orders(orders), items, campaigns), "checkpoint")
     cl = materialize(legacy_cluster_frame(g1).fillna(0.0, subset=["cluster_sales_rolling4w"]), "checkpoint")
     it = materialize(item_frame(g1), "checkpoint")
-    ci = StringIndexer(inputCol="cluster1To1Id", outputCol="cluster_idx", handleInvalid="keep").fit(cl)
-    ii = StringIndexer(inputCol="itemId", outputCol="item_idx", handleInvalid="keep").fit(it)
-    cl, it = _indexed(cl, [ci]), _indexed(it, [ii, ci])
+    cl = cl.withColumn("cluster_idx", _code("cluster1To1Id"))
+    it = it.withColumn("cluster_idx", _code("cluster1To1Id")).withColumn("item_idx", _code("itemId"))
     focus_ids = focus.select(F.col(focus.columns[0]).alias("_b")).distinct()
     hs = horizons(forecast_date, campaign_start, campaign_end)
     wc = Window.partitionBy("cluster1To1Id").orderBy("orderDate")

@@ -19,6 +19,6 @@ def spark():
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ["part", "orders", "lineitem"]:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    for f in sorted(os.listdir(SF_SMALL)):
+        con.execute(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM read_parquet('{SF_SMALL}/{f}')")
     return con

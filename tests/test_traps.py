@@ -2,6 +2,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from promolift.functions.stats import exact_median
@@ -112,3 +113,36 @@ def test_q28_recency_sample_and_split_are_deterministic(spark):
     assert sorted(r["baseItemId"] for r in top) == sorted(["11", "2", "5", "8", "1"])
     s = {r["baseItemId"]: r["split"] for r in TR.temporal_split(df, "baseItemId").collect()}
     assert sum(v == "train" for v in s.values()) == int(12 * 0.6)
+
+
+def test_orders_of_unmapped_items_fail_the_job(spark):
+    from promolift.operators.weekly import require_mapped
+    orders = spark.createDataFrame([("M7",), ("8",), (None,)], "itemId string")
+    require_mapped(orders, spark.createDataFrame([("7",), ("8",)], "baseItemId string"))
+    with pytest.raises(ValueError, match="8"):
+        require_mapped(orders, spark.createDataFrame([("7",)], "baseItemId string"))
+
+
+def test_cluster_smape_needs_a_prediction(spark):
+    from promolift.operators.report import compare_with_actuals
+    pred = spark.createDataFrame([("a", 0.0), ("b", 4.0)], "k string, prediction_kgl double")
+    base = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "k string, baseline_kgl double")
+    act = spark.createDataFrame([("a", 3.0), ("b", 4.0), ("c", 1.0)], "k string, actual_kgl double")
+    got = {r["k"]: r["smape"] for r in compare_with_actuals(pred, base, act, "k", needs_prediction=True).collect()}
+    assert got == {"a": None, "b": 0.0, "c": None}
+    assert {r["k"]: r["smape"] for r in compare_with_actuals(pred, base, act, "k").collect()} == {"a": 200.0, "b": 0.0, "c": 200.0}
+
+
+def test_last_year_weeks_zero_or_null(spark):
+    import datetime as dt
+    from promolift.operators.forecast import last_year_sales
+    rows = [("a", dt.date(2000, 7, 10), 2.0), ("a", dt.date(2000, 7, 24), 3.0), ("b", dt.date(1999, 1, 4), 1.0)]
+    df = spark.createDataFrame(rows, "baseItemId string, week_start date, salesQuantityKgL double")
+    got = {r[0]: tuple(r)[1:] for r in last_year_sales(df, "baseItemId", "2001-07-10").collect()}
+    assert got == {"a": (2.0, 0.0, 3.0), "b": (None, None, None)}
+
+
+def test_folds_include_their_cutoff_week():
+    from promolift.operators.training import fold_cutoffs
+    assert fold_cutoffs(list(range(8)), 3) == [(0, 2, 4), (1, 4, 6), (2, 6, 7)]
+    assert fold_cutoffs([], 3) == []
