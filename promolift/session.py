@@ -59,11 +59,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+#: Called with every DataFrame whose lineage is cut (tests look at the plans of all stages).
+LISTENERS: list = []
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing a Parquet table into the shared checkpoint folder and
     reading it back: one job (``Dataset.checkpoint`` would compute the plan twice
     unless cached), the result survives executor loss, and later scans get column
     pruning and row-group statistics."""
+    for listener in LISTENERS:
+        listener(df)
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/promolift/{name}-{uuid.uuid4().hex}"
