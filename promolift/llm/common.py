@@ -103,10 +103,10 @@ def slices(column, most_chars: int = 4_000_000):
         yield start, out
 
 
-def map_texts(df: DataFrame, text: str, passed: tuple[str, ...], fields: list[T.StructField], of) -> DataFrame:
+def map_texts(df: DataFrame, text: str, passed: tuple[str, ...], fields: list[T.StructField], of, at_once: int = 4_000_000) -> DataFrame:
     """``passed`` columns and ``fields``, the latter from ``of(texts)``: a function from a
-    list of texts to one Arrow array for each field.  One narrow pass; a task holds a few
-    million characters at a time."""
+    list of texts to one Arrow array for each field.  One narrow pass; a task unpacks
+    about ``at_once`` characters at a time."""
     ship(df.sparkSession)
     names = [f"p{k}" for k in range(len(passed))]
     schema = T.StructType([*[T.StructField(n, df.schema[c].dataType) for n, c in zip(names, passed)], *fields])
@@ -114,7 +114,7 @@ def map_texts(df: DataFrame, text: str, passed: tuple[str, ...], fields: list[T.
 
     def run(batches):
         for batch in batches:
-            for start, texts in slices(batch.column(len(names))):
+            for start, texts in slices(batch.column(len(names)), at_once):
                 own = [batch.column(k).slice(start, len(texts)) for k in range(len(names))]
                 yield pa.RecordBatch.from_arrays([*own, *of(texts)], names=heads)
 

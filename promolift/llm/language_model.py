@@ -26,18 +26,16 @@ distribution; extra columns don't matter; an empty table gives no rows.
 from __future__ import annotations
 
 import pickle
-import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_words, keep, map_texts, ship, slices
+from .common import keep, map_texts, mix64, ship, slices
 
 #: Frequent words of the network (the end token among them), words of a band, rare classes.
 OWN, BAND, RARE = 1024, 32, 32
@@ -47,33 +45,68 @@ CLASSES = BANDS + RARE
 STATE, WINDOW, BATCH = 16, 16, 512
 #: Words whose counts every task gets; documents of the common start; tokens held at once.
 TOP, START, HELD = 1 << 18, 600, 8_000_000
+#: Characters whose words are found at once.
+SLICE = 1_500_000
 BOS = OWN + RARE
 
 
-def ending(word: bytes) -> int:
-    """Rare class of a word: its last two bytes before punctuation, and whether it has some."""
-    bare = word.rstrip(b".,;:!?\"')]}*&%$#")
-    return zlib.crc32(bare[-2:]) % (RARE // 2) * 2 + (len(bare) < len(word))
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?\"')]}*&%$#")] = True
+_VALUE = np.random.default_rng(64).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
-class Words:
-    """Words met by a task, numbered, with hash and rare class."""
+_TABLES: dict[str, np.ndarray] = {}
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-        self.hash, self.kind = np.zeros(0, np.int64), np.zeros(0, np.int16)
 
-    def number(self, words: list[bytes]) -> np.ndarray:
-        fresh = list(set(words).difference(self.known))
-        if fresh:
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-            h = np.fromiter(map(xxhash.xxh3_64_intdigest, fresh), np.uint64, len(fresh)).view(np.int64)
-            self.hash = np.concatenate([self.hash, h])
-            self.kind = np.concatenate([self.kind, np.fromiter(map(ending, fresh), np.int16, len(fresh))])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of the hash's base and of its inverse, modulo 2**64."""
+    if len(_TABLES.get("up", ())) < n:
+        for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
+            x = np.full(1 << max(21, int(n - 1).bit_length()), base, np.uint64)
+            x[0] = 1
+            _TABLES[name] = np.multiply.accumulate(x)
+    return _TABLES["up"], _TABLES["down"]
 
 
-MOST_WORDS = 600_000
+def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, rare class, text) of every word of the texts, in order.
+
+    The texts are one array of bytes, A-Z in lower case, words found at the edges of white
+    space.  A word's hash is a polynomial of random byte values modulo 2**64, from running
+    sums, with a finaliser.  Its rare class (``RARE``) is told by its last two bytes before
+    punctuation and by whether it has some."""
+    parts = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
+    raw = np.frombuffer((b"\n" + b"\n".join(parts) + b"\n").lower(), np.uint8)
+    space = _SPACE[raw]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, end = edge[0::2], edge[1::2]
+    up, down = _powers(len(raw))
+    sums = _VALUE[raw]
+    sums *= up[:len(raw)]
+    np.cumsum(sums, out=sums)
+    h = mix64((sums[end - 1] - sums[start - 1]) * down[start] + (end - start).astype(np.uint64)).view(np.int64)
+    last, live = end.copy(), np.arange(len(end))
+    while len(live):
+        live = live[_MARK[raw[last[live] - 1]] & (last[live] > start[live])]
+        last[live] -= 1
+    one = np.where(last > start, raw[last - 1], 0).astype(np.int64)
+    two = np.where(last > start + 1, raw[last - 2], 0).astype(np.int64)
+    kind = (one * 263 + two * 7) % (RARE // 2) * 2 + (last < end)
+    begin = np.cumsum([1, *[len(p) + 1 for p in parts]])
+    return h, kind.astype(np.int16), np.searchsorted(begin, start, side="right") - 1
+
+
+#: Distinct words of a task that are added up before they go out.
+MOST_WORDS = 1_000_000
+
+
+def _added(hashes: list[np.ndarray], kinds: list[np.ndarray], counts: list[np.ndarray]):
+    h, first, back = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    return h, np.concatenate(kinds)[first], np.bincount(back, weights=np.concatenate(counts), minlength=len(h)).astype(np.int64)
 
 
 def counts_of(df: DataFrame, text: str) -> DataFrame:
@@ -81,18 +114,23 @@ def counts_of(df: DataFrame, text: str) -> DataFrame:
     ship(df.sparkSession)
 
     def run(batches):
-        words, n = Words(), np.zeros(0, np.int64)
+        held, size = [], 0
         for batch in batches:
-            for _, texts in slices(batch.column(0)):
-                at = words.number([w for t in texts for w in ascii_words(t)])
-                n = np.bincount(at, minlength=len(words.hash)) + np.pad(n, (0, len(words.hash) - len(n)))
-                if len(words.hash) > MOST_WORDS:
-                    yield out(words, n)
-                    words, n = Words(), np.zeros(0, np.int64)
-        yield out(words, n)
-
-    def out(words, n):
-        return pa.RecordBatch.from_arrays([pa.array(words.hash), pa.array(words.kind.astype(np.int32)), pa.array(n.astype(np.int64))], names=["h", "kind", "c"])
+            for _, texts in slices(batch.column(0), SLICE):
+                h, kind, _ = tokens(texts)
+                held.append(_added([h], [kind], [np.ones(len(h))]))
+                size += len(held[-1][0])
+                if size > 2 * MOST_WORDS:
+                    held = [_added(*zip(*held))]
+                    size = len(held[0][0])
+                    if size > MOST_WORDS:
+                        yield out(*held[0])
+                        held, size = [], 0
+        if held:
+            yield out(*_added(*zip(*held)))
+
+    def out(h, kind, c):
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(kind.astype(np.int32)), pa.array(c)], names=["h", "kind", "c"])
 
     parts = df.select(F.col(text).alias("t")).mapInArrow(run, "h long, kind int, c long")
     return parts.groupBy("h").agg(F.min("kind").alias("kind"), F.sum("c").alias("c"))
@@ -152,37 +190,25 @@ _CODED = [
 def coded(df: DataFrame, corpus, text: str, passed: tuple[str, ...]) -> DataFrame:
     """Per document: words, words with told counts, their summed log10(count + 0.5) (own
     vocabulary and rest), the network's ids, and hashes of words without told counts."""
-    state: dict = {}
-
     def of(texts):
         c = corpus.value
-        words = state.get("words")
-        if words is None or len(words.hash) > MOST_WORDS:
-            words = state["words"] = Words()
-            state["table"] = (np.zeros(0, np.int64), np.zeros(0, np.int32))
-        lists = [ascii_words(t) for t in texts]
-        n = np.array([len(x) for x in lists], np.int64)
-        at = words.number([w for x in lists for w in x])
-        count, own = state["table"]
-        if len(count) < len(words.hash):
-            more, ids = c.look(words.hash[len(count):])
-            count, own = state["table"] = np.concatenate([count, more]), np.concatenate([own, ids])
+        h, kind, doc = tokens(texts)
+        distinct, at = np.unique(h, return_inverse=True)
+        count, own = c.look(distinct)
         log, of_own, told = np.log10(count + 0.5), own >= 0, count > 0
-        ids = np.where(of_own, own, OWN + words.kind).astype(np.int16)[at]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        doc = np.repeat(np.arange(len(texts)), n)
+        ids = np.where(of_own[at], own[at], OWN + kind).astype(np.int16)
+        n = np.bincount(doc, minlength=len(texts))
         add = lambda w: np.bincount(doc, weights=w, minlength=len(texts)).astype(float)
         far = ~told[at]
-        rare = words.hash[at[far]]
-        rare_ends = np.concatenate([[0], np.cumsum(np.bincount(doc[far], minlength=len(texts)))])
-        lists_of = lambda e, v, kind: pa.ListArray.from_arrays(pa.array(e, pa.int32()), pa.array(v, kind))
+        offsets = lambda k: pa.array(np.concatenate([[0], np.cumsum(k)]), pa.int32())
         return (
-            pa.array(n), pa.array(add(told[at]).astype(np.int64)),
+            pa.array(n.astype(np.int64)), pa.array(add(told[at]).astype(np.int64)),
             pa.array(add((log * of_own)[at])), pa.array(add((log * (told & ~of_own))[at])),
-            lists_of(ends, ids, pa.int16()), lists_of(rare_ends, rare, pa.int64()),
+            pa.ListArray.from_arrays(offsets(n), pa.array(ids, pa.int16())),
+            pa.ListArray.from_arrays(offsets(np.bincount(doc[far], minlength=len(texts))), pa.array(h[far], pa.int64())),
         )
 
-    return map_texts(df, text, passed, _CODED, of)
+    return map_texts(df, text, passed, _CODED, of, SLICE)
 
 
 def _sigmoid(x):

@@ -36,6 +36,19 @@ def check_language_model(df, rows, learned):
     assert all(r["learned"] == learned(r["doc_id"]) and math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
 
 
+def test_words_and_hashes():
+    texts = ["One two, THREE... one", None, "", " \n\t", "Ä ä\x0bé", "....", "x" * 5000 + "!!", "one\r\ntwo", "ab ba abab baba"]
+    words = [(w, i) for i, t in enumerate(texts) for w in (t or "").encode().lower().split()]
+    h, kind, doc = language_model.tokens(texts)
+    assert doc.tolist() == [i for _, i in words]
+    by = {}
+    for (w, _), x, k in zip(words, h.tolist(), kind.tolist()):
+        assert by.setdefault(w, (x, k)) == (x, k) and 0 <= k < language_model.RARE
+        assert k % 2 == (w.rstrip(b".,;:!?\"')]}*&%$#") != w)
+    assert len({x for x, _ in by.values()}) == len(by)
+    assert all(language_model.tokens([t])[0].tolist() == [x for x, d in zip(h.tolist(), doc.tolist()) if d == i] for i, t in enumerate(texts))
+
+
 def test_op5(spark, documents):
     rows = queries.op5_language_model(spark, SF).collect()
     learned = lambda i: zlib.crc32(str(i).encode()) % 5 != 1
