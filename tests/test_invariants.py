@@ -1,5 +1,4 @@
 """Invariants of the pipeline outputs and of the physical plans (sf0.001)."""
-import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
