@@ -115,11 +115,12 @@ def search(df: DataFrame, is_query: Column, k: int = 10, vector: str = "embeddin
     rows = df.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     rows = rows.groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector"))
-    some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").toPandas()["vector"]
+    count = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
+    part = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1_000_000))  # about ``sample`` rows, by a hash
+    some = rows.where(part < 1e6 * sample / max(1, count["n"])).select("vec_id", "vector").toPandas().sort_values("vec_id")["vector"]
     models = {}
     for d in sorted({len(v) for v in some}):
         models[d] = learn(np.stack([v for v in some if len(v) == d]).astype(np.float64))
-    count = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
     blocks, sides = max(1, -(-count["n"] // block_rows)), max(1, -(-count["q"] // BLOCK_QUERIES))
     deal = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
