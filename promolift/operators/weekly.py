@@ -31,13 +31,29 @@ def orders_kgl(orders: DataFrame, master: DataFrame) -> DataFrame:
             .withColumn("salesQuantityKgL", to_kgl(F.col("salesQuantity"), F.col("itemUnitConversion"))))
 
 
-def require_mapped(orders: DataFrame, master: DataFrame, shown: int = 5) -> None:
-    """Fail when order lines name items that the master lacks; they would vanish in
-    the join.  The distinct ids (combined before the shuffle) meet the master, not the lines."""
-    ids = orders.select(base_item_id(F.col("itemId")).alias("baseItemId")).where(F.col("baseItemId").isNotNull()).distinct()
-    lost = [r[0] for r in ids.join(master.select("baseItemId"), "baseItemId", "left_anti").limit(shown).collect()]
+def weekly_item_lines(tagged: DataFrame, master: DataFrame) -> DataFrame:
+    """A1 from campaign-tagged, week-aligned order lines without units: one row per (base
+    item, week) as ``weekly_item_sales`` has them, with the master joined behind the roll-up.
+    Rows of items that the master lacks have a null ``itemUnitConversion``."""
+    w = (tagged.withColumn("baseItemId", base_item_id(F.col("itemId"))).where(F.col("baseItemId").isNotNull())
+         .groupBy("baseItemId", "week_start")
+         .agg(F.sum(F.greatest(F.col("salesQuantity").cast("double"), F.lit(0.0))).alias("_q"),
+              *[F.max(c).alias(c) for c in FLAG_COLS],
+              F.min("campaignId").alias("campaignId"), F.count("*").alias("n_lines")))
+    m = master.select("baseItemId", "cluster1To1Id", "itemUnitConversion")
+    return w.join(m, "baseItemId", "left").select(
+        "baseItemId", "week_start", (F.col("_q") * F.col("itemUnitConversion")).alias("salesQuantityKgL"),
+        *FLAG_COLS, "campaignId", "cluster1To1Id", "n_lines", "itemUnitConversion")
+
+
+def require_mapped(weekly: DataFrame, materialize_fn, shown: int = 5) -> DataFrame:
+    """The rows of ``weekly_item_lines``, written once; fails when some belong to
+    items that the master lacks."""
+    w = materialize_fn(weekly)
+    lost = [r[0] for r in w.where(F.col("itemUnitConversion").isNull()).select("baseItemId").distinct().limit(shown).collect()]
     if lost:
         raise ValueError(f"order lines of items without a master row, among them: {sorted(lost)}")
+    return w.drop("itemUnitConversion")
 
 
 def with_week(orders: DataFrame, anchor_weekday: int = 0, date_col: str = "deliveryDate") -> DataFrame:

@@ -56,6 +56,22 @@ def tagged_orders(orders: DataFrame, items: DataFrame, campaigns: DataFrame, cam
     return o, master
 
 
+def weekly_lines(orders: DataFrame, items: DataFrame, campaigns: DataFrame, campaign_start=None,
+                 forecast_date=None, delivery_floor=None) -> tuple[DataFrame, DataFrame]:
+    """A1 straight from the order lines: (item-week rows, master).
+
+    Lines are tagged and rolled up to (base item, week) before they meet the item master;
+    the unit factor is positive, so the floored sum times the factor is the sum of the
+    floored products.  Raw lines are shuffled once, already combined per task, and a hot
+    item is a few rows by then."""
+    o = U.valid_orders(orders, delivery_floor)
+    if forecast_date is not None:
+        o = U.asof_orders(o, forecast_date)
+    o = WK.with_week(C.tag_campaigns(o, campaigns), anchor_weekday(campaign_start))
+    master = U.item_master(items)
+    return WK.weekly_item_lines(o, master), master
+
+
 def weekly_frames(tagged: DataFrame, intensity: str = "fractional") -> tuple[DataFrame, DataFrame]:
     """A1 + C1 and A2 (before gap filling)."""
     iw = WK.weekly_item_sales(tagged)
@@ -71,9 +87,8 @@ def preprocess(orders: DataFrame, items: DataFrame, campaigns: DataFrame, horizo
     the normalizers are attached (medians computed once), and after the
     campaign-items filter (the item frame every later step and model reads)."""
     mat = lambda df: materialize(df, materialize_as)
-    tagged, master = tagged_orders(orders, items, campaigns, campaign_start, forecast_date, delivery_floor)
-    WK.require_mapped(U.valid_orders(orders, delivery_floor), master)
-    iw0 = mat(WK.weekly_item_sales(tagged))          # the only pass over the order lines
+    weekly, master = weekly_lines(orders, items, campaigns, campaign_start, forecast_date, delivery_floor)
+    iw0 = WK.require_mapped(weekly, mat)             # the only pass over the order lines
     cw = mat(WK.weekly_cluster_sales(iw0, intensity=intensity))
     iw = WK.add_competition(iw0).drop("n_lines")
     iw = WK.fill_missing_weeks(iw, "baseItemId", WK.week_bounds(iw))

@@ -14,7 +14,7 @@ from ..operators import universe as U
 from ..operators import weekly as WK
 from ..sources import fixtures as FX
 from . import params as P
-from .preprocess import preprocess, tagged_orders
+from .preprocess import preprocess, tagged_orders, weekly_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,8 +57,9 @@ def _tagged(spark, sf, forecast_date=None):
 def _weekly(spark, sf):
     """A1 materialised once (the only pass over the order lines), then A2 and C1 from it."""
     from ..session import cut_lineage
-    t, _ = _tagged(spark, sf)
-    iw0 = cut_lineage(WK.weekly_item_sales(t), "item-weekly")
+    inp = _inputs(spark, sf)
+    rows, _ = weekly_lines(inp.orders, inp.items, inp.campaigns, P.CAMPAIGN_START)
+    iw0 = WK.require_mapped(rows, lambda d: cut_lineage(d, "item-weekly"))
     cw = WK.weekly_cluster_sales(iw0)
     return WK.add_competition(iw0).drop("n_lines"), cw
 

@@ -116,11 +116,17 @@ def test_q28_recency_sample_and_split_are_deterministic(spark):
 
 
 def test_orders_of_unmapped_items_fail_the_job(spark):
-    from promolift.operators.weekly import require_mapped
-    orders = spark.createDataFrame([("M7",), ("8",), (None,)], "itemId string")
-    require_mapped(orders, spark.createDataFrame([("7",), ("8",)], "baseItemId string"))
+    from promolift.operators.weekly import require_mapped, weekly_item_lines
+    day = dt.date(2001, 7, 10)
+    lines = spark.createDataFrame([("M7", day, 2.0), ("7", day, -9.0), ("8", day, 1.0), (None, day, 1.0)], "itemId string, week_start date, salesQuantity double")
+    for c in ("campaign_week_0", "campaign_week_1", "campaign_week_2", "campaign_week_3"):
+        lines = lines.withColumn(c, F.lit(0))
+    lines = lines.withColumn("campaignId", F.lit(None).cast("long"))
+    master = spark.createDataFrame([("7", "c", 0.5), ("8", "c", 1.0)], "baseItemId string, cluster1To1Id string, itemUnitConversion double")
+    got = require_mapped(weekly_item_lines(lines, master), lambda d: d).collect()
+    assert {r["baseItemId"]: (r["salesQuantityKgL"], r["n_lines"]) for r in got} == {"7": (1.0, 2), "8": (1.0, 1)}
     with pytest.raises(ValueError, match="8"):
-        require_mapped(orders, spark.createDataFrame([("7",)], "baseItemId string"))
+        require_mapped(weekly_item_lines(lines, master.where("baseItemId = '7'")), lambda d: d)
 
 
 def test_cluster_smape_needs_a_prediction(spark):
