@@ -1,6 +1,7 @@
 """Language model, toxicity and HTML extraction: brute force, gradients, held-out quality."""
 
 import html
+import itertools
 import math
 import random
 import re
@@ -262,3 +263,30 @@ def test_boosting_learns_an_interaction():
     t = boosting.Trees(rounds=30).fit(x[:2000], y[:2000])
     assert ((t.odds(x[2000:]) > 0) == y[2000:]).mean() > 0.95
     assert (boosting.Trees().fit(x[:5], np.ones(5)).odds(x) > 0).all()
+
+
+@pytest.mark.parametrize("html, runs", [
+    ("<html><head><title>T</title><p>text one<p>two", ["text one", "two"]),
+    ("<html><head><meta charset=x><title>T</title><link rel=y> text <p>two", ["text", "two"]),
+    ("<head><title>T</title><script>a</script><noscript><p>no</p></noscript></head><p>text", ["text"]),
+    ("<p>a <svg viewBox='0 0 1 1'/> b</p><p>c</p><svg><path/></svg><p>d", ["a b", "c", "d"]),
+    ("<p>a <math/> b</p><p>c", ["a b", "c"]),
+    ("<div>a <svg><title>Icon</svg> b</div><svg><style/><g/></svg><p>c", ["a b", "c"]),
+    ("<p>a<svg><g>no</g><span>b</span></svg> c", ["a b c"]),
+    ("<svg><foreignObject><div>no</div></foreignObject></svg><p>a", ["a"]),
+    ("<p>a <button>A <button>B</button> b</p>", ["a b"]),
+    ("<div><button><div>no</div>no</button>a</div>", ["a"]),
+    ("<div><template><p>no</p><template>no</template><p>no</p></template>a</div>", ["a"]),
+    ("<title-bar>a</title-bar><button-row>b</button-row><p>c", ["ab", "c"]),
+    ("<p>a<textarea>no<p>no</p>", ["a"]),
+])
+def test_pages_are_read_to_their_end(html, runs):
+    assert dom.Page(html).run_text == runs
+
+
+@pytest.mark.parametrize("name", sorted(dom.DROPPED))
+def test_unclosed_elements_end_with_their_block(name):
+    """All placements of an element among blocks, closed and unclosed."""
+    for before, after in itertools.product(("", "<p>w</p>", f"<{name}>no</{name}>"), ("<p>x<p>y", f"<p>x</p><{name}>no</{name}><p>y</p>", f"<p>x<{name}>no</p><p>y")):
+        for part in (f"<{name}>no</{name}>", f"<{name} class=c>no", f"<{name}><q>no</q>"):
+            assert dom.Page(f"<html><body>{before}<div>v {part}</div>{after}").run_text == ["w"] * before.count("w") + ["v", "x", "y"]
