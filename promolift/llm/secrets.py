@@ -2,8 +2,8 @@
 
 A text is read as source or configuration: name-literal pairs (``name = "x"``,
 ``name: x``, ``"name": "x"``, ``export NAME=x``, ``<name>x</name>``, ``--name x``).  A
-literal assigned to one name and passed on by that name to another is followed
-(constant propagation), so that it is judged by every name it reaches.  A literal counts
+literal assigned to one name and passed on by that name to another, above or below, is
+followed (constant propagation), so that it is judged by every name it reaches.  A literal counts
 when a sensitive name reaches it and it looks like a key: long, mixed and no placeholder.
 Three base patterns (assignment to a telling name, access key, hexadecimal run) are
 always reported; the lexer adds spans of kind ``literal``.
@@ -39,15 +39,24 @@ SENSITIVE = {
     "private": 0.6, "access": 0.5, "api": 0.4, "key": 0.5, "pass": 0.8, "salt": 0.6, "session": 0.5, "cookie": 0.6,
 }
 PLACEHOLDER = re.compile(r"example|changeme|your|placeholder|xxxx|\*\*\*|dummy|sample|redacted|^(?:true|false|none|null|undefined|todo)$", re.I | re.A)
+#: A name starts at the first letter of its run, so that each run is read once.
 PAIR = re.compile(
-    r"""(?:"(?P<dq>[A-Za-z_][\w.-]{0,63})"|'(?P<sq>[A-Za-z_][\w.-]{0,63})'|(?:--|\b)(?P<bare>[A-Za-z_][\w.-]{0,63}))[ \t]*(?P<op>:=|=>|=|:)[ \t]*"""
-    r"""(?:"(?P<d>[^"\n]{0,400})"|'(?P<s>[^'\n]{0,400})'|(?P<b>[$]?[{]?[A-Za-z0-9_+/.=~-]+))""",
+    r"""(?:"(?P<dq>[A-Za-z_][\w.-]*+)"|'(?P<sq>[A-Za-z_][\w.-]*+)'|(?<![\w.-])(?:[.-]|\d\w*+)*+(?P<bare>[A-Za-z_][\w.-]*+))[ \t]*+(?P<op>:=|=>|=|:)[ \t]*+"""
+    r"""(?:"(?P<d>[^"\n]*+)"|'(?P<s>[^'\n]*+)'|(?P<b>[$]?[{]?[A-Za-z0-9_+/.=~-]++))""",
     re.A,
 )
-ELEMENT = re.compile(r"<([A-Za-z_][\w.-]{0,63})>[ \t]*([^<>\s]{8,400})[ \t]*</\1>", re.A)
+#: Read by itself, since the value of an option may hold pairs (``--header "Token: x"``); another option is no value.
+FLAG = re.compile(
+    r"""(?<![\w.-])--(?P<bare>[A-Za-z_][\w.-]*+)[ \t]++(?!=|--|-[A-Za-z-]*+(?![A-Za-z0-9_+/.=~]))"""
+    r"""(?:"(?P<d>[^"\n]*+)"|'(?P<s>[^'\n]*+)'|(?P<b>[$]?[{]?[A-Za-z0-9_+/.=~-]++))""",
+    re.A,
+)
+ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*+)>[ \t]*+([^<>\s]{8,}+)[ \t]*+</\1>", re.A)
 SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+", re.A)
 IDENTIFIER = re.compile(r"[$]?[{]?([A-Za-z_][\w.]*)", re.A)
 THRESHOLD = 0.75
+#: Longer values hold words of PLACEHOLDER by chance.
+CHANCE = 400
 
 
 def name_score(name: str) -> float:
@@ -58,7 +67,7 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """0 to 1: length, mixed classes and entropy of a literal; 0 for placeholders and prose."""
-    if len(value) < MIN_LITERAL or PLACEHOLDER.search(value) or re.search(r"\s", value):
+    if len(value) < MIN_LITERAL or len(value) <= CHANCE and PLACEHOLDER.search(value) or re.search(r"\s", value):
         return 0.0
     n = Counter(value)
     entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in n.values())
@@ -73,29 +82,77 @@ def pairs(text: str) -> list[tuple[str, str, int, int, bool]]:
         name = m["dq"] or m["sq"] or m["bare"]
         kind = "d" if m["d"] is not None else "s" if m["s"] is not None else "b"
         out.append((name, m[kind], *m.span(kind), kind != "b"))
+    for m in FLAG.finditer(text) if "--" in text else ():
+        kind = "d" if m["d"] is not None else "s" if m["s"] is not None else "b"
+        out.append((m["bare"], m[kind], *m.span(kind), kind != "b"))
     for m in ELEMENT.finditer(text):
         out.append((m[1], m[2], *m.span(2), True))
     return sorted(out, key=lambda x: x[2])
 
 
 def literals(text: str) -> list[tuple[int, int]]:
-    """Spans of literals that a sensitive name reaches."""
-    if "=" not in text and ":" not in text and "</" not in text:
+    """Spans of literals that a sensitive name reaches.
+
+    A name passed on stands for its latest assignment above, or, if there is none, for
+    all those below."""
+    if "=" not in text and ":" not in text and "</" not in text and "--" not in text:
         return []
-    reach: dict[tuple[int, int], float] = {}
-    value_of: dict[tuple[int, int], str] = {}
-    holds: dict[str, tuple[int, int]] = {}
-    for name, value, start, end, quoted in pairs(text):
-        score = name_score(name)
-        known = None if quoted else IDENTIFIER.fullmatch(value.rstrip("}"))
-        if known and known[1] in holds:  # a constant passed on
-            span = holds[known[1]]
-        else:
-            span = (start, end)
-            value_of[span] = value
-        holds[name] = span
-        reach[span] = max(reach.get(span, 0.0), score)
-    return [s for s, score in reach.items() if score and 0.5 * score + 0.5 * literal_score(value_of[s]) >= THRESHOLD and literal_score(value_of[s]) >= 0.4]
+    found = pairs(text)
+    wanted = [None if quoted else IDENTIFIER.fullmatch(value.rstrip("}")) for _, value, _, _, quoted in found]
+    wanted = [m and m[1] for m in wanted]
+    given: dict[str, list[int]] = {}
+    for k, (name, *_) in enumerate(found):
+        given.setdefault(name, []).append(k)
+    above: dict[int, int] = {}
+    last: dict[str, int] = {}
+    for k, (name, *_) in enumerate(found):
+        if wanted[k] in last:
+            above[k] = last[wanted[k]]
+        last[name] = k
+    below = {k: w for k, w in enumerate(wanted) if k not in above and w in given}
+
+    users: dict[int | str, list[int]] = {}  # an assignment, or a name -> those that take its value
+    for k, j in above.items():
+        users.setdefault(j, []).append(k)
+    for k, w in below.items():
+        users.setdefault(w, []).append(k)
+
+    def mark(first: list[int]) -> None:
+        todo = first
+        while todo:
+            k = todo.pop()
+            if k not in grounded:
+                grounded.add(k)
+                todo += users.get(k, []) + users.pop(found[k][0], [])
+
+    grounded: set[int] = set()  # what leads to a literal; the others name only each other
+    mark([k for k in range(len(found)) if k not in above and k not in below])
+    for k in list(below):
+        if k not in grounded:
+            del below[k]
+            mark([k])
+
+    score = [0.0] * len(found)
+    seen: set[str] = set()
+    for s, start in sorted(((name_score(name), k) for k, (name, *_) in enumerate(found)), reverse=True):
+        todo = [start]
+        while todo:
+            k = todo.pop()
+            if score[k] >= s:
+                continue
+            score[k] = s
+            if k in above:
+                todo.append(above[k])
+            elif k in below and below[k] not in seen:
+                seen.add(below[k])
+                todo += given[below[k]]
+    out = set()
+    for k, (_, value, start, end, _) in enumerate(found):
+        if k not in above and k not in below and score[k]:
+            own = literal_score(value)
+            if 0.5 * score[k] + 0.5 * own >= THRESHOLD and own >= 0.4:
+                out.add((start, end))
+    return sorted(out)
 
 
 def spans(text: str | None) -> list[tuple[str, int, int, int, int]]:

@@ -1,6 +1,7 @@
 """Tokenizer, quality rules, secrets and licenses against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -154,6 +155,30 @@ def test_secrets_by_assignment(text, hidden):
     assert secrets.hide(text) == (text if hidden is None else hidden)
 
 
+@pytest.mark.parametrize("size", [400, 401, 2000, 5000, 200_000])
+def test_secrets_of_any_length(size):
+    value = "".join(random.Random(size).choices("abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789+/", k=size))
+    name = "x" * size + "_credential"
+    for form in ('"private_key": "{}"', "authorization='{}'", "<pwd>{}</pwd>", "--bearer {}", "--session '{}'", "a = 1; session: {}", f'{name} = "{{}}"', f"<{name}>{{}}</{name}>"):
+        assert secrets.hide(f"before {form.format(value)}\nafter") == f"before {form.format('[SECRET]')}\nafter"
+    assert secrets.literals(f'private_key = "{value}') == []
+
+
+@pytest.mark.parametrize("text, hidden", [
+    ("run --password Xy9kQ2mN8pLz --verbose", "run --password [SECRET] --verbose"),
+    ('--passphrase "k9$Zq2!vLm4"', '--passphrase "[SECRET]"'),
+    ("--password --dry-run-mode-x9", None), ("--token -vvvverbosely", None),
+    ('--header "X-Credential: k9Zq2vLm4abcd"', '--header "X-Credential: [SECRET]"'),
+    ('f(pwd=KEY)\nKEY = "aZ39kLmQpo22x"', 'f(pwd=KEY)\nKEY = "[SECRET]"'),
+    ('pwd = A1\nA1 = B1\nB1 = "aZ39kLmQpo22x"\n', 'pwd = A1\nA1 = B1\nB1 = "[SECRET]"\n'),
+    ('pwd = K\nK = "aZ39kLmQpo22x"\nK = "bY48jMnRqp33w"', 'pwd = K\nK = "[SECRET]"\nK = "[SECRET]"'),
+    ('K = "aZ39kLmQpo22x"\npwd = K\nK = "bY48jMnRqp33w"', 'K = "[SECRET]"\npwd = K\nK = "bY48jMnRqp33w"'),
+    ("pwd = Xy9kQ2mN8pLz\nXy9kQ2mN8pLz = pwd", "pwd = [SECRET]\nXy9kQ2mN8pLz = pwd"),
+])
+def test_secrets_by_options_and_later_constants(text, hidden):
+    assert secrets.hide(text) == (text if hidden is None else hidden)
+
+
 def test_secret_redaction_of_odd_rows(odd_documents, no_documents, spark):
     out = secrets.redact(odd_documents)
     assert out.columns == odd_documents.columns
