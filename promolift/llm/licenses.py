@@ -7,8 +7,9 @@ is marked with ``@`` so that a match belongs to one place.  A match is suppresse
 another one contains its interval, or covers the same interval with a higher priority.
 Three base phrases are counted at every place and always keep their labels.
 
-Rules come from names of licenses times the phrases that introduce them, a few hundred in
-all.  There is no shuffle, and the work per anchor is bounded by the window.
+Rules are names of licenses, which phrases that introduce them make heavier; the short
+identifiers of SPDX tags, also further ones of an expression; and sentences of license
+texts, notices and copyright lines.  There is no shuffle, and the work per anchor is bounded by the window.
 
 Defined cases: a null or empty text has no words and no labels, score 0; texts are read
 whole; equal texts get equal results; extra columns are passed on only if named; an empty
@@ -28,8 +29,11 @@ ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-KEYWORDS = r"(?i)licen[sc]|copyright|spdx|[al]?gpl|creative\W+commons|\bcc\W+by\b|\bcc0\b|public\W+domain|unlicense|all\W+rights\W+reserved"
-AROUND = 10
+KEYWORDS = (
+    r"(?i)licen[sc]|copyright|spdx|[al]?gpl|creative\W+commons|\bcc\W+by\b|\bcc0\b|public\W+domain|unlicense|all\W+rights\W+reserved"
+    r"|hereby[\W_]+grant|redistribution[\W_]+and|redistribute[\W_]+it|unencumbered|noninfringement|non[\W_]+infringement|substantial[\W_]+portions|software[\W_]+is[\W_]+provided|endorse[\W_]+or"
+    r"|advertising[\W_]+materials|altered[\W_]+source|software[\W_]+without[\W_]+restriction|is[\W_]+basis|in[\W_]+compliance[\W_]+with|with[\W_]+the[\W_]+distribution|intent[\W_]+of[\W_]+this[\W_]+document|whatever[\W_]+you[\W_]+want"
+)
 
 _V = r"(?: version)?"
 #: (label, anchor word, name as a pattern with the anchor marked, weight)
@@ -108,23 +112,121 @@ LEADS = (
     ("", 1, 0.0),
     (r"(?:licen[sc]ed|released|distributed|published|available|provided|dual licensed) under (?:the )?(?:terms of )?(?:the )?", 3, 0.1),
     (r"(?:subject to|covered by|governed by|in accordance with) (?:the )?(?:terms of )?(?:the )?", 2, 0.05),
-    (r"spdx license identifier ", 4, 0.1),
 )
+#: (label, short identifier as a pattern), as they stand after SPDX-License-Identifier
+IDS = (
+    ("mit", "mit"), ("mit-0", "mit 0"), ("x11", "x11"), ("apache-1.1", "apache 1 1"), ("apache-2.0", "apache 2 0"),
+    *((f"{g}gpl-{v}", f"{g}gpl {v[0]} {v[2]}(?: only| or later)?") for g, v in (("", "1.0"), ("", "2.0"), ("", "3.0"), ("l", "2.0"), ("l", "2.1"), ("l", "3.0"), ("a", "1.0"), ("a", "3.0"))),
+    ("gfdl", r"gfdl 1 \d(?: only| or later)?"), ("mpl-1.1", "mpl 1 1"), ("mpl-2.0", "mpl 2 0"), ("epl-1.0", "epl 1 0"), ("epl-2.0", "epl 2 0"),
+    ("eupl", r"eupl 1 \d"), ("cddl", r"cddl 1 \d"), ("cpl-1.0", "cpl 1 0"), ("bsd-1-clause", "bsd 1 clause"), ("bsd-2-clause", "bsd 2 clause"),
+    ("bsd-3-clause", "bsd 3 clause"), ("bsd-4-clause", "bsd 4 clause"), ("0bsd", "0bsd"), ("isc", "isc"), ("zlib", "zlib"), ("boost", "bsl 1 0"), ("busl-1.1", "busl 1 1"),
+    ("artistic", "artistic 1 0"), ("artistic-2.0", "artistic 2 0"), ("wtfpl", "wtfpl"), ("python", r"(?:python|psf) 2 \d"), ("php", r"php 3 \d+"), ("ofl-1.1", "ofl 1 1"),
+    ("odbl", "odbl 1 0"), ("postgresql", "postgresql"), ("openssl", "openssl"), ("unlicense", "unlicense"), ("cc0", "cc0 1 0"),
+    *((f"cc-{k.replace(' ', '-')}", rf"cc {k} \d \d") for k in ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd")),
+    ("ncsa", "ncsa"), ("upl-1.0", "upl 1 0"), ("ms-pl", "ms pl"), ("osl-3.0", "osl 3 0"), ("afl-3.0", "afl 3 0"), ("ecl-2.0", "ecl 2 0"), ("hpnd", "hpnd"), ("sspl-1.0", "sspl 1 0"),
+    ("zpl-2.1", "zpl 2 1"), ("cecill-2.1", "cecill 2 1"), ("mulanpsl-2.0", "mulanpsl 2 0"), ("unicode", "unicode dfs 201[56]"), ("blueoak-1.0.0", "blueoak 1 0 0"), ("beerware", "beerware"),
+)
+_GNU = "as published by the free software @foundation (?:either )?version"
+#: (label, anchor word, sentence of a licence or notice, weight)
+NOTICES = (
+    ("mit", "hereby", r"permission is @hereby granted free of charge(?: to any person obtaining a copy(?: of this software)?)?", 0.8),
+    ("mit", "substantial", r"permission notice shall be included in all copies or @substantial portions of the software", 0.8),
+    ("mit", "restriction", r"deal in the software without @restriction", 0.8),
+    ("mit", "noninfringement", r"particular purpose and @noninfringement", 0.6),
+    ("ncsa", "restriction", r"deal with the software without @restriction", 0.9),
+    ("boost", "hereby", r"permission is @hereby granted free of charge to any person or organization obtaining a copy", 0.9),
+    ("boost", "infringement", r"particular purpose title and non @infringement", 0.8),
+    ("unicode", "hereby", r"permission is @hereby granted free of charge to any person obtaining a copy of the unicode", 0.9),
+    ("upl-1.0", "hereby", r"permission is @hereby granted to any person obtaining a copy of this software", 0.9),
+    ("as-is", "provided", r"th(?:e|is) software is @provided as is", 0.4),
+    ("isc", "hereby", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is @hereby granted", 0.9),
+    ("0bsd", "hereby", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is @hereby granted the software is provided", 0.95),
+    ("isc", "provided", r"the software is @provided as is and (?:the author|isc) disclaims all warranties", 0.8),
+    ("hpnd", "hereby", r"permission to use copy modify and distribute this software and its documentation for any purpose (?:and )?without fee is @hereby granted", 0.9),
+    ("postgresql", "hereby", r"without fee and without a written agreement is @hereby granted", 0.9),
+    ("bsd", "redistribution", r"@redistribution and use in source and binary forms(?: with or without modification)?", 0.8),
+    ("bsd", "provided", r"this software is @provided by the (?:copyright holders?|regents|authors?)(?: and contributors)? as is", 0.8),
+    ("bsd-2-clause", "distribution", r"materials provided with the @distribution this software is provided by", 0.9),
+    ("bsd-3-clause", "endorse", r"may be used to @endorse or promote products derived from this software", 0.9),
+    ("bsd-4-clause", "advertising", r"all @advertising materials mentioning features or use of this software", 0.9),
+    ("apache-1.1", "endorse", r"must not be used to @endorse or promote products derived from this software", 0.8),
+    ("apache", "compliance", r"you may not use this file except in @compliance with the license", 0.7),
+    ("apache-2.0", "basis", r"distributed on an as is @basis without warranties or conditions of any kind", 0.9),
+    ("apache-2.0", "hereby", r"each contributor @hereby grants to you a perpetual worldwide", 0.9),
+    ("mpl-1.1", "basis", r"distributed on an as is @basis without warranty of any kind", 0.8),
+    ("mpl-2.0", "form", r"this source code @form is subject to the terms of the mozilla public license v 2 0", 0.95),
+    ("epl-1.0", "accompanying", r"the @accompanying materials are made available under the terms of the eclipse public license v(?:ersion)? ?1 0", 0.95),
+    ("epl-2.0", "accompanying", r"the @accompanying materials are made available under the terms of the eclipse public license v(?:ersion)? ?2 0", 0.95),
+    ("gpl", "redistribute", r"you can @redistribute it and or modify it under the terms of the gnu general public license", 0.9),
+    ("lgpl", "redistribute", r"you can @redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", 0.9),
+    ("agpl", "redistribute", r"you can @redistribute it and or modify it under the terms of the gnu affero general public license", 0.9),
+    ("gpl-2.0", "foundation", rf"gnu general public license {_GNU} 2", 0.95),
+    ("gpl-3.0", "foundation", rf"gnu general public license {_GNU} 3", 0.95),
+    ("lgpl-2.1", "foundation", rf"gnu lesser general public license {_GNU} 2 1", 0.95),
+    ("lgpl-3.0", "foundation", rf"gnu lesser general public license {_GNU} 3", 0.95),
+    ("agpl-3.0", "foundation", rf"gnu affero general public license {_GNU} 3", 0.95),
+    ("zlib", "provided", r"this software is @provided as is without any express or implied warranty", 0.9),
+    ("zlib", "altered", r"@altered source versions must be plainly marked as such", 0.9),
+    ("unlicense", "unencumbered", r"this is free and @unencumbered software released into the public domain", 0.95),
+    ("artistic", "intent", r"the @intent of this document is to state the conditions under which a package may be copied", 0.9),
+    ("beerware", "whatever", r"retain this notice you can do @whatever you want with this stuff", 0.9),
+    ("copyright", "copyright", r"@copyright (?:c )?(?:19|20)\d\d", 0.3),
+    *((label, "copyright", rf"@copyright (?:c )?(?:\d+ )*{holder}", 0.6) for label, holder in (
+        ("bsd", "the regents of the university of california"), ("apache", "the apache software foundation"), ("mit", "massachusetts institute of technology"), ("isc", "(?:by )?internet (?:systems|software) consortium"),
+        ("zlib", "jean loup gailly"), ("python", "python software foundation"), ("postgresql", "(?:the )?postgresql global development group"), ("openssl", "the openssl project"), ("php", "the php group"),
+    )),
+)
+#: A further identifier of an expression belongs to SPDX where so many words back the tag and only identifiers stand.
+EXPRESSION = 64
+_ID_WORD = "|".join(sorted({w for _, p in IDS for w in p.replace("(?: only| or later)?", "").replace("(?:python|psf)", "python psf").split(" ")} | set("only or later and with exception classpath gcc llvm linux syscall note".split())))
+_IN_EXPRESSION = rf"(?<![^ ])license identifier (?:(?:{_ID_WORD}|[0-9]+) )+$"
+
+
+def _whole(pattern: str) -> str:
+    return r"(?<![^ ])" + pattern + r"(?![^ ])"
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
-    """(label, anchor, pattern, priority, weight), names times leads."""
+    """(label, anchor, pattern, priority, weight): names times leads, identifiers, sentences."""
     return [
-        (label, anchor, r"(?<![^ ])" + lead + name + r"(?![^ ])", priority, min(1.0, weight + more))
-        for lead, priority, more in LEADS for label, anchor, name, weight in NAMES
+        *((label, anchor, _whole(lead + name), priority, min(1.0, weight + more)) for lead, priority, more in LEADS for label, anchor, name, weight in NAMES),
+        *((label, "identifier", _whole("spdx license @identifier " + name), 4, 1.0) for label, name in IDS),
+        *((label, anchor, _whole(f"@{anchor} {name}"), 4, 1.0) for label, name in IDS for anchor in ("or", "and")),
+        *((label, anchor, _whole(sentence), 2, weight) for label, anchor, sentence, weight in NOTICES),
     ]
 
 
+def _longest(pattern: str) -> int:
+    """Spaces in the longest text of a pattern of words, (?:a|b) and ?."""
+    best, here, k = 0, 0, 0
+    while k < len(pattern):
+        if pattern.startswith("(?:", k):
+            depth, end = 1, k + 3
+            while depth:
+                depth += {"(": 1, ")": -1}.get(pattern[end], 0)
+                end += 1
+            here += _longest(pattern[k + 3:end - 1])
+            k = end
+        elif pattern[k] == "|":
+            best, here, k = max(best, here), 0, k + 1
+        else:
+            here += pattern[k] == " "
+            k += 1
+    return max(best, here)
+
+
+#: Words beside an anchor that a rule can need; years of a copyright line may be several.
+AROUND = max(_longest(part) for lead, *_ in LEADS for p in [*(lead + n[2] for n in NAMES), *(n[2] for n in NOTICES), *(f"spdx license @identifier {n}" for _, n in IDS)] for part in p.split("@")) + 2
+
+
 def _rule_table() -> Column:
-    return F.array(*[F.struct(F.lit(a).alias("label"), F.lit(b).alias("anchor"), F.lit(c).alias("pattern"), F.lit(d).alias("priority"), F.lit(e).alias("weight")) for a, b, c, d, e in rules()])
+    of: dict[str, list] = {}
+    for a, b, c, d, e in rules():
+        of.setdefault(b, []).append(F.struct(F.lit(a).alias("label"), F.lit(c).alias("pattern"), F.lit(d).alias("priority"), F.lit(e).alias("weight")))
+    return F.create_map(*[x for anchor, own in of.items() for x in (F.lit(anchor), F.array(*own))])
 
 
-ANCHORS = tuple(sorted({n[1] for n in NAMES}))
+ANCHORS = tuple(sorted({r[1] for r in rules()} - {"or", "and"}))
 
 
 def words_of(text: Column) -> Column:
@@ -147,7 +249,15 @@ def _all(conditions: list[Column]) -> Column:
 
 def matches(words: Column, table: Column) -> Column:
     """Matches (label, from, to, priority, weight) of every anchor: an array of arrays."""
-    anchors = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w"))), lambda a: a["w"].isin(*ANCHORS))
+    def in_expression(a: Column) -> Column:
+        before = F.slice(words, F.greatest(F.lit(1), a["i"] + 1 - EXPRESSION), F.least(a["i"], F.lit(EXPRESSION)))
+        return F.concat(F.array_join(before, " "), F.lit(" ")).rlike(_IN_EXPRESSION)
+
+    numbered = F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w")))
+    anchors = F.when(
+        F.array_contains(words, "spdx"),
+        F.filter(numbered, lambda a: a["w"].isin(*ANCHORS) | (a["w"].isin("or", "and") & in_expression(a))),
+    ).otherwise(F.filter(numbered, lambda a: a["w"].isin(*ANCHORS)))
 
     def window(a: Column) -> Column:
         before = F.slice(words, F.greatest(F.lit(1), a["i"] + 1 - AROUND), F.least(a["i"], F.lit(AROUND)))
@@ -155,7 +265,7 @@ def matches(words: Column, table: Column) -> Column:
         return F.array_join(F.concat(before, F.array(F.concat(F.lit("@"), a["w"])), after), " ")
 
     def found(a: Column) -> Column:
-        own = F.filter(table, lambda r: r["anchor"] == a["w"])
+        own = F.element_at(table, a["w"])
         spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
         hit = lambda text: F.transform(own, lambda r: F.struct(r.alias("r"), F.call_function("regexp_extract", text, r["pattern"], F.lit(0)).alias("m")))
         one = lambda x: F.struct(

@@ -225,6 +225,29 @@ def test_licenses_of_odd_texts(spark, odd_documents, no_documents):
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == plain_licenses(text)[:4]
 
 
+def test_license_identifiers_and_sentences(spark):
+    tag = "SPDX-License-Identifier: "
+    texts = [
+        (tag + "MIT", ["mit"]), (tag + "Apache-2.0", ["apache-2.0"]), (tag + "BSD-3-Clause", ["bsd-3-clause"]), (tag + "MPL-2.0", ["mpl-2.0"]), (tag + "ISC", ["isc"]),
+        (tag + "MIT-0", ["mit-0"]), (tag + "(MIT OR Apache-2.0) AND BSD-2-Clause\nor zlib and more", ["apache-2.0", "bsd-2-clause", "mit", "zlib"]), (tag + "none of mit or isc", []),
+        (tag + " OR ".join(["MIT", "BSD-3-Clause", "GPL-2.0-or-later", "LGPL-2.1-only"] * 3 + ["ISC"]), ["bsd-3-clause", "gpl-2.0", "isc", "lgpl-2.1", "mit"]),
+        ("Permission is hereby granted, free of charge", ["mit"]), ("Redistribution and use in source and binary forms", ["bsd"]), ("THE SOFTWARE IS PROVIDED AS IS", ["as-is"]),
+        ('THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES', ["isc"]), ("any express or implied warranty", []),
+        ("Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software", ["boost"]),
+        ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that", ["isc"]),
+        ("materials provided with the distribution.\n\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\"", ["bsd", "bsd-2-clause"]),
+        ("may be used to endorse or promote products derived from this software", ["bsd-3-clause"]),
+        ('distributed on an "AS IS" BASIS,\n# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND', ["apache-2.0"]),
+        ("GNU General Public License as published by\n * the Free Software Foundation; either version 2 of the License", ["gpl", "gpl-2.0"]),
+        ("This software is provided 'as-is', without any express or implied\nwarranty.", ["zlib"]), ("Copyright (c) 2011 Some One", ["copyright"]),
+        ("Copyright (c) 1982, 1986 The Regents of the University of California.", ["bsd"]),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    for r in licenses.scan(df).collect():
+        text, want = texts[r["doc_id"]]
+        assert r["labels"] == want and (r["score"] > 0) == bool(want), text
+
+
 def test_license_rules_number_hundreds():
     assert len(licenses.rules()) >= 200
 
