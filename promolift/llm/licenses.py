@@ -30,7 +30,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
 KEYWORDS = (
-    r"(?i)licen[sc]|copyright|spdx|[al]?gpl|creative\W+commons|\bcc\W+by\b|\bcc0\b|public\W+domain|unlicense|all\W+rights\W+reserved"
+    r"(?i)licen[sc]|copyright|spdx|[al]?gpl|gnu|creative[\W_]+commons|(?<![a-z0-9])cc[\W_]+by(?![a-z0-9])|(?<![a-z0-9])cc0(?![a-z0-9])|public[\W_]+domain|all[\W_]+rights[\W_]+reserved"
     r"|hereby[\W_]+grant|redistribution[\W_]+and|redistribute[\W_]+it|unencumbered|noninfringement|non[\W_]+infringement|substantial[\W_]+portions|software[\W_]+is[\W_]+provided|endorse[\W_]+or"
     r"|advertising[\W_]+materials|altered[\W_]+source|software[\W_]+without[\W_]+restriction|is[\W_]+basis|in[\W_]+compliance[\W_]+with|with[\W_]+the[\W_]+distribution|intent[\W_]+of[\W_]+this[\W_]+document|whatever[\W_]+you[\W_]+want"
 )

@@ -241,11 +241,14 @@ def test_license_identifiers_and_sentences(spark):
         ("GNU General Public License as published by\n * the Free Software Foundation; either version 2 of the License", ["gpl", "gpl-2.0"]),
         ("This software is provided 'as-is', without any express or implied\nwarranty.", ["zlib"]), ("Copyright (c) 2011 Some One", ["copyright"]),
         ("Copyright (c) 1982, 1986 The Regents of the University of California.", ["bsd"]),
+        ("GNU General Public terms", ["gpl"]), ("creative_commons_attribution", ["cc-by"]), ("CC_BY_4", ["cc-by"]), ("in the public_domain", ["public-domain"]), ("all_rights_reserved", ["proprietary"]),
     ]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
     for r in licenses.scan(df).collect():
         text, want = texts[r["doc_id"]]
         assert r["labels"] == want and (r["score"] > 0) == bool(want), text
+    led = spark.createDataFrame([(1, "in accordance with the terms of the GNU Lesser General Public License")], "doc_id long, text string")
+    assert ("lgpl", 2, 0) in [(m["label"], m["priority"], m["from"]) for m in licenses.scan(led).first()["matches"]]
 
 
 def test_license_rules_number_hundreds():
