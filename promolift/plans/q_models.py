@@ -150,29 +150,32 @@ def best_worst(spark, sf):
 
 # --- walk-forward validation and search (P13, P14, S8) ------------------------------------
 
-TUNING_TRIALS = 2   # search budget of the registered run (the search itself is unbounded)
+TUNING_TRIALS = 50   # search budget of each level
 
 
-def _cluster_frame(spark, sf):
+def _level_frames(spark, sf):
+    """(level, weekly frame, written once) of both levels."""
     from .registry import _pre
     from .preprocess import materialize
-    return materialize(_pre(spark, sf).cluster_weekly, "checkpoint")
+    pre = _pre(spark, sf)
+    return [("item", materialize(pre.item_weekly, "checkpoint")), ("cluster", materialize(pre.cluster_weekly, "checkpoint"))]
 
 
 @register("walk_forward_scores")
 def walk_forward_scores(spark, sf):
-    """P13 with the default cluster-model settings: one row per (model week, fold)."""
+    """P13 with the default settings of each level: one row per (level, model week, fold)."""
     from .tune import walk_forward_cv
-    rows = walk_forward_cv(_cluster_frame(spark, sf), "cluster")
-    return spark.createDataFrame(rows, "model_week long, fold long, n_train long, n_val long, smape double")
+    rows = [(level, *r) for level, frame in _level_frames(spark, sf) for r in walk_forward_cv(frame, level)]
+    return spark.createDataFrame(rows, "level string, model_week long, fold long, n_train long, n_val long, smape double")
 
 
 @register("tuning_result")
 def tuning_result(spark, sf):
-    """P14 + S8: seeded random search, best record written as JSON and read back."""
+    """P14 + S8: seeded random search at each level, best records written as JSON and read back."""
     from ..sources.io import scratch_path
     from .tune import random_search, save_best
-    trials = random_search(spark, _cluster_frame(spark, sf), "cluster", TUNING_TRIALS)
+    found = [random_search(spark, frame, level, TUNING_TRIALS) for level, frame in _level_frames(spark, sf)]
+    trials = found[0].unionByName(found[1])
     path = scratch_path(spark, "best-params")
     save_best(trials, path)
     return spark.read.json(path)

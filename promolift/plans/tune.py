@@ -20,8 +20,9 @@ from ..operators import training as TR
 MIN_TRAIN, MIN_VAL, MIN_VAL_CAMPAIGN = 50, 10, 3   # fixed: fold skip thresholds
 NO_SCORE = 100.0                                  # fixed: score when no fold is usable
 
-# Fixed search ranges (leaves -> depth, rounds -> iterations: rounds / 20, since one
-# Spark GBT iteration is a full pass of jobs).
+# Fixed search ranges (leaves -> depth, rounds -> iterations).  Rounds are the most there
+# may be: boosting stops at the first round that raises the validation error.  A tolerance
+# above 0 would end small step sizes after a few rounds.
 SEARCH_SPACE = {
     "maxDepth": (3, 10),
     "stepSize": (0.005, 0.1),          # log-uniform
@@ -36,7 +37,7 @@ def _gbt_params(p: dict) -> dict:
     return dict(maxDepth=int(p["maxDepth"]), stepSize=float(p["stepSize"]),
                 subsamplingRate=float(p["subsamplingRate"]),
                 featureSubsetStrategy=f"{float(p['featureFraction']):.3f}",
-                minInstancesPerNode=int(p["minInstancesPerNode"]), maxIter=max(1, int(p["rounds"]) // 20))
+                minInstancesPerNode=int(p["minInstancesPerNode"]), maxIter=int(p["rounds"]), validationTol=0.0)
 
 
 def walk_forward_cv(df: DataFrame, level: str, params: dict | None = None, n_folds: int = 3,
