@@ -26,7 +26,7 @@ from .preprocess import materialize
 
 FEATURES = ["week_sin", "week_cos", "month_sin", "month_cos", "is_campaign_week", "sales_lag_1", "sales_lag_2",
             "sales_rolling4w", "weeks_since_campaign", "campaigns_ytd"]
-SIMPLE_GBT = dict(maxIter=30, maxDepth=5, stepSize=0.1, minInstancesPerNode=10, seed=42)
+SIMPLE_GBT = dict(maxIter=100, maxDepth=5, stepSize=0.1, minInstancesPerNode=10, seed=42)
 STEPS = 3
 
 

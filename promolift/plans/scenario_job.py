@@ -32,7 +32,7 @@ from .preprocess import materialize
 
 SHARE_FLOOR = 1e-6
 ID_CODES = 4096   # ordinal codes that ids are hashed to
-G1_GBT = dict(maxIter=30, maxDepth=6, stepSize=0.05, minInstancesPerNode=20, seed=42)
+G1_GBT = dict(maxIter=2000, maxDepth=6, stepSize=0.05, minInstancesPerNode=20, seed=42)
 
 CLUSTER_FEATURES = ["is_campaign_week", "cluster_sales_lag_1", "cluster_sales_rolling4w", "weeks_since_campaign",
                     "campaigns_ytd", "month", "week", "year", "cluster_idx"]
