@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import extraction, language_model, licenses, mixing, neardup, neighbours, pieces, quality, secrets, sql, toxicity
+from . import binary, extraction, language_model, licenses, mixing, neardup, neighbours, pieces, quality, resampling, secrets, sql, toxicity, trie
 from .common import crc_mod, read
 
 
@@ -79,6 +79,21 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.own_turns(read(spark, sf_dir, "conversations"))
+    rows, convs = trie.branched(turns, base=lambda c: c - c % 5, length=lambda c: F.crc32(c.cast("string").cast("binary")) % 9, most=8)
+    return trie.nodes(rows, convs)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = binary.write(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return binary.checksums(spark, folder)
+
+
 def queries() -> dict:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -91,6 +106,9 @@ def queries() -> dict:
         "op8_license_scan": op8_license_scan,
         "op9_toxicity": op9_toxicity,
         "op10_nearest_vectors": op10_nearest_vectors,
+        "op11_conversation_trie": op11_conversation_trie,
+        "op12_importance_resampling": op12_importance_resampling,
+        "op13_token_files": op13_token_files,
     }
 
 
