@@ -32,19 +32,20 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
-from .common import keep, ship, slices
+from .common import keep, ship
 from .ordering import bases, lookup, spread
 
-#: Units whose ids a worker remembers; beyond that it starts anew (memory only).
-REMEMBERED = 200_000
-#: Characters unpacked at once.
-AT_ONCE = 1_000_000
+#: Pieces whose ids a worker remembers; beyond that it starts anew (memory only).
+REMEMBERED = 1_000_000
+#: Bytes of text encoded at once.
+AT_ONCE = 8_000_000
 
 MANIFEST = "part int, name string, n_documents long, n_ids long"
 
@@ -71,7 +72,11 @@ def cuts_at_space(spec: dict) -> bool:
 
 
 class Encoder:
-    """The tokenizers library over texts, without special ids of its own."""
+    """The tokenizers library over texts, without special ids of its own.  Where the pieces
+    between white space may be encoded apart, a worker encodes each distinct one once and
+    remembers up to REMEMBERED of them."""
+
+    _held: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # the task's core alone
@@ -79,20 +84,65 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.cut = cuts_at_space(json.loads(self.library.to_str()))
-        self.known: dict[bytes, list[int]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+        self.forget()
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """This worker's encoder of a file."""
+        if path not in cls._held:
+            cls._held[path] = cls(path)
+        return cls._held[path]
+
+    def forget(self):
+        self.known: dict[bytes, int] = {}
+        self.begin, self.size, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(8192, np.uint32), 0
+
+    def _learn(self, pieces: list[bytes]) -> np.ndarray:
+        """Encode new pieces; their numbers."""
+        found = [x.ids for x in self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)]
+        first, size = len(self.known), np.fromiter(map(len, found), np.int64, len(found))
+        total = int(size.sum())
+        while first + len(found) > len(self.begin):
+            self.begin, self.size = (np.concatenate([v, np.zeros_like(v)]) for v in (self.begin, self.size))
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used:self.used + total] = np.fromiter((i for x in found for i in x), np.uint32, total)
+        self.size[first:first + len(found)] = size
+        self.begin[first:first + len(found)] = self.used + np.cumsum(size) - size
+        self.used += total
+        self.known.update(zip(pieces, range(first, first + len(found))))
+        return np.arange(first, first + len(found))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one text after the other, and each text's number of ids."""
         if not self.cut:
-            return [x.ids for x in self.library.encode_batch(texts, add_special_tokens=False)]
-        units = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+            found = [x.ids for x in self.library.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, new = self.known, {}
-        for u in units:
-            new.update(dict.fromkeys(x for x in u if x not in known))
-        found = self.library.encode_batch([x.decode("utf-8", "replace") for x in new], add_special_tokens=False)
-        known.update(zip(new, (x.ids for x in found)))
-        return [[i for x in u for i in known[x]] for u in units]
+            self.forget()
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.cast(pa.binary()).to_pylist()
+        number = np.fromiter((self.known.get(w, -1) for w in distinct), np.int64, len(distinct))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = self._learn([distinct[i] for i in new])
+        at = number[words.indices.to_numpy()]
+        size = self.size[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.begin[at] - ends[:-1], size)]
+        return ids, np.diff(ends[split.offsets.to_numpy() - split.offsets[0].as_py()])
+
+
+def _cuts(texts: pa.Array, most: int):
+    """Consecutive (start, count) of about ``most`` bytes."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield start, stop - start
+        start = stop
 
 
 def vocabulary_size(path: str) -> int:
@@ -146,21 +196,21 @@ def write(docs: DataFrame, tokenizer: str, end: int | None, folder: str | None =
             if batch.num_rows == 0:
                 continue
             if coder is None:
-                coder, part = Encoder(tokenizer), batch.column(2)[0].as_py()
+                coder, part = Encoder.of(tokenizer), batch.column(2)[0].as_py()
                 where.create_dir(path, recursive=True)
                 ids, offsets, held = (where.open_output_stream(f"{path}/{name}.{x}") for x in ("ids", "offsets", "keys"))
                 offsets.write(np.zeros(1, "<i8").tobytes())
                 writer = pa.ipc.new_file(held, pa.schema([("key", batch.schema.field(0).type)]))
-            for start, texts in slices(batch.column(1), AT_ONCE):
-                found = coder.encode(texts)
+            for start, n in _cuts(batch.column(1), AT_ONCE):
+                own, size = coder.encode(batch.column(1).slice(start, n))
                 if end is not None:
-                    for x in found:
-                        x.append(end)
-                ends = total + np.cumsum([len(x) for x in found], dtype="<i8")
-                ids.write(np.array([i for x in found for i in x], width).tobytes())
+                    at = np.cumsum(size)
+                    own, size = np.insert(own, at, end), size + 1
+                ends = total + np.cumsum(size, dtype="<i8")
+                ids.write(own.astype(width).tobytes())
                 offsets.write(ends.tobytes())
-                writer.write_batch(pa.record_batch([batch.column(0).slice(start, len(texts))], names=["key"]))
-                total, count = int(ends[-1]), count + len(texts)
+                writer.write_batch(pa.record_batch([batch.column(0).slice(start, n)], names=["key"]))
+                total, count = int(ends[-1]), count + n
         if coder is not None:
             writer.close()
             for f in (ids, offsets, held):
