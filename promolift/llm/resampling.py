@@ -115,6 +115,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 10, least_words:
     gain = gains(bucket_counts(docs, longest, buckets, text), bucket_counts(target, longest, buckets, target_text))
     rows = weights(docs, gain, longest, key, text).select(F.col(key).alias("k"), "n_words", "n_features", "weight")
     rows = rows.withColumn("score", F.col("weight") + noise(F.col("k"), seed)).withColumn("able", F.col("n_words") >= least_words)
+    rows = keep(rows, "scored")   # dealing out ranges reads its rows twice
     # documents too short to be drawn sort behind all others
     kept = keep(spread(rows, [F.col("able").desc(), F.col("score").desc(), F.col("k").asc_nulls_first()]), "resampled")
     able = kept.where("able").count()
