@@ -27,8 +27,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,10 @@ from .ordering import bases, lookup, spread
 #: Pieces whose ids a worker remembers; beyond that it starts anew (memory only).
 REMEMBERED = 1_000_000
 #: Bytes of text encoded at once.
-AT_ONCE = 8_000_000
+AT_ONCE = 32_000_000
+
+#: ASCII letters with marks behind them.
+PLAIN, LETTERS = re.compile(rb"([A-Za-z]+)([.,;:!?]*)"), re.compile(rb"[a-z]+")
 
 MANIFEST = "part int, name string, n_documents long, n_ids long"
 
@@ -67,8 +72,19 @@ def cuts_at_space(spec: dict) -> bool:
     rest = own
     for c in classes:
         rest = rest.replace(c, "")
-    letters = set("".join(x["content"] for x in spec["added_tokens"]))
-    return not any(c.isspace() for c in rest + "".join(letters)) and not set(rest) & set(".[](){}*+?\\^$")
+    added = [x["content"] for x in spec["added_tokens"]]
+    return not any(c.isspace() for c in rest + "".join(added)) and not set(rest) & set(".[](){}*+?\\^$")
+
+
+def parts_plain_words(spec: dict) -> bool:
+    """Whether, beyond ``cuts_at_space``, ASCII letters followed by points and commas are the
+    tokens of the letters in lower case and those of the marks: letters are lowered and kept
+    in runs, and no other choice of the pattern and no added token is of such characters."""
+    steps = spec["normalizer"] and spec["normalizer"].get("normalizers", [spec["normalizer"]]) or []
+    own = (spec["pre_tokenizer"].get("pretokenizers") or [spec["pre_tokenizer"]])[0]["pattern"].get("Regex", "")
+    choices = own.split("|")
+    return (any(x["type"] == "Lowercase" for x in steps) and {r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"} <= set(choices)
+            and all(c.startswith(("'", "[")) for c in choices) and all(re.search(r"[^A-Za-z.,;:!?]", x["content"]) for x in spec["added_tokens"]))
 
 
 class Encoder:
@@ -83,7 +99,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.cut = cuts_at_space(json.loads(self.library.to_str()))
+        spec = json.loads(self.library.to_str())
+        self.cut = cuts_at_space(spec)
+        self.plain = self.cut and parts_plain_words(spec)
         self.forget()
 
     @classmethod
@@ -94,44 +112,69 @@ class Encoder:
         return cls._held[path]
 
     def forget(self):
-        self.known: dict[bytes, int] = {}
-        self.begin, self.size, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(8192, np.uint32), 0
-
-    def _learn(self, pieces: list[bytes]) -> np.ndarray:
-        """Encode new pieces; their numbers."""
-        found = [x.ids for x in self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)]
-        first, size = len(self.known), np.fromiter(map(len, found), np.int64, len(found))
-        total = int(size.sum())
-        while first + len(found) > len(self.begin):
-            self.begin, self.size = (np.concatenate([v, np.zeros_like(v)]) for v in (self.begin, self.size))
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used:self.used + total] = np.fromiter((i for x in found for i in x), np.uint32, total)
-        self.size[first:first + len(found)] = size
-        self.begin[first:first + len(found)] = self.used + np.cumsum(size) - size
-        self.used += total
-        self.known.update(zip(pieces, range(first, first + len(found))))
-        return np.arange(first, first + len(found))
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, one text after the other, and each text's number of ids."""
+        self.known: dict[bytes, int] = {}   # pieces by number; their ids: flat[begin:begin + size]
+        self.begin, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _hold(self, pieces: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
+        """Remember the ids of new pieces."""
+        self.known.update(zip(pieces, range(len(self.size), len(self.size) + len(pieces))))
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, ids])
+
+    def _hold_lists(self, pieces: list[bytes], found: list[list[int]]) -> None:
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        self._hold(pieces, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size)
+
+    def _gather(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known pieces one after the other, and their sizes."""
+        size = self.size[number]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.arange(total) + np.repeat(self.begin[number] - ends + size, size)], size
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Words with marks from the tokens of both parts, all else by the library."""
+        known, pairs, whole = self.known, [], pieces
+        if self.plain:
+            pairs = [(p, m[1].lower(), m[2]) for p in pieces if (m := PLAIN.fullmatch(p)) and (m[2] or not p.islower())]
+            made = {p for p, _, _ in pairs}
+            parts = {x for _, word, marks in pairs for x in (word, marks)}
+            whole = list(dict.fromkeys([*(p for p in pieces if p not in made), *(x for x in parts if x not in known)]))
+            # letters in lower case are one piece of the pattern: its model has them at once
+            words, whole = [p for p in whole if LETTERS.fullmatch(p)], [p for p in whole if not LETTERS.fullmatch(p)]
+            tokens = self.library.model.tokenize
+            self._hold_lists(words, [[t.id for t in tokens(p.decode())] for p in words])
+        self._hold_lists(whole, [x.ids for x in self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in whole], add_special_tokens=False)])
+        if pairs:
+            ids, size = self._gather(np.fromiter((known[x] for _, word, marks in pairs for x in (word, marks)), np.int64, 2 * len(pairs)))
+            self._hold([p for p, _, _ in pairs], ids, size.reshape(-1, 2).sum(1))
+
+    def encode(self, texts: pa.Array):
+        """The texts' ids, in pieces: (number of texts, all their ids one after the other, each
+        text's number of ids)."""
         if not self.cut:
-            found = [x.ids for x in self.library.encode_batch(texts.to_pylist(), add_special_tokens=False)]
-            return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        split = pc.ascii_split_whitespace(texts)
-        words = split.flatten().dictionary_encode()
-        distinct = words.dictionary.cast(pa.binary()).to_pylist()
-        number = np.fromiter((self.known.get(w, -1) for w in distinct), np.int64, len(distinct))
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            number[new] = self._learn([distinct[i] for i in new])
-        at = number[words.indices.to_numpy()]
-        size = self.size[at]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.begin[at] - ends[:-1], size)]
-        return ids, np.diff(ends[split.offsets.to_numpy() - split.offsets[0].as_py()])
+            for start, n in _cuts(texts, AT_ONCE // 8):
+                found = [x.ids for x in self.library.encode_batch(texts.slice(start, n).to_pylist(), add_special_tokens=False)]
+                yield n, np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
+            return
+        for start, n in _cuts(texts, AT_ONCE):
+            if len(self.known) > REMEMBERED:
+                self.forget()
+            split = pc.ascii_split_whitespace(texts.slice(start, n))
+            words = split.flatten().dictionary_encode()
+            distinct = words.dictionary.cast(pa.binary()).to_pylist()
+            new = [w for w in distinct if w not in self.known]
+            if new:
+                self._learn(new)
+            number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+            at, ends = words.indices.to_numpy(), split.offsets.to_numpy() - split.offsets[0].as_py()
+            first = 0
+            while first < n:    # a million words at a time
+                last = min(n, max(first + 1, int(np.searchsorted(ends, ends[first] + 1_000_000, "right")) - 1))
+                ids, size = self._gather(number[at[ends[first]:ends[last]]])
+                places = np.concatenate([[0], np.cumsum(size)])
+                yield last - first, ids, np.diff(places[ends[first:last + 1] - ends[first]])
+                first = last
 
 
 def _cuts(texts: pa.Array, most: int):
@@ -201,16 +244,15 @@ def write(docs: DataFrame, tokenizer: str, end: int | None, folder: str | None =
                 ids, offsets, held = (where.open_output_stream(f"{path}/{name}.{x}") for x in ("ids", "offsets", "keys"))
                 offsets.write(np.zeros(1, "<i8").tobytes())
                 writer = pa.ipc.new_file(held, pa.schema([("key", batch.schema.field(0).type)]))
-            for start, n in _cuts(batch.column(1), AT_ONCE):
-                own, size = coder.encode(batch.column(1).slice(start, n))
+            start = 0
+            for n, own, size in coder.encode(batch.column(1)):
                 if end is not None:
-                    at = np.cumsum(size)
-                    own, size = np.insert(own, at, end), size + 1
+                    own, size = np.insert(own, np.cumsum(size), end), size + 1
                 ends = total + np.cumsum(size, dtype="<i8")
                 ids.write(own.astype(width).tobytes())
                 offsets.write(ends.tobytes())
                 writer.write_batch(pa.record_batch([batch.column(0).slice(start, n)], names=["key"]))
-                total, count = int(ends[-1]), count + n
+                total, count, start = int(ends[-1]), count + n, start + n
         if coder is not None:
             writer.close()
             for f in (ids, offsets, held):

@@ -74,5 +74,58 @@ FROM w LEFT JOIN z USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
 
+#: The CRC-32 table as a list, made bit by bit.
+_CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS tab FROM range(256) t(n))"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes; ``tab`` is in scope."""
+    bytes_ = f"list_transform(range(0, length(hex({text})) // 2), lambda i: ('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {bytes_}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"
+
+
+def conversation_trie() -> str:
+    """Every prefix of every rebuilt conversation as a key of 32 characters a turn."""
+    return f"""
+WITH {_CRC_TABLE},
+o AS (SELECT conv_id AS c, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x, strlen(coalesce(text, '')) AS b,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, {_crc32('c::VARCHAR')} % 9 AS h FROM (SELECT DISTINCT c FROM o), crc),
+r AS (SELECT h.c, o.p, o.x, o.b FROM h JOIN o ON o.c = h.c - h.c % 5 AND o.p <= h.h UNION ALL SELECT h.c, o.p, o.x, o.b FROM h JOIN o ON o.c = h.c AND o.p > h.h),
+q AS (SELECT h.c, coalesce(s.k, '') AS k, coalesce(s.bs, []) AS bs FROM h LEFT JOIN (SELECT c, string_agg(x, '' ORDER BY p) AS k, list(b ORDER BY p) AS bs FROM r GROUP BY c) s USING (c)),
+p AS (SELECT c, k, bs, len(bs) AS n, unnest(range(0, len(bs) + 1)) AS d FROM q),
+node AS (SELECT substr(k, 1, 32 * d) AS k, d, min(c) AS conv_id, count(*) AS n_convs, max(CASE WHEN d > 0 THEN bs[d] ELSE 0 END) AS b,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256 FROM p GROUP BY ALL),
+kids AS (SELECT substr(k, 1, 32 * (d - 1)) AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+one AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids USING (k)),
+up AS (SELECT substr(k, 1, 32 * a) AS k, sum((n_children = 0)::INT) AS leaves, sum((n_convs - 1) * b) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM one) GROUP BY 1)
+SELECT one.conv_id, one.d AS depth, parent.conv_id AS parent_conv_id, one.n_convs, one.n_children::BIGINT AS n_children, up.leaves::BIGINT AS n_leaves, up.saved::BIGINT AS saved_tokens, one.ends_sha256
+FROM one JOIN up ON up.k = one.k LEFT JOIN node parent ON one.d > 0 AND parent.k = substr(one.k, 1, 32 * (one.d - 1))
+"""
+
+
+def importance_resampling() -> str:
+    words = rf"regexp_extract_all({_ASCII_LOWER.format(text="coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS ws FROM documents),
+w AS (SELECT r, unnest(ws) AS x FROM d),
+q AS (SELECT unnest({words}) AS x FROM benchmark),
+k AS (SELECT x, {_crc32('x')} % 10000 AS b FROM (SELECT x FROM w UNION SELECT x FROM q), crc),
+s AS (SELECT b, count(*) AS s FROM w JOIN k USING (x) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM q JOIN k USING (x) GROUP BY b),
+g AS (SELECT x, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM w) + 10000) / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM q) + 10000))))::BIGINT AS gain
+  FROM k LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+m AS (SELECT r, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM w JOIN g USING (x) GROUP BY r),
+z AS (SELECT r, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight, ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM d LEFT JOIN m USING (r)),
+y AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM z),
+v AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM y WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM v) THEN place END AS rank FROM y LEFT JOIN v USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality_rules(), "op4_near_duplicates": near_duplicates()}
+    return {
+        "op3_quality_rules": quality_rules(), "op4_near_duplicates": near_duplicates(), "op11_conversation_trie": conversation_trie(),
+        "op12_importance_resampling": importance_resampling(),
+    }
