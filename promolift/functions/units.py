@@ -11,10 +11,10 @@ WEIGHT_COLS = ["weightKgPreparedItemComparisonUnit", "netWeightKgComparisonUnit"
 
 def unit_conversion(prepared="weightKgPreparedItemComparisonUnit",
                     net="netWeightKgComparisonUnit",
-                    gross="grossWeightKgComparisonUnit") -> Column:
-    """First of prepared, net, gross weight that is > 0, else 1.0."""
+                    gross="grossWeightKgComparisonUnit", otherwise: float | None = 1.0) -> Column:
+    """First of prepared, net, gross weight that is > 0, else ``otherwise``."""
     ws = [F.col(c).cast("double") for c in (prepared, net, gross)]
-    return F.coalesce(*[F.when(w > 0, w) for w in ws], F.lit(1.0))
+    return F.coalesce(*[F.when(w > 0, w) for w in ws], F.lit(otherwise).cast("double"))
 
 
 def legacy_weight(prepared="weightKgPreparedItemComparisonUnit",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import time_features
 from ..functions.mathx import shrink
 from ..functions.stats import exact_median
+from ..schemas import CATEGORY_FEATURES, CATEGORY_IDS
 from .universe import on_campaign
 
 TARGET = "salesQuantityKgL_log"
@@ -142,32 +143,38 @@ def campaign_item_share(item_df: DataFrame, lookback_days: int = LOOKBACK_DAYS)
 
 # --- C3: category lift, recency, frequency -----------------------------------------------
 
-CAT_IDS = [f"categoryLevel{lvl}Id" for lvl in range(1, 5)]
-CATEGORY_FEATURES = ["cat_lift_l1", "cat_lift_l2", "cat_lift_l3", "cat_lift_l4", "best_cat_lift",
-                     "cat_n_obs_l4", "weeks_since_last_campaign_l4", "n_campaigns_historical_l4"]
+def campaign_deviations(weekly: DataFrame, master: DataFrame) -> DataFrame:
+    """A7 observations: every campaign week of an item with its categories and ``deviation``, the
+    log sales less the item's median over plain weeks."""
+    plain = weekly.where(F.col("campaign_week_0") == 1).groupBy("baseItemId").agg(F.median(TARGET).alias("_usual"))
+    told = weekly.where(on_campaign()).select("baseItemId", "week_start", TARGET).join(plain, "baseItemId", "left")
+    ids = [c for c in CATEGORY_IDS if c in master.columns]
+    return told.join(master.select("baseItemId", *ids), "baseItemId", "left").select("week_start", *ids, (F.col(TARGET) - F.col("_usual")).alias("deviation"))
 
 
-def category_lift(item_df: DataFrame, master: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per campaign item-week, lift = log sales - the item's median baseline log;
-    returns (observations with categories, per-level mean/count tables as one frame
-    keyed by (level, category))."""
-    cats = [c for c in CAT_IDS if c in master.columns]
-    df = item_df.join(master.select("baseItemId", *cats), "baseItemId", "left")
-    med = (df.where(F.col("campaign_week_0") == 1).groupBy("baseItemId")
-           .agg(F.median(TARGET).alias("item_baseline_log")))
-    obs = (df.where(on_campaign()).join(med, "baseItemId", "left")
-           .withColumn("lift_log", F.col(TARGET) - F.col("item_baseline_log")))
-    return df, obs
+def _by_level(rows: DataFrame, *kept: str) -> DataFrame:
+    """Each row once per category level that it has: ``level``, ``category``, ``kept``."""
+    pairs = [F.struct(F.lit(n).alias("level"), F.col(c).alias("category")) for n, c in enumerate(CATEGORY_IDS, 1) if c in rows.columns]
+    return rows.select(*kept, F.inline(F.array(*pairs))).where(F.col("category").isNotNull())
 
 
-def level_lifts(obs: DataFrame, lvl: int) -> DataFrame:
-    col = f"categoryLevel{lvl}Id"
-    return (obs.where(F.col(col).isNotNull()).groupBy(col)
-            .agg(F.avg("lift_log").alias(f"cat_lift_l{lvl}"),
-                 F.count("lift_log").alias(f"cat_n_obs_l{lvl}")))
+def category_lifts(observed: DataFrame) -> DataFrame:
+    """Mean deviation and its count for every category of every level, in one aggregate."""
+    return _by_level(observed, "deviation").groupBy("level", "category").agg(F.avg("deviation").alias("mean_lift"), F.count("deviation").alias("n_obs"))
 
 
-def category_recency(df: DataFrame, obs: DataFrame, cat_col: str = "categoryLevel4Id") -> DataFrame:
+def item_lifts(observed: DataFrame, master: DataFrame) -> DataFrame:
+    """M3 per item of the master: the four levels' lifts (0 where unseen), the count of the most
+    specific one and the blend; the lifts meet the items, not their weeks."""
+    found = _by_level(master, "baseItemId").join(category_lifts(observed), ["level", "category"])
+    at = lambda c, n: F.max(F.when(F.col("level") == n, F.col(c)))
+    found = found.groupBy("baseItemId").agg(*[F.coalesce(at("mean_lift", n), F.lit(0.0)).alias(f"cat_lift_l{n}") for n in range(1, 5)],
+                                            *[F.coalesce(at("n_obs", n), F.lit(0)).cast("long").alias(f"_n{n}") for n in range(1, 5)])
+    blend = shrink([(F.col(f"cat_lift_l{n}"), F.col(f"_n{n}").cast("double")) for n in range(1, 5)])
+    return found.select("baseItemId", *[f"cat_lift_l{n}" for n in range(1, 5)], blend.alias("best_cat_lift"), F.col("_n4").alias("cat_n_obs_l4"))
+
+
+def category_recency(df: DataFrame, obs: DataFrame, cat_col: str = CATEGORY_IDS[-1]) -> DataFrame:
     """J10 + W5 on the distinct (category, week) set: weeks since the category's last
     campaign week strictly before this week (104 when none) and the number of
     campaigns before this week (a gap over 21 days starts a new one)."""
@@ -194,33 +201,17 @@ def category_recency(df: DataFrame, obs: DataFrame, cat_col: str = "categoryLeve
 
 def add_category_lift_features(item_df: DataFrame, master: DataFrame) -> DataFrame:
     """cat_lift_l1..l4, best_cat_lift (M3 shrinkage), cat_n_obs_l4, recency and
-    frequency at L4.  Without category columns all eight features are 0."""
-    cats = [c for c in CAT_IDS if c in master.columns]
-    if not cats:
-        out = item_df
-        for c in CATEGORY_FEATURES:
-            out = out.withColumn(c, F.lit(0.0) if "lift" in c else F.lit(0).cast("long"))
-        return out
-    df, obs = category_lift(item_df, master)
-    for lvl in range(1, 5):
-        col = f"categoryLevel{lvl}Id"
-        if col in cats:
-            df = df.join(level_lifts(obs, lvl), col, "left")
-        else:
-            df = df.withColumn(f"cat_lift_l{lvl}", F.lit(None).cast("double")) \
-                   .withColumn(f"cat_n_obs_l{lvl}", F.lit(None).cast("long"))
-        df = df.withColumn(f"cat_lift_l{lvl}", F.coalesce(F.col(f"cat_lift_l{lvl}"), F.lit(0.0))) \
-               .withColumn(f"cat_n_obs_l{lvl}", F.coalesce(F.col(f"cat_n_obs_l{lvl}"), F.lit(0)).cast("long"))
-    df = df.withColumn("best_cat_lift", shrink(
-        [(F.col(f"cat_lift_l{lvl}"), F.col(f"cat_n_obs_l{lvl}").cast("double")) for lvl in range(1, 5)]))
-    if "categoryLevel4Id" in cats:
-        rec = category_recency(df, obs)
-        df = df.join(rec, ["categoryLevel4Id", "week_start"], "left") \
-            .withColumn("weeks_since_last_campaign_l4",
-                        F.coalesce(F.col("weeks_since_last_campaign_l4"), F.lit(NO_HISTORY_WEEKS)).cast("long")) \
-            .withColumn("n_campaigns_historical_l4",
-                        F.coalesce(F.col("n_campaigns_historical_l4"), F.lit(0)).cast("long"))
-    else:
-        df = df.withColumn("weeks_since_last_campaign_l4", F.lit(NO_HISTORY_WEEKS).cast("long")) \
-               .withColumn("n_campaigns_historical_l4", F.lit(0).cast("long"))
-    return df.drop(*cats, "cat_n_obs_l1", "cat_n_obs_l2", "cat_n_obs_l3")
+    frequency at L4, by one join on the item and one on (category, week).  Without category
+    columns all eight features are 0."""
+    counts = {"cat_n_obs_l4": 0, "weeks_since_last_campaign_l4": NO_HISTORY_WEEKS, "n_campaigns_historical_l4": 0}
+    if not any(c in master.columns for c in CATEGORY_IDS):
+        return item_df.withColumns({c: F.lit(0).cast("long") if c in counts else F.lit(0.0) for c in CATEGORY_FEATURES})
+    observed = campaign_deviations(item_df, master)
+    finest = [c for c in CATEGORY_IDS[-1:] if c in master.columns]
+    items = master.select("baseItemId", *finest).join(item_lifts(observed, master), "baseItemId", "left")
+    df = item_df.join(items, "baseItemId", "left")
+    for c in finest:
+        df = df.join(category_recency(df, observed, c), [c, "week_start"], "left").drop(c)
+    missing = {c: F.lit(None) for c in CATEGORY_FEATURES if c not in df.columns}
+    df = df.withColumns(missing) if missing else df
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(counts[c])).cast("long") if c in counts else F.coalesce(F.col(c), F.lit(0.0)) for c in CATEGORY_FEATURES})

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_date, last_complete_week, lit_date
+from ..functions.dates import as_date, last_complete_week, lit_date, time_features
 from ..functions.mathx import clip, LOG_CLIP_HIGH, LOG_CLIP_LOW
 from .training import id_col, week_lag_features
 
@@ -121,6 +121,37 @@ def lag_date_features(df: DataFrame, idc: str, lag_weeks: int, value: str = "sal
     return df.join(prev, [idc, "week_start"], "left")
 
 
+def lag_values(df: DataFrame, idc: str, lags: list[int], value: str = "salesQuantityKgL_log") -> DataFrame:
+    """The values at exactly ``week_start - 7 * lag`` days for all ``lags`` at once: every
+    row is sent to the weeks that look back on it, summed up to one row a week, and joined
+    by date.  Columns ``{value}_lag_{k}w``, null where that week has no row."""
+    sent = df.select(idc, F.col(value).alias("_v"), "week_start", F.explode(F.array(*[F.lit(k) for k in lags])).alias("_lag"))
+    sent = sent.groupBy(idc, F.date_add("week_start", F.col("_lag") * 7).alias("week_start")).agg(
+        *[F.max(F.when(F.col("_lag") == k, F.col("_v"))).alias(f"{value}_lag_{k}w") for k in lags])
+    return df.join(sent, [idc, "week_start"], "left")
+
+
+def lag_date_scoring(df: DataFrame, idc: str, forecast_date, campaign_start, horizon: int, targets: DataFrame | None = None) -> DataFrame:
+    """P5 scoring rows: for each id with rows up to the last complete week and each campaign
+    week N, the features of the row at the lag date (``horizon + N - 1`` weeks before the
+    forecast week), with the forecast week's own time features and campaign flags.
+    ``feature_week`` is the lag date, ``week_start`` the forecast week."""
+    cutoff, start = last_complete_week(forecast_date, campaign_start), as_date(campaign_start)
+    d = df.where(F.col("week_start") <= F.lit(cutoff))
+    if targets is not None:
+        d = d.join(targets.select(F.col(targets.columns[0]).cast("string").alias(idc)).distinct(), idc, "left_semi")
+    week = [start + _dt.timedelta(weeks=n) for n in range(3)]
+    # only three dates are looked up: rows of other weeks are filtered before anything else
+    asked = F.explode(F.filter(F.array(*[F.struct(F.lit(n + 1).alias("n"), F.lit(week[n]).alias("w"), F.lit(week[n] - _dt.timedelta(weeks=horizon + n)).alias("lag")) for n in range(3)]),
+                               lambda x: x["lag"] == F.col("week_start")))
+    own = ["week_of_year", "year", "week_of_year_sin", "week_of_year_cos", *[f"campaign_week_{k}" for k in range(4)]]
+    rows = d.select(*[c for c in df.columns if c not in own], asked.alias("_a"))
+    rows = rows.withColumn("feature_week", F.col("week_start")).withColumn("week_start", F.col("_a.w")).withColumn("campaign_week", F.col("_a.n")).drop("_a")
+    rows = rows.select("*", *time_features(F.col("week_start")), F.lit(0.0).alias("campaign_week_0"),
+                       *[(F.col("campaign_week") == k).cast("double").alias(f"campaign_week_{k}") for k in (1, 2, 3)])
+    return rows
+
+
 def last_year_sales(weekly: DataFrame, idc: str, campaign_start, value: str = "salesQuantityKgL") -> DataFrame:
     """Sales in the same three weeks one calendar year back (Monday aligned), as
     week 1..3, for every id: 0 for a missing week of an id with rows in that window,

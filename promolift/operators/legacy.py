@@ -106,15 +106,15 @@ def legacy_cluster_frame(processed: DataFrame) -> DataFrame:
 
 
 def multi_level_weekly(processed: DataFrame) -> DataFrame:
-    """A10: item, cluster and global weekly frames in one ROLLUP aggregate
+    """A10: item, cluster and global weekly frames in one aggregate over three grouping sets
     (sum sales, max flag, min weeks_since, max ytd), then lag 1 and the 4-week rolling
     mean of the previous weeks per level key (one row per week per key)."""
-    g = processed.rollup("orderDate", "cluster1To1Id", "itemId").agg(
+    keys = ["orderDate", "cluster1To1Id", "itemId"]
+    g = processed.groupingSets([keys, keys[:2], keys[:1]], *keys).agg(
         F.sum("salesQuantityKgL").alias("salesQuantityKgL"), F.max("is_campaign_week").alias("is_campaign_week"),
         F.min("weeks_since_campaign").alias("weeks_since_campaign"), F.max("campaigns_ytd").alias("campaigns_ytd"),
-        F.grouping_id("orderDate", "cluster1To1Id", "itemId").alias("_gid"))
-    # grouping ids: 0 = (week, cluster, item), 1 = (week, cluster), 3 = (week); 7 = grand total
-    g = g.where(F.col("_gid").isin(0, 1, 3))
+        F.grouping_id(*keys).alias("_gid"))
+    # grouping ids: 0 = (week, cluster, item), 1 = (week, cluster), 3 = (week)
     level = F.when(F.col("_gid") == 0, "item").when(F.col("_gid") == 1, "cluster").otherwise("global")
     key = F.when(F.col("_gid") == 0, F.col("itemId")).when(F.col("_gid") == 1, F.col("cluster1To1Id")) \
         .otherwise(F.lit("all"))

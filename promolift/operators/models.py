@@ -1,7 +1,7 @@
-"""Spark ML models.
+"""Forecast models.
 
-Point model: ``GBTRegressor`` with sample weights and a validation indicator (the
-validation rows drive early stopping via ``validationTol``).  Intervals: a quantile
+Point model: boosted trees with sample weights, validation rows and 50 rounds of patience
+(``boosting``), all models of a job grown in one pass.  Intervals: a quantile
 regression forest (Meinshausen 2006) -- a ``RandomForestRegressor`` whose leaf
 indices (``leafCol``) of training rows are summed up to one weighted histogram of
 targets per (tree, leaf).  A scoring row meets one such row per tree, so the join grows
@@ -15,25 +15,22 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import mae, mape, rmse, smape
+from ..session import cut_lineage
+from .boosting import Boosted, Boosting, Fit, fit_many
 
 QUANTILES = (0.1, 0.5, 0.9)   # fixed: interval quantiles
 QUANTILE_BINS = 256           # bins of the targets' range, for interval quantiles
 
-# Fixed mapping of the boosted-tree settings (leaf counts -> depth, rounds -> iterations).
-# Rounds are the most there may be: with validation rows, boosting stops at the first round
-# that lowers the validation error by less than a thousandth.  Without any, nothing tells
-# where to stop, and ``ROUNDS_UNCHECKED`` rounds are made.
-ROUNDS_UNCHECKED = 40
+# Settings of the boosted trees.
 POINT_PARAMS = {
-    "item": dict(maxDepth=5, stepSize=0.1, maxIter=500, validationTol=0.001, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-                 minInstancesPerNode=20),
-    "cluster": dict(maxDepth=5, stepSize=0.1, maxIter=400, validationTol=0.001, subsamplingRate=0.7, featureSubsetStrategy="0.7",
-                    minInstancesPerNode=40),
+    "item": Boosting(rounds=500, patience=50, step=0.05, leaves=31, least_rows=20, columns=0.8, rows=0.8, rows_every=5),
+    "cluster": Boosting(rounds=400, patience=50, step=0.02, leaves=15, depth=5, least_rows=40, columns=0.7, rows=0.7, rows_every=5,
+                        l1=0.2, l2=0.2),
 }
 FOREST_PARAMS = dict(numTrees=20, maxDepth=6, minInstancesPerNode=10, subsamplingRate=0.8,
                      featureSubsetStrategy="onethird")
@@ -43,9 +40,9 @@ FOREST_PARAMS = dict(numTrees=20, maxDepth=6, minInstancesPerNode=10, subsamplin
 class ModelBundle:
     level: str
     features: list[str]
-    point: PipelineModel
-    forest: PipelineModel
-    forest_leaves: DataFrame          # (tree, leaf, shares, lo, width): a histogram per leaf
+    point: Boosted
+    forest: PipelineModel | None      # None: no intervals
+    forest_leaves: DataFrame | None   # (tree, leaf, shares, lo, width): a histogram per leaf
     metrics: dict = field(default_factory=dict)
 
 
@@ -53,21 +50,28 @@ def _assembler(features):
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
 
 
-def fit_point_model(frame: DataFrame, features: list[str], level: str, params: dict | None = None,
-                    label: str = "salesQuantityKgL_log", seed: int = 42) -> PipelineModel:
-    """Weighted GBT on train rows, validation rows for early stopping."""
-    p = dict(POINT_PARAMS[level])
-    p.update(params or {})
-    data = (frame.where(F.col("split").isin("train", "val"))
-            .withColumn("is_val", F.col("split") == "val"))
-    has_val = data.where("is_val").limit(1).count() > 0
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, weightCol="weight", seed=seed,
-                       lossType="squared", **p)
-    if has_val:
-        gbt = gbt.setValidationIndicatorCol("is_val")
-    else:
-        gbt = gbt.setMaxIter(min(gbt.getMaxIter(), ROUNDS_UNCHECKED))
-    return Pipeline(stages=[_assembler(features), gbt]).fit(data)
+def training_rows(frame: DataFrame, features: list[str], data: str, label: str = "salesQuantityKgL_log", **more: Column) -> DataFrame:
+    """A frame as rows of the data set ``data`` for ``boosting.fit_many``, with ``more`` columns;
+    rows are told apart by a hash of their values."""
+    return frame.select(F.lit(data).alias("data"), F.xxhash64(label, *features).alias("row"), "split", F.col(label).cast("double").alias("label"),
+                        F.col("weight").cast("double").alias("weight"), F.array(*[F.col(f).cast("double") for f in features]).alias("features"),
+                        *[c.alias(n) for n, c in more.items()])
+
+
+def fit_point_models(frames: dict[str, tuple[DataFrame, list[str], Boosting]], label: str = "salesQuantityKgL_log") -> dict[str, Boosted]:
+    """A weighted boosted model for each (frame, features, parameters), all in one pass;
+    validation rows tell where to stop."""
+    rows = None
+    for name, (frame, feats, _) in frames.items():
+        own = training_rows(frame, feats, name, label)
+        rows = own if rows is None else rows.unionByName(own)
+    fits = [Fit(name, name, p) for name, (_, _, p) in frames.items()]
+    return fit_many(cut_lineage(rows, "training-rows"), fits, {name: feats for name, (_, feats, _) in frames.items()})
+
+
+def fit_point_model(frame: DataFrame, features: list[str], level: str, params: Boosting | None = None, label: str = "salesQuantityKgL_log") -> Boosted:
+    """One point model, with the level's parameters unless others are given."""
+    return fit_point_models({level: (frame, features, params or POINT_PARAMS[level])}, label)[level]
 
 
 def fit_quantile_forest(frame: DataFrame, features: list[str], label: str = "salesQuantityKgL_log",
@@ -125,16 +129,15 @@ def forest_quantiles(forest: PipelineModel, leaves: DataFrame, scoring: DataFram
     return total.select(key, *cols)
 
 
-def feature_importance(model: PipelineModel, features: list[str], top: int = 10):
+def feature_importance(model: Boosted, features: list[str], top: int = 10):
     """K6: top features by importance, as (feature, importance) rows (a top-k report)."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    rows = sorted(zip(features, imp), key=lambda t: (-t[1], t[0]))[:top]
+    rows = sorted(zip(features, model.importances()), key=lambda t: (-t[1], t[0]))[:top]
     return rows
 
 
-def evaluate(model: PipelineModel, frame: DataFrame, label: str = "salesQuantityKgL_log") -> dict:
+def evaluate(model: Boosted, frame: DataFrame, label: str = "salesQuantityKgL_log") -> dict:
     """SMAPE and MAPE on the expm1 scale, MAE and RMSE on the log scale, test rows."""
-    pred = model.transform(frame.where(F.col("split") == "test"))
+    pred = model.transform(frame.where(F.col("split") == "test").select(label, *model.features))
     a, p = F.col(label), F.col("prediction")
     r = pred.agg(smape(F.expm1(a), F.expm1(p)).alias("smape"), mape(F.expm1(a), F.expm1(p)).alias("mape"),
                  mae(a, p).alias("mae"),

@@ -98,6 +98,29 @@ def recent_history(weekly: DataFrame, idc: str, value: str, n: int = 12) -> Data
                                  (F.count("*") > F.countDistinct("week_start")).alias("several_rows_per_week"))
 
 
+def recent_cluster_average(cluster_weekly: DataFrame, weeks: int = 12) -> DataFrame:
+    """A15, cluster half: mean weekly sales of a cluster from ``weeks`` weeks before its own
+    last week on."""
+    last = cluster_weekly.groupBy("cluster1To1Id").agg(F.max("week_start").alias("_last"))
+    d = cluster_weekly.join(last, "cluster1To1Id").where(F.col("week_start") >= F.date_sub("_last", 7 * weeks))
+    d = d.groupBy("cluster1To1Id", "week_start").agg(F.sum("salesQuantityKgL").alias("_s"))
+    return d.groupBy("cluster1To1Id").agg(F.avg("_s").alias("recent_average"), F.count("*").alias("recent_weeks"))
+
+
+def campaign_intensity(samples: DataFrame) -> DataFrame:
+    """A16, cluster half: per model week the rows, those with the campaign and their mean
+    intensity.  ``samples`` carries ``model_week`` and ``intensity``."""
+    on = F.col("intensity") > 0
+    return samples.groupBy("model_week").agg(F.count("*").alias("n_rows"), F.count_if(on).alias("n_campaign"), F.avg(F.when(on, F.col("intensity"))).alias("mean_intensity"))
+
+
+def target_profile(weekly: DataFrame, idc: str, value: str = "salesQuantityKgL_log") -> DataFrame:
+    """A12 per target: rows, campaign rows, weeks without sales, first and last week, range."""
+    return weekly.groupBy(idc).agg(
+        F.count("*").alias("n_rows"), F.count_if(on_campaign()).alias("campaign_rows"), F.count_if(F.col(value) == 0).alias("zero_weeks"),
+        F.min("week_start").alias("first_week"), F.max("week_start").alias("last_week"), F.min(value).alias("min_value"), F.max(value).alias("max_value"))
+
+
 def train_balance_stats(samples: DataFrame, target: str = "salesQuantityKgL_log") -> DataFrame:
     """Per campaign week, campaign vs baseline means, their ratio and counts.
     ``samples`` carries ``model_week`` and ``is_campaign``."""

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import CAMPAIGN_FLAGS
+from ..schemas import CAMPAIGN_FLAGS, CATEGORY_FEATURES
 
 # Fixed values from the modelled pipeline.
 BASELINE_MULTIPLE = 5
@@ -19,8 +19,6 @@ TRAIN_RATIO, VAL_RATIO = 0.60, 0.20
 
 COMMON_FEATURES = ["week_of_year_sin", "week_of_year_cos", "sales_lag_12w", "sales_lag_52w"]
 CAMPAIGN_FEATURES = ["campaign_week_0", "campaign_week_1", "campaign_week_2", "campaign_week_3"]
-CATEGORY_FEATURES = ["cat_lift_l1", "cat_lift_l2", "cat_lift_l3", "cat_lift_l4", "best_cat_lift",
-                     "cat_n_obs_l4", "weeks_since_last_campaign_l4", "n_campaigns_historical_l4"]
 COMPETITION_FEATURES = ["campaign_coverage", "n_campaign_items_in_cluster", "item_share_in_cluster",
                         "coverage_x_share"]
 CLUSTER_ONLY_FEATURES = ["num_items_in_cluster"]
@@ -50,7 +48,7 @@ def feature_list(level: str, single: bool = True, week: int = 1) -> list[str]:
 
 
 def fill_feature_nulls(df: DataFrame, level: str) -> DataFrame:
-    """Spark trees reject NaN: gap weeks get competition count/coverage/interaction 0
+    """No feature is null: gap weeks get competition count/coverage/interaction 0
     and the item's static baseline share (1.0 when it has none)."""
     if level != "item":
         return df
@@ -114,27 +112,6 @@ def sample_weight(level: str, single: bool = True, week: int = 1) -> Column:
     return F.when(on, F.lit(3.0)).otherwise(F.lit(1.0))
 
 
-def single_model_frame(df: DataFrame, level: str, targets: DataFrame | None = None) -> DataFrame:
-    """P2 frame: the three balanced week samples stacked, with campaign_week_number,
-    the week's lags under the week-1 names, interactions and sample weights."""
-    df = fill_feature_nulls(df, level)
-    parts = []
-    for wk in (1, 2, 3):
-        s = balanced_sample(df, level, wk, targets)
-        s = s.withColumn("campaign_week_number",
-                         F.when(_flag_on(level, f"campaign_week_{wk}"), F.lit(wk)).otherwise(F.lit(0)))
-        for src, dst in zip(week_lag_features(level, wk), week_lag_features(level, 1)):
-            if src != dst:
-                s = s.withColumn(dst, F.col(src))
-        parts.append(s)
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    lag, roll = ("sales_lag_week1", "sales_rolling_4w_week1") if level == "item" else \
-        ("cluster_sales_lag_week1", "cluster_sales_rolling_4w_week1")
-    return (out.withColumn("cwn_x_lag", F.col("campaign_week_number") * F.col(lag))
-            .withColumn("cwn_x_rolling", F.col("campaign_week_number") * F.col(roll))
-            .withColumn("weight", sample_weight(level)))
-
-
 def week_training_frame(df: DataFrame, level: str, week: int, targets: DataFrame | None = None,
                         ratios=(TRAIN_RATIO, VAL_RATIO)) -> DataFrame:
     """P1 frame of model week N: its balanced sample (W15) with sample weights and the

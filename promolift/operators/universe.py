@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import lit_date
-from ..functions.units import unit_conversion
+from ..functions.units import WEIGHT_COLS, unit_conversion
 
 VARIANT_PREFIXES = ["M", "S", "K"]   # fixed: leading letters that mark item variants
 ID_PATTERN = r"^[0-9A-Za-z-]+$"      # fixed: accepted request id format
@@ -83,22 +83,24 @@ def item_id_map(items: DataFrame) -> DataFrame:
 
 
 def latest_item_version(items: DataFrame) -> DataFrame:
-    """K3: newest version (max itemSkey) per base item, all columns kept."""
+    """K3: newest version (max itemSkey, then itemId) per base item, all columns kept.  Versions
+    are compared by their key alone; columns that nothing reads are pruned from the rest."""
     it = items.withColumn("baseItemId", base_item_id(F.col("itemId")))
-    others = [c for c in it.columns if c not in ("baseItemId", "itemSkey")]
-    agg = it.groupBy("baseItemId").agg(F.max(F.struct("itemSkey", *others)).alias("_v"))
+    others = [c for c in it.columns if c != "baseItemId"]
+    agg = it.groupBy("baseItemId").agg(F.max_by(F.struct(*others), F.struct("itemSkey", "itemId")).alias("_v"))
     return agg.select("baseItemId", "_v.*")
 
 
-def item_master(items: DataFrame) -> DataFrame:
+def item_master(items: DataFrame, unit: float | None = 1.0) -> DataFrame:
     """Prepared item table: one row per base item with harmonised cluster, unit factor
-    (U1) and the category hierarchy of the newest version."""
-    latest = latest_item_version(items)
+    (U1; ``unit`` where the item has no usable weight) and the category hierarchy of the newest
+    version."""
     clusters = harmonized_clusters(items)
-    cats = [c for c in latest.columns if c.startswith("categoryLevel")]
-    return (latest.drop("cluster1To1Id").join(clusters, "baseItemId", "left")
+    cats = [c for c in items.columns if c.startswith("categoryLevel")]
+    latest = latest_item_version(items.select("itemId", "itemSkey", "itemDesc", *WEIGHT_COLS, *cats))
+    return (latest.join(clusters, "baseItemId", "left")
             .select("baseItemId", "itemId", "itemDesc", "itemSkey", "cluster1To1Id",
-                    unit_conversion().alias("itemUnitConversion"), *cats))
+                    unit_conversion(otherwise=unit).alias("itemUnitConversion"), *cats))
 
 
 def unmapped_items(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -129,6 +131,13 @@ def item_universe(orders: DataFrame, items: DataFrame, campaigns: DataFrame,
             .join(clusters, "baseItemId", "left"))
 
 
+def universe_orders(orders: DataFrame, universe: DataFrame) -> DataFrame:
+    """F4, last step: the orders of the universe's item ids and of their variants (F5), also of
+    variants that the item table lacks."""
+    ids = universe.select("itemId").unionByName(variant_ids(universe).select(F.col("variantId").alias("itemId"))).distinct()
+    return orders.join(ids, "itemId", "left_semi")
+
+
 def variant_ids(items: DataFrame) -> DataFrame:
     """the M/S/K variant ids of every unprefixed id (as the fetch step builds them)."""
     plain = items.where(~F.col("itemId").rlike("^[MSK]")).select("itemId").distinct()

@@ -24,10 +24,12 @@ def orders_kgl(orders: DataFrame, master: DataFrame) -> DataFrame:
     """J4/J5/J6 + U2: base id, cluster and unit factor onto order lines, kg/L sales.
 
     ``master`` has one row per base item; the join is left to AQE, which broadcasts
-    it when its measured size is under the threshold and sort-merges otherwise."""
+    it when its measured size is under the threshold and sort-merges otherwise.  No line is
+    dropped: the first one of an item without a unit in the master fails the job."""
     m = master.select("baseItemId", "cluster1To1Id", "itemUnitConversion")
     o = orders.withColumn("baseItemId", base_item_id(F.col("itemId")))
-    return (o.join(m, "baseItemId", "inner")
+    lost = F.raise_error(F.concat(F.lit("order line of an item without a unit in the master: "), F.coalesce("itemId", F.lit("null")))).cast("double")
+    return (o.join(m, "baseItemId", "left").withColumn("itemUnitConversion", F.coalesce("itemUnitConversion", lost))
             .withColumn("salesQuantityKgL", to_kgl(F.col("salesQuantity"), F.col("itemUnitConversion"))))
 
 
@@ -43,17 +45,32 @@ def weekly_item_lines(tagged: DataFrame, master: DataFrame) -> DataFrame:
     m = master.select("baseItemId", "cluster1To1Id", "itemUnitConversion")
     return w.join(m, "baseItemId", "left").select(
         "baseItemId", "week_start", (F.col("_q") * F.col("itemUnitConversion")).alias("salesQuantityKgL"),
-        *FLAG_COLS, "campaignId", "cluster1To1Id", "n_lines", "itemUnitConversion")
+        *FLAG_COLS, "campaignId", "cluster1To1Id", "n_lines", "itemUnitConversion", F.col("_q").alias("salesQuantity"))
 
 
-def require_mapped(weekly: DataFrame, materialize_fn, shown: int = 5) -> DataFrame:
-    """The rows of ``weekly_item_lines``, written once; fails when some belong to
-    items that the master lacks."""
+def rejected_lines(weekly: DataFrame) -> DataFrame:
+    """What ``weekly_item_lines`` rows can't be mapped: per item without a unit in the
+    master its weeks, order lines and quantity."""
+    return weekly.where(F.col("itemUnitConversion").isNull()).groupBy("baseItemId").agg(
+        F.count("*").alias("n_weeks"), F.sum("n_lines").alias("n_lines"), F.sum("salesQuantity").alias("quantity"))
+
+
+def split_mapped(weekly: DataFrame, materialize_fn, most_rejected: float = 0.0, shown: int = 5) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``weekly_item_lines``, written once, as (mapped rows, rejects by
+    item).  Fails when over ``most_rejected`` of all order lines are rejects."""
     w = materialize_fn(weekly)
-    lost = [r[0] for r in w.where(F.col("itemUnitConversion").isNull()).select("baseItemId").distinct().limit(shown).collect()]
-    if lost:
-        raise ValueError(f"order lines of items without a master row, among them: {sorted(lost)}")
-    return w.drop("itemUnitConversion")
+    lost = F.col("itemUnitConversion").isNull()
+    seen = w.agg(F.coalesce(F.sum("n_lines"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(lost, F.col("n_lines"))), F.lit(0)).alias("lost")).first()
+    rejects = rejected_lines(w)
+    if seen["lost"] > most_rejected * seen["n"]:
+        some = [r[0] for r in rejects.select("baseItemId").orderBy("baseItemId").limit(shown).collect()]
+        raise ValueError(f"{seen['lost']} of {seen['n']} order lines are of items without a master row, among them: {some}")
+    return w.where(~lost).drop("itemUnitConversion", "salesQuantity"), rejects
+
+
+def require_mapped(weekly: DataFrame, materialize_fn) -> DataFrame:
+    """J4/J5 without tolerance: the mapped rows; any reject fails the job."""
+    return split_mapped(weekly, materialize_fn)[0]
 
 
 def with_week(orders: DataFrame, anchor_weekday: int = 0, date_col: str = "deliveryDate") -> DataFrame:

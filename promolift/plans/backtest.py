@@ -2,8 +2,8 @@
 
 The calendar selection is one small collect (campaigns of a year).  Each campaign is
 then a forecast job at ``start - 4 weeks`` on leakage-guarded inputs; the actuals
-come from the full history.  A campaign that can't be validated is skipped, as the modelled
-driver does, and returned with its reason; when none can, the job fails.
+come from the full history.  A campaign without targets or training rows is skipped, as the modelled
+driver does, and returned with its reason; when none can be validated, the job fails.
 """
 
 from __future__ import annotations
@@ -20,13 +20,17 @@ from ..operators import forecast as FC
 from ..operators import report as R
 from ..operators import universe as U
 from ..operators import weekly as WK
-from .forecast_job import campaign_items, run_forecast
-from .preprocess import materialize, tagged_orders
+from .forecast_job import NoTrainingRows, campaign_items, run_forecast
+from .preprocess import materialize, weekly_lines
 
 BACKTEST_HORIZON_WEEKS = 4   # fixed: forecast date = campaign start - 4 weeks
 
 log = logging.getLogger(__name__)
 
+
+class NotEnoughData(ValueError):
+    """A campaign that can't be validated: no targets, or no rows to train on."""
+
 RESULT_SCHEMA = ("campaign_id long, item_id string, cluster_id string, campaign_start date, campaign_end date, "
                  + ", ".join(f"{lvl}_{x} double" for lvl in ("item", "cluster")
                              for x in ("actual", "predicted", "baseline", "smape", "lift_actual", "lift_predicted")))
@@ -40,8 +44,8 @@ def backtest_campaigns(campaigns: DataFrame, year: int) -> DataFrame:
 def _actuals(orders, items, campaigns, start, end, level):
     """Raw kg/L per target over the campaign weeks [start, end) on weeks aligned to the
     campaign weekday (Q20: raw kg/L, not re-normalised)."""
-    t, _ = tagged_orders(orders, items, campaigns, start)
-    iw = WK.weekly_item_sales(t)
+    weekly, _ = weekly_lines(orders, items, campaigns, start)
+    iw = WK.require_mapped(weekly, lambda d: materialize(d, "checkpoint"))
     if level == "cluster":
         iw = iw.groupBy("cluster1To1Id", "week_start").agg(F.sum("salesQuantityKgL").alias("salesQuantityKgL"))
     return iw.where((F.col("week_start") >= lit_date(start)) & (F.col("week_start") < lit_date(end)))
@@ -52,9 +56,10 @@ FAILURE_SCHEMA = "campaign_id long, reason string"
 
 def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year: int,
                  max_campaigns: int | None = None, parallelism: int = 3,
-                 single_model: bool = False) -> tuple[DataFrame, DataFrame]:
+                 single_model: bool = False, store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(results, failures) of all campaigns of ``year`` (of the first ``max_campaigns``, if
-    given), each with its own week models, or pooled ones as an option."""
+    given), each with its own week models, or pooled ones as an option.  ``store``: a folder
+    of models, see ``run_forecast``."""
     sel = backtest_campaigns(campaigns, year).orderBy("campaignStart", "campaignId").collect()
     if max_campaigns:
         sel = sel[:max_campaigns]
@@ -66,9 +71,14 @@ def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year
         fd = start - _dt.timedelta(weeks=BACKTEST_HORIZON_WEEKS)
         try:
             targets = campaign_items(orders, cid)
+            if targets.isEmpty():
+                raise NotEnoughData("no item was sold on the campaign")
             i2, o2, c2 = U.leakage_guard(valid, harmonized, campaigns, start)
-            res = run_forecast(o2, i2, c2, targets, start, fd, BACKTEST_HORIZON_WEEKS, use_plan=False,
-                               single_model=single_model)
+            try:
+                res = run_forecast(o2, i2, c2, targets, start, fd, BACKTEST_HORIZON_WEEKS, use_plan=False,
+                                   single_model=single_model, intervals=False, store=store)   # results hold no intervals
+            except NoTrainingRows as e:
+                raise NotEnoughData(str(e)) from e
             ib = FC.seasonal_baseline(res.pre.item_weekly, "item", fd, start, res.pre.item_normalizers, targets)
             cb = FC.seasonal_baseline(res.pre.cluster_weekly, "cluster", fd, start, res.pre.cluster_normalizers)
             ia = _actuals(valid, items, campaigns, start, end, "item").join(targets, "baseItemId", "left_semi") \
@@ -91,7 +101,7 @@ def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year
                             "cluster_actual", "cluster_predicted", "cluster_baseline", "cluster_smape",
                             "cluster_lift_actual", "cluster_lift_predicted"))
             return materialize(rows, "checkpoint"), None
-        except Exception as e:  # noqa: BLE001  (the modelled driver logs and skips)
+        except NotEnoughData as e:   # as in the modelled driver; anything else fails the job
             log.error("backtest of campaign %s failed: %s", cid, e)
             return None, (cid, f"{type(e).__name__}: {e}"[:500])
 

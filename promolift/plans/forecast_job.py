@@ -1,7 +1,7 @@
 """Forecast job (the current generation's main flow) and its pieces.
 
 preprocess (as of the forecast date, targets kept) -> per level one model for each campaign
-week (P1: GBT point + quantile forest), or one pooled model per level as an option (P2) ->
+week (P1: boosted point model + quantile forest), or one pooled model per level as an option (P2) ->
 score the latest state of every target with the campaign on and off -> summary with verdicts.
 """
 
@@ -44,34 +44,63 @@ def campaign_items(orders: DataFrame, campaign_id: int) -> DataFrame:
             .select(U.base_item_id(F.col("itemId")).alias("baseItemId")).distinct())
 
 
-def _fit(frame: DataFrame, feats: list[str], level: str, params: dict | None, materialize_as: str) -> M.ModelBundle:
-    # the point model and the forest are independent fits: submit them together
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        fp = pool.submit(M.fit_point_model, frame, feats, level, params)
-        ff = pool.submit(M.fit_quantile_forest, frame, feats)
-        point, (forest, leaves) = fp.result(), ff.result()
-    return M.ModelBundle(level, feats, point, forest, materialize(leaves, materialize_as), M.evaluate(point, frame))
+class NoTrainingRows(ValueError):
+    """A model has no row to learn from."""
 
 
-def train_level(df: DataFrame, level: str, targets: DataFrame | None = None,
-                params: dict | None = None, materialize_as: str = "checkpoint") -> M.ModelBundle:
-    """Pooled training frame, temporal split, GBT point model, quantile forest."""
+@dataclass
+class Training:
+    """What a model is to learn: its level, campaign week (0: pooled), frame (written) and features."""
+    level: str
+    week: int
+    frame: DataFrame
+    features: list[str]
+
+
+def pooled_training(df: DataFrame, level: str, targets: DataFrame | None = None, materialize_as: str = "checkpoint") -> list[Training]:
+    """The pooled training frame with its temporal split."""
     frame = materialize(TR.pooled_training_frame(df, level, targets if level == "item" else None), materialize_as)
-    return _fit(frame, TR.feature_list(level), level, params, materialize_as)
+    return [Training(level, 0, frame, TR.feature_list(level))]
 
 
-def train_weeks(df: DataFrame, level: str, targets: DataFrame | None = None,
-                params: dict | None = None, materialize_as: str = "checkpoint") -> WeekModels:
-    """For each campaign week its balanced frame, split, point model and forest; the
-    weeks are independent and train concurrently on one written copy of the features."""
+def week_training(df: DataFrame, level: str, targets: DataFrame | None = None, materialize_as: str = "checkpoint") -> list[Training]:
+    """For each campaign week its balanced frame and split, from one written copy of the
+    features."""
     base = materialize(TR.fill_feature_nulls(df, level), materialize_as)
 
     def one(n):
         frame = materialize(TR.week_training_frame(base, level, n, targets if level == "item" else None), materialize_as)
-        return _fit(frame, TR.feature_list(level, single=False, week=n), level, params, materialize_as)
+        return Training(level, n, frame, TR.feature_list(level, single=False, week=n))
 
     with ThreadPoolExecutor(max_workers=3) as pool:
-        return WeekModels(level, dict(zip((1, 2, 3), pool.map(one, (1, 2, 3)))))
+        return list(pool.map(one, (1, 2, 3)))
+
+
+def fit_models(tasks: list[Training], materialize_as: str = "checkpoint", intervals: bool = True) -> dict[str, M.ModelBundle | WeekModels]:
+    """The models of all tasks by level: point models in one pass, beside them the forests,
+    which are independent Spark ML fits (none without ``intervals``)."""
+    frames = {f"{t.level}-{t.week}": (t.frame, t.features, M.POINT_PARAMS[t.level]) for t in tasks}
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        points = pool.submit(M.fit_point_models, frames)
+        forests = [pool.submit(M.fit_quantile_forest, t.frame, t.features) if intervals else None for t in tasks]
+        points = points.result()
+        lacking = sorted(set(frames) - set(points))
+        if lacking:
+            raise NoTrainingRows(f"no training rows for {', '.join(lacking)}")
+
+        def bundle(t, f):
+            forest, leaves = f.result() if f else (None, None)
+            point = points[f"{t.level}-{t.week}"]
+            return M.ModelBundle(t.level, t.features, point, forest, materialize(leaves, materialize_as) if f else None, M.evaluate(point, t.frame))
+
+        bundles = [bundle(t, f) for t, f in zip(tasks, forests)]
+    out: dict[str, M.ModelBundle | WeekModels] = {}
+    for t, b in zip(tasks, bundles):
+        if t.week == 0:
+            out[t.level] = b
+        else:
+            out.setdefault(t.level, WeekModels(t.level, {})).weeks[t.week] = b
+    return out
 
 
 def score(bundle: M.ModelBundle | WeekModels, scoring: DataFrame, normalizers: DataFrame) -> DataFrame:
@@ -81,8 +110,12 @@ def score(bundle: M.ModelBundle | WeekModels, scoring: DataFrame, normalizers: D
         parts = [score(b, scoring.where(F.col("campaign_week") == n), normalizers) for n, b in bundle.weeks.items()]
         return parts[0].unionByName(parts[1]).unionByName(parts[2])
     idc = TR.id_col(bundle.level)
-    pred = bundle.point.transform(scoring).select("score_key", idc, "campaign_week", "campaign_on", "prediction")
-    q = M.forest_quantiles(bundle.forest, bundle.forest_leaves, scoring, "score_key")
+    pred = bundle.point.transform(scoring.select("score_key", idc, "campaign_week", "campaign_on", *[f for f in bundle.features if f != "campaign_week"])) \
+        .select("score_key", idc, "campaign_week", "campaign_on", "prediction")
+    if bundle.forest is None:
+        q = scoring.select("score_key", *[F.lit(None).cast("double").alias(c) for c in ("q10", "q50", "q90")])
+    else:
+        q = M.forest_quantiles(bundle.forest, bundle.forest_leaves, scoring, "score_key")
     n = normalizers.select(idc, F.col("normalizer").alias("_n"))
     j = pred.join(q, "score_key", "left").join(n, idc, "left")
     return j.select(idc, "campaign_week", "campaign_on",
@@ -103,16 +136,26 @@ def plan_tables(master: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataF
 
 def run_forecast(orders: DataFrame, items: DataFrame, campaigns: DataFrame, targets: DataFrame,
                  campaign_start, forecast_date, horizon: int, use_plan: bool = True,
-                 materialize_as: str = "checkpoint", single_model: bool = False) -> ForecastResult:
-    train = train_level if single_model else train_weeks
+                 materialize_as: str = "checkpoint", single_model: bool = False, intervals: bool = True,
+                 store: str | None = None) -> ForecastResult:
+    """The whole job.  ``intervals=False`` leaves q10, q50 and q90 null and fits no forests.
+    ``store``: a folder of models; those already trained on equal frames with equal
+    parameters are read from there, others trained and saved (S11)."""
+    prepare = pooled_training if single_model else week_training
     pre = preprocess(orders, items, campaigns, horizon=horizon, campaign_start=campaign_start,
                      forecast_date=forecast_date, targets=targets, materialize_as=materialize_as)
     iw = materialize(pre.item_weekly, materialize_as)
     cw = materialize(pre.cluster_weekly, materialize_as)
-    with ThreadPoolExecutor(max_workers=2) as pool:   # the two levels train concurrently
-        fi = pool.submit(train, iw, "item", targets, None, materialize_as)
-        fc = pool.submit(train, cw, "cluster", None, None, materialize_as)
-        item_model, cluster_model = fi.result(), fc.result()
+    with ThreadPoolExecutor(max_workers=2) as pool:   # the two levels' frames side by side
+        fi = pool.submit(prepare, iw, "item", targets, materialize_as)
+        fc = pool.submit(prepare, cw, "cluster", None, materialize_as)
+        tasks = fi.result() + fc.result()
+    if store is None:
+        models = fit_models(tasks, materialize_as, intervals)
+    else:
+        from .model_store import fit_missing
+        models = fit_missing(iw.sparkSession, store, tasks, materialize_as, intervals)
+    item_model, cluster_model = models["item"], models["cluster"]
     plan, sizes = plan_tables(pre.items, targets)
     t_clusters = pre.items.join(targets.select(F.col(targets.columns[0]).alias("baseItemId")),
                                 "baseItemId", "left_semi").select("cluster1To1Id").distinct()
@@ -125,3 +168,32 @@ def run_forecast(orders: DataFrame, items: DataFrame, campaigns: DataFrame, targ
     csizes = cw.select("cluster1To1Id", "num_items_in_cluster").distinct()
     summary = R.campaign_summary(ip, cp, pre.items, csizes)
     return ForecastResult(pre, item_model, cluster_model, ip, cp, summary)
+
+
+LAG_DATE_MIN_ROWS = 50   # fixed: fewer rows of a campaign week: no model
+
+
+def run_lag_date(cluster_weekly: DataFrame, normalizers: DataFrame, campaign_start, forecast_date, horizon: int,
+                 materialize_as: str = "checkpoint") -> DataFrame:
+    """P5, the older cluster-only flow: for each campaign week a model of the rows that have it,
+    split at random (P11), scored on the features of the lag date.  Returns cluster1To1Id,
+    campaign_week, week_start, feature_week, prediction_kgl, q10, q50 and q90 (kg/L); campaign
+    weeks with under 50 rows have none."""
+    base, tasks = materialize(cluster_weekly, materialize_as), []
+    for n in (1, 2, 3):
+        rows = base.where(TR._flag_on("cluster", f"campaign_week_{n}")).withColumn("weight", F.lit(1.0))
+        frame = materialize(TR.hash_split(rows, ["cluster1To1Id", "week_start"]), materialize_as)
+        if frame.count() >= LAG_DATE_MIN_ROWS:
+            tasks.append(Training("cluster", n, frame, TR.COMMON_FEATURES + TR.week_lag_features("cluster", n) + TR.CAMPAIGN_FEATURES))
+    if not tasks:
+        raise NoTrainingRows(f"no campaign week has {LAG_DATE_MIN_ROWS} rows")
+    models = fit_models(tasks, materialize_as)["cluster"]
+    asked = FC.lag_date_scoring(base, "cluster1To1Id", forecast_date, campaign_start, horizon).withColumn("campaign_on", F.lit(True)) \
+        .withColumn("score_key", F.concat_ws("|", "cluster1To1Id", "campaign_week"))
+    asked = materialize(asked, materialize_as)
+    out = None
+    for n, bundle in models.weeks.items():
+        own = score(bundle, asked.where(F.col("campaign_week") == n), normalizers)
+        out = own if out is None else out.unionByName(own)
+    weeks = asked.select("cluster1To1Id", "campaign_week", "week_start", "feature_week")
+    return out.drop("campaign_on").join(weeks, ["cluster1To1Id", "campaign_week"])

@@ -238,6 +238,12 @@ def with_base(final_select: str) -> str:
     return "WITH " + BASE.strip().rstrip(",") + "\n" + final_select
 
 
+def with_wide_base(final_select: str) -> str:
+    """The same chain where every part is a base item of its own (wide key space)."""
+    wide = BASE.replace(item_id_sql("p_partkey"), "CAST(p_partkey AS VARCHAR)").replace(item_id_sql("pk"), "CAST(pk AS VARCHAR)")
+    return "WITH " + wide.strip().rstrip(",") + "\n" + final_select
+
+
 def lag_cols(id_col: str, h: int, src: str = "salesQuantityKgL_log") -> str:
     parts = []
     for n in (1, 2, 3):

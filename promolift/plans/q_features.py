@@ -130,19 +130,11 @@ UNION ALL SELECT 'L3', categoryLevel3Id, {r('m')}, n FROM lv3
 UNION ALL SELECT 'L4', categoryLevel4Id, {r('m')}, n FROM lv4
 """))
 def category_lift(spark, sf):
-    pre_item = _filtered_items(spark, sf)
     from ..operators.universe import item_master
     from ..sources import fixtures as FX
-    _, obs = FE.category_lift(pre_item, item_master(FX.dim_item(spark, sf)))
-    parts = []
-    for lvl in range(1, 5):
-        t = FE.level_lifts(obs, lvl)
-        parts.append(t.select(F.lit(f"L{lvl}").alias("level"), F.col(f"categoryLevel{lvl}Id").alias("category"),
-                              F.col(f"cat_lift_l{lvl}").alias("mean_lift"), F.col(f"cat_n_obs_l{lvl}").alias("n_obs")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return finalize(out)
+    observed = FE.campaign_deviations(_filtered_items(spark, sf), item_master(FX.dim_item(spark, sf)))
+    lifts = FE.category_lifts(observed)
+    return finalize(lifts.select(F.concat(F.lit("L"), F.col("level").cast("string")).alias("level"), "category", "mean_lift", "n_obs"))
 
 
 def _cat_features(spark, sf):

@@ -79,12 +79,13 @@ def _bundles(model):
 
 @register("train_forecast")
 def train_forecast(spark, sf):
-    """Held-out metrics of the point models, per level and campaign week."""
+    """Held-out metrics of the point models, per level and campaign week, with the
+    rounds that were grown and the trees that are kept."""
     res = forecast_result(spark, sf)
     names = ("smape", "mape", "mae", "rmse")
-    rows = [(b.level, n, *[float(b.metrics.get(m) or 0.0) for m in names], int(b.metrics.get("n") or 0))
+    rows = [(b.level, n, *[float(b.metrics.get(m) or 0.0) for m in names], int(b.metrics.get("n") or 0), len(b.point.losses), b.point.n_trees)
             for model in (res.item_model, res.cluster_model) for n, b in _bundles(model)]
-    return spark.createDataFrame(rows, "level string, campaign_week long, " + ", ".join(f"{m} double" for m in names) + ", n_test long")
+    return spark.createDataFrame(rows, "level string, campaign_week long, " + ", ".join(f"{m} double" for m in names) + ", n_test long, n_rounds long, n_trees long")
 
 
 @register("feature_importance")
@@ -198,9 +199,10 @@ def scenario_result(spark, sf):
 
 @register("cluster_horizon_forecast")
 def cluster_horizon_forecast(spark, sf):
-    """Per-horizon cluster models, held-out MAE and SMAPE after the cutoff."""
-    rows = [(int(h), float(m or 0.0), float(s or 0.0), int(n or 0)) for h, m, s, n in scenario_result(spark, sf)[0]]
-    return spark.createDataFrame(rows, "horizon long, mae double, smape double, n_test long")
+    """Per-horizon cluster models: held-out MAE, SMAPE, volume-weighted SMAPE and RMSLE
+    after the cutoff."""
+    rows = [(int(h), *[float(v or 0.0) for v in m], int(n or 0)) for h, *m, n in scenario_result(spark, sf)[0]]
+    return spark.createDataFrame(rows, "horizon long, mae double, smape double, weighted_smape double, rmsle double, n_test long")
 
 
 @register("topdown_combine")
@@ -224,8 +226,8 @@ def scenario_comparison_q(spark, sf):
 
 @register("recursive_forecast")
 def recursive_forecast(spark, sf):
-    """Three unrolled steps for all targets (items of the forecast campaign and
-    their clusters), campaign and no-campaign predictions, floored at 0."""
+    """P15 + P16: three unrolled steps for all target items together with their clusters,
+    campaign and no-campaign predictions, floored at 0, and the global model's."""
     from .recursive_job import run_recursive
     inp = _inputs(spark, sf)
     out = run_recursive(inp.orders, inp.items, inp.campaigns, campaign_items(inp.orders, FORECAST_CAMPAIGN),

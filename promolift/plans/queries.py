@@ -350,7 +350,7 @@ def lag_features(spark, sf):
                              "sales_rolling_4w_week3", "sales_lag_12w", "sales_lag_52w"))
 
 
-from . import q_features, q_frames, q_legacy, q_models, q_more  # noqa: E402,F401  (register on import)
+from . import q_features, q_frames, q_given, q_legacy, q_models, q_more, q_wide  # noqa: E402,F401  (register on import)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -45,8 +45,9 @@ def finalize(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _inputs(spark, sf):
-    return FX.load_inputs(spark, sf)
+def _inputs(spark, sf, wide=False):
+    """The three inputs; ``wide``: every part is a base item of its own."""
+    return FX.load_inputs(spark, sf, wide)
 
 
 def _tagged(spark, sf, forecast_date=None):
@@ -54,10 +55,10 @@ def _tagged(spark, sf, forecast_date=None):
     return tagged_orders(inp.orders, inp.items, inp.campaigns, P.CAMPAIGN_START, forecast_date)
 
 
-def _weekly(spark, sf):
+def _weekly(spark, sf, wide=False):
     """A1 materialised once (the only pass over the order lines), then A2 and C1 from it."""
     from ..session import cut_lineage
-    inp = _inputs(spark, sf)
+    inp = _inputs(spark, sf, wide)
     rows, _ = weekly_lines(inp.orders, inp.items, inp.campaigns, P.CAMPAIGN_START)
     iw0 = WK.require_mapped(rows, lambda d: cut_lineage(d, "item-weekly"))
     cw = WK.weekly_cluster_sales(iw0)
@@ -71,21 +72,21 @@ def _pre(spark, sf, **kw):
     return preprocess(inp.orders, inp.items, inp.campaigns, **kw)
 
 
-def _gap_filled_items(spark, sf):
-    iw, _ = _weekly(spark, sf)
+def _gap_filled_items(spark, sf, wide=False):
+    iw, _ = _weekly(spark, sf, wide)
     return WK.fill_missing_weeks(iw, "baseItemId")
 
 
-def _normalized_items(spark, sf):
+def _normalized_items(spark, sf, wide=False):
     from ..session import cut_lineage
-    g = WK.mark_post_campaign_weeks(_gap_filled_items(spark, sf), "baseItemId")
+    g = WK.mark_post_campaign_weeks(_gap_filled_items(spark, sf, wide), "baseItemId")
     return FE.normalize(g, "baseItemId", materialize_fn=lambda d: cut_lineage(d, "items-normalizer"))
 
 
-def _filtered_items(spark, sf):
+def _filtered_items(spark, sf, wide=False):
     """Normalised, campaign-items-only frame, materialised once (as preprocess does)."""
     from ..session import cut_lineage
-    n, _ = _normalized_items(spark, sf)
+    n, _ = _normalized_items(spark, sf, wide)
     return cut_lineage(U.campaign_items_only(n), "items-filtered")
 
 

@@ -35,6 +35,12 @@ CAMPAIGNS = T.StructType([
 FLAG_COLS = ["campaign_week_0", "campaign_week_1", "campaign_week_2", "campaign_week_3"]
 CAMPAIGN_FLAGS = FLAG_COLS[1:]
 
+# Category columns of the item master, broadest first, and the model features
+# made from them.
+CATEGORY_IDS = ["categoryLevel1Id", "categoryLevel2Id", "categoryLevel3Id", "categoryLevel4Id"]
+CATEGORY_FEATURES = ["cat_lift_l1", "cat_lift_l2", "cat_lift_l3", "cat_lift_l4", "best_cat_lift",
+                     "cat_n_obs_l4", "weeks_since_last_campaign_l4", "n_campaigns_historical_l4"]
+
 
 def conform(df, schema: T.StructType):
     """Select and cast ``df`` to ``schema`` (missing columns become typed nulls)."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +76,21 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{base}/promolift/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python, once per session (``addPyFile``): functions
+    that run in tasks refer to its modules."""
+    sc = spark.sparkContext
+    if getattr(sc, "_package_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(), "promolift_modules.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._package_shipped = True
