@@ -83,10 +83,9 @@ class Block:
         self.places = None
 
     def begin(self, bases, scale, loss_scale, params):
-        n = len(self.label)
-        width = self.bins.shape[1] * (BINS + 1)
+        n, width = len(self.label), self.bins.shape[1] * (BINS + 1)
         self.scale, self.loss_scale, self.params, self.width = scale, loss_scale, params, width
-        self.cells = self.bins.astype(np.int64) + np.arange(self.bins.shape[1], dtype=np.int64) * (BINS + 1)
+        self.bins, self.by_row = np.asfortranarray(self.bins), np.ascontiguousarray(self.bins)   # a feature's, a row's bins lie together
         self.plain = bool((self.weight == 1.0).all())
         self.scaled_weight = np.rint(self.weight * scale)
         self.value = np.repeat(np.asarray(bases, float)[:, None], n, axis=1)
@@ -111,10 +110,9 @@ class Block:
     def route(self, m, feature, cut, below):
         """Rows of split nodes go to the left child, ``below``, or the one after it."""
         place = self.places[m]
-        f = feature[place]
-        at = np.flatnonzero(f >= 0)
-        right = self.bins[at, f[at]] > cut[place[at]]
-        self.places[m][at] = below[place[at]] + right
+        at = np.flatnonzero(feature[place] >= 0)
+        node = place[at]
+        self.places[m][at] = below[node] + (self.by_row[at, feature[node]] > cut[node])
 
     def sums(self, wanted: list[tuple[int, int]]) -> np.ndarray:
         """[wanted node, feature x bin, (residual, weight, rows)]."""
@@ -131,12 +129,17 @@ class Block:
             at = np.flatnonzero(s >= 0)
             if not len(at):
                 continue
-            index = (self.cells[at] + (s[at] * self.width)[:, None]).ravel()
-            size, each = len(own) * self.width, self.bins.shape[1]
-            found = np.empty((size, 3))
-            found[:, 0] = np.bincount(index, np.repeat(self.residual[m][at], each), size)
-            found[:, 2] = np.bincount(index, minlength=size)
-            found[:, 1] = found[:, 2] * self.scaled_weight[0] if self.plain else np.bincount(index, np.repeat(self.scaled_weight[at], each), size)
+            first, many = s[at] * (BINS + 1), len(own) * (BINS + 1)
+            residual, weight = self.residual[m][at], None if self.plain else self.scaled_weight[at]
+            found = np.empty((len(own), self.bins.shape[1], BINS + 1, 3))
+            for f in range(self.bins.shape[1]):     # one feature at a time stays in the cache
+                index = first + self.bins[:, f][at]
+                found[:, f, :, 0] = np.bincount(index, residual, many).reshape(-1, BINS + 1)
+                found[:, f, :, 2] = np.bincount(index, minlength=many).reshape(-1, BINS + 1)
+                if weight is not None:
+                    found[:, f, :, 1] = np.bincount(index, weight, many).reshape(-1, BINS + 1)
+            if weight is None:
+                found[..., 1] = found[..., 2] * self.scaled_weight[0]
             out[[i for i, _ in own]] = found.reshape(len(own), self.width, 3)
         return out
 
