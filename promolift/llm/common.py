@@ -67,6 +67,12 @@ def crc_mod(key: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def drawn(h: Column, share: float) -> Column:
+    """Whether a signed 64-bit hash falls in the lowest ``share`` of its range: a seeded sample
+    whose size follows the share however small that is."""
+    return F.lit(True) if share >= 1 else h < F.lit(int(share * 2.0 ** 64) - 2 ** 63)
+
+
 def ascii_words(text: str | None) -> list[bytes]:
     """Words of a text with A-Z in lower case, as UTF-8.  ``bytes.lower`` and
     ``bytes.split`` touch ASCII letters and the six ASCII white-space bytes only."""

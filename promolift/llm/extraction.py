@@ -10,9 +10,9 @@ that no dropped ancestor has a kept descendant.
 
 The trees are fitted on a bounded seeded sample of the pages (``SAMPLE``): nodes are
 labelled by their elements and attributes where these are plain, and each sampled page's
-own paragraphs are also set in other layouts, with menus, side bars, notices, forms,
-adverts and reader comments around them, so that layouts that the sample lacks are
-learned too.
+own paragraphs (the first ``PARAGRAPHS``) are also set in ``VARIANTS`` other layouts, with and
+without menus, side bars, notices, forms, adverts and reader comments around them, so that
+layouts that the sample lacks are learned too.
 
 Defined cases: null, empty or text-free html gives the empty text; pages are read whole;
 broken markup is read forgivingly; equal pages get equal texts; extra columns are passed
@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .boosting import Trees
-from .common import map_texts, ship
+from .common import drawn, map_texts, ship
 from .dom import Page
 
-SAMPLE, VARIANTS = 400, 3
+SAMPLE, VARIANTS, PARAGRAPHS = 400, 6, 60   # pages; layouts of each; paragraphs that a layout takes of its page
 
 #: Element groups and attribute-token groups; a node has a feature for each.
 TAGS = (
@@ -226,80 +226,124 @@ def node_labels(nodes: Nodes, run_labels) -> np.ndarray:
     return np.where(good + bad == 0, -1, np.where(share > 0.98, 1, np.where(share < 0.02, 0, -1)))
 
 
-def _tagged(rnd: random.Random, tag: str, names: str, inside: str) -> str:
-    style = rnd.random()
-    name = rnd.choice(names.split())
-    attribute = "" if style < 0.1 else f' id="{name}"' if style < 0.3 else f' class="{rnd.choice(("", "wide ", "x1 ", "col "))}{name}{rnd.choice(("", "-box", "-2", " clear"))}"'
+def _made_name(rnd: random.Random) -> str:
+    """A name that no list has, as of another language or a page builder."""
+    return "".join(rnd.choice("bcdfglmnprstv") + rnd.choice("aeiou") for _ in range(rnd.randint(2, 4)))
+
+
+def _tagged(rnd: random.Random, tag: str, names: str, inside: str, made: float = 0.0, bare: float = 0.0) -> str:
+    """An element with an id or class from ``names``; with the chances ``made`` and ``bare`` one
+    with an unlisted name or without any."""
+    style, kind = rnd.random(), rnd.random()
+    name = rnd.choice(names.split()) if kind >= made + bare else _made_name(rnd)
+    attribute = "" if made <= kind < made + bare else f' id="{name}"' if style < 0.25 else f' class="{rnd.choice(("", "wide ", "x1 ", "col "))}{name}{rnd.choice(("", "-box", "-2", " clear"))}"'
     return f"<{tag}{attribute}>{inside}</{tag}>"
 
 
 def layout(paragraphs: list[str], rnd: random.Random) -> str:
     """A page around the paragraphs, in a random layout.  Article text carries the mark
-    U+E000 in front of every run, which labels it."""
-    mark, text = MARK, [escape(p, quote=False) for p in paragraphs]
+    U+E000 in front of every run, which labels it.
+
+    What surrounds an article shows it by its element, by a listed name, by links or, for
+    reader comments, by its repeated short parts; a share of the names is unlisted.  The
+    article itself may stand in an element of any name or directly in the body, be short,
+    have no heading, and be the page's only text."""
+    mark, some_paragraphs = MARK, paragraphs if rnd.random() < 0.6 else rnd.sample(paragraphs, min(len(paragraphs), rnd.randint(1, 4)))
+    text = [escape(p, quote=False) for p in some_paragraphs]
     some = lambda n: " ".join(rnd.choice(paragraphs).split()[: rnd.randint(1, n)] or ["x"])
     short = lambda n=8: escape(some(n), quote=False)
     links = lambda n: "".join(f'<li><a href="/{k}">{short(3)}</a></li>' for k in range(rnd.randint(2, n)))
     out_p = lambda n, most: "".join(f"<p>{short(most)}</p>" for _ in range(rnd.randint(1, n)))
     div = lambda tag: tag if rnd.random() < 0.5 else "div"
-
-    body = []
-    if rnd.random() < 0.8:
-        body.append(f"<h1>{mark}{short(8)}</h1>")
-    for t in text:
-        r = rnd.random()
-        if r < 0.04:
-            body.append(f"<h2>{mark}{short(6)}</h2>")
-        if r < 0.06:
-            body.append("<ul>" + "".join(f"<li>{mark}{short(15)}</li>" for _ in range(rnd.randint(2, 5))) + "</ul>")
-        if 0.06 < r < 0.1:
-            body.append(f"<blockquote><p>{mark}{short(30)}</p></blockquote>")
-        if 0.1 < r < 0.13:
-            body.append(_tagged(rnd, "div", TOKENS["advert"], short(12)))
-        if 0.13 < r < 0.15:
-            body.append(f"<figure><img src=x><figcaption>{mark}{short(10)}</figcaption></figure>")
-        if 0.15 < r < 0.17:
-            body.append(_tagged(rnd, "div", TOKENS["notice"], out_p(1, 20)))
-        if 0.17 < r < 0.19:
-            body.append(_tagged(rnd, rnd.choice(("aside", "div")), TOKENS["side"], f"<h3>{short(3)}</h3><ul>{links(4)}</ul>"))
-        link = f'<a href="/l">{t[:30]}</a>{t[30:]}' if rnd.random() < 0.1 and "&" not in t[:40] else t
-        body.append(rnd.choice((f"<p>{mark}{link}</p>", f"<p><b>{mark}{link}<br>", f"<p>{mark}{link}", f"<p>{mark}{link}</p>")) if rnd.random() < 0.9 else f"<div>{mark}{link}</div>")
-    article = "".join(body)
+    clean = rnd.random()     # pages with little or nothing around the article
+    busy = 0.0 if clean < 0.15 else 0.3 if clean < 0.35 else 1.0
+
+    if rnd.random() < 0.08:   # text straight in its element, without paragraphs
+        body = [f"{mark}{'<br><br>'.join(text)}"] if rnd.random() < 0.5 else [f"<div>{mark}{t}</div>" for t in text]
+    else:
+        body = [f"<h1>{mark}{short(8)}</h1>"] if rnd.random() < 0.55 else []
+        for t in text:
+            r = rnd.random()
+            if r < 0.04:
+                body.append(f"<h2>{mark}{short(6)}</h2>")
+            if r < 0.06:
+                body.append("<ul>" + "".join(f"<li>{mark}{short(15)}</li>" for _ in range(rnd.randint(2, 5))) + "</ul>")
+            if 0.06 < r < 0.1:
+                body.append(f"<blockquote><p>{mark}{short(30)}</p></blockquote>")
+            if 0.1 < r < 0.1 + 0.03 * busy:
+                body.append(_tagged(rnd, "div", TOKENS["advert"], short(12)))
+            if 0.13 < r < 0.15:
+                body.append(f"<figure><img src=x><figcaption>{mark}{short(10)}</figcaption></figure>")
+            if 0.15 < r < 0.15 + 0.02 * busy:
+                body.append(_tagged(rnd, "div", TOKENS["notice"], out_p(1, 20)))
+            if 0.17 < r < 0.17 + 0.02 * busy:
+                body.append(_tagged(rnd, rnd.choice(("aside", "div")), TOKENS["side"], f"<h3>{short(3)}</h3><ul>{links(4)}</ul>"))
+            link = f'<a href="/l">{t[:30]}</a>{t[30:]}' if rnd.random() < 0.1 and "&" not in t[:40] else t
+            plain = rnd.random()
+            if plain < 0.1:
+                body.append(f"<div>{mark}{link}</div>")
+            elif plain < 0.15:
+                body.append(f'<p class="{_made_name(rnd)}">{mark}{link}</p>')
+            else:
+                body.append(rnd.choice((f"<p>{mark}{link}</p>", f"<p><b>{mark}{link}<br>", f"<p>{mark}{link}", f"<p>{mark}{link}</p>")))
+        if len(body) > 4 and rnd.random() < 0.15:    # in parts
+            cut = rnd.randint(1, len(body) - 1)
+            inner = rnd.choice(("div", "section"))
+            body = [f"<{inner}>{''.join(body[:cut])}</{inner}>", f"<{inner}>{''.join(body[cut:])}</{inner}>"]
+    article, inside_comments = "".join(body), False
     wrap = rnd.random()
-    if wrap < 0.45:
+    if wrap < 0.25:
         article = f"<article>{article}</article>"
-    elif wrap < 0.6:
+    elif wrap < 0.35:
         article = f"<main>{article}</main>"
-    elif wrap < 0.95:
+    elif wrap < 0.6:
         article = _tagged(rnd, rnd.choice(("div", "div", "section")), TOKENS["content"], article)
+    elif wrap < 0.75:
+        article = _tagged(rnd, rnd.choice(("div", "div", "section")), "x", article, made=0.6, bare=0.4)
     parts_before, parts_after = [], []
-    add = lambda chance, part: (parts_before if rnd.random() < 0.5 else parts_after).append(part) if rnd.random() < chance else None
-    if rnd.random() < 0.85:
-        parts_before.append(_tagged(rnd, div("nav"), TOKENS["menu"], f"<ul>{links(9)}</ul>"))
-    if rnd.random() < 0.5:
-        parts_before.insert(0, _tagged(rnd, div("header"), TOKENS["header"], rnd.choice((f"<h1>{short(4)}</h1>", f"<p>{short(9)}</p>", short(5)))))
-    add(0.5, _tagged(rnd, div("aside"), TOKENS["side"], rnd.choice((f"<h3>{short(3)}</h3><ul>{links(7)}</ul>", out_p(3, 25)))))
+
+    def add(chance, part):
+        if rnd.random() < chance * busy:
+            (parts_before if rnd.random() < 0.5 else parts_after).append(part)
+
+    if rnd.random() < 0.85 * busy:
+        parts_before.append(_tagged(rnd, div("nav"), TOKENS["menu"], f"<ul>{links(9)}</ul>", made=0.15, bare=0.1))
+    if rnd.random() < 0.5 * busy:
+        inner = rnd.choice((f"<h1>{short(4)}</h1>", f"<p>{short(9)}</p>", short(5)))
+        parts_before.insert(0, _tagged(rnd, "header", TOKENS["header"], inner, made=0.1, bare=0.3) if rnd.random() < 0.5 else _tagged(rnd, "div", TOKENS["header"], inner))
+    side = rnd.choice((f"<h3>{short(3)}</h3><ul>{links(7)}</ul>", out_p(3, 25)))
+    add(0.5, _tagged(rnd, "aside", TOKENS["side"], side, made=0.2, bare=0.2) if rnd.random() < 0.5 else _tagged(rnd, "div", TOKENS["side"], side, made=0.3 if "<li>" in side else 0.0))
     add(0.5, _tagged(rnd, "div", TOKENS["advert"], rnd.choice((short(14), out_p(2, 16)))))
     add(0.5, _tagged(rnd, rnd.choice(("div", "section", "p")), TOKENS["notice"], short(25)))
-    add(0.4, _tagged(rnd, "form", TOKENS["form"], f"<label>{short(3)}</label><input name=q><p>{short(8)}</p>"))
-    add(0.3, _tagged(rnd, "div", TOKENS["share"], f"<ul>{links(4)}</ul>"))
-    if rnd.random() < 0.55:
-        one = lambda: _tagged(rnd, rnd.choice(("div", "li", "article", "p")), "comment reply comment-body response", rnd.choice((f"<p>{short(30)}</p>", short(30), f"<b>{short(2)}</b> {short(20)}<p>{short(12)}</p>")))
-        listed = "".join(one() for _ in range(rnd.randint(1, 6)))
-        comments = _tagged(rnd, rnd.choice(("section", "div", "ol", "aside")), TOKENS["comment"], rnd.choice(("", f"<h3>{short(2)}</h3>")) + listed)
-        if rnd.random() < 0.4 and article.endswith(("</article>", "</main>", "</div>")):
+    add(0.4, _tagged(rnd, "form", TOKENS["form"], f"<label>{short(3)}</label><input name=q><p>{short(8)}</p>", made=0.2, bare=0.2))
+    add(0.3, _tagged(rnd, "div", TOKENS["share"], f"<ul>{links(4)}</ul>", made=0.2))
+    if rnd.random() < 0.55 * busy:
+        unlisted = rnd.random() < 0.4
+        name, parts = (_made_name(rnd), rnd.randint(2, 7)) if unlisted else ("", rnd.randint(1, 6))
+        tag = rnd.choice(("div", "li", "article")) if unlisted else rnd.choice(("div", "li", "article", "p"))
+        made = lambda: rnd.choice((f"<b>{short(2)}</b> {short(20)}", f"<b>{short(2)}</b><p>{short(25)}</p>", f"<span>{short(2)}</span><p>{short(25)}</p>"))
+        told = lambda: rnd.choice((f"<p>{short(30)}</p>", short(30), f"<b>{short(2)}</b> {short(20)}<p>{short(12)}</p>"))
+        one = (lambda: f'<{tag} class="{name}">{made()}</{tag}>') if unlisted else (lambda: _tagged(rnd, tag, "comment reply comment-body response", told()))
+        listed = "".join(one() for _ in range(parts))
+        comments = _tagged(rnd, rnd.choice(("section", "div", "ol")), TOKENS["comment"], rnd.choice(("", f"<h3>{short(2)}</h3>")) + listed, made=1.0 if unlisted else 0.0)
+        if rnd.random() < 0.4 and article.endswith(("</article>", "</main>", "</div>")) and wrap < 0.75:
             cut = article.rindex("</")
-            article = article[:cut] + comments + article[cut:]
+            article, inside_comments = article[:cut] + comments + article[cut:], True
         else:
             parts_after.append(comments)
-    if rnd.random() < 0.85:
-        parts_after.append(_tagged(rnd, div("footer"), TOKENS["footer"], rnd.choice((f"&copy; {short(9)}", f"<p>{short(14)}</p><ul>{links(4)}</ul>"))))
+    if rnd.random() < 0.85 * busy:
+        inner = rnd.choice((f"&copy; {short(9)}", f"<p>{short(14)}</p><ul>{links(4)}</ul>"))
+        parts_after.append(_tagged(rnd, "footer", TOKENS["footer"], inner, made=0.1, bare=0.3) if rnd.random() < 0.6 else _tagged(rnd, "div", TOKENS["footer"], inner))
     inside = "".join([*parts_before, article, *parts_after])
-    if rnd.random() < 0.3:
-        inside = f'<div class="{rnd.choice(("wrapper", "container", "page", "site"))}">{inside}</div>'
-    if rnd.random() < 0.05:
+    for chance in (0.3, 0.15):
+        if rnd.random() < chance:
+            inside = f'<div class="{rnd.choice(("wrapper", "container", "site", _made_name(rnd)))}">{inside}</div>' if rnd.random() < 0.7 else f"<div>{inside}</div>"
+    if rnd.random() < 0.03 and not inside_comments:
         inside = f"<form>{inside}</form>"
-    return f"<html><head><title>{short(6)}</title></head><body>{inside}</body></html>"
+    top = rnd.random()
+    if top < 0.06:
+        return inside
+    return f"<html><head><title>{short(6)}</title></head><body>{inside}</body></html>" if top < 0.9 else f"<html><body>{inside}</body></html>"
 
 
 MARK = "\ue000"
@@ -323,20 +367,21 @@ def train(pages: list[str | None], seed: int = 7) -> Trees:
             add(page, labels)
         paragraphs = [t for t, v in zip(page.run_text, labels) if v == 1] or spare
         for _ in range(VARIANTS):
-            made = layout(paragraphs[:60], rnd)
+            made = layout(paragraphs[:PARAGRAPHS], rnd)
             other = Page(made)
             marked = [1 if MARK in t else 0 for t in other.run_text]
             other.run_text = [t.replace(MARK, "") or "x" for t in other.run_text]
             add(other, marked)
-    return Trees().fit(np.concatenate(xs), np.concatenate(ys))
+    return Trees(rounds=80, depth=5, share=0.4).fit(np.concatenate(xs), np.concatenate(ys))
 
 
 def fit(pages: DataFrame, html: str = "html", key: str = "page_id", sample: int = SAMPLE) -> Trees:
     """Train on a seeded sample of about ``sample`` pages, in one task."""
     ship(pages.sparkSession)
-    h = F.xxhash64(F.col(f"`{key}`"), F.lit(7))
+    h = F.xxhash64(F.col(f"`{key}`"), F.col(f"`{html}`"), F.lit(7))
     n = max(1, pages.count())
-    few = pages.where(F.pmod(h, F.lit(1_000_000)) < 1e6 * sample / n).select(h.alias("h"), F.col(f"`{html}`").alias("html"))
+    # equal pages under one key are one example
+    few = pages.select(h.alias("h"), F.col(f"`{html}`").alias("html")).where(drawn(F.col("h"), sample / n)).groupBy("h").agg(F.min("html").alias("html"))
 
     def learn(batches):
         frames = [b for b in batches if len(b)]
