@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import drawn, ship
 
 BITS = 256
 #: Rows to fit the rotations on, rows and queries of a block, codes to rerank per block.
@@ -116,8 +116,7 @@ def search(df: DataFrame, is_query: Column, k: int = 10, vector: str = "embeddin
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     rows = rows.groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector"))
     count = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
-    part = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1_000_000))  # about ``sample`` rows, by a hash
-    some = rows.where(part < 1e6 * sample / max(1, count["n"])).select("vec_id", "vector").toPandas().sort_values("vec_id")["vector"]
+    some = rows.where(drawn(F.xxhash64("vec_id", F.lit(3)), sample / max(1, count["n"]))).select("vec_id", "vector").toPandas().sort_values("vec_id")["vector"]
     models = {}
     for d in sorted({len(v) for v in some}):
         models[d] = learn(np.stack([v for v in some if len(v) == d]).astype(np.float64))
