@@ -8,8 +8,9 @@ distribution of the class (rare words, add-half counts, with a place for unseen
 
 Training is truncated backpropagation: documents run in lockstep by windows of a few
 words, the state is carried from window to window, gradients stop at its edge.  A small
-seeded sample gives a common start; then every partition trains on all its learned
-documents and the networks are averaged by tokens, in a tree.  Scoring carries the state
+seeded sample gives a common start; then every part, dealt by a hash of key and content,
+trains on all its learned documents and the networks are averaged by tokens, in a tree.
+Scores don't depend on how the input is split into files and partitions.  Scoring carries the state
 through whole documents, so that a score is the log-probability of the complete text.
 
 At scale: counts are gathered by partition before the shuffle.  Counts of the ``TOP``
@@ -30,12 +31,11 @@ import pickle
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, map_texts, mix64, ship, slices
+from .common import drawn, keep, map_texts, mix64, ship, slices
 
 #: Frequent words of the network (the end token among them), words of a band, rare classes.
 OWN, BAND, RARE = 1024, 32, 32
@@ -45,6 +45,8 @@ CLASSES = BANDS + RARE
 STATE, WINDOW, BATCH = 16, 16, 512
 #: Words whose counts every task gets; documents of the common start; tokens held at once.
 TOP, START, HELD = 1 << 18, 600, 8_000_000
+#: Learned tokens of a part, about; a part of more than HELD is trained in several goes.
+PART_TOKENS = 4_000_000
 #: Characters whose words are found at once.
 SLICE = 1_500_000
 BOS = OWN + RARE
@@ -438,7 +440,9 @@ def _average(rows: pd.DataFrame) -> bytes:
 
 
 def learn(table: DataFrame, corpus: Corpus, documents: int) -> Net:
-    """A network from the rows of ``table`` (ids), all of them."""
+    """A network from the rows of ``table`` (ids, and h: a hash of key and content), all of them.
+    Rows are dealt into parts by h and come in its order, and the parts' number follows from
+    the tokens alone, so that the files and partitions they come from don't matter."""
     spark, start = table.sparkSession, Net(corpus)
     if not documents:
         return start
@@ -449,18 +453,21 @@ def learn(table: DataFrame, corpus: Corpus, documents: int) -> Net:
             train_documents(net, docs)
         yield pd.DataFrame({"net": [pickle.dumps(net)]})
 
-    few = table.where(F.pmod(F.xxhash64("row"), F.lit(1_000_000)) < 1e6 * START / documents)
-    common = spark.sparkContext.broadcast(pickle.loads(few.select("row", "ids").repartition(1).sortWithinPartitions("row").select("ids").mapInPandas(warm, "net binary").first()["net"]))
+    few = table.where(drawn(F.col("h"), START / documents)).dropDuplicates(["h"])
+    common = spark.sparkContext.broadcast(pickle.loads(few.repartition(1).sortWithinPartitions("h").select("ids").mapInPandas(warm, "net binary").first()["net"]))
 
     def train(batches):
-        net, tokens = pickle.loads(pickle.dumps(common.value)), 0
-        for _, docs in _groups(batches):
-            tokens += train_documents(net, docs, rate=0.005)
+        net, tokens, part = pickle.loads(pickle.dumps(common.value)), 0, 0
+        for frame, docs in _groups(batches):
+            tokens, part = tokens + train_documents(net, docs, rate=0.005), int(frame["part"].iloc[0])
         if tokens:
-            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "tokens": [tokens], "net": [pickle.dumps(net)]})
+            yield pd.DataFrame({"part": [part], "tokens": [tokens], "net": [pickle.dumps(net)]})
 
     kind = "part long, tokens long, net binary"
-    nets = keep(table.select("ids").mapInPandas(train, kind), "lm-nets")
+    parts = max(1, -(-corpus.n // PART_TOKENS))
+    dealt = table.select("h", "ids", F.pmod(F.shiftright("h", 7), F.lit(parts)).cast("int").alias("part"))
+    dealt = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("h")
+    nets = keep(dealt.select("part", "ids").mapInPandas(train, kind), "lm-nets")
     most = nets.agg(F.max("part")).first()[0] or 0
     while True:
         nets = nets.withColumn("part", F.expr("part div 64")).groupBy("part").applyInPandas(
@@ -483,7 +490,7 @@ def scores(df: DataFrame, learned: Column, text: str = "text", passed: tuple[str
     told = sc.broadcast(corpus)
     table = coded(rows, told, "t", (*names, "learned"))
     table = keep(table.withColumn("row", F.monotonically_increasing_id()), "lm-coded")
-    net = sc.broadcast(learn(table.where("learned").select("row", "ids"), corpus, documents))
+    net = sc.broadcast(learn(table.where("learned").select("ids", F.xxhash64("ids", *names).alias("h")), corpus, documents))
 
     # words beyond the told ones meet their counts
     far = table.select("row", F.explode("rare").alias("h")).groupBy("row", "h").agg(F.count(F.lit(1)).alias("k"))
