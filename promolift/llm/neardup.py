@@ -25,6 +25,8 @@ kept; extra columns don't matter; an empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -337,6 +339,17 @@ def link(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int =
 
 
 def drop_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, percent: int = 80) -> DataFrame:
-    """``df`` with the kept document of every group; its own columns only."""
+    """``df`` with the kept document of every group; its own columns only.  Of rows that share
+    id and text, and of rows without id that share their text, one stays."""
     gone = link(df, text, doc_id, width, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return df.join(gone, df[f"`{doc_id}`"] == gone["__gone"], "left_anti")
+    rest = df.join(gone, df[f"`{doc_id}`"] == gone["__gone"], "left_anti")
+    own = [F.col(f"`{doc_id}`"), F.xxhash64(F.col(f"`{text}`")), F.xxhash64(F.lit(1), F.col(f"`{text}`"))]
+    names = ["__id", "__h", "__i"]
+    repeated = df.select(*[c.alias(n) for c, n in zip(own, names)]).groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*names)
+    repeated = keep(repeated, "neardup-repeated")
+    if repeated.isEmpty():
+        return rest
+    rest = rest.withColumns({f"{n}_own": c for c, n in zip(own, names)})
+    same = reduce(lambda a, b: a & b, [F.col(f"{n}_own").eqNullSafe(repeated[n]) for n in names])
+    marks = [f"{n}_own" for n in names]
+    return rest.join(repeated, same, "left_anti").unionByName(rest.join(repeated, same, "left_semi").dropDuplicates(marks)).drop(*marks)
