@@ -46,3 +46,25 @@ def test_stages_of_odd_documents(spark, odd_documents, no_documents):
         docs = start
         for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
             docs = keep(stage(spark, docs, SF_MORE), f"odd-{k}")
+
+
+def test_repeated_rows_go(spark):
+    """Of rows with equal id and text, and of equal texts without an id, one stays; texts that an
+    id shares with another stay as one document's."""
+    t = "the very same words of one long enough text that is here many times over again"
+    other = "quite another text with its own words that nobody else in this table has ever used"
+    rows = [(1, t), (1, t), (None, t), (None, t), (2, t), (3, other), (3, other), (4, None), (4, None), (None, None), (None, None), (5, ""), (6, "")]
+    df = spark.createDataFrame([(i, x, "en", "s", 0) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = Counter((r["doc_id"], r["text"]) for r in neardup.drop_duplicates(df).collect())
+    assert got == Counter([(1, t), (None, t), (3, other), (4, None), (None, None), (5, ""), (6, "")])
+
+
+def test_a_share_of_hashes(spark):
+    """Samples follow their share also where it is far below a millionth."""
+    from pyspark.sql import functions as F
+
+    from promolift.llm.common import drawn
+    h = spark.range(200_000).select(F.xxhash64("id").alias("h"))
+    assert 1800 < h.where(drawn(F.col("h"), 0.01)).count() < 2200 and h.where(drawn(F.col("h"), 2.0)).count() == 200_000
+    edge = spark.createDataFrame([(-2**63,), (-2**63 + 10**6,), (0,)], "h long")
+    assert edge.where(drawn(F.col("h"), 1e-15)).count() == 1
