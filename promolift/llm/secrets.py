@@ -116,20 +116,39 @@ class Pair:
         self.name, self.score, self.value, self.start, self.end, self.quoted, self.group, self.whole = name, score, value, start, end, quoted, group, value if whole is None else whole
 
 
-def _closes(text: str) -> dict[int, int]:
-    """Where each opening bracket outside strings is closed; openers that never are have none."""
-    out, stack = {}, []
-    for m in _OUTSIDE.finditer(text):
-        c = m[0]
-        if c in "([{":
-            stack.append((c, m.start()))
-        elif c in BRACKETS:
+class Brackets:
+    """Brackets of a text outside its strings: where each one is closed, and what it holds."""
+
+    def __init__(self, text: str):
+        self.closes: dict[int, int] = {}
+        self.strings: dict[int, list] = {}      # opener -> (text, start, end) of strings right inside
+        self.inner: dict[int, list[int]] = {}   # opener -> openers right inside
+        stack: list[int] = []
+        for m in _OUTSIDE.finditer(text):
+            if m.lastgroup:
+                if stack:
+                    self.strings.setdefault(stack[-1], []).append((m[m.lastgroup], *m.span(m.lastgroup)))
+                continue
+            c = m[0]
+            if c in "([{":
+                if stack:
+                    self.inner.setdefault(stack[-1], []).append(m.start())
+                stack.append(m.start())
+                continue
             for k in range(len(stack) - 1, max(-1, len(stack) - 4), -1):    # a stray opener or two is passed over
-                if stack[k][0] == BRACKETS[c]:
-                    out[stack[k][1]] = m.start()
+                if text[stack[k]] == BRACKETS[c]:
+                    self.closes[stack[k]] = m.start()
                     del stack[k:]
                     break
-    return out
+
+    def held(self, opener: int, depth: int = 3) -> list:
+        """Strings in a closed bracket, and in those inside it down to a depth."""
+        if opener not in self.closes:
+            return []
+        out = list(self.strings.get(opener, ()))
+        for k in self.inner.get(opener, ()) if depth > 1 else ():
+            out += self.held(k, depth - 1)
+        return out
 
 
 _OUTSIDE = re.compile(STRING.pattern + r"|[()\[\]{}]", re.S)
@@ -146,7 +165,7 @@ def _string(text: str, at: int):
 
 def pairs(text: str) -> list[Pair]:
     """The parts of all assignments of a text, in order of their places."""
-    out, closes, held, lines = [], None, [], []
+    out, brackets, held, lines = [], None, [], []
     at, group = 0, 0
     line = 0       # start of the line that the last head stands in
 
@@ -175,15 +194,16 @@ def pairs(text: str) -> list[Pair]:
         c = text[at:at + 1]
         values = []     # (text, start, end, quoted)
         if c in ("{", "[", "("):
-            closes = _closes(text) if closes is None else closes
-            if at in closes:
+            brackets = brackets or Brackets(text)
+            if at in brackets.closes:
+                close = brackets.closes[at]
                 if c != "(":
-                    held.append((at, closes[at], score))
+                    held.append((at, close, score))
                 inner = at + 1
-                while c != "{" and inner < closes[at]:      # strings that are elements themselves
+                while c != "{" and inner < close:      # strings that are elements themselves
                     inner = _SPACES.match(text, inner).end()
                     s = _string(text, inner)
-                    if s is None or s[3] > closes[at]:
+                    if s is None or s[3] > close:
                         break
                     after = _SPACES.match(text, s[3]).end()
                     if text[after:after + 1] not in (",", "]", ")"):
@@ -226,13 +246,9 @@ def pairs(text: str) -> list[Pair]:
                     break
                 follows = text[b.end():b.end() + 1]
                 if follows == "(":      # a call: its strings are what counts
-                    closes = _closes(text) if closes is None else closes
-                    stop = closes.get(b.end())
-                    if stop is not None and not GETTER.search(b[0].rsplit(".", 1)[-1]):
-                        for x in STRING.finditer(text, b.end() + 1, stop):
-                            k = x.lastgroup
-                            if not LOOKS_LIKE_NAME.fullmatch(x[k]):
-                                values.append((x[k], *x.span(k), True))
+                    brackets = brackets or Brackets(text)
+                    if not GETTER.search(b[0].rsplit(".", 1)[-1]):
+                        values += [(*x, True) for x in brackets.held(b.end()) if not LOOKS_LIKE_NAME.fullmatch(x[0])]
                     behind = where = b.end() if behind is None else behind
                     break
                 if follows == "[" or b[0] in ("+", "-", "=", "."):
