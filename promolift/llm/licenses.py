@@ -176,10 +176,11 @@ NOTICES = (
         ("zlib", "jean loup gailly"), ("python", "python software foundation"), ("postgresql", "(?:the )?postgresql global development group"), ("openssl", "the openssl project"), ("php", "the php group"),
     )),
 )
-#: A further identifier of an expression belongs to SPDX where so many words back the tag and only identifiers stand.
+#: A further identifier of an expression belongs to SPDX where only identifiers stand between it and
+#: the tag.  So many words are looked at first; where all of them are identifiers, the rest too.
 EXPRESSION = 64
-_ID_WORD = "|".join(sorted({w for _, p in IDS for w in p.replace("(?: only| or later)?", "").replace("(?:python|psf)", "python psf").split(" ")} | set("only or later and with exception classpath gcc llvm linux syscall note".split())))
-_IN_EXPRESSION = rf"(?<![^ ])license identifier (?:(?:{_ID_WORD}|[0-9]+) )+$"
+_ID_WORDS = sorted({w for _, p in IDS for w in p.replace("(?: only| or later)?", "").replace("(?:python|psf)", "python psf").split(" ")} | set("only or later and with exception classpath gcc llvm linux syscall note".split()))
+_IN_EXPRESSION = rf"(?<![^ ])license identifier (?:(?:{'|'.join(_ID_WORDS)}|[0-9]+) )+$"
 
 
 def _whole(pattern: str) -> str:
@@ -219,6 +220,10 @@ def _longest(pattern: str) -> int:
 AROUND = max(_longest(part) for lead, *_ in LEADS for p in [*(lead + n[2] for n in NAMES), *(n[2] for n in NOTICES), *(f"spdx license @identifier {n}" for _, n in IDS)] for part in p.split("@")) + 2
 
 
+#: Years of a copyright line that stay in the window; further ones are passed over.
+KEPT_YEARS = 2
+
+
 def _rule_table() -> Column:
     of: dict[str, list] = {}
     for a, b, c, d, e in rules():
@@ -251,7 +256,15 @@ def matches(words: Column, table: Column) -> Column:
     """Matches (label, from, to, priority, weight) of every anchor: an array of arrays."""
     def in_expression(a: Column) -> Column:
         before = F.slice(words, F.greatest(F.lit(1), a["i"] + 1 - EXPRESSION), F.least(a["i"], F.lit(EXPRESSION)))
-        return F.concat(F.array_join(before, " "), F.lit(" ")).rlike(_IN_EXPRESSION)
+        listed = lambda w: w.isin(*_ID_WORDS) | w.rlike("^[0-9]+$")
+
+        def from_tag(back: Column) -> Column:   # the words before, last one first
+            gap = F.array_position(back, "identifier") - 1
+            return (gap > 0) & (F.get(back, gap.cast("int") + 1) == "license") & F.forall(F.slice(back, F.lit(1), F.greatest(F.lit(1), gap.cast("int"))), listed)
+
+        long = lambda: let(F.reverse(F.slice(words, F.lit(1), a["i"])), from_tag)
+        near = let(F.concat(F.array_join(before, " "), F.lit(" ")), lambda t: t.rlike(_IN_EXPRESSION))
+        return near | F.when((a["i"] > EXPRESSION) & F.forall(before, listed), long()).otherwise(F.lit(False))
 
     numbered = F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w")))
     anchors = F.when(
@@ -259,22 +272,32 @@ def matches(words: Column, table: Column) -> Column:
         F.filter(numbered, lambda a: a["w"].isin(*ANCHORS) | (a["w"].isin("or", "and") & in_expression(a))),
     ).otherwise(F.filter(numbered, lambda a: a["w"].isin(*ANCHORS)))
 
-    def window(a: Column) -> Column:
+    def years(a: Column) -> Column:
+        """Years right behind a copyright sign that a window would lose its holder to."""
+        first = lambda rest: F.array_position(F.transform(rest, lambda w, k: w.rlike("^[0-9]+$") | ((k == 0) & (w == "c"))), False)
+        leading = lambda rest: let(first(rest), lambda k: F.when(k > 0, k - 1).otherwise(F.size(rest)))
+        near = let(F.slice(words, a["i"] + 2, EXPRESSION), leading)
+        every = lambda k: F.when(k < EXPRESSION, k).otherwise(let(F.slice(words, a["i"] + 2, F.size(words)), leading))
+        return F.when(a["w"] == "copyright", let(near, lambda k: F.greatest(every(k).cast("int") - KEPT_YEARS, F.lit(0)))).otherwise(F.lit(0))
+
+    def window(a: Column, skipped: Column) -> Column:
         before = F.slice(words, F.greatest(F.lit(1), a["i"] + 1 - AROUND), F.least(a["i"], F.lit(AROUND)))
-        after = F.slice(words, a["i"] + 2, AROUND)
+        after = F.when(skipped == 0, F.slice(words, a["i"] + 2, AROUND)).otherwise(
+            F.concat(F.slice(words, a["i"] + 2, KEPT_YEARS), F.slice(words, a["i"] + 2 + KEPT_YEARS + skipped, AROUND)))
         return F.array_join(F.concat(before, F.array(F.concat(F.lit("@"), a["w"])), after), " ")
 
     def found(a: Column) -> Column:
         own = F.element_at(table, a["w"])
         spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
         hit = lambda text: F.transform(own, lambda r: F.struct(r.alias("r"), F.call_function("regexp_extract", text, r["pattern"], F.lit(0)).alias("m")))
-        one = lambda x: F.struct(
+        behind = lambda x: spaces(F.substring_index(x["m"], "@", -1))
+        one = lambda skipped: lambda x: F.struct(
             x["r"]["label"].alias("label"),
             (a["i"] - spaces(F.substring_index(x["m"], "@", 1))).alias("from"),
-            (a["i"] + 1 + spaces(F.substring_index(x["m"], "@", -1))).alias("to"),
+            (a["i"] + 1 + behind(x) + F.when(behind(x) > KEPT_YEARS, skipped).otherwise(F.lit(0))).alias("to"),
             x["r"]["priority"].alias("priority"), x["r"]["weight"].alias("weight"),
         )
-        return let(window(a), lambda text: F.transform(F.filter(hit(text), lambda x: x["m"] != ""), one))
+        return let(years(a), lambda skipped: let(window(a, skipped), lambda text: F.transform(F.filter(hit(text), lambda x: x["m"] != ""), one(skipped))))
 
     return F.transform(anchors, found)
 

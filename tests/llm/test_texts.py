@@ -296,3 +296,20 @@ def test_license_rules_number_hundreds():
 def test_license_plan_is_native(documents):
     plan = licenses.scan(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_license_expressions_and_years_of_any_length(spark):
+    """A further identifier far behind its tag, a holder behind many years, years alone."""
+    many = " OR ".join(["MIT"] * 40)
+    lines = [
+        (1, f"SPDX-License-Identifier: {many} OR MPL-2.0", {"mit", "mpl-2.0"}),
+        (2, f"SPDX-License-Identifier: {' OR '.join(['MIT'] * 300)} OR MPL-2.0", {"mit", "mpl-2.0"}),
+        (3, "SPDX-License-Identifier: MIT and some prose then " + " or ".join(["mit"] * 60) + " or MPL-2.0", {"mit"}),
+        (4, "Copyright (c) " + ", ".join(str(y) for y in range(1960, 2002)) + " The PHP Group", {"php"}),
+        (5, "Copyright (c) " + ", ".join(str(1900 + y % 100) for y in range(300)) + " The PHP Group", {"php"}),
+        (6, "Copyright 1999 The PHP Group", {"php"}), (7, "Copyright " + "1999 " * 200, {"copyright"}), (8, "copyright c", set()),
+    ]
+    df = spark.createDataFrame([(i, t) for i, t, _ in lines], "doc_id long, text string")
+    got = {r["doc_id"]: set(r["labels"]) for r in licenses.scan(df).collect()}
+    for i, _, want in lines:
+        assert want <= got[i] and (i not in (3, 7) or "mpl-2.0" not in got[i] and "php" not in got[i]), (i, got[i])
