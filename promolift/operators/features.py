@@ -163,15 +163,38 @@ def category_lifts(observed: DataFrame) -> DataFrame:
     return _by_level(observed, "deviation").groupBy("level", "category").agg(F.avg("deviation").alias("mean_lift"), F.count("deviation").alias("n_obs"))
 
 
+def earlier_category_lifts(observed: DataFrame, asked: DataFrame) -> DataFrame:
+    """Q17 as of each week: mean deviation and count of a category's observations of strictly
+    earlier weeks, for the (level, category, week_start) rows of ``asked``.  Running sums see
+    one row a category and week."""
+    own = _by_level(observed, "week_start", "deviation").groupBy("level", "category", "week_start").agg(F.sum("deviation").alias("s"), F.count("deviation").alias("n"))
+    none = asked.select("level", "category", "week_start", F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("n"))
+    weeks = own.unionByName(none).groupBy("level", "category", "week_start").agg(F.coalesce(F.sum("s"), F.lit(0.0)).alias("s"), F.sum("n").alias("n"))
+    before = Window.partitionBy("level", "category").orderBy("week_start").rowsBetween(Window.unboundedPreceding, -1)
+    s, n = F.sum("s").over(before), F.coalesce(F.sum("n").over(before), F.lit(0))
+    return weeks.select("level", "category", "week_start", F.try_divide(s, n).alias("mean_lift"), n.alias("n_obs"))
+
+
+def item_week_lifts(item_df: DataFrame, observed: DataFrame, master: DataFrame) -> DataFrame:
+    """``item_lifts`` of strictly earlier weeks, per item and week."""
+    rows = _by_level(item_df.select("baseItemId", "week_start").join(master.select("baseItemId", *[c for c in CATEGORY_IDS if c in master.columns]), "baseItemId"), "baseItemId", "week_start")
+    found = rows.join(earlier_category_lifts(observed, rows.select("level", "category", "week_start").distinct()), ["level", "category", "week_start"])
+    return _blended(found, ["baseItemId", "week_start"])
+
+
 def item_lifts(observed: DataFrame, master: DataFrame) -> DataFrame:
     """M3 per item of the master: the four levels' lifts (0 where unseen), the count of the most
     specific one and the blend; the lifts meet the items, not their weeks."""
-    found = _by_level(master, "baseItemId").join(category_lifts(observed), ["level", "category"])
+    return _blended(_by_level(master, "baseItemId").join(category_lifts(observed), ["level", "category"]), ["baseItemId"])
+
+
+def _blended(found: DataFrame, keys: list[str]) -> DataFrame:
+    """The levels' lifts side by side per key, with their blend (M3)."""
     at = lambda c, n: F.max(F.when(F.col("level") == n, F.col(c)))
-    found = found.groupBy("baseItemId").agg(*[F.coalesce(at("mean_lift", n), F.lit(0.0)).alias(f"cat_lift_l{n}") for n in range(1, 5)],
+    found = found.groupBy(*keys).agg(*[F.coalesce(at("mean_lift", n), F.lit(0.0)).alias(f"cat_lift_l{n}") for n in range(1, 5)],
                                             *[F.coalesce(at("n_obs", n), F.lit(0)).cast("long").alias(f"_n{n}") for n in range(1, 5)])
     blend = shrink([(F.col(f"cat_lift_l{n}"), F.col(f"_n{n}").cast("double")) for n in range(1, 5)])
-    return found.select("baseItemId", *[f"cat_lift_l{n}" for n in range(1, 5)], blend.alias("best_cat_lift"), F.col("_n4").alias("cat_n_obs_l4"))
+    return found.select(*keys, *[f"cat_lift_l{n}" for n in range(1, 5)], blend.alias("best_cat_lift"), F.col("_n4").alias("cat_n_obs_l4"))
 
 
 def category_recency(df: DataFrame, obs: DataFrame, cat_col: str = CATEGORY_IDS[-1]) -> DataFrame:
@@ -199,17 +222,20 @@ def category_recency(df: DataFrame, obs: DataFrame, cat_col: str = CATEGORY_IDS[
         F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("n_campaigns_historical_l4"))
 
 
-def add_category_lift_features(item_df: DataFrame, master: DataFrame) -> DataFrame:
+def add_category_lift_features(item_df: DataFrame, master: DataFrame, asof: bool = False) -> DataFrame:
     """cat_lift_l1..l4, best_cat_lift (M3 shrinkage), cat_n_obs_l4, recency and
     frequency at L4, by one join on the item and one on (category, week).  Without category
-    columns all eight features are 0."""
+    columns all eight features are 0.  ``asof`` (Q17): lifts of strictly earlier weeks."""
     counts = {"cat_n_obs_l4": 0, "weeks_since_last_campaign_l4": NO_HISTORY_WEEKS, "n_campaigns_historical_l4": 0}
     if not any(c in master.columns for c in CATEGORY_IDS):
         return item_df.withColumns({c: F.lit(0).cast("long") if c in counts else F.lit(0.0) for c in CATEGORY_FEATURES})
     observed = campaign_deviations(item_df, master)
     finest = [c for c in CATEGORY_IDS[-1:] if c in master.columns]
-    items = master.select("baseItemId", *finest).join(item_lifts(observed, master), "baseItemId", "left")
-    df = item_df.join(items, "baseItemId", "left")
+    if asof:
+        df = item_df.join(master.select("baseItemId", *finest), "baseItemId", "left").join(item_week_lifts(item_df, observed, master), ["baseItemId", "week_start"], "left")
+    else:
+        items = master.select("baseItemId", *finest).join(item_lifts(observed, master), "baseItemId", "left")
+        df = item_df.join(items, "baseItemId", "left")
     for c in finest:
         df = df.join(category_recency(df, observed, c), [c, "week_start"], "left").drop(c)
     missing = {c: F.lit(None) for c in CATEGORY_FEATURES if c not in df.columns}

@@ -87,10 +87,11 @@ def denormalize_log(c, normalizer):
 
 
 def seasonal_baseline(df: DataFrame, level: str, forecast_date, campaign_start, normalizers: DataFrame,
-                      targets: DataFrame | None = None) -> DataFrame:
+                      targets: DataFrame | None = None, wrap: bool = False) -> DataFrame:
     """Median kg/L of the target's weeks within +-2 ISO weeks of the campaign's
     ISO week (all its history when none), up to the last complete week; kept when in
-    (0, 1e6), else the mean, else 1000.  Same value for the three campaign weeks."""
+    (0, 1e6), else the mean, else 1000.  Same value for the three campaign weeks.  ``wrap``
+    (Q19): weeks on both sides of a year's end are near each other."""
     idc = id_col(level)
     cutoff = last_complete_week(forecast_date, campaign_start)
     cw = as_date(campaign_start).isocalendar()[1]
@@ -100,6 +101,9 @@ def seasonal_baseline(df: DataFrame, level: str, forecast_date, campaign_start,
     d = d.join(normalizers.select(idc, F.col("normalizer").alias("_n")), idc, "left")
     kgl = F.expm1(F.col("salesQuantityKgL_log")) * F.coalesce(F.col("_n"), F.lit(FALLBACK_NORMALIZER))
     near = F.weekofyear("week_start").between(cw - SEASON_HALF_WIDTH, cw + SEASON_HALF_WIDTH)
+    if wrap:
+        away = F.pmod(F.weekofyear("week_start") - cw, F.lit(52))
+        near = F.least(away, 52 - away) <= SEASON_HALF_WIDTH
     d = d.select(idc, kgl.alias("kgl"), near.alias("near"))
     agg = d.groupBy(idc).agg(
         F.median(F.when(F.col("near"), F.col("kgl"))).alias("_mn"),

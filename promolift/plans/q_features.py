@@ -29,7 +29,7 @@ LAGS = ["sales_lag_week1", "sales_rolling_4w_week1", "sales_lag_week2", "sales_r
         "sales_lag_week3", "sales_rolling_4w_week3", "sales_lag_12w", "sales_lag_52w"]
 
 CLAGS_SQL = f"""
-clag AS (SELECT cluster1To1Id, week_start, {O.lag_cols('cluster1To1Id', P.HORIZON)} FROM cnormed)
+clag AS (SELECT cluster1To1Id, week_start, {O.lag_cols('cluster1To1Id', 4)} FROM cnormed)
 """
 
 
@@ -168,7 +168,7 @@ ITEM_FEATURES = ["baseItemId", "week_start", "cluster1To1Id", "campaign_week_0",
                  "sales_lag_week3", "sales_lag_52w", "cluster_sales_lag_week1", "cluster_sales_rolling_4w_week3"]
 
 ITEM_FEATURES_SQL = CAT_SQL + "," + CLAGS_SQL + f""",
-ilag AS (SELECT baseItemId, week_start, {O.lag_cols('baseItemId', P.HORIZON)} FROM ifilt),
+ilag AS (SELECT baseItemId, week_start, {O.lag_cols('baseItemId', 4)} FROM ifilt),
 ifeat AS (
   SELECT f.baseItemId, f.week_start, f.cluster1To1Id, f.campaign_week_0, f.campaign_week_1, f.campaign_week_2,
          f.campaign_week_3, f.salesQuantityKgL_log, f.n_campaign_items_in_cluster, f.campaign_coverage,

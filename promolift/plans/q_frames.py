@@ -74,7 +74,7 @@ grid AS (SELECT w, o FROM (VALUES (1), (2), (3)) a(w), (VALUES (true), (false))
 
 
 @register("scoring_frame", _with(_PLAN + f""",
-il AS (SELECT baseItemId, week_start, cluster1To1Id, item_share_in_cluster AS share, {O.lag_cols('baseItemId', P.HORIZON)} FROM ifilt),
+il AS (SELECT baseItemId, week_start, cluster1To1Id, item_share_in_cluster AS share, {O.lag_cols('baseItemId', 4)} FROM ifilt),
 state AS (SELECT * FROM il WHERE week_start <= DATE '2001-06-12' QUALIFY row_number() OVER (PARTITION BY baseItemId ORDER BY week_start DESC) = 1),
 rows AS (
   SELECT s.*, g.w, g.o, coalesce(p.n_on, 1) AS n, CASE WHEN p.n_on IS NULL THEN 0.0 ELSE p.n_on / greatest(coalesce(z.sz, 1), 1)::DOUBLE END AS cov,
@@ -103,7 +103,7 @@ def scoring_frame(spark, sf):
 
 @register("cluster_scoring_frame", _with(_PLAN + f""",
 nitems AS (SELECT cluster1To1Id, count(DISTINCT baseItemId) AS n FROM ifilt WHERE cluster1To1Id IS NOT NULL GROUP BY 1),
-cl AS (SELECT cluster1To1Id, week_start, {O.lag_cols('cluster1To1Id', P.HORIZON)} FROM cnormed),
+cl AS (SELECT cluster1To1Id, week_start, {O.lag_cols('cluster1To1Id', 4)} FROM cnormed),
 state AS (SELECT * FROM cl WHERE week_start <= DATE '2001-06-12' QUALIFY row_number() OVER (PARTITION BY cluster1To1Id ORDER BY week_start DESC) = 1),
 rows AS (
   SELECT s.cluster1To1Id, g.w, g.o, least(coalesce(p.n_on, 1)::DOUBLE / greatest(coalesce(i.n, 1), 1)::DOUBLE, 1.0) AS inten,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_features
 from ..functions.units import kgl_to_units
+from ..operators import features as FE
 from ..operators import forecast as FC
 from ..operators import report as R
 from ..operators import scenario as S
@@ -20,7 +21,7 @@ from . import oracle as O
 from . import params as P
 from .forecast_job import campaign_items, plan_tables, run_lag_date
 from .preprocess import weekly_lines
-from .q_features import CLAGS_SQL, ITEM_FEATURES_SQL
+from .q_features import CAT_SQL, CLAGS_SQL, ITEM_FEATURES_SQL
 from .q_frames import _sample
 from .q_models import FORECAST_CAMPAIGN
 from .registry import _filtered_items, _inputs, _pre, _weekly, finalize, register
@@ -346,3 +347,45 @@ def harmonized_rows(spark, sf):
     text = d.select("itemDesc", F.col("itemSkey").cast("string").alias("itemSkey"), "cluster1To1Id", F.col("netWeightKgComparisonUnit").cast("string").alias("netWeight"),
                     F.col("grossWeightKgComparisonUnit").cast("string").alias("grossWeight"), F.col("categoryLevel4Id").alias("category"))
     return finalize(IO.harmonize_types(text))
+
+
+# --- options: seasonal window over the year's end (Q19), lifts as of each week (Q17) ------------
+
+@register("cluster_seasonal_baseline_wrapped", _with("""
+sb AS (
+  SELECT c.cluster1To1Id, (exp(c.salesQuantityKgL_log) - 1) * coalesce(n.normalizer, 1000.0) AS kgl,
+         least((weekofyear(c.week_start) - 52 + 104) % 52, 52 - (weekofyear(c.week_start) - 52 + 104) % 52) <= 2 AS near
+  FROM cnormed c LEFT JOIN cnorm n ON c.cluster1To1Id = n.cluster1To1Id WHERE c.week_start <= DATE '1999-11-23'),
+sba AS (
+  SELECT cluster1To1Id, median(CASE WHEN near THEN kgl END) AS mn, avg(CASE WHEN near THEN kgl END) AS an, median(kgl) AS ma, avg(kgl) AS aa, bool_or(near) AS hn FROM sb GROUP BY 1),
+sbb AS (SELECT cluster1To1Id, CASE WHEN hn THEN mn ELSE ma END AS med, CASE WHEN hn THEN an ELSE aa END AS av FROM sba)
+""", f"""
+SELECT cluster1To1Id, CAST(w AS BIGINT) AS campaign_week, {r("CASE WHEN med > 0 AND med < 1000000 THEN med WHEN av > 0 AND av < 1000000 THEN av ELSE 1000.0 END")} AS baseline_kgl
+FROM sbb, (VALUES (1), (2), (3)) t(w)
+"""))
+def cluster_seasonal_baseline_wrapped(spark, sf):
+    """P4, cluster level, for the campaign that starts on 1999-12-28 (ISO week 52), with weeks 1
+    and 2 near."""
+    pre = _pre(spark, sf)
+    return finalize(FC.seasonal_baseline(pre.cluster_weekly, "cluster", "1999-11-30", "1999-12-28", pre.cluster_normalizers, wrap=True))
+
+
+@register("category_lift_asof", _with(CAT_SQL.strip() + ", " + ", ".join(f"""
+e{k} AS (
+  SELECT k.c, k.w, sum(o.lift) AS s, count(o.lift) AS n
+  FROM (SELECT DISTINCT categoryLevel{k}Id AS c, week_start AS w FROM icat) k LEFT JOIN obs o ON o.categoryLevel{k}Id = k.c AND o.week_start < k.w GROUP BY 1, 2)""" for k in (1, 2, 3, 4)) + """,
+ea AS (
+  SELECT i.baseItemId, i.week_start, CASE WHEN e1.n > 0 THEN e1.s / e1.n ELSE 0.0 END AS l1, CASE WHEN e2.n > 0 THEN e2.s / e2.n ELSE 0.0 END AS l2,
+         CASE WHEN e3.n > 0 THEN e3.s / e3.n ELSE 0.0 END AS l3, CASE WHEN e4.n > 0 THEN e4.s / e4.n ELSE 0.0 END AS l4, e2.n::DOUBLE AS n2, e3.n::DOUBLE AS n3, e4.n AS n4
+  FROM icat i JOIN e1 ON i.categoryLevel1Id = e1.c AND i.week_start = e1.w JOIN e2 ON i.categoryLevel2Id = e2.c AND i.week_start = e2.w
+  JOIN e3 ON i.categoryLevel3Id = e3.c AND i.week_start = e3.w JOIN e4 ON i.categoryLevel4Id = e4.c AND i.week_start = e4.w),
+eb AS (SELECT *, (1 - n2 / (n2 + 10)) * l1 + n2 / (n2 + 10) * l2 AS b2 FROM ea),
+ec AS (SELECT *, (1 - n3 / (n3 + 10)) * b2 + n3 / (n3 + 10) * l3 AS b3 FROM eb)
+""", f"""
+SELECT baseItemId, week_start, {r('l1')} AS cat_lift_l1, {r('l2')} AS cat_lift_l2, {r('l3')} AS cat_lift_l3, {r('l4')} AS cat_lift_l4,
+       {r('(1 - n4::DOUBLE / (n4 + 10)) * b3 + n4::DOUBLE / (n4 + 10) * l4')} AS best_cat_lift, CAST(n4 AS BIGINT) AS cat_n_obs_l4 FROM ec
+"""))
+def category_lift_asof(spark, sf):
+    """C3 with lifts of strictly earlier weeks."""
+    d = FE.add_category_lift_features(_filtered_items(spark, sf), U.item_master(_inputs(spark, sf).items), asof=True)
+    return finalize(d.select("baseItemId", "week_start", *[f"cat_lift_l{n}" for n in range(1, 5)], "best_cat_lift", "cat_n_obs_l4"))

@@ -34,7 +34,7 @@ def wide_gap_filled_weeks(spark, sf):
 
 
 @register("wide_lag_features", O.with_wide_base(f"""
-SELECT baseItemId, week_start, {', '.join(r(c) + ' AS ' + c for c in LAGS)} FROM (SELECT baseItemId, week_start, {O.lag_cols('baseItemId', P.HORIZON)} FROM ifilt)
+SELECT baseItemId, week_start, {', '.join(r(c) + ' AS ' + c for c in LAGS)} FROM (SELECT baseItemId, week_start, {O.lag_cols('baseItemId', 4)} FROM ifilt)
 """))
 def wide_lag_features(spark, sf):
     """A1, W1, A6, F8, W2 and W3 in a row."""

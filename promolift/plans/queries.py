@@ -341,7 +341,7 @@ def time_features(spark, sf):
 SELECT baseItemId, week_start, {', '.join(r(c) + ' AS ' + c for c in [
     'sales_lag_week1', 'sales_rolling_4w_week1', 'sales_lag_week2', 'sales_rolling_4w_week2',
     'sales_lag_week3', 'sales_rolling_4w_week3', 'sales_lag_12w', 'sales_lag_52w'])}
-FROM (SELECT baseItemId, week_start, {O.lag_cols('baseItemId', P.HORIZON)} FROM ifilt)
+FROM (SELECT baseItemId, week_start, {O.lag_cols('baseItemId', 4)} FROM ifilt)
 """))
 def lag_features(spark, sf):
     f = FE.add_lag_features(_filtered_items(spark, sf), "baseItemId", P.HORIZON)
