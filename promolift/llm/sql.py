@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from . import quality
-
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _ASCII_LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -12,28 +10,26 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _rules() -> str:
-    """The threshold table as SQL conditions; a ratio without a denominator passes."""
-    ratio = {
-        "chars_per_word": "word_chars / nullif(n_words, 0)",
-        "symbols_per_word": "n_symbols / nullif(n_words, 0)",
-        "capital_pairs": "n_capital_pairs / nullif(n_words, 0)",
-        "stop_words": "n_stop_words / nullif(n_words, 0)",
-        "doubled_words": "n_doubled_words / nullif(n_words, 0)",
-        "dup_lines": "n_dup_lines / nullif(n_lines, 0)",
-        "marked_words": "n_marked_words / nullif(n_words, 0)",
-    }
-    out = []
-    for r in quality.RULES:
-        if r.low is not None:
-            out.append(f"coalesce({ratio[r.ratio]} >= {r.low!r}, true)")
-        if r.high is not None:
-            out.append(f"coalesce({ratio[r.ratio]} <= {r.high!r}, true)")
-    return " AND ".join(out)
+#: Fixed values, written out apart from the code under test.
+_STOP_WORDS = (
+    "a an and are as at be by for from in is it of on or that the this to was with au aux avec ce dans de des du "
+    "elle en est et il la le les ne ou par pas pour que qui sur un une als auf aus bei das dem den der die ein "
+    "eine im ist mit nicht sich sie und von zu al como con del el es esta lo los las más no para por se su una y "
+).split()
+_RULES = """
+  coalesce(word_chars / nullif(n_words, 0) >= 1.5, true) AND
+  coalesce(word_chars / nullif(n_words, 0) <= 30.0, true) AND
+  coalesce(n_symbols / nullif(n_words, 0) <= 0.25, true) AND
+  coalesce(n_capital_pairs / nullif(n_words, 0) <= 1.0, true) AND
+  coalesce(n_stop_words / nullif(n_words, 0) >= 0.02, true) AND
+  coalesce(n_dup_lines / nullif(n_lines, 0) <= 0.5, true) AND
+  coalesce(n_doubled_words / nullif(n_words, 0) <= 0.3, true) AND
+  coalesce(n_marked_words / nullif(n_words, 0) <= 0.3, true)
+"""
 
 
 def quality_rules() -> str:
-    stop = ", ".join(_quoted(w) for w in sorted(set(quality.STOP_WORDS)))
+    stop = ", ".join(_quoted(w) for w in _STOP_WORDS)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, doc_id, t, {_WORDS.format(text='t')} AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
@@ -42,16 +38,16 @@ k AS (SELECT r, i, lead(x, 7) OVER o AS last, concat_ws(' ', x, {', '.join(f'lea
 h AS (SELECT r, i, count(*) OVER (PARTITION BY r, words) AS c FROM k WHERE last IS NOT NULL),
 covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM h WHERE c > 1) GROUP BY r),
 m AS (SELECT w.r, doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
-  (length(t) - length(translate(t, '{quality.SYMBOLS}', '')))::BIGINT AS n_symbols,
+  (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
   (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
   len(string_split(t, chr(10))) AS n_lines,
-  len(list_filter(ws, lambda x: lower(trim(x, {_quoted(quality.PUNCTUATION)})) IN ({stop}))) AS n_stop_words,
+  len(list_filter(ws, lambda x: lower(trim(x, {_quoted('.,;:!?()' + chr(34) + chr(39))})) IN ({stop}))) AS n_stop_words,
   len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_doubled_words,
   len(regexp_extract_all(t, '\p{{Lu}}{{2}}')) AS n_capital_pairs,
   len(list_filter(ws, lambda x: regexp_matches(x, '(!!|\?\?|\|)$'))) AS n_marked_words
   FROM w LEFT JOIN covered USING (r)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_rules()} AS kept FROM b
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_RULES} AS kept FROM b
 """
 
 
