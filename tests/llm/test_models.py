@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from promolift.llm import boosting, dom, extraction, language_model, queries, toxicity
@@ -153,6 +154,40 @@ def test_op9(spark):
     assert np.mean(toxic) > 0.85 and np.mean(clean) < 0.03
 
 
+def plain_toxicity(net, text):
+    """The score of one text, word by word and filter by filter, as the definition has it."""
+    words = re.findall(r"[^\W\d_]+", text.lower()) if text else []
+    vector = {}
+    for w in set(words):
+        names = [f"={w}", *[f"^{w[:k]}" for k in (2, 3, 4, 5)], *[f"{w[-k:]}$" for k in (3, 4)], f"~{w[:6]}"]
+        vector[w] = sum(net.table[xxhash.xxh32_intdigest(x.encode()) % toxicity.ROWS].astype(float) for x in names)
+    odds, k = float(net.shift), 0
+    for width, f, b in zip(toxicity.WIDTHS, net.filters, net.bias):
+        best = None
+        for i in range(len(words)):       # a window that runs over the end has what is left of it
+            r = b + sum(vector[words[i + j]] @ f[j] for j in range(width) if i + j < len(words))
+            best = r if best is None else np.maximum(best, r)
+        if best is not None:
+            odds += float(np.maximum(best, 0) @ net.out[k:k + len(b)])
+        k += len(b)
+    told = {name: sum(w in own for w in words) for name, own in toxicity.LANGUAGES.items()}
+    tongue = max(told, key=lambda x: told[x]) if any(told.values()) else "other"
+    return 1 / (1 + math.exp(-min(40, max(-40, odds - net.thresholds.get(tongue, net.thresholds.get("other", 0.0))))))
+
+
+def test_op9_against_a_plain_forward_pass(spark, documents):
+    """Every score of the query is the network's, computed without batches, vocabularies or
+    shared words."""
+    learned = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0
+    net = toxicity.fit(documents, spark.read.parquet(f"{SF}/labels.parquet"), learned)
+    rows = {r["doc_id"]: r for r in queries.op9_toxicity(spark, SF).collect()}
+    assert len(rows) == documents.count()
+    for r in documents.select("doc_id", "text").collect():
+        got = rows[r["doc_id"]]
+        assert got["score"] == pytest.approx(plain_toxicity(net, r["text"]), abs=2e-4)
+        assert got["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and got["predicted"] == int(got["score"] >= 0.5)
+
+
 def test_toxicity_uses_no_other_column(spark, odd_documents, no_documents):
     rng = np.random.default_rng(0)
     words = [f"w{k}" for k in range(200)]
