@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_words, keep, map_texts, mix64, ship, word_hashes
+from .common import MANY, ascii_words, keep, map_texts, mix64, ship, word_hashes
 from .components import components
 
 ROWS, BANDS = 4, 28
@@ -145,15 +145,28 @@ def sets_of(df: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return map_texts(some.select("id", "text"), "text", ("id",), [T.StructField("items", T.ArrayType(T.LongType()))], of)
 
 
+def with_sets(pairs: DataFrame, sets: DataFrame, key: str, other: str, total: int) -> DataFrame:
+    """``pairs`` with the set of the document that ``key`` holds.  The pairs of a document with
+    over a MANY-th of all pairs are dealt by their other end, its set sent to each part."""
+    hot = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("k")).where(F.col("k") * MANY > total)
+    hot = F.broadcast(hot.select(F.col(key).alias("hot"), F.ceil(F.col("k") * MANY / total).cast("int").alias("s")))    # fewer than MANY rows
+    dealt = pairs.join(hot, F.col(key) == F.col("hot"), "left").withColumn("part", F.pmod(F.xxhash64(other), F.coalesce("s", F.lit(1))).cast("int")).drop("hot", "s")
+    sent = sets.join(hot, F.col("id") == F.col("hot"), "left").select(F.col("id").alias(key), F.col("items").alias(f"{key}_items"),
+                                                                      F.explode(F.sequence(F.lit(0), F.coalesce("s", F.lit(1)) - 1)).alias("part"))
+    return dealt.join(sent, [key, "part"]).drop("part")
+
+
 def verified(df: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
+    total = pairs.count()
+    if not total:
+        return pairs.select("a", "b")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = keep(sets_of(df, ids, width), "neardup-sets").dropDuplicates(["id"])
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    union = F.size("x") + F.size("y") - both
-    return pairs.join(left, "a").join(right, "b").where(100 * both >= percent * union).select("a", "b")
+    sets = keep(sets_of(df, ids, width).dropDuplicates(["id"]), "neardup-sets")
+    met = with_sets(with_sets(pairs.select("a", "b"), sets, "a", "b", total), sets, "b", "a", total)
+    both = F.size(F.array_intersect("a_items", "b_items"))
+    union = F.size("a_items") + F.size("b_items") - both
+    return met.where(100 * both >= percent * union).select("a", "b")
 
 
 def star_pairs(shared: DataFrame, order: Column) -> DataFrame:

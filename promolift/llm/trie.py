@@ -32,11 +32,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, ship
+from .common import MANY, keep, ship, with_values
 from .ordering import lookup, spread
 
 WIDTH = 8     # positions a block
-MANY = 1000
 PIECE = 512
 
 _SLOTS = range(1, WIDTH + 1)
@@ -84,15 +83,6 @@ def own_turns(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn
     return kept.select("c", add("p", number), "x", "y", "b", add("cum", length))
 
 
-def with_values(rows: DataFrame, values: DataFrame, on: list[str], size: Column, total: int) -> DataFrame:
-    """Inner join of ``rows`` with one row of ``values`` a key; ``size``: how many rows have the
-    key.  Fewer than MANY keys can have over a MANY-th of ``total`` rows: those are broadcast."""
-    hot = values.where(size * MANY > total)
-    cold = values.where(size * MANY <= total)
-    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
-    return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on))
-
-
 def branched(turns: DataFrame, base, length, most: int) -> tuple[DataFrame, DataFrame]:
     """Conversations that share beginnings: each c begins with the first ``length(c)`` turns
     (``most`` at most; all if fewer, none if absent) of conversation ``base(c)``, which is its
