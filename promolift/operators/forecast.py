@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, last_complete_week, lit_date, time_features
 from ..functions.mathx import clip, LOG_CLIP_HIGH, LOG_CLIP_LOW
+from .features import CLUSTER_CONTEXT, TARGET, add_cluster_aliases, add_cluster_context, add_lag_features
 from .training import id_col, week_lag_features
 
 FALLBACK_NORMALIZER = 1000.0   # fixed: kg/L per week when an id has no normalizer
@@ -30,6 +31,34 @@ def latest_state(df: DataFrame, idc: str, forecast_date, targets: DataFrame | No
     return d.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def _lags_ahead(hist: DataFrame, idc: str, weeks: list, horizon: int) -> DataFrame:
+    """W2/W3 at ``weeks`` ahead of each id's history: weeks without rows in between have no
+    value."""
+    slim = hist.select(idc, "week_start", TARGET)
+    last = slim.groupBy(idc).agg(F.max("week_start").alias("_l")).where(F.col("_l") < F.lit(weeks[-1]))
+    ahead = last.select(idc, F.explode(F.sequence(F.date_add("_l", 7), F.lit(weeks[-1]), F.expr("INTERVAL 7 DAYS"))).alias("week_start"), F.lit(None).cast("double").alias(TARGET))
+    return add_lag_features(slim.unionByName(ahead), idc, horizon).where(F.col("week_start").isin(weeks)).drop(TARGET)
+
+
+def target_week_state(df: DataFrame, level: str, forecast_date, campaign_start, horizon: int, targets: DataFrame | None = None,
+                      clusters: DataFrame | None = None) -> DataFrame:
+    """Q11's option: the latest state of each id once per campaign week, with the time features
+    and lags of that week instead of the last row's.  Items take their cluster's lags from
+    ``clusters``, the cluster frame."""
+    idc, start = id_col(level), as_date(campaign_start)
+    weeks = [start + _dt.timedelta(weeks=n) for n in range(3)]
+    state = latest_state(df, idc, forecast_date, targets)
+    known = df.where(F.col("week_start") <= lit_date(forecast_date)).join(state.select(idc), idc, "left_semi")
+    lags = _lags_ahead(known, idc, weeks, horizon)
+    renewed = set(lags.columns) - {idc} | {"week_of_year", "year", "week_of_year_sin", "week_of_year_cos"} | set(CLUSTER_CONTEXT)
+    out = state.select(*[c for c in state.columns if c not in renewed]).join(lags, idc)
+    out = out.select("*", *time_features(F.col("week_start")), (F.floor(F.datediff("week_start", F.lit(start)) / 7) + 1).cast("int").alias("campaign_week"))
+    if level == "cluster":
+        return add_cluster_aliases(out)
+    around = _lags_ahead(clusters.where(F.col("week_start") <= lit_date(forecast_date)), "cluster1To1Id", weeks, horizon)
+    return add_cluster_context(out, add_cluster_aliases(around))
+
+
 def scoring_frame(latest: DataFrame, level: str, plan: DataFrame | None = None,
                   sizes: DataFrame | None = None) -> DataFrame:
     """Latest row x weeks {1,2,3} x scenario {on, off} with the flags and
@@ -37,11 +66,12 @@ def scoring_frame(latest: DataFrame, level: str, plan: DataFrame | None = None,
 
     ``plan``: (cluster1To1Id, n_on_campaign) items of the plan per cluster;
     ``sizes``: (cluster1To1Id, cluster_size) total items per cluster.  Without a plan
-    an item is assumed alone in its cluster with coverage 0 (as the backtest does)."""
+    an item is assumed alone in its cluster with coverage 0 (as the backtest does).
+    ``latest`` may hold a row per campaign week already (``target_week_state``)."""
     idc = id_col(level)
-    grid = F.explode(F.array(*[F.struct(F.lit(w).alias("campaign_week"), F.lit(on).alias("campaign_on"))
-                               for w in (1, 2, 3) for on in (True, False)]))
-    df = latest.select("*", grid.alias("_g")).select("*", "_g.campaign_week", "_g.campaign_on").drop("_g")
+    weeks = [F.col("campaign_week")] if "campaign_week" in latest.columns else [F.lit(w) for w in (1, 2, 3)]
+    grid = F.explode(F.array(*[F.struct(w.alias("campaign_week"), F.lit(on).alias("campaign_on")) for w in weeks for on in (True, False)]))
+    df = latest.select(*[c for c in latest.columns if c != "campaign_week"], grid.alias("_g")).select("*", "_g.campaign_week", "_g.campaign_on").drop("_g")
     on, wk = F.col("campaign_on"), F.col("campaign_week")
     if plan is not None:
         df = df.join(plan.select("cluster1To1Id", "n_on_campaign"), "cluster1To1Id", "left")

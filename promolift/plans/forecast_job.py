@@ -137,8 +137,9 @@ def plan_tables(master: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataF
 def run_forecast(orders: DataFrame, items: DataFrame, campaigns: DataFrame, targets: DataFrame,
                  campaign_start, forecast_date, horizon: int, use_plan: bool = True,
                  materialize_as: str = "checkpoint", single_model: bool = False, intervals: bool = True,
-                 store: str | None = None) -> ForecastResult:
-    """The whole job.  ``intervals=False`` leaves q10, q50 and q90 null and fits no forests.
+                 store: str | None = None, state: str = "latest") -> ForecastResult:
+    """The whole job.  ``state``: 'latest' scores each target's last row, as the modelled code
+    does (Q11); 'target_week' its campaign weeks' own time features and lags.  ``intervals=False`` leaves q10, q50 and q90 null and fits no forests.
     ``store``: a folder of models; those already trained on equal frames with equal
     parameters are read from there, others trained and saved (S11)."""
     prepare = pooled_training if single_model else week_training
@@ -159,8 +160,12 @@ def run_forecast(orders: DataFrame, items: DataFrame, campaigns: DataFrame, targ
     plan, sizes = plan_tables(pre.items, targets)
     t_clusters = pre.items.join(targets.select(F.col(targets.columns[0]).alias("baseItemId")),
                                 "baseItemId", "left_semi").select("cluster1To1Id").distinct()
-    li = TR.fill_feature_nulls(FC.latest_state(iw, "baseItemId", forecast_date, targets), "item")
-    lc = FC.latest_state(cw, "cluster1To1Id", forecast_date, t_clusters)
+    if state == "target_week":
+        li = FC.target_week_state(iw, "item", forecast_date, campaign_start, horizon, targets, cw)
+        lc = FC.target_week_state(cw, "cluster", forecast_date, campaign_start, horizon, t_clusters)
+    else:
+        li, lc = FC.latest_state(iw, "baseItemId", forecast_date, targets), FC.latest_state(cw, "cluster1To1Id", forecast_date, t_clusters)
+    li = TR.fill_feature_nulls(li, "item")
     si = FC.scoring_frame(li, "item", plan if use_plan else None, sizes if use_plan else None)
     sc = FC.scoring_frame(lc, "cluster", plan if use_plan else None)
     ip = score(item_model, si, pre.item_normalizers)

@@ -389,3 +389,36 @@ def category_lift_asof(spark, sf):
     """C3 with lifts of strictly earlier weeks."""
     d = FE.add_category_lift_features(_filtered_items(spark, sf), U.item_master(_inputs(spark, sf).items), asof=True)
     return finalize(d.select("baseItemId", "week_start", *[f"cat_lift_l{n}" for n in range(1, 5)], "best_cat_lift", "cat_n_obs_l4"))
+
+
+# --- scoring on the campaign weeks' own features (Q11) -------------------------------------------
+
+_AHEAD = """
+{p}last AS (SELECT {id}, max(week_start) AS l FROM {src} WHERE week_start <= DATE '2001-06-12' GROUP BY 1),
+{p}ext AS (
+  SELECT {id}, week_start, salesQuantityKgL_log FROM {src} WHERE week_start <= DATE '2001-06-12'
+  UNION ALL SELECT {id}, CAST(l + CAST(7 * k AS INTEGER) AS DATE), NULL FROM {p}last, range(1, 400) t(k) WHERE l + CAST(7 * k AS INTEGER) <= DATE '2001-07-24'),
+{p}lag AS (SELECT {id}, week_start, {lags} FROM {p}ext),
+{p}at AS (SELECT *, date_diff('day', DATE '2001-07-10', week_start) // 7 + 1 AS w FROM {p}lag WHERE week_start IN (DATE '2001-07-10', DATE '2001-07-17', DATE '2001-07-24'))
+"""
+
+
+@register("target_week_scoring", _with(_AHEAD.format(p="x", id="cluster1To1Id", src="cnormed", lags=O.lag_cols("cluster1To1Id", 4)).strip() + ", "
+                                       + _AHEAD.format(p="y", id="baseItemId", src="ifilt", lags=O.lag_cols("baseItemId", 4)).strip() + """,
+ylastrow AS (SELECT baseItemId, cluster1To1Id FROM ifilt WHERE week_start <= DATE '2001-06-12' QUALIFY row_number() OVER (PARTITION BY baseItemId ORDER BY week_start DESC) = 1)
+""", f"""
+SELECT 'cluster' AS level, x.cluster1To1Id AS id, CAST(w AS BIGINT) AS campaign_week, week_start, {r('cos(2 * pi() * weekofyear(week_start) / 52)')} AS week_of_year_cos,
+       {r('sales_lag_52w')} AS sales_lag_52w, {r('sales_lag_week3')} AS cluster_sales_lag_week3, {r('sales_rolling_4w_week1')} AS cluster_sales_rolling_4w_week1 FROM xat x
+UNION ALL
+SELECT 'item', y.baseItemId, CAST(y.w AS BIGINT), y.week_start, {r('cos(2 * pi() * weekofyear(y.week_start) / 52)')},
+       {r('y.sales_lag_52w')}, {r('coalesce(x.sales_lag_week3, 0)')}, {r('coalesce(x.sales_rolling_4w_week1, 0)')}
+FROM yat y JOIN ylastrow l ON y.baseItemId = l.baseItemId LEFT JOIN xat x ON x.cluster1To1Id = l.cluster1To1Id AND x.week_start = y.week_start
+"""))
+def target_week_scoring(spark, sf):
+    """Q11's option: both levels' states on the campaign weeks' own time features and lags."""
+    pre = _pre(spark, sf)
+    c = FC.target_week_state(pre.cluster_weekly, "cluster", P.FORECAST_DATE, P.CAMPAIGN_START, P.HORIZON)
+    i = FC.target_week_state(pre.item_weekly, "item", P.FORECAST_DATE, P.CAMPAIGN_START, P.HORIZON, clusters=pre.cluster_weekly)
+    shown = ["campaign_week", "week_start", "week_of_year_cos", "sales_lag_52w", "cluster_sales_lag_week3", "cluster_sales_rolling_4w_week1"]
+    rows = c.select(F.lit("cluster").alias("level"), F.col("cluster1To1Id").alias("id"), *shown)
+    return finalize(rows.unionByName(i.select(F.lit("item").alias("level"), F.col("baseItemId").alias("id"), *shown)))
