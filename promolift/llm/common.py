@@ -73,15 +73,17 @@ def drawn(h: Column, share: float) -> Column:
     return F.lit(True) if share >= 1 else h < F.lit(int(share * 2.0 ** 64) - 2 ** 63)
 
 
-#: Keys with more than a MANY-th of all rows are handled apart: fewer than MANY can be.
-MANY = 1000
+#: Keys with more than a MANY-th of all rows, and more than FEW, are handled apart: fewer than MANY can be.
+MANY, FEW = 1000, 512
 
 
 def with_values(rows: DataFrame, values: DataFrame, on: list[str], size: Column, total: int) -> DataFrame:
     """Inner join of ``rows`` with one row of ``values`` a key; ``size``: how many rows have the
     key.  Fewer than MANY keys can have over a MANY-th of ``total`` rows: those are broadcast."""
-    hot = values.where(size * MANY > total)
-    cold = values.where(size * MANY <= total)
+    large = (size * MANY > total) & (size > FEW)
+    hot, cold = values.where(large), values.where(~large)
+    if hot.isEmpty():
+        return rows.join(values, on)
     rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
     return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on))
 

@@ -31,10 +31,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = _mark(links)
     while before[0]:
         both = links.union(links.select("v", "u"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"), F.count(F.lit(1)).alias("k"))
+        low = keep(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"), F.count(F.lit(1)).alias("k")), "lowest")
         large = with_values(both, low, ["u"], F.col("k"), 2 * before[0]).where("v > u and v > low").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         large = keep(large, "links")
-        low = large.groupBy("u").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("k"))
+        low = keep(large.groupBy("u").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("k")), "lowest")
         small = with_values(large, low, ["u"], F.col("k"), large.count())
         small = small.select("u", F.col("low").alias("v")).union(small.where("v > low").select(F.col("v").alias("u"), F.col("low").alias("v")))
         links = keep(small.distinct(), "links")

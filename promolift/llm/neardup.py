@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import MANY, ascii_words, keep, map_texts, mix64, ship, word_hashes
+from .common import FEW, MANY, ascii_words, keep, map_texts, mix64, ship, word_hashes
 from .components import components
 
 ROWS, BANDS = 4, 28
@@ -148,7 +148,9 @@ def sets_of(df: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 def with_sets(pairs: DataFrame, sets: DataFrame, key: str, other: str, total: int) -> DataFrame:
     """``pairs`` with the set of the document that ``key`` holds.  The pairs of a document with
     over a MANY-th of all pairs are dealt by their other end, its set sent to each part."""
-    hot = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("k")).where(F.col("k") * MANY > total)
+    hot = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("k")).where((F.col("k") * MANY > total) & (F.col("k") > FEW))
+    if hot.isEmpty():
+        return pairs.join(sets.select(F.col("id").alias(key), F.col("items").alias(f"{key}_items")), key)
     hot = F.broadcast(hot.select(F.col(key).alias("hot"), F.ceil(F.col("k") * MANY / total).cast("int").alias("s")))    # fewer than MANY rows
     dealt = pairs.join(hot, F.col(key) == F.col("hot"), "left").withColumn("part", F.pmod(F.xxhash64(other), F.coalesce("s", F.lit(1))).cast("int")).drop("hot", "s")
     sent = sets.join(hot, F.col("id") == F.col("hot"), "left").select(F.col("id").alias(key), F.col("items").alias(f"{key}_items"),
