@@ -143,6 +143,7 @@ def run_forecast(orders: DataFrame, items: DataFrame, campaigns: DataFrame, targ
     ``store``: a folder of models; those already trained on equal frames with equal
     parameters are read from there, others trained and saved (S11)."""
     prepare = pooled_training if single_model else week_training
+    targets = materialize(targets, materialize_as)   # many steps ask for them; they may come from the order lines
     pre = preprocess(orders, items, campaigns, horizon=horizon, campaign_start=campaign_start,
                      forecast_date=forecast_date, targets=targets, materialize_as=materialize_as)
     iw = materialize(pre.item_weekly, materialize_as)

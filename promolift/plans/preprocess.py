@@ -58,19 +58,22 @@ def tagged_orders(orders: DataFrame, items: DataFrame, campaigns: DataFrame, cam
 
 
 def weekly_lines(orders: DataFrame, items: DataFrame, campaigns: DataFrame, campaign_start=None,
-                 forecast_date=None, delivery_floor=None, unit: float | None = 1.0) -> tuple[DataFrame, DataFrame]:
+                 forecast_date=None, delivery_floor=None, unit: float | None = 1.0, materialize_fn=None) -> tuple[DataFrame, DataFrame]:
     """A1 straight from the order lines: (item-week rows, master).
 
     Lines are tagged and rolled up to (base item, week) before they meet the item master;
     the unit factor is positive, so the floored sum times the factor is the sum of the
     floored products.  Raw lines are shuffled once, already combined per task, and a hot
     item is a few rows by then.  ``unit``: the factor of items without a usable weight (None:
-    their rows are rejects, see ``split_mapped``)."""
+    their rows are rejects, see ``split_mapped``).  ``materialize_fn``: applied to the master, which
+    is read by many steps and else made anew from all item versions by each."""
     o = U.valid_orders(orders, delivery_floor)
     if forecast_date is not None:
         o = U.asof_orders(o, forecast_date)
     o = WK.with_week(C.tag_campaigns(o, campaigns), anchor_weekday(campaign_start))
     master = U.item_master(items, unit)
+    if materialize_fn is not None:
+        master = materialize_fn(master)
     return WK.weekly_item_lines(o, master), master
 
 
@@ -86,13 +89,13 @@ def preprocess(orders: DataFrame, items: DataFrame, campaigns: DataFrame, horizo
                cluster_normalizers: DataFrame | None = None, targets: DataFrame | None = None,
                intensity: str = "fractional", delivery_floor=None, materialize_as: str = "checkpoint",
                most_rejected: float = 0.0) -> Preprocessed:
-    """Lineage cuts: after the weekly roll-ups (the order scan is done once), after
+    """Lineage cuts: the item master, after the weekly roll-ups (the order scan is done once), after
     the normalizers are attached (medians computed once), and after the
     campaign-items filter (the item frame every later step and model reads).  Order lines of
     items without a master row fail the job beyond the share ``most_rejected``; below, they
     are left out and returned as ``rejects``."""
     mat = lambda df: materialize(df, materialize_as)
-    weekly, master = weekly_lines(orders, items, campaigns, campaign_start, forecast_date, delivery_floor)
+    weekly, master = weekly_lines(orders, items, campaigns, campaign_start, forecast_date, delivery_floor, materialize_fn=mat)
     iw0, rejects = WK.split_mapped(weekly, mat, most_rejected)   # the only pass over the order lines
     cw = mat(WK.weekly_cluster_sales(iw0, intensity=intensity))
     iw = WK.add_competition(iw0).drop("n_lines")
