@@ -1,6 +1,8 @@
 """Backtest job.
 
-The calendar selection is one small collect (campaigns of a year).  Each campaign is
+The calendar selection is one small collect (campaigns of a year).  The valid order lines, the
+(item, campaign) pairs in them, the harmonised items and the actuals' weekly rows are written once
+for all campaigns.  Each campaign is
 then a forecast job at ``start - 4 weeks`` on leakage-guarded inputs; the actuals
 come from the full history.  A campaign without targets or training rows is skipped, as the modelled
 driver does, and returned with its reason; when none can be validated, the job fails.
@@ -41,11 +43,16 @@ def backtest_campaigns(campaigns: DataFrame, year: int) -> DataFrame:
     return campaigns.where((F.year("campaignStart") == year) & (F.year("campaignEnd") == year))
 
 
-def _actuals(orders, items, campaigns, start, end, level):
+def _weekly_actuals(orders, items, campaigns, starts) -> dict:
+    """All item weeks, written, for each weekday that one of ``starts`` falls on."""
+    by_day = {s.weekday(): s for s in starts}
+    return {d: WK.require_mapped(weekly_lines(orders, items, campaigns, s)[0], lambda x: materialize(x, "checkpoint")) for d, s in by_day.items()}
+
+
+def _actuals(weekly, start, end, level):
     """Raw kg/L per target over the campaign weeks [start, end) on weeks aligned to the
     campaign weekday (Q20: raw kg/L, not re-normalised)."""
-    weekly, _ = weekly_lines(orders, items, campaigns, start)
-    iw = WK.require_mapped(weekly, lambda d: materialize(d, "checkpoint"))
+    iw = weekly[start.weekday()]
     if level == "cluster":
         iw = iw.groupBy("cluster1To1Id", "week_start").agg(F.sum("salesQuantityKgL").alias("salesQuantityKgL"))
     return iw.where((F.col("week_start") >= lit_date(start)) & (F.col("week_start") < lit_date(end)))
@@ -63,17 +70,20 @@ def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year
     sel = backtest_campaigns(campaigns, year).orderBy("campaignStart", "campaignId").collect()
     if max_campaigns:
         sel = sel[:max_campaigns]
-    harmonized = (items.drop("cluster1To1Id").withColumn("baseItemId", U.base_item_id(F.col("itemId")))
-                  .join(U.harmonized_clusters(items), "baseItemId"))
-    valid = U.valid_orders(orders)
+    harmonized = materialize(items.drop("cluster1To1Id").withColumn("baseItemId", U.base_item_id(F.col("itemId")))
+                             .join(U.harmonized_clusters(items), "baseItemId"), "checkpoint")
+    valid = materialize(U.valid_orders(orders), "checkpoint")
+    sold = materialize(valid.select("itemId", "salesCampignId").distinct(), "checkpoint")
+    weekly = _weekly_actuals(valid, items, campaigns, [c["campaignStart"] for c in sel])
+
     def one(c):
         cid, start, end = c["campaignId"], c["campaignStart"], c["campaignEnd"]
         fd = start - _dt.timedelta(weeks=BACKTEST_HORIZON_WEEKS)
         try:
-            targets = campaign_items(orders, cid)
+            targets = materialize(campaign_items(valid, cid), "checkpoint")
             if targets.isEmpty():
                 raise NotEnoughData("no item was sold on the campaign")
-            i2, o2, c2 = U.leakage_guard(valid, harmonized, campaigns, start)
+            i2, o2, c2 = U.leakage_guard(valid, harmonized, campaigns, start, sold)
             try:
                 res = run_forecast(o2, i2, c2, targets, start, fd, BACKTEST_HORIZON_WEEKS, use_plan=False,
                                    single_model=single_model, intervals=False, store=store)   # results hold no intervals
@@ -81,9 +91,9 @@ def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year
                 raise NotEnoughData(str(e)) from e
             ib = FC.seasonal_baseline(res.pre.item_weekly, "item", fd, start, res.pre.item_normalizers, targets)
             cb = FC.seasonal_baseline(res.pre.cluster_weekly, "cluster", fd, start, res.pre.cluster_normalizers)
-            ia = _actuals(valid, items, campaigns, start, end, "item").join(targets, "baseItemId", "left_semi") \
+            ia = _actuals(weekly, start, end, "item").join(targets, "baseItemId", "left_semi") \
                 .select("baseItemId", F.col("salesQuantityKgL").alias("actual_kgl"))
-            ca = _actuals(valid, items, campaigns, start, end, "cluster") \
+            ca = _actuals(weekly, start, end, "cluster") \
                 .select("cluster1To1Id", F.col("salesQuantityKgL").alias("actual_kgl"))
             ic = R.compare_with_actuals(res.item_predictions.where("campaign_on"), ib, ia, "baseItemId")
             cc = R.compare_with_actuals(res.cluster_predictions.where("campaign_on"), cb, ca, "cluster1To1Id",
