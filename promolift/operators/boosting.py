@@ -37,7 +37,11 @@ BINS = 64                   # bins of a feature's values, beside one for missing
 BLOCK_CELLS = 16_000_000    # values (rows x features) that one task holds at most
 KEPT_STATES = 20            # rounds between reliable checkpoints of the blocks' state
 
-TREES = ("model string, round int, node int, feature int, threshold double, below int, value double, gain double, loss double")
+PACKED_NODES = 20_000       # nodes of a task's trees that it holds before it gives them on
+
+#: Trees travel packed: nodes of whole rounds from ``first`` on, and a loss for each round.
+TREES = "model string, first int, nodes binary, losses binary"
+NODE = np.dtype([("round", "i4"), ("node", "i4"), ("feature", "i4"), ("threshold", "f8"), ("below", "i4"), ("value", "f8"), ("gain", "f8")])
 
 
 @dataclass(frozen=True)
@@ -357,13 +361,17 @@ def _threshold(edges, f: int, cut: int) -> float:
     return -math.inf if cut == 0 else float(edges[f][cut - 1]) if cut <= len(edges[f]) else math.inf
 
 
-def _rows(model: str, k: int, tree: dict, loss: float, edges) -> list[tuple]:
-    return [(model, k, i, f, _threshold(edges, f, c) if f >= 0 else 0.0, b, v, g, loss if i == 0 else None)
-            for i, (f, c, b, v, g) in enumerate(zip(*(tree[x] for x in ("feature", "cut", "below", "value", "gain"))))]
+def _packed(k: int, tree: dict, edges) -> np.ndarray:
+    out = np.zeros(len(tree["feature"]), NODE)
+    out["round"], out["node"] = k, np.arange(len(out))
+    out["threshold"] = [_threshold(edges, f, c) if f >= 0 else 0.0 for f, c in zip(tree["feature"], tree["cut"])]
+    for name in ("feature", "below", "value", "gain"):
+        out[name] = tree[name]
+    return out
 
 
 _NAMES = [x.split()[0] for x in TREES.split(", ")]
-_KINDS = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.float64(), pa.float64(), pa.float64()]
+_KINDS = [pa.string(), pa.int32(), pa.binary(), pa.binary()]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -371,35 +379,52 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _grown(block_store, fits: list[Fit], edges, n_features: int, totals: dict):
-    rows = []
+    held: dict[int, tuple[list, list]] = {}
+
+    def given():
+        return _batch([(fits[m].model, int(trees[0]["round"][0]), np.concatenate(trees).tobytes(), np.array(losses, float).tobytes()) for m, (trees, losses) in held.items()])
+
+    n = 0
     for m, k, tree, loss in grow(block_store, [f.params for f in fits], n_features, totals):
-        rows += _rows(fits[m].model, k, tree, loss, edges)
-        if len(rows) > 20_000:
-            yield _batch(rows)
-            rows = []
-    if rows:
-        yield _batch(rows)
+        trees, losses = held.setdefault(m, ([], []))
+        trees.append(_packed(k, tree, edges))
+        losses.append(loss)
+        n += len(trees[-1])
+        if n > PACKED_NODES:
+            yield given()
+            held.clear()
+            n = 0
+    if held:
+        yield given()
 
 
 class Boosted:
     """A grown model: ``base`` plus the sums of its trees' values."""
 
-    def __init__(self, features: list[str], base: float, nodes: list[tuple], losses: list[float], kept: int):
+    def __init__(self, features: list[str], base: float, nodes, losses: list[float], kept: int):
         """``nodes``: (round, node, feature, threshold, below, value, gain) of all rounds, in
-        order; the first ``kept`` rounds count."""
+        order, as tuples or an array of ``NODE``; the first ``kept`` rounds count.  They stay
+        arrays: 40 bytes a node, where tuples took hundreds."""
         self.features, self.base, self.losses, self.n_trees = features, base, losses, kept
-        own = [n for n in nodes if n[0] < kept]
-        start, self.roots = {}, []
-        for i, n in enumerate(own):
-            if n[1] == 0:
-                start[n[0]] = i
-                self.roots.append(i)
-        self.feature = np.array([n[2] for n in own], np.int64)
-        self.threshold = np.array([n[3] for n in own], float)
-        self.below = np.array([n[4] + start[n[0]] for n in own], np.int64)
-        self.value = np.array([n[5] for n in own], float)
-        self.gain = np.array([n[6] for n in own], float)
-        self.nodes = own
+        own = np.asarray(nodes, NODE) if len(nodes) else np.zeros(0, NODE)
+        own = own[own["round"] < kept]
+        at = np.flatnonzero(own["node"] == 0)
+        self.roots = at.tolist()
+        self.start = at[np.cumsum(own["node"] == 0) - 1].astype(np.int32) if len(own) else np.zeros(0, np.int32)
+        self.round, self.feature, self.threshold, self.value, self.gain = (own[c].copy() for c in ("round", "feature", "threshold", "value", "gain"))
+        self.below = own["below"] + self.start
+
+    @property
+    def nodes(self) -> list[tuple]:
+        """The kept rounds' nodes as tuples."""
+        node = np.arange(len(self.start), dtype=np.int32) - self.start
+        return list(zip(*(c.tolist() for c in (self.round, node, self.feature, self.threshold, self.below - self.start, self.value, self.gain))))
+
+    def scorer(self) -> Boosted:
+        """What tasks need to predict."""
+        out = Boosted([], self.base, [], [], 0)
+        out.roots, out.feature, out.threshold, out.below, out.value = self.roots, self.feature, self.threshold, self.below, self.value
+        return out
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.base)
@@ -441,7 +466,7 @@ def transform_many(df: DataFrame, models: dict, on: str | None = None) -> DataFr
     """``df`` with ``prediction``, a row by the model whose name the column ``on`` holds (one
     model for all: key None).  The models, bounded by rounds x leaves, are broadcast."""
     ship(df.sparkSession)
-    sent = df.sparkSession.sparkContext.broadcast({k: (m.features, m) for k, m in models.items()})
+    sent = df.sparkSession.sparkContext.broadcast({k: (m.features, m.scorer()) for k, m in models.items()})
     names = df.columns
     used = sorted({f for m in models.values() for f in m.features})
     plain = df.select(*names, *[F.col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(used)])
@@ -466,7 +491,7 @@ def predict_many(rows: DataFrame, models: dict[str, tuple[str, Boosted]]) -> Dat
     """For each row (data, label, features) and each model (data set, trees) of its data set:
     model, label, prediction."""
     ship(rows.sparkSession)
-    sent = rows.sparkSession.sparkContext.broadcast(models)
+    sent = rows.sparkSession.sparkContext.broadcast({k: (own, m.scorer()) for k, (own, m) in models.items()})
     names = ["model", "label", "prediction"]
 
     def run(batches):
@@ -514,7 +539,7 @@ def fit_many(frame: DataFrame, fits: list[Fit], features: dict[str, list[str]],
                 small[len(small)] = (d, own[i:i + task_models])
         else:
             large.append(d)
-    parts = []
+    parts = []   # packed rows, from a table of the small ones and from the driver
     if small:
         units = spark.createDataFrame([(u, d) for u, (d, _) in small.items()], "unit int, data string")
         rows = used.join(F.broadcast(units), "data").repartitionById(len(small), F.col("unit"))
@@ -529,7 +554,7 @@ def fit_many(frame: DataFrame, fits: list[Fit], features: dict[str, list[str]],
             n = len(features[d])
             yield from _grown(_OneBlock(_block(table, edges[d][:n], n)), own, edges[d][:n], n, totals[d])
 
-        parts.append(cut_lineage(heads.mapInArrow(run, TREES), "boosted-trees"))
+        parts.append(map(tuple, cut_lineage(heads.mapInArrow(run, TREES), "boosted-trees").toLocalIterator()))
     for d in large:
         n = len(features[d])
         count = math.ceil(totals[d]["rows"] * n / block_cells)
@@ -543,28 +568,26 @@ def fit_many(frame: DataFrame, fits: list[Fit], features: dict[str, list[str]],
         kept = cut_lineage(own.mapInArrow(pack, "block binary"), "boosting-blocks")
         ensure_checkpoint_dir(spark)
         blocks = kept.rdd.map(lambda r: pickle.loads(r[0]))
-        own_rows = [r for b in _grown(_ManyBlocks(spark, blocks), todo[d], edges[d][:n], n, totals[d]) for r in zip(*(c.to_pylist() for c in b.columns))]
-        parts.append(spark.createDataFrame(own_rows, TREES))
+        grown = _grown(_ManyBlocks(spark, blocks), todo[d], edges[d][:n], n, totals[d])
+        parts.append([r for b in grown for r in zip(*(c.to_pylist() for c in b.columns))])
     return _assemble(parts, fits, features, totals)
 
 
 def _assemble(parts, fits, features, totals) -> dict[str, Boosted]:
-    nodes: dict[str, list] = {}
-    losses: dict[str, dict[int, float]] = {}
+    packed: dict[str, dict[int, tuple]] = {}
     for p in parts:
-        for r in p.orderBy("model", "round", "node").collect():   # models x rounds x nodes of a tree
-            nodes.setdefault(r["model"], []).append(tuple(r)[1:8])
-            if r["loss"] is not None:
-                losses.setdefault(r["model"], {})[r["round"]] = r["loss"]
+        for model, first, nodes, losses in p:   # models x rounds x nodes of a tree, 40 bytes each
+            packed.setdefault(model, {})[first] = (np.frombuffer(bytes(nodes), NODE), np.frombuffer(bytes(losses), float))
     out = {}
     for f in fits:
         t = totals.get(f.data)
-        if f.model not in nodes:
+        if f.model not in packed:
             if t and t["w"]:
                 out[f.model] = Boosted(features[f.data], t["wy"] / t["w"], [], [], 0)
             continue
-        curve = [losses[f.model][k] for k in sorted(losses[f.model])]
+        own = [v for _, v in sorted(packed.pop(f.model).items())]
+        curve = np.concatenate([x for _, x in own]).tolist()
         checked = t["n_val"] > 0 and f.params.patience is not None
         kept = int(np.argmin(curve)) + 1 if checked else len(curve)
-        out[f.model] = Boosted(features[f.data], t["wy"] / t["w"], nodes[f.model], [x / max(t["n_val"], 1) for x in curve], kept)
+        out[f.model] = Boosted(features[f.data], t["wy"] / t["w"], np.concatenate([x for x, _ in own]), [x / max(t["n_val"], 1) for x in curve], kept)
     return out

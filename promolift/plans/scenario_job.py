@@ -121,6 +121,7 @@ def run_scenarios(orders: DataFrame, items: DataFrame, campaigns: DataFrame, foc
                   campaign_start, campaign_end, forecast_date, cutoff=None, params: Boosting = G1_PARAMS):
     """Returns (cluster model metrics, combined forecasts, comparison)."""
     cutoff = cutoff or forecast_date
+    focus = materialize(focus, "checkpoint")   # asked for at every horizon; it may come from the order lines
     g1 = materialize(legacy_processed(valid_orders(orders), items, campaigns), "checkpoint")
     cl = materialize(legacy_cluster_frame(g1).fillna(0.0, subset=["cluster_sales_rolling4w"]), "checkpoint")
     it = materialize(item_frame(g1), "checkpoint")

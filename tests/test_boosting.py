@@ -116,3 +116,22 @@ def test_scoring_and_saving(spark, tmp_path):
     again = B.Boosted.load(spark, f"file://{tmp_path}/m")
     assert again.predict(x).tolist() == m.predict(x).tolist() and again.losses == m.losses and again.features == m.features
     assert sum(m.importances()) == pytest.approx(1.0)
+
+
+def test_a_model_takes_tens_of_bytes_a_node(spark, monkeypatch):
+    """The driver and the broadcasts hold arrays, given on in parts of whole rounds, not tuples."""
+    import pickle
+    import tracemalloc
+    x, y, w, s = toy(2000, 5, 6)
+    fits = [B.Fit("m", "d", B.Boosting(rounds=300, patience=None, step=0.1, leaves=31, least_rows=5))]
+    df = frame(spark, "d", x, y, w, s)
+    whole = B.fit_many(df, fits, {"d": names(5)})["m"]
+    if hasattr(B, "PACKED_NODES"):
+        monkeypatch.setattr(B, "PACKED_NODES", 500)
+    tracemalloc.start()
+    m = B.fit_many(df, fits, {"d": names(5)})["m"]
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    n = len(m.feature)
+    assert n > 15_000 and m.nodes == whole.nodes and m.losses == whole.losses and len(m.losses) == 300
+    assert held < 250 * n and len(pickle.dumps(m.scorer())) < 30 * n
