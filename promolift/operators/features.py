@@ -24,13 +24,25 @@ LOOKBACK_DAYS = 84           # fixed: 12-week look-back for the campaign item sh
 
 # --- A6 ----------------------------------------------------------------------------
 
+def _plain_weeks(df: DataFrame):
+    plain = F.col("campaign_week_0") == 1
+    return plain & (F.col("is_post_campaign") == 0) if "is_post_campaign" in df.columns else plain
+
+
+def with_normalizers(df: DataFrame, id_col: str) -> DataFrame:
+    """``df`` with ``_norm``, its id's normalizer as ``compute_normalizers`` finds it: over the id's
+    rows (one a week) in the partition that the windows before it made, without a join."""
+    w = Window.partitionBy(id_col)
+    sales = F.when(_plain_weeks(df), F.col("salesQuantityKgL"))
+    d = df.withColumns({"_med": F.median(sales).over(w), "_avg": F.avg(sales).over(w)})
+    norm = F.when(F.col("_med") > 0, F.col("_med")).otherwise(F.col("_avg"))
+    return d.withColumn("_norm", F.when(F.col(id_col).isNotNull(), norm)).drop("_med", "_avg")
+
+
 def compute_normalizers(df: DataFrame, id_col: str) -> DataFrame:
     """A6 (training mode): per id, the median kg/L of baseline weeks that are not
     post-campaign; the mean when that median is <= 0."""
-    base = df.where(F.col("campaign_week_0") == 1)
-    if "is_post_campaign" in df.columns:
-        base = base.where(F.col("is_post_campaign") == 0)
-    agg = base.groupBy(id_col).agg(F.median("salesQuantityKgL").alias("_med"),
+    agg = df.where(_plain_weeks(df)).groupBy(id_col).agg(F.median("salesQuantityKgL").alias("_med"),
                                    F.avg("salesQuantityKgL").alias("_avg"))
     return agg.select(id_col, F.when(F.col("_med") > 0, F.col("_med")).otherwise(F.col("_avg"))
                       .alias("normalizer"))
@@ -43,11 +55,14 @@ def normalize(df: DataFrame, id_col: str, normalizers: DataFrame | None = None,
     rows (computed without a single-task buffer).  With ``materialize_fn`` the frame
     with its normalizer attached is materialised first, so the medians are computed
     once and the fallback check is a scan.  Returns (frame, normalizers)."""
-    norms = normalizers if normalizers is not None else compute_normalizers(df, id_col)
-    j = df.join(norms.select(id_col, F.col("normalizer").alias("_norm")), id_col, "left")
+    if normalizers is None and materialize_fn is not None:
+        norms, j = None, with_normalizers(df, id_col)
+    else:
+        norms = normalizers if normalizers is not None else compute_normalizers(df, id_col)
+        j = df.join(norms.select(id_col, F.col("normalizer").alias("_norm")), id_col, "left")
     if materialize_fn is not None:
         j = materialize_fn(j)
-        if normalizers is None:
+        if norms is None:
             norms = (j.where(F.col("_norm").isNotNull()).groupBy(id_col)
                      .agg(F.first("_norm").alias("normalizer")))
     good = F.col("_norm").isNotNull() & (F.col("_norm") > 0)

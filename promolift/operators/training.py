@@ -91,11 +91,29 @@ def balanced_sample(df: DataFrame, level: str, week: int, targets: DataFrame | N
     ids = df.where(_flag_on(level, col)).select(idc).distinct()
     if targets is not None:
         ids = ids.unionByName(targets.select(F.col(targets.columns[0]).cast("string").alias(idc))).distinct()
-    d = df.join(ids, idc, "left_semi")
-    camp = d.where(_flag_on(level, col))
-    base = d.where((F.col(col) == 0) & _flag_on(level, "campaign_week_0"))
-    n_camp = camp.count()
-    return camp.unionByName(top_recent(base, BASELINE_MULTIPLE * n_camp, idc))
+    camp = df.where(_flag_on(level, col) & F.col(idc).isNotNull())   # their ids are among ``ids``
+    base = df.where((F.col(col) == 0) & _flag_on(level, "campaign_week_0"))
+    wanted = BASELINE_MULTIPLE * camp.count()
+    return camp.unionByName(top_recent(_recent_of_ids(base, ids, wanted, idc), wanted, idc))
+
+
+def _recent_of_ids(base: DataFrame, ids: DataFrame, wanted: int, id_c: str) -> DataFrame:
+    """The rows of ``base`` with an id of ``ids``, of so many latest weeks that ``wanted`` are among
+    them (of all weeks, if fewer): ids meet the rows of those weeks only."""
+    weeks = sorted(((r["week_start"], r["c"]) for r in base.groupBy("week_start").agg(F.count("*").alias("c")).collect()), reverse=True)
+    reach = 2 * wanted
+    while True:
+        seen, since = 0, None
+        for since, c in weeks:
+            seen += c
+            if seen >= reach:
+                break
+        if since is None or since == weeks[-1][0]:
+            return base.join(ids, id_c, "left_semi")
+        own = base.where(F.col("week_start") >= F.lit(since)).join(ids, id_c, "left_semi")
+        if own.count() >= wanted:
+            return own
+        reach = 4 * seen
 
 
 def sample_weight(level: str, single: bool = True, week: int = 1) -> Column:

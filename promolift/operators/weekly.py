@@ -9,7 +9,7 @@ of the raw orders.
 
 from __future__ import annotations
 
-import datetime as _dt
+import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +19,8 @@ from ..functions.units import to_kgl
 from ..schemas import FLAG_COLS
 from .universe import base_item_id, on_campaign
 
+GRID_ROWS = 2_000_000   # rows of the gap-filled grid that one task makes, about
+
 
 def orders_kgl(orders: DataFrame, master: DataFrame) -> DataFrame:
     """J4/J5/J6 + U2: base id, cluster and unit factor onto order lines, kg/L sales.
@@ -154,40 +156,47 @@ def add_competition(item_weekly: DataFrame) -> DataFrame:
             .drop("_size"))
 
 
-def week_bounds(weekly: DataFrame) -> tuple[_dt.date, _dt.date] | None:
-    """Global first and last week (two scalars, one small aggregate job)."""
-    r = weekly.agg(F.min("week_start").alias("a"), F.max("week_start").alias("b")).first()
-    if r is None or r["a"] is None:
-        return None
-    return r["a"], r["b"]
-
-
 def fill_missing_weeks(weekly: DataFrame, id_col: str, bounds=None,
                        ffill=("cluster1To1Id", "campaignId"), int_flags: bool = True) -> DataFrame:
     """Every id x every week between the global first and last week.
 
     Missing weeks get sales 0 and all four flags 0; ``cluster1To1Id`` and
-    ``campaignId`` are forward-filled within the id; other columns stay null.  The
-    grid is generated per id with ``sequence`` (no join with a weeks table); the
-    measured rows are then joined on (id, week)."""
-    bounds = bounds or week_bounds(weekly)
-    if bounds is None:
+    ``campaignId`` are forward-filled within the id; other columns stay null.  Only measured
+    rows are exchanged, in parts of about ``GRID_ROWS`` rows of the grid: each of them makes the
+    weeks up to the id's next one with ``sequence`` (no join of a grid), the first also those
+    before it."""
+    r = weekly.agg(F.min("week_start").alias("a"), F.max("week_start").alias("b"), F.approx_count_distinct(id_col).alias("ids")).first()
+    lo, hi = bounds or (r["a"], r["b"])
+    if lo is None:
         return weekly
-    lo, hi = bounds
-    grid = (weekly.select(id_col).distinct()
-            .select(id_col, F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 7 DAYS")))
-                    .alias("week_start")))
-    df = grid.join(weekly, [id_col, "week_start"], "left")
-    df = df.withColumn("salesQuantityKgL", F.coalesce(F.col("salesQuantityKgL"), F.lit(0.0)))
-    for c in FLAG_COLS:
-        if c in df.columns:
-            v = F.coalesce(F.col(c), F.lit(0))
-            df = df.withColumn(c, v.cast("int") if int_flags else v.cast("double"))
-    w = Window.partitionBy(id_col).orderBy("week_start").rowsBetween(Window.unboundedPreceding, 0)
-    for c in ffill:
-        if c in df.columns and c != id_col:
-            df = df.withColumn(c, F.last(F.col(c), ignorenulls=True).over(w))
-    return df
+    lo, hi = F.lit(lo), F.lit(hi)
+    spread = math.ceil(r["ids"] * ((bounds or r)[1] - (bounds or r)[0]).days / 7 / GRID_ROWS)
+    df = weekly.repartition(spread, id_col) if spread > 1 else weekly
+    # the row's week; null off the grid, where a row counts only if its id has no other
+    off = F.col(id_col).isNull() | (F.col("week_start") < lo) | (F.col("week_start") > hi) | (F.datediff("week_start", lo) % 7 != 0)
+    df = df.withColumn("_w", F.when(~off, F.col("week_start")))
+    w = Window.partitionBy(id_col).orderBy("_w")
+    df = df.withColumns({"_before": F.lag("_w").over(w), "_after": F.lead("_w").over(w), "_last": F.lead(F.lit(1)).over(w).isNull()})
+    filled = [c for c in ffill if c in weekly.columns and c != id_col]
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumns({f"_f_{c}": F.last(F.when(F.col("_w").isNotNull(), F.col(c)), ignorenulls=True).over(upto) for c in filled})
+    df = df.where(F.col("_w").isNotNull() | F.col("_last"))
+    first = F.when(F.col("_w").isNull() | F.col("_before").isNull(), lo).otherwise(F.col("_w"))
+    last = F.when(F.col("_last"), hi).otherwise(F.greatest(F.col("_w"), F.date_sub("_after", 7)))
+    df = df.withColumn("_week", F.explode(F.sequence(first, last, F.expr("INTERVAL 7 DAYS"))))
+    own, cols = F.col("_week") == F.col("_w"), []
+    for c in weekly.columns:
+        v = F.when(own, F.col(c))
+        if c in (id_col, "week_start"):
+            continue
+        if c == "salesQuantityKgL":
+            v = F.coalesce(v, F.lit(0.0))
+        elif c in FLAG_COLS:
+            v = F.coalesce(v, F.lit(0)).cast("int" if int_flags else "double")
+        elif c in filled:
+            v = F.when(F.col("_week") >= F.col("_w"), F.col(f"_f_{c}"))
+        cols.append(v.alias(c))
+    return df.select(id_col, F.col("_week").alias("week_start"), *cols)
 
 
 def mark_post_campaign_weeks(df: DataFrame, id_col: str, n: int = 2) -> DataFrame:

@@ -99,10 +99,9 @@ def preprocess(orders: DataFrame, items: DataFrame, campaigns: DataFrame, horizo
     iw0, rejects = WK.split_mapped(weekly, mat, most_rejected)   # the only pass over the order lines
     cw = mat(WK.weekly_cluster_sales(iw0, intensity=intensity))
     iw = WK.add_competition(iw0).drop("n_lines")
-    iw = WK.fill_missing_weeks(iw, "baseItemId", WK.week_bounds(iw))
-    cw = WK.fill_missing_weeks(cw, "cluster1To1Id", WK.week_bounds(cw),
-                               int_flags=(intensity == "truncate"))
-    iw = WK.mark_post_campaign_weeks(iw, "baseItemId")
+    iw = WK.fill_missing_weeks(iw, "baseItemId")
+    cw = WK.fill_missing_weeks(cw, "cluster1To1Id", int_flags=(intensity == "truncate"))
+    iw = U.mark_last_campaign_week(WK.mark_post_campaign_weeks(iw, "baseItemId"))
     cw = WK.mark_post_campaign_weeks(cw, "cluster1To1Id")
     iw, inorm = FE.normalize(iw, "baseItemId", item_normalizers, materialize_fn=mat)
     cw, cnorm = FE.normalize(cw, "cluster1To1Id", cluster_normalizers, materialize_fn=mat)

@@ -78,15 +78,19 @@ def _gap_filled_items(spark, sf, wide=False):
 
 
 def _normalized_items(spark, sf, wide=False):
+    return _normalized(WK.mark_post_campaign_weeks(_gap_filled_items(spark, sf, wide), "baseItemId"))
+
+
+def _normalized(g):
     from ..session import cut_lineage
-    g = WK.mark_post_campaign_weeks(_gap_filled_items(spark, sf, wide), "baseItemId")
     return FE.normalize(g, "baseItemId", materialize_fn=lambda d: cut_lineage(d, "items-normalizer"))
 
 
 def _filtered_items(spark, sf, wide=False):
     """Normalised, campaign-items-only frame, materialised once (as preprocess does)."""
     from ..session import cut_lineage
-    n, _ = _normalized_items(spark, sf, wide)
+    g = WK.mark_post_campaign_weeks(_gap_filled_items(spark, sf, wide), "baseItemId")
+    n, _ = _normalized(U.mark_last_campaign_week(g))
     return cut_lineage(U.campaign_items_only(n), "items-filtered")
 
 
