@@ -210,6 +210,34 @@ def test_toxicity_without_labels(spark, odd_documents):
     assert {r["score"] for r in toxicity.score(odd_documents, toxicity.fit(odd_documents, labels, F.lit(True))).collect()} == {0.75}
 
 
+def marked_documents(spark, n, words):
+    """n texts of neutral words; every third has one of ``words`` and the label 1."""
+    rng = np.random.default_rng(1)
+    neutral = [f"{a}{b}{c}" for a in "bdfgkl" for b in "aeiou" for c in ("nos", "ter", "lim", "var")]
+    rows = [(k, " ".join([*rng.choice(neutral, 15), *([words[k // 3 % len(words)]] if k % 3 == 0 else []), *rng.choice(neutral, 15)]), int(k % 3 == 0)) for k in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int"), neutral
+
+
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    """Marks that a start from a few rows can't have met are learned, and thresholds count every
+    row set apart, however the rows are dealt."""
+    rnd = random.Random(3)
+    marks = ["".join(rnd.choices("qxzwyj", k=7)) for _ in range(40)]
+    rows, neutral = marked_documents(spark, 4800, marks)
+    rows = rows.cache()
+    counted, real = [], toxicity.calibrate
+    monkeypatch.setattr(toxicity, "calibrate", lambda c: counted.append((int(c["toxic"].sum()), int(c["clean"].sum()))) or real(c))
+    monkeypatch.setattr(toxicity, "PART_CHARS", 250_000)    # a few parts
+    nets = [toxicity.fit(rows.orderBy(F.rand(n)).repartition(n), rows.select("doc_id", "toxic"), F.lit(True), sample=20) for n in (1, 5)]
+    apart = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0).groupBy("toxic").count().collect()
+    apart = {r["toxic"]: r["count"] for r in apart}
+    assert counted[-2:] == [(apart[1], apart[0])] * 2 and sum(apart.values()) > 1000
+    assert np.abs(nets[0].table - nets[1].table).max() < 1e-6 and nets[0].thresholds == nets[1].thresholds
+    texts = [" ".join([*neutral[:10], *([m] if m else []), *neutral[10:20]]) for m in (*marks, None)]
+    found = nets[0].score_texts(texts, toxicity.Vocabulary())
+    assert found[-1] < 0.5 and (found[:-1] >= 0.5).mean() > 0.9
+
+
 def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
     """Equal documents in one partition or many, in any order, get equal scores, with several
     parts to average."""
