@@ -511,8 +511,9 @@ def predict_many(rows: DataFrame, models: dict[str, tuple[str, Boosted]]) -> Dat
 def fit_many(frame: DataFrame, fits: list[Fit], features: dict[str, list[str]], block_cells: int | None = None, task_models: int = 8) -> dict[str, Boosted]:
     """Grow all ``fits``.  ``frame``, written: data (the data set), row (a long that tells rows
     apart), split (train, val; others are left out), label, weight, features (array<double>,
-    null or NaN: missing); ``features`` names each data set's.  A data set of one block is
-    dealt to several tasks when it has more than ``task_models`` models."""
+    null or NaN: missing); ``features`` names each data set's.  The models of data sets of one
+    block are dealt over all cores, at most ``task_models`` to a task: a model's trees don't
+    depend on those beside it."""
     spark = frame.sparkSession
     ship(spark)
     block_cells = block_cells or BLOCK_CELLS
@@ -532,13 +533,13 @@ def fit_many(frame: DataFrame, fits: list[Fit], features: dict[str, list[str]],
     for f in fits:
         if f.data in totals and f.data in edges:
             todo.setdefault(f.data, []).append(f)
-    small, large = {}, []
-    for d, own in todo.items():
-        if totals[d]["rows"] * len(features[d]) <= block_cells:
-            for i in range(0, len(own), task_models):
-                small[len(small)] = (d, own[i:i + task_models])
-        else:
-            large.append(d)
+    large = [d for d in todo if totals[d]["rows"] * len(features[d]) > block_cells]
+    single = {d: own for d, own in todo.items() if d not in large}
+    share = max(1, min(task_models, math.ceil(sum(map(len, single.values())) / spark.sparkContext.defaultParallelism)))
+    small = {}
+    for d, own in single.items():
+        for i in range(0, len(own), share):
+            small[len(small)] = (d, own[i:i + share])
     parts = []   # packed rows, from a table of the small ones and from the driver
     if small:
         units = spark.createDataFrame([(u, d) for u, (d, _) in small.items()], "unit int, data string")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from promolift import session
 from promolift.operators import boosting as B
 from promolift.session import cut_lineage
 
@@ -56,6 +57,24 @@ def test_equal_trees_for_any_blocks(spark):
         assert one[k].nodes == many[k].nodes and one[k].losses == many[k].losses and len(one[k].nodes) > 10
 
 
+def test_models_of_one_block_are_dealt_over_the_cores(spark):
+    """Eight models of one data set grow in as many tasks as there are cores for, with the trees
+    that each has alone."""
+    x, y, w, s = toy(300, 4, 6)
+    df, seen = frame(spark, "d", x, y, w, s), []
+    fits = [B.Fit(f"{k}", "d", B.Boosting(rounds=4 + k, patience=3, leaves=4 + k, rows=0.8, columns=0.7, seed=k)) for k in range(8)]
+    look = lambda d: seen.append(d.rdd.getNumPartitions())
+    session.LISTENERS.append(look)
+    try:
+        found = B.fit_many(df, fits, {"d": names(4)})
+    finally:
+        session.LISTENERS.remove(look)
+    assert seen == [math.ceil(8 / math.ceil(8 / spark.sparkContext.defaultParallelism))]
+    for f in fits:
+        alone = B.fit_many(df, [f], {"d": names(4)})[f.model]
+        assert found[f.model].nodes == alone.nodes and found[f.model].losses == alone.losses
+
+
 def test_losses_are_those_of_the_kept_prefix(spark):
     x, y, w, s = toy(1500, 5, 2)
     m = B.fit_many(frame(spark, "d", x, y, w, s), [B.Fit("m", "d", B.Boosting(rounds=200, patience=10, step=0.2))], {"d": names(5)})["m"]
