@@ -4,13 +4,10 @@ and scale factor is shared by these report queries."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import functions as F
 
 from ..functions.units import kgl_to_units
 from ..operators import report as R
-from ..session import ship
 from . import params as P
 from .forecast_job import campaign_items, run_forecast
 from .registry import _inputs, finalize, register
@@ -178,9 +175,8 @@ def tuning_result(spark, sf):
     """P14 + S8: seeded random search at each level, best records written as JSON and read back."""
     from ..sources.io import scratch_path
     from .tune import random_search, save_best
-    ship(spark)
-    with ThreadPoolExecutor(max_workers=2) as pool:   # the two levels' searches side by side
-        found = list(pool.map(lambda own: random_search(spark, own[1], own[0], TUNING_TRIALS), _level_frames(spark, sf)))
+    # one level after the other: side by side, both levels' plans meet in the driver's memory
+    found = [random_search(spark, frame, level, TUNING_TRIALS) for level, frame in _level_frames(spark, sf)]
     trials = found[0].unionByName(found[1])
     path = scratch_path(spark, "best-params")
     save_best(trials, path)
