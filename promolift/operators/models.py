@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import mae, mape, rmse, smape
-from ..session import cut_lineage
-from .boosting import Boosted, Boosting, Fit, fit_many
+from ..session import cut_lineage, union_all
+from .boosting import Boosted, Boosting, Fit, fit_many, predict_many
 
 QUANTILES = (0.1, 0.5, 0.9)   # fixed: interval quantiles
 QUANTILE_BINS = 256           # bins of the targets' range, for interval quantiles
@@ -61,12 +61,17 @@ def training_rows(frame: DataFrame, features: list[str], data: str, label: str =
 def fit_point_models(frames: dict[str, tuple[DataFrame, list[str], Boosting]], label: str = "salesQuantityKgL_log") -> dict[str, Boosted]:
     """A weighted boosted model for each (frame, features, parameters), all in one pass;
     validation rows tell where to stop."""
-    rows = None
-    for name, (frame, feats, _) in frames.items():
-        own = training_rows(frame, feats, name, label)
-        rows = own if rows is None else rows.unionByName(own)
-    fits = [Fit(name, name, p) for name, (_, _, p) in frames.items()]
-    return fit_many(cut_lineage(rows, "training-rows"), fits, {name: feats for name, (_, feats, _) in frames.items()})
+    return fit_rows(written_rows({name: own[:2] for name, own in frames.items()}, label), frames)
+
+
+def written_rows(frames: dict[str, tuple[DataFrame, list[str]]], label: str = "salesQuantityKgL_log") -> DataFrame:
+    """The ``training_rows`` of each (frame, features), written."""
+    return cut_lineage(union_all([training_rows(frame, feats, name, label) for name, (frame, feats) in frames.items()]), "training-rows")
+
+
+def fit_rows(rows: DataFrame, frames: dict[str, tuple[DataFrame, list[str], Boosting]]) -> dict[str, Boosted]:
+    """The models of ``frames`` from their ``written_rows``."""
+    return fit_many(rows, [Fit(name, name, p) for name, (_, _, p) in frames.items()], {name: feats for name, (_, feats, _) in frames.items()})
 
 
 def fit_point_model(frame: DataFrame, features: list[str], level: str, params: Boosting | None = None, label: str = "salesQuantityKgL_log") -> Boosted:
@@ -143,3 +148,15 @@ def evaluate(model: Boosted, frame: DataFrame, label: str = "salesQuantityKgL_lo
                  mae(a, p).alias("mae"),
                  rmse(a, p).alias("rmse"), F.count("*").alias("n")).first()
     return r.asDict() if r is not None else {}
+
+
+def evaluate_rows(rows: DataFrame, models: dict[str, Boosted]) -> dict[str, dict]:
+    """``evaluate`` of each data set's model on its ``training_rows``, all in one job."""
+    a, p = F.col("label"), F.col("prediction")
+    test = rows.where(F.col("split") == "test")
+    found = predict_many(test, {name: (name, m) for name, m in models.items()}).groupBy("model").agg(
+        smape(F.expm1(a), F.expm1(p)).alias("smape"), mape(F.expm1(a), F.expm1(p)).alias("mape"), mae(a, p).alias("mae"),
+        rmse(a, p).alias("rmse"), F.count("*").alias("n")).collect()   # a row a model
+    none = {"smape": None, "mape": None, "mae": None, "rmse": None, "n": 0}
+    by = {r["model"]: {k: r[k] for k in none} for r in found}
+    return {name: by.get(name, dict(none)) for name in models}

@@ -66,7 +66,7 @@ def forecast_totals(summary: DataFrame) -> DataFrame:
             .withColumn("total_effect_pct", pct(F.col("total_effect"), F.col("total_baseline"))))
 
 
-def compare_with_actuals(pred: DataFrame, base: DataFrame, actual: DataFrame, key: str,
+def compare_with_actuals(pred: DataFrame, base: DataFrame, actual: DataFrame, key: str | list[str],
                          needs_prediction: bool = False) -> DataFrame:
     """P18 core: totals over the campaign weeks, SMAPE of actual vs predicted, lifts
     against the baseline; ids without actuals are skipped (inner join).  With

@@ -138,6 +138,86 @@ def week_training_frame(df: DataFrame, level: str, week: int, targets: DataFrame
     return temporal_split(s.withColumn("weight", sample_weight(level, single=False, week=week)), id_col(level), ratios)
 
 
+def _split_ends(counts: list[tuple], ratios) -> tuple[int, int, list, object, object]:
+    """W12 from sorted (week, rows): where 'train' and 'val' end, the (week, rows before it) that an
+    end cuts, and the last weeks that are wholly 'train' and at most 'val'."""
+    n = sum(c for _, c in counts)
+    train_end, val_end = int(n * ratios[0]), int(n * (ratios[0] + ratios[1]))
+    cut, last_train, last_val, acc = [], None, None, 0
+    for wk, c in counts:
+        if acc + c <= train_end:
+            last_train = wk
+        elif acc >= train_end and acc + c <= val_end:
+            last_val = wk
+        elif acc < val_end:
+            cut.append((wk, acc))
+        acc += c
+    return train_end, val_end, cut, last_train, last_val
+
+
+def week_training_frames(df: DataFrame, level: str, targets: DataFrame | None, materialize_fn, weeks=(1, 2, 3),
+                         ratios=(TRAIN_RATIO, VAL_RATIO)) -> dict[int, DataFrame]:
+    """``week_training_frame`` of every model week in one pass: ``df`` with its feature nulls filled
+    and the ids' campaign weeks is written, then one count a calendar week tells the samples and
+    splits, and one table of all weeks' rows is written.  Only rows of a sample's oldest week and of
+    weeks that a split cuts are numbered, within their week."""
+    idc, cols = id_col(level), df.columns
+    on = {n: F.coalesce(_flag_on(level, f"campaign_week_{n}"), F.lit(False)) for n in weeks}
+    plain = {n: F.coalesce((F.col(f"campaign_week_{n}") == 0) & _flag_on(level, "campaign_week_0"), F.lit(False)) for n in weeks}
+    rows = fill_feature_nulls(df, level).where(F.col(idc).isNotNull())
+    rows = rows.withColumns({f"_has{n}": F.max(on[n]).over(Window.partitionBy(idc)) for n in weeks})
+    if targets is not None:
+        t = targets.select(F.col(targets.columns[0]).cast("string").alias(idc)).distinct().withColumn("_tg", F.lit(True))
+        rows = rows.join(t, idc, "left").withColumns({f"_has{n}": F.col(f"_has{n}") | F.coalesce("_tg", F.lit(False)) for n in weeks}).drop("_tg")
+    rows = materialize_fn(rows)
+    base = {n: plain[n] & F.col(f"_has{n}") for n in weeks}
+    stats = rows.groupBy("week_start").agg(
+        *[F.count_if(c[n]).alias(f"{name}{n}") for name, c in (("c", on), ("b", base)) for n in weeks]).collect()
+    stats = sorted(stats, key=lambda r: r["week_start"])   # a row a calendar week
+    since, left, held, place, split = {}, {}, {}, F.lit(None).cast("long"), F.lit(None).cast("string")
+    edge_split, week = F.lit(None).cast("string"), F.col("week_start")
+    for n in weeks:
+        wanted, acc = BASELINE_MULTIPLE * sum(r[f"c{n}"] for r in stats), 0
+        taken = {}
+        for r in reversed(stats):
+            taken[r["week_start"]] = min(r[f"b{n}"], wanted - acc)
+            acc += taken[r["week_start"]]
+            since[n], left[n] = r["week_start"], taken[r["week_start"]]
+            if acc >= wanted:
+                break
+        counts = [(r["week_start"], r[f"c{n}"] + taken.get(r["week_start"], 0)) for r in stats]
+        train_end, val_end, cut, last_train, last_val = _split_ends([x for x in counts if x[1]], ratios)
+        before = dict(cut)   # the week in which the sample begins is numbered too
+        if n in since:
+            before[since[n]] = sum(c for w, c in counts if w < since[n])
+        held[n] = sorted(before)
+        of = F.col("model_week") == n
+        for w, lo in before.items():
+            place = F.when(of & (week == F.lit(w)), F.lit(lo)).otherwise(place)
+        kind = F.lit("test")
+        for last, name in ((last_val, "val"), (last_train, "train")):
+            if last is not None:
+                kind = F.when(week <= F.lit(last), name).otherwise(kind)
+        split = F.when(of, kind).otherwise(split)
+        pos = F.col("_place") + F.col("_pos") - 1
+        edge_split = F.when(of, F.when(pos < train_end, "train").when(pos < val_end, "val").otherwise("test")).otherwise(edge_split)
+    if not since:   # no row at all
+        return {n: rows.select(*cols).withColumn("weight", F.lit(1.0)).withColumn("split", F.lit("train")) for n in weeks}
+    own = {n: on[n] | (base[n] & (week >= F.lit(since[n]))) for n in weeks}
+    each = rows.withColumn("model_week", F.explode(F.filter(F.array(*[F.when(own[n], n) for n in weeks]), lambda x: x.isNotNull())))
+    pick = lambda by: F.coalesce(*[F.when(F.col("model_week") == n, by(n)) for n in weeks])
+    each = each.select(*cols, "model_week", pick(lambda n: sample_weight(level, single=False, week=n)).alias("weight"),
+                       pick(lambda n: on[n]).alias("_on"), place.cast("long").alias("_place"))
+    edge = each.where(F.col("_place").isNotNull())
+    number = lambda *by: F.row_number().over(Window.partitionBy("model_week", "week_start", *by).orderBy(idc))
+    out_of = pick(lambda n: F.when(week == F.lit(since[n]), F.lit(left[n])))
+    edge = edge.withColumn("_rn", number("_on")).where(F.col("_on") | out_of.isNull() | (F.col("_rn") <= out_of))
+    edge = edge.withColumn("_pos", number()).withColumn("split", edge_split)
+    names = [*cols, "weight", "split", "model_week"]
+    frames = materialize_fn(each.where(F.col("_place").isNull()).withColumn("split", split).select(*names).unionByName(edge.select(*names)))
+    return {n: frames.where(F.col("model_week") == n).drop("model_week") for n in weeks}
+
+
 def pooled_training_frame(df: DataFrame, level: str, targets: DataFrame | None = None,
                           ratios=(TRAIN_RATIO, VAL_RATIO)) -> DataFrame:
     """P2 frame + W15 + W12 in one statistics job.

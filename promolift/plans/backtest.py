@@ -3,8 +3,8 @@
 The calendar selection is one small collect (campaigns of a year).  The valid order lines, the
 (item, campaign) pairs in them, the harmonised items and the actuals' weekly rows are written once
 for all campaigns.  Each campaign is
-then a forecast job at ``start - 4 weeks`` on leakage-guarded inputs; the actuals
-come from the full history.  A campaign without targets or training rows is skipped, as the modelled
+then a forecast job at ``start - 4 weeks`` on leakage-guarded inputs, whose models are fitted in
+one pass for all campaigns; the actuals come from the full history.  A campaign without targets or training rows is skipped, as the modelled
 driver does, and returned with its reason; when none can be validated, the job fails.
 """
 
@@ -22,7 +22,9 @@ from ..operators import forecast as FC
 from ..operators import report as R
 from ..operators import universe as U
 from ..operators import weekly as WK
-from .forecast_job import NoTrainingRows, campaign_items, run_forecast
+from ..operators.training import id_col
+from ..session import union_all
+from .forecast_job import NoTrainingRows, campaign_items, fit_jobs, run_forecast
 from .preprocess import materialize, weekly_lines
 
 BACKTEST_HORIZON_WEEKS = 4   # fixed: forecast date = campaign start - 4 weeks
@@ -61,8 +63,24 @@ def _actuals(weekly, start, end, level):
 FAILURE_SCHEMA = "campaign_id long, reason string"
 
 
+def _levels(items, clusters, value):
+    """Rows of both levels of a campaign: level, id and ``value``."""
+    own = [d.select(F.lit(level).alias("level"), F.col(id_col(level)).alias("id"), value)
+           for level, d in (("item", items), ("cluster", clusters))]
+    return union_all(own)
+
+
+def _stored(spark, store, tasks):
+    """A campaign's models from ``store``, fitted where they are missing."""
+    from .model_store import fit_missing
+    try:
+        return fit_missing(spark, store, tasks, intervals=False)
+    except NoTrainingRows as e:
+        return e
+
+
 def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year: int,
-                 max_campaigns: int | None = None, parallelism: int = 3,
+                 max_campaigns: int | None = None, parallelism: int = 1,
                  single_model: bool = False, store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(results, failures) of all campaigns of ``year`` (of the first ``max_campaigns``, if
     given), each with its own week models, or pooled ones as an option.  ``store``: a folder
@@ -76,54 +94,69 @@ def run_backtest(orders: DataFrame, items: DataFrame, campaigns: DataFrame, year
     sold = materialize(valid.select("itemId", "salesCampignId").distinct(), "checkpoint")
     weekly = _weekly_actuals(valid, items, campaigns, [c["campaignStart"] for c in sel])
 
-    def one(c):
-        cid, start, end = c["campaignId"], c["campaignStart"], c["campaignEnd"]
-        fd = start - _dt.timedelta(weeks=BACKTEST_HORIZON_WEEKS)
+    def prepare(c):
+        cid, start = c["campaignId"], c["campaignStart"]
         try:
             targets = materialize(campaign_items(valid, cid), "checkpoint")
             if targets.isEmpty():
                 raise NotEnoughData("no item was sold on the campaign")
-            i2, o2, c2 = U.leakage_guard(valid, harmonized, campaigns, start, sold)
-            try:
-                res = run_forecast(o2, i2, c2, targets, start, fd, BACKTEST_HORIZON_WEEKS, use_plan=False,
-                                   single_model=single_model, intervals=False, store=store)   # results hold no intervals
-            except NoTrainingRows as e:
-                raise NotEnoughData(str(e)) from e
-            ib = FC.seasonal_baseline(res.pre.item_weekly, "item", fd, start, res.pre.item_normalizers, targets)
-            cb = FC.seasonal_baseline(res.pre.cluster_weekly, "cluster", fd, start, res.pre.cluster_normalizers)
-            ia = _actuals(weekly, start, end, "item").join(targets, "baseItemId", "left_semi") \
-                .select("baseItemId", F.col("salesQuantityKgL").alias("actual_kgl"))
-            ca = _actuals(weekly, start, end, "cluster") \
-                .select("cluster1To1Id", F.col("salesQuantityKgL").alias("actual_kgl"))
-            ic = R.compare_with_actuals(res.item_predictions.where("campaign_on"), ib, ia, "baseItemId")
-            cc = R.compare_with_actuals(res.cluster_predictions.where("campaign_on"), cb, ca, "cluster1To1Id",
-                                        needs_prediction=True)
-            m = res.pre.items.select("baseItemId", "cluster1To1Id")
-            rows = (ic.join(m, "baseItemId", "left")
-                    .join(cc.select("cluster1To1Id", *[F.col(x).alias(f"cluster_{x}") for x in
-                                                       ("actual", "predicted", "baseline", "smape", "lift_actual",
-                                                        "lift_predicted")]), "cluster1To1Id", "left")
-                    .select(F.lit(cid).cast("long").alias("campaign_id"), F.col("baseItemId").alias("item_id"),
-                            F.col("cluster1To1Id").alias("cluster_id"), F.lit(start).alias("campaign_start"),
-                            F.lit(end).alias("campaign_end"),
-                            *[F.col(x).alias(f"item_{x}") for x in ("actual", "predicted", "baseline", "smape",
-                                                                     "lift_actual", "lift_predicted")],
-                            "cluster_actual", "cluster_predicted", "cluster_baseline", "cluster_smape",
-                            "cluster_lift_actual", "cluster_lift_predicted"))
-            return materialize(rows, "checkpoint"), None
+            i2, o2, c2 = U.leakage_guard(valid, harmonized, campaigns, start, sold, lambda d: materialize(d, "checkpoint"))
+            return run_forecast(o2, i2, c2, targets, start, start - _dt.timedelta(weeks=BACKTEST_HORIZON_WEEKS), BACKTEST_HORIZON_WEEKS,
+                                use_plan=False, single_model=single_model, intervals=False, fit=False)   # results hold no intervals
         except NotEnoughData as e:   # as in the modelled driver; anything else fails the job
-            log.error("backtest of campaign %s failed: %s", cid, e)
-            return None, (cid, f"{type(e).__name__}: {e}"[:500])
-
-    # campaigns are independent forecast jobs: run a few at a time
+            return e
+
+    def finish(c, job, models):
+        start, res = c["campaignStart"], job.finish(models)
+        ib = FC.seasonal_baseline(res.pre.item_weekly, "item", job.forecast_date, start, res.pre.item_normalizers, job.targets)
+        cb = FC.seasonal_baseline(res.pre.cluster_weekly, "cluster", job.forecast_date, start, res.pre.cluster_normalizers)
+        predicted = _levels(res.item_predictions.where("campaign_on"), res.cluster_predictions.where("campaign_on"), "prediction_kgl")
+        return {"pred": materialize(predicted, "checkpoint"), "base": materialize(_levels(ib, cb, "baseline_kgl"), "checkpoint")}
+
+    def compared(done, level):
+        """P18 of all campaigns: their predictions, baselines and actuals."""
+        idc = id_col(level)
+        pred, base = (union_all([of(i, p[kind].where(F.col("level") == level).drop("level")) for i, _, _, p in done]).withColumnRenamed("id", idc)
+                      for kind in ("pred", "base"))
+        actual = []
+        for i, c, job, _ in done:
+            a = _actuals(weekly, c["campaignStart"], c["campaignEnd"], level)
+            a = a.join(job.targets, "baseItemId", "left_semi") if level == "item" else a
+            actual.append(of(i, a.select(idc, F.col("salesQuantityKgL").alias("actual_kgl"))))
+        return R.compare_with_actuals(pred, base, union_all(actual), ["_run", idc], needs_prediction=level == "cluster")
+
+    def of(i, rows):
+        return rows.withColumn("_run", F.lit(i))
+
+    def results(done):
+        found = ("actual", "predicted", "baseline", "smape", "lift_actual", "lift_predicted")
+        m = union_all([of(i, job.pre.items.select("baseItemId", "cluster1To1Id")) for i, _, job, _ in done])
+        runs = orders.sparkSession.createDataFrame([(i, c["campaignId"], c["campaignStart"], c["campaignEnd"]) for i, c, _, _ in done],
+                                                   "_run int, campaign_id long, campaign_start date, campaign_end date")
+        cc = compared(done, "cluster").select("_run", "cluster1To1Id", *[F.col(x).alias(f"cluster_{x}") for x in found])
+        rows = compared(done, "item").join(m, ["_run", "baseItemId"], "left").join(cc, ["_run", "cluster1To1Id"], "left").join(runs, "_run")
+        return rows.select("campaign_id", F.col("baseItemId").alias("item_id"), F.col("cluster1To1Id").alias("cluster_id"), "campaign_start", "campaign_end",
+                           *[F.col(x).alias(f"item_{x}") for x in found], *[f"cluster_{x}" for x in found])
+
+    # campaigns are independent forecast jobs: a few at a time, their models all in one pass
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        done = list(pool.map(one, sel))
-    parts, failed = [p for p, _ in done if p is not None], [f for _, f in done if f is not None]
+        jobs = dict(enumerate(pool.map(prepare, sel)))
+        tasks = {i: j.tasks for i, j in jobs.items() if not isinstance(j, NotEnoughData)}
+        if store is None:
+            models = fit_jobs(tasks, intervals=False) if tasks else {}
+        else:
+            models = {i: _stored(orders.sparkSession, store, own) for i, own in tasks.items()}
+        jobs |= {i: NotEnoughData(str(m)) for i, m in models.items() if isinstance(m, NoTrainingRows)}
+        bad = {i: e for i, e in jobs.items() if isinstance(e, NotEnoughData)}
+        whole = [i for i in jobs if i not in bad]
+        parts = list(pool.map(lambda i: finish(sel[i], jobs[i], models[i]), whole))
+    failed = [(sel[i]["campaignId"], f"{type(e).__name__}: {e}"[:500]) for i, e in sorted(bad.items())]
+    for cid, reason in failed:
+        log.error("backtest of campaign %s failed: %s", cid, reason)
     if sel and not parts:
         raise RuntimeError(f"no campaign of {year} could be validated: {failed}")
-    out = None
-    for p in parts:
-        out = p if out is None else out.unionByName(p)
-    if out is None:   # no campaign in that year: an empty result with the result columns
+    if parts:
+        out = materialize(results([(i, sel[i], jobs[i], p) for i, p in zip(whole, parts)]), "checkpoint")
+    else:   # no campaign in that year: an empty result with the result columns
         out = orders.sparkSession.createDataFrame([], RESULT_SCHEMA)
     return out, orders.sparkSession.createDataFrame(failed, FAILURE_SCHEMA)

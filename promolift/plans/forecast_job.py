@@ -8,7 +8,8 @@ score the latest state of every target with the campaign on and off -> summary w
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from ..operators import models as M
 from ..operators import report as R
 from ..operators import training as TR
 from ..operators import universe as U
+from ..operators.boosting import transform_many
+from ..session import union_all
 from .preprocess import Preprocessed, materialize, preprocess
 
 
@@ -35,7 +38,12 @@ class ForecastResult:
     cluster_model: M.ModelBundle | WeekModels
     item_predictions: DataFrame
     cluster_predictions: DataFrame
-    summary: DataFrame
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """R1 + R2, planned when it is asked for."""
+        csizes = self.pre.cluster_weekly.select("cluster1To1Id", "num_items_in_cluster").distinct()
+        return R.campaign_summary(self.item_predictions, self.cluster_predictions, self.pre.items, csizes)
 
 
 def campaign_items(orders: DataFrame, campaign_id: int) -> DataFrame:
@@ -66,58 +74,64 @@ def pooled_training(df: DataFrame, level: str, targets: DataFrame | None = None,
 def week_training(df: DataFrame, level: str, targets: DataFrame | None = None, materialize_as: str = "checkpoint") -> list[Training]:
     """For each campaign week its balanced frame and split, from one written copy of the
     features."""
-    base = materialize(TR.fill_feature_nulls(df, level), materialize_as)
+    frames = TR.week_training_frames(df, level, targets if level == "item" else None, lambda d: materialize(d, materialize_as))
+    return [Training(level, n, frame, TR.feature_list(level, single=False, week=n)) for n, frame in frames.items()]
 
-    def one(n):
-        frame = materialize(TR.week_training_frame(base, level, n, targets if level == "item" else None), materialize_as)
-        return Training(level, n, frame, TR.feature_list(level, single=False, week=n))
 
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        return list(pool.map(one, (1, 2, 3)))
+def fit_models(tasks: list[Training], materialize_as: str = "checkpoint", intervals: bool = True) -> dict[str, M.ModelBundle | WeekModels]:
+    """The models of all tasks by level."""
+    out = fit_jobs({"": tasks}, materialize_as, intervals)[""]
+    if isinstance(out, NoTrainingRows):
+        raise out
+    return out
 
 
-def fit_models(tasks: list[Training], materialize_as: str = "checkpoint", intervals: bool = True) -> dict[str, M.ModelBundle | WeekModels]:
-    """The models of all tasks by level: point models in one pass, beside them the forests,
-    which are independent Spark ML fits (none without ``intervals``)."""
-    frames = {f"{t.level}-{t.week}": (t.frame, t.features, M.POINT_PARAMS[t.level]) for t in tasks}
+def fit_jobs(jobs: dict, materialize_as: str = "checkpoint", intervals: bool = True) -> dict:
+    """For each job's tasks its models by level, or ``NoTrainingRows`` where a model has none:
+    point models of all jobs in one pass, beside them the forests, which are independent Spark ML
+    fits (none without ``intervals``)."""
+    names = {(j, i): f"{j}/{t.level}-{t.week}" for j, tasks in jobs.items() for i, t in enumerate(tasks)}
+    frames = {names[j, i]: (t.frame, t.features, M.POINT_PARAMS[t.level]) for j, tasks in jobs.items() for i, t in enumerate(tasks)}
     with ThreadPoolExecutor(max_workers=4) as pool:
-        points = pool.submit(M.fit_point_models, frames)
-        forests = [pool.submit(M.fit_quantile_forest, t.frame, t.features) if intervals else None for t in tasks]
-        points = points.result()
-        lacking = sorted(set(frames) - set(points))
-        if lacking:
-            raise NoTrainingRows(f"no training rows for {', '.join(lacking)}")
-
-        def bundle(t, f):
-            forest, leaves = f.result() if f else (None, None)
-            point = points[f"{t.level}-{t.week}"]
-            return M.ModelBundle(t.level, t.features, point, forest, materialize(leaves, materialize_as) if f else None, M.evaluate(point, t.frame))
-
-        bundles = [bundle(t, f) for t, f in zip(tasks, forests)]
-    out: dict[str, M.ModelBundle | WeekModels] = {}
-    for t, b in zip(tasks, bundles):
-        if t.week == 0:
-            out[t.level] = b
-        else:
-            out.setdefault(t.level, WeekModels(t.level, {})).weeks[t.week] = b
+        forests = {name: pool.submit(M.fit_quantile_forest, *frames[name][:2]) for name in frames if intervals}
+        # a table of rows a job: one plan over the frames of all jobs would be large
+        rows = union_all([M.written_rows({names[j, i]: (t.frame, t.features) for i, t in enumerate(tasks)}) for j, tasks in jobs.items()])
+        points = M.fit_rows(rows, frames)
+        metrics = M.evaluate_rows(rows, points)
+        lacking = {j: sorted(f"{t.level}-{t.week}" for i, t in enumerate(tasks) if names[j, i] not in points) for j, tasks in jobs.items()}
+        whole = {j: tasks for j, tasks in jobs.items() if not lacking[j]}
+
+        def bundle(name, t):
+            forest, leaves = forests[name].result() if intervals else (None, None)
+            return M.ModelBundle(t.level, t.features, points[name], forest, materialize(leaves, materialize_as) if intervals else None, metrics[name])
+
+        out: dict = {j: NoTrainingRows(f"no training rows for {', '.join(x)}") for j, x in lacking.items() if x}
+        for j, tasks in whole.items():
+            own = out[j] = {}
+            for i, t in enumerate(tasks):
+                if t.week == 0:
+                    own[t.level] = bundle(names[j, i], t)
+                else:
+                    own.setdefault(t.level, WeekModels(t.level, {})).weeks[t.week] = bundle(names[j, i], t)
     return out
 
 
 def score(bundle: M.ModelBundle | WeekModels, scoring: DataFrame, normalizers: DataFrame) -> DataFrame:
     """P3 scoring + M1 denormalisation: (id, campaign_week, campaign_on, prediction_kgl,
     q10_kgl, q50_kgl, q90_kgl); with P1 each week's rows by that week's model."""
-    if isinstance(bundle, WeekModels):
-        parts = [score(b, scoring.where(F.col("campaign_week") == n), normalizers) for n, b in bundle.weeks.items()]
+    idc, key = TR.id_col(bundle.level), ["score_key", "campaign_week", "campaign_on"]
+    weeks = bundle.weeks if isinstance(bundle, WeekModels) else {None: bundle}
+    if any(b.forest is not None for b in weeks.values()) and None not in weeks:
+        parts = [score(b, scoring.where(F.col("campaign_week") == n), normalizers) for n, b in weeks.items()]
         return parts[0].unionByName(parts[1]).unionByName(parts[2])
-    idc = TR.id_col(bundle.level)
-    pred = bundle.point.transform(scoring.select("score_key", idc, "campaign_week", "campaign_on", *[f for f in bundle.features if f != "campaign_week"])) \
-        .select("score_key", idc, "campaign_week", "campaign_on", "prediction")
-    if bundle.forest is None:
-        q = scoring.select("score_key", *[F.lit(None).cast("double").alias(c) for c in ("q10", "q50", "q90")])
+    used = sorted({f for b in weeks.values() for f in b.features} - {*key, idc})
+    pred = transform_many(scoring.select(*key, idc, *used), {n: b.point for n, b in weeks.items()}, None if None in weeks else "campaign_week") \
+        .select(*key, idc, "prediction")
+    if None in weeks and bundle.forest is not None:
+        j = pred.join(M.forest_quantiles(bundle.forest, bundle.forest_leaves, scoring, "score_key"), "score_key", "left")
     else:
-        q = M.forest_quantiles(bundle.forest, bundle.forest_leaves, scoring, "score_key")
-    n = normalizers.select(idc, F.col("normalizer").alias("_n"))
-    j = pred.join(q, "score_key", "left").join(n, idc, "left")
+        j = pred.select("*", *[F.lit(None).cast("double").alias(c) for c in ("q10", "q50", "q90")])
+    j = j.join(normalizers.select(idc, F.col("normalizer").alias("_n")), idc, "left")
     return j.select(idc, "campaign_week", "campaign_on",
                     FC.denormalize_log(F.col("prediction"), F.col("_n")).alias("prediction_kgl"),
                     FC.denormalize_log(F.col("q10"), F.col("_n")).alias("q10_kgl"),
@@ -134,46 +148,65 @@ def plan_tables(master: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataF
     return plan, sizes
 
 
+@dataclass
+class Prepared:
+    """A forecast job up to its training: ``tasks`` are to be fitted, ``finish`` scores with their
+    models."""
+    pre: Preprocessed
+    targets: DataFrame
+    tasks: list[Training]
+    campaign_start: object
+    forecast_date: object
+    horizon: int
+    use_plan: bool
+    state: str
+
+    def finish(self, models: dict) -> ForecastResult:
+        pre, iw, cw, targets = self.pre, self.pre.item_weekly, self.pre.cluster_weekly, self.targets
+        item_model, cluster_model = models["item"], models["cluster"]
+        plan, sizes = plan_tables(pre.items, targets)
+        t_clusters = pre.items.join(targets.select(F.col(targets.columns[0]).alias("baseItemId")),
+                                    "baseItemId", "left_semi").select("cluster1To1Id").distinct()
+        if self.state == "target_week":
+            li = FC.target_week_state(iw, "item", self.forecast_date, self.campaign_start, self.horizon, targets, cw)
+            lc = FC.target_week_state(cw, "cluster", self.forecast_date, self.campaign_start, self.horizon, t_clusters)
+        else:
+            li, lc = FC.latest_state(iw, "baseItemId", self.forecast_date, targets), FC.latest_state(cw, "cluster1To1Id", self.forecast_date, t_clusters)
+        li = TR.fill_feature_nulls(li, "item")
+        si = FC.scoring_frame(li, "item", plan if self.use_plan else None, sizes if self.use_plan else None)
+        sc = FC.scoring_frame(lc, "cluster", plan if self.use_plan else None)
+        ip = score(item_model, si, pre.item_normalizers)
+        cp = score(cluster_model, sc, pre.cluster_normalizers)
+        return ForecastResult(pre, item_model, cluster_model, ip, cp)
+
+
 def run_forecast(orders: DataFrame, items: DataFrame, campaigns: DataFrame, targets: DataFrame,
                  campaign_start, forecast_date, horizon: int, use_plan: bool = True,
                  materialize_as: str = "checkpoint", single_model: bool = False, intervals: bool = True,
-                 store: str | None = None, state: str = "latest") -> ForecastResult:
+                 store: str | None = None, state: str = "latest", fit: bool = True) -> ForecastResult | Prepared:
     """The whole job.  ``state``: 'latest' scores each target's last row, as the modelled code
     does (Q11); 'target_week' its campaign weeks' own time features and lags.  ``intervals=False`` leaves q10, q50 and q90 null and fits no forests.
     ``store``: a folder of models; those already trained on equal frames with equal
-    parameters are read from there, others trained and saved (S11)."""
+    parameters are read from there, others trained and saved (S11).  ``fit=False``: the job up to
+    its training, for a caller that fits several jobs in one pass."""
     prepare = pooled_training if single_model else week_training
     targets = materialize(targets, materialize_as)   # many steps ask for them; they may come from the order lines
     pre = preprocess(orders, items, campaigns, horizon=horizon, campaign_start=campaign_start,
                      forecast_date=forecast_date, targets=targets, materialize_as=materialize_as)
     iw = materialize(pre.item_weekly, materialize_as)
     cw = materialize(pre.cluster_weekly, materialize_as)
+    pre = replace(pre, item_weekly=iw, cluster_weekly=cw)   # what follows reads the written frames
     with ThreadPoolExecutor(max_workers=2) as pool:   # the two levels' frames side by side
         fi = pool.submit(prepare, iw, "item", targets, materialize_as)
         fc = pool.submit(prepare, cw, "cluster", None, materialize_as)
         tasks = fi.result() + fc.result()
+    job = Prepared(pre, targets, tasks, campaign_start, forecast_date, horizon, use_plan, state)
+    if not fit:
+        return job
     if store is None:
-        models = fit_models(tasks, materialize_as, intervals)
-    else:
-        from .model_store import fit_missing
-        models = fit_missing(iw.sparkSession, store, tasks, materialize_as, intervals)
-    item_model, cluster_model = models["item"], models["cluster"]
-    plan, sizes = plan_tables(pre.items, targets)
-    t_clusters = pre.items.join(targets.select(F.col(targets.columns[0]).alias("baseItemId")),
-                                "baseItemId", "left_semi").select("cluster1To1Id").distinct()
-    if state == "target_week":
-        li = FC.target_week_state(iw, "item", forecast_date, campaign_start, horizon, targets, cw)
-        lc = FC.target_week_state(cw, "cluster", forecast_date, campaign_start, horizon, t_clusters)
-    else:
-        li, lc = FC.latest_state(iw, "baseItemId", forecast_date, targets), FC.latest_state(cw, "cluster1To1Id", forecast_date, t_clusters)
-    li = TR.fill_feature_nulls(li, "item")
-    si = FC.scoring_frame(li, "item", plan if use_plan else None, sizes if use_plan else None)
-    sc = FC.scoring_frame(lc, "cluster", plan if use_plan else None)
-    ip = score(item_model, si, pre.item_normalizers)
-    cp = score(cluster_model, sc, pre.cluster_normalizers)
-    csizes = cw.select("cluster1To1Id", "num_items_in_cluster").distinct()
-    summary = R.campaign_summary(ip, cp, pre.items, csizes)
-    return ForecastResult(pre, item_model, cluster_model, ip, cp, summary)
+        return job.finish(fit_models(tasks, materialize_as, intervals))
+    from .model_store import fit_missing
+    return job.finish(fit_missing(iw.sparkSession, store, tasks, materialize_as, intervals))
 
 
 LAG_DATE_MIN_ROWS = 50   # fixed: fewer rows of a campaign week: no model
